@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: White space of every contract here: the space and the five ASCII controls.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,7 +32,8 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Whole texts travel in Arrow batches of so many rows, so that very long ones fit a worker."""
+    """Before Python runs on the executors: they get this package, and Arrow batches of so many rows, so that very long texts fit a worker."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact, secrets, sharding
+import corpus_pipeline
 
-QUERIES = {f.__name__: f for f in (exact.op2_exact_dedup, secrets.op3_secret_scan, sharding.op4_sharding)}
-ORACLE_SQL: dict[str, str] = exact.ORACLE
+from . import ann, binout, bpe, exact, packing, quality, secrets, sharding, simhash, substring
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        substring.op1_substring_dedup, exact.op2_exact_dedup, secrets.op3_secret_scan, sharding.op4_sharding, ann.op5_nearest_neighbours,
+        simhash.op6_simhash_near_dedup, quality.op7_quality_classifier, bpe.op8_byte_bpe, packing.op9_packing, binout.op10_binary_output,
+    )
+} | {"pipeline": corpus_pipeline.run}
+ORACLE_SQL: dict[str, str] = exact.ORACLE | substring.ORACLE

@@ -129,7 +129,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span (overlapping ones as one) in ``text`` replaced by ``mark``; other texts are unchanged."""
+    """``docs`` with every span (overlapping ones as one) in ``text`` replaced by ``mark`` (``n_chars``, if there, follows); other texts are unchanged."""
     text = text_of()
 
     def step(a: Column, x: Column) -> Column:
@@ -138,7 +138,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(fresh, cut).otherwise(a["out"]).alias("out"))
 
     done = F.aggregate(F.col("_spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    return scan(docs).withColumn("text", F.when(F.size("_spans") > 0, done).otherwise(F.col("text"))).drop("_spans")
+    out = scan(docs).withColumn("_new", F.when(F.size("_spans") > 0, done))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.coalesce(F.length("_new").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    return out.withColumn("text", F.coalesce("_new", "text")).drop("_spans", "_new")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,4 +37,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
     return put
 
 
-from . import bars, indicators, risk  # noqa: E402, F401
+from . import bars, indicators, risk, trades  # noqa: E402, F401

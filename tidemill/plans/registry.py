@@ -12,6 +12,8 @@ from ..sources.views import Views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: Module of plans that registers each query.
+MODULE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None, digits: int = 6):
@@ -28,6 +30,7 @@ def query(name: str, sql: str | None = None, digits: int = 6):
 
         run.__name__, run.__doc__ = name, f.__doc__
         QUERIES[name] = run
+        MODULE[name] = f.__module__.rpartition(".")[2]
         if sql is not None:
             head, _, body = sql.strip().partition("\n")
             floats = head.removeprefix("-- floats:").split() if head.startswith("-- floats:") else []
@@ -37,4 +40,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
     return put
 
 
-from . import bars, indicators, risk, trades  # noqa: E402, F401
+from . import bars, indicators, risk, stats, trades  # noqa: E402, F401

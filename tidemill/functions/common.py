@@ -40,11 +40,14 @@ def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
-@F.pandas_udf("double")
-def normal_cdf(z: pd.Series) -> pd.Series:
+def normal_cdf(z: Column | str) -> Column:
     """Standard normal distribution function; Spark SQL has no error function. For result rows, not for raw rows."""
-    cdf = NormalDist().cdf
-    return z.map(lambda x: cdf(x) if x == x else None, na_action="ignore").astype("float64")
+
+    @F.pandas_udf("double")  # made here: workers import this module without a session
+    def cdf(z: pd.Series) -> pd.Series:
+        return z.map(NormalDist().cdf, na_action="ignore").astype("float64")
+
+    return cdf(z)
 
 
 def hhi(share: str, n: Column) -> tuple[Column, Column]:

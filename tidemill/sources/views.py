@@ -113,5 +113,6 @@ def with_views(body: str, floats: list[str], digits: int, recursive: bool = Fals
                 need.append(name)
                 todo.append(SQL[name])
     ctes = ", ".join(f"{n} AS ({SQL[n]})" for n in SQL if n in need)
+    body = f"SELECT * FROM ({body})" if body.lstrip().startswith("WITH") else body
     out = f"SELECT * REPLACE ({', '.join(f'round({c}, {digits}) + 0.0 AS {c}' for c in floats)}) FROM ({body})" if floats else body
     return f"WITH {ctes} {out}" if ctes else out

@@ -40,4 +40,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
     return put
 
 
-from . import bars, catalog, indicators, risk, stats, trades  # noqa: E402, F401
+from . import bars, catalog, indicators, risk, selection, stats, trades  # noqa: E402, F401

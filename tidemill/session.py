@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -24,3 +25,15 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     context.addPyFile(target)
     _SHIPPED.add(context.applicationId)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder of ``spark.checkpoint.dir`` (a local one only where that is unset) and read back: cuts the lineage."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -172,19 +172,21 @@ def solved_weights(cov: DataFrame, kind: str, rounds: int = 2000, tol: float = 1
         names, c = _matrix(p)
         w = np.full(len(names), 1 / len(names))
         for _ in range(rounds):
-            g = c @ w
-            if kind == "risk_parity":
-                new = w / np.sqrt(np.maximum(w * g, 1e-300) / max(w @ g, 1e-300))
+            if kind == "risk_parity":  # coordinate descent on w'Cw / 2 - mean(ln w), whose minimum has equal w_i (C w)_i
+                new = w.copy()
+                for i in range(len(new)):
+                    rest = c[i] @ new - c[i, i] * new[i]
+                    new[i] = (-rest + np.sqrt(rest * rest + 4 * c[i, i] / len(new))) / (2 * c[i, i])
             else:
-                free = w - g / np.linalg.norm(c, 2)  # a gradient step, then the nearest point of the simplex
+                free = w - c @ w / np.linalg.norm(c, 2)  # a gradient step, then the nearest point of the simplex
                 high = np.sort(free)[::-1]
                 cut = (np.cumsum(high) - 1) / np.arange(1, len(high) + 1)
                 new = np.maximum(free - cut[high > cut][-1], 0)
-            new = new / new.sum()
             done = np.abs(new - w).max() < tol
             w = new
             if done:
                 break
+        w = w / w.sum()
         return pd.DataFrame({"portfolio_id": p["portfolio_id"].iloc[0], "series_id": names, "w": w, "variance": float(w @ c @ w)})
 
     return cov.select("portfolio_id", "sym_a", "sym_b", "cov").groupBy("portfolio_id").applyInPandas(solve, "portfolio_id string, series_id string, w double, variance double")

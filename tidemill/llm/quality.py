@@ -10,7 +10,6 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +81,12 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, np.ndarray]:
     return {"word_score": (vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float64), "bias": np.array([float(bias[1] - bias[0])])}
 
 
+def _saved(model: dict[str, np.ndarray]) -> bytes:
+    out = io.BytesIO()
+    np.savez_compressed(out, **model)
+    return out.getvalue()
+
+
 def train(rows: DataFrame, sample: int = SAMPLE) -> bytes:
     """Model fitted in one task on at most ``sample`` labelled rows (columns doc_id, text, quality), lowest hash of doc_id first.
 
@@ -99,7 +104,8 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> bytes:
         np.savez_compressed(out, **fit(list(frame["text"]), [int(q) for q in frame["quality"]]))
         yield pd.DataFrame({"model": [out.getvalue()]})
 
-    return picked.coalesce(1).mapInPandas(run, "model binary").head()["model"]
+    row = picked.coalesce(1).mapInPandas(run, "model binary").head()
+    return row["model"] if row else _saved(fit([], []))  # an empty table has no task to run in
 
 
 class _Scores(dict):

@@ -27,13 +27,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder of ``spark.checkpoint.dir`` (a local one only where that is unset) and read back: cuts the lineage."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -93,10 +93,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     out.append((name, None, type(e).__name__))
             yield pd.DataFrame(out, columns=["path", "xml", "error"])
 
+    return strategy_fields(files.mapInPandas(unzip, "path string, xml string, error string"))
+
+
+def strategy_fields(rows: DataFrame) -> DataFrame:
+    """Strategy rows from a column ``xml``; other columns stay in front."""
     x = lambda p: F.xpath_string("xml", F.lit(f"/strategy/{p}"))
     num = lambda p: F.nullif(x(p), F.lit("")).try_cast("double")
-    rows = files.mapInPandas(unzip, "path string, xml string, error string")
-    return rows.select("path", "error", x("@name").alias("name"), x("symbol").alias("symbol"), x("timeframe").alias("timeframe"), num("trades").cast("int").alias("trades"), num("net_profit").alias("net_profit"), num("drawdown").alias("drawdown_abs"), num("fitness/@is").alias("fitness_is"), num("fitness/@oos").alias("fitness_oos"))
+    return rows.select(*(c for c in rows.columns if c != "xml"), x("@name").alias("name"), x("symbol").alias("symbol"), x("timeframe").alias("timeframe"), num("trades").cast("int").alias("trades"), num("net_profit").alias("net_profit"), num("drawdown").alias("drawdown_abs"), num("fitness/@is").alias("fitness_is"), num("fitness/@oos").alias("fitness_oos"))
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = r"([A-Z0-9]+?)(?:_[a-z]+)?_(M1|M5|M15|M30|H1|H4|D1|W1)\.[a-z]+$") -> DataFrame:
@@ -125,3 +129,9 @@ def save_set(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 def export_csv(rows: DataFrame, path: str, columns: list[str], by: list[str] | None = None) -> None:
     w = rows.select(*(by or []), *[c for c in columns if c not in (by or [])]).write.mode("overwrite").option("header", True)
     (w.partitionBy(*by) if by else w).csv(path)
+
+
+def clear_set(spark: SparkSession, path: str, target: str, project: str, databank: str) -> None:
+    """The set at ``path`` without one databank, as a new table at ``target``: readers of the old one are not disturbed."""
+    gone = (F.col("project") == project) & (F.col("databank") == databank)
+    spark.read.parquet(path).filter(~gone).write.partitionBy("project", "databank").parquet(target)

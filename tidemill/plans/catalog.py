@@ -272,16 +272,16 @@ _dedupe("portfolio_dedupe", "fitness_oos DESC NULLS LAST", lambda: F.desc_nulls_
 _dedupe("portfolio_dedupe_best_profit", "profit_to_dd DESC NULLS LAST", lambda: F.desc_nulls_last("profit_to_dd"))
 
 
-@query("databank_merge", "WITH u AS (SELECT strategy_id, trades_hash, CASE project WHEN 'p1' THEN 0 ELSE 1 END AS source FROM strategies WHERE project IN ('p1', 'p2')) SELECT strategy_id, trades_hash FROM (SELECT *, row_number() OVER (PARTITION BY trades_hash ORDER BY source, strategy_id) AS i FROM u) WHERE (i = 1 OR trades_hash IS NULL) AND (trades_hash IS NULL OR trades_hash NOT IN (SELECT trades_hash FROM strategies WHERE project = 'p3' AND strategy_id < 20 AND trades_hash IS NOT NULL))")
+@query("databank_merge", "WITH u AS (SELECT strategy_id, trades_hash, CASE project WHEN 'p1' THEN 0 ELSE 1 END AS source FROM strategies WHERE project IN ('p1', 'p2')) SELECT strategy_id, trades_hash FROM (SELECT *, row_number() OVER (PARTITION BY trades_hash ORDER BY source, strategy_id) AS i FROM u) WHERE (i = 1 OR trades_hash IS NULL) AND (trades_hash IS NULL OR trades_hash NOT IN (SELECT trades_hash FROM strategies WHERE project = 'p3' AND databank = 'd0' AND trades_hash IS NOT NULL))")
 def _(v):
     s = v.strategies
-    return C.merged([s.filter("project = 'p1'"), s.filter("project = 'p2'")], s.filter("project = 'p3' and strategy_id < 20")).select("strategy_id", "trades_hash")
+    return C.merged([s.filter("project = 'p1'"), s.filter("project = 'p2'")], s.filter("project = 'p3' and databank = 'd0'")).select("strategy_id", "trades_hash")
 
 
-@query("databank_promote", f"""SELECT strategy_id, trades_hash FROM (SELECT *, row_number() OVER (PARTITION BY trades_hash ORDER BY profit_to_dd DESC NULLS LAST, strategy_id) AS i FROM {_S} WHERE project = 'p0' AND drawdown_pct <= 60 AND (trades_hash IS NULL OR trades_hash NOT IN (SELECT trades_hash FROM strategies WHERE project = 'p1' AND strategy_id < 10 AND trades_hash IS NOT NULL))) WHERE i = 1 OR trades_hash IS NULL ORDER BY profit_to_dd DESC NULLS LAST, strategy_id LIMIT 10""")
+@query("databank_promote", f"""SELECT strategy_id, trades_hash FROM (SELECT *, row_number() OVER (PARTITION BY trades_hash ORDER BY profit_to_dd DESC NULLS LAST, strategy_id) AS i FROM {_S} WHERE project = 'p0' AND drawdown_pct <= 60 AND (trades_hash IS NULL OR trades_hash NOT IN (SELECT trades_hash FROM strategies WHERE project = 'p1' AND databank = 'd1' AND trades_hash IS NOT NULL))) WHERE i = 1 OR trades_hash IS NULL ORDER BY profit_to_dd DESC NULLS LAST, strategy_id LIMIT 10""")
 def _(v):
     s = cat(v)
-    have = s.filter("project = 'p1' and strategy_id < 10 and trades_hash is not null").select("trades_hash").distinct()
+    have = s.filter("project = 'p1' and databank = 'd1' and trades_hash is not null").select("trades_hash").distinct()
     new = s.filter("project = 'p0' and drawdown_pct <= 60").join(have, "trades_hash", "left_anti")
     return C.dedupe(new, "trades_hash", F.desc_nulls_last("profit_to_dd")).orderBy(F.desc_nulls_last("profit_to_dd"), "strategy_id").limit(10).select("strategy_id", "trades_hash")
 
@@ -351,11 +351,11 @@ for _n in ("ship_pipeline_run", "ship_pipeline_dry_run", "workflow_promote_strat
 
 
 @query("databank_regression_check", """-- floats: cur prev change
-WITH n AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS cur, true AS k FROM strategies WHERE strategy_id % 3 <> 0 GROUP BY ALL), t AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS prev, true AS k FROM strategies WHERE strategy_id % 3 = 0 GROUP BY ALL)
+WITH n AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS cur, true AS k FROM strategies WHERE project <> 'p0' GROUP BY ALL), t AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS prev, true AS k FROM strategies WHERE project = 'p0' GROUP BY ALL)
 SELECT fingerprint, cur, prev, change, CASE WHEN nk IS NULL THEN 'missing' WHEN tk IS NULL THEN 'new' WHEN change > 0.01 THEN 'improved' WHEN change < -0.01 THEN 'regressed' ELSE 'stable' END AS state FROM (SELECT fingerprint, cur, prev, n.k AS nk, t.k AS tk, (cur - prev) / nullif(abs(prev), 0) AS change FROM n FULL JOIN t USING (fingerprint))""")
 def _(v):
     s = v.strategies
-    return C.regression(s.filter("strategy_id % 3 <> 0"), s.filter("strategy_id % 3 = 0"), "fingerprint", "fitness_full", 0.01)
+    return C.regression(s.filter("project <> 'p0'"), s.filter("project = 'p0'"), "fingerprint", "fitness_full", 0.01)
 
 
 @query("databank_correlation_matrix", "-- floats: rho\nSELECT x.series_id AS sym_a, y.series_id AS sym_b, corr(x.r, y.r) AS rho, abs(corr(x.r, y.r)) > 0.02 AS over FROM series x JOIN series y ON x.idx = y.idx AND x.series_id < y.series_id WHERE x.r IS NOT NULL AND y.r IS NOT NULL GROUP BY ALL".replace("GROUP BY ALL", "GROUP BY x.series_id, y.series_id"))

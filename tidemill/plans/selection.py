@@ -265,10 +265,14 @@ def _(v):
     return S.kmeans(z, 3, 10, "strategy_id").select("strategy_id", "cluster")
 
 
-@query("strategy_pairwise_distance", f"-- floats: distance\nSELECT a.strategy_id AS a, b.strategy_id AS b, {_DIST} AS distance FROM {_Z} a JOIN {_Z} b ON a.strategy_id < b.strategy_id WHERE a.strategy_id < 20 AND b.strategy_id < 20")
+_TOP20 = "(SELECT z.* FROM " + _Z + " z JOIN (SELECT strategy_id FROM strategies ORDER BY fitness_full DESC, strategy_id LIMIT 20) t ON t.strategy_id = z.strategy_id)"
+
+
+@query("strategy_pairwise_distance", f"-- floats: distance\nSELECT a.strategy_id AS a, b.strategy_id AS b, {_DIST} AS distance FROM {_TOP20} a JOIN {_TOP20} b ON a.strategy_id < b.strategy_id")
 def _(v):
-    """Of the twenty strategies with the smallest ids, as the tool's n asks."""
-    z = S.standardised(v.strategies, _ZM, "strategy_id").filter("strategy_id < 20")
+    """Among the 20 best by fitness, the tool's n and rank."""
+    best = v.strategies.orderBy(F.desc("fitness_full"), "strategy_id").limit(20).select("strategy_id")
+    z = S.standardised(v.strategies, _ZM, "strategy_id").join(best, "strategy_id")
     a, b = z.select(F.col("strategy_id").alias("a"), F.col("z").alias("za")), z.select(F.col("strategy_id").alias("b"), F.col("z").alias("zb"))
     return a.join(b, F.col("a") < F.col("b")).select("a", "b", S.distance(F.col("za"), F.col("zb")).alias("distance"))
 

@@ -256,9 +256,9 @@ _EG = f"""(WITH f AS (SELECT sym_a, sym_b, regr_slope(a, b) AS hedge_ratio, regr
 SELECT f.*, n, adf, {bands_sql('adf', S.ADF, 'none')} AS level FROM f JOIN {_adf_sql('e', 'e', 'sym_a, sym_b')} USING (sym_a, sym_b))"""
 
 
-@query("cointegration_engle_granger", f"-- floats: hedge_ratio intercept adf\nSELECT * FROM {_EG} WHERE sym_a = 'AUTOMOBILE'", digits=4)
+@query("cointegration_engle_granger", f"-- floats: hedge_ratio intercept adf\nSELECT * FROM {_EG}", digits=4)
 def _(v):
-    return S.engle_granger(level_pairs(v).filter("sym_a = 'AUTOMOBILE'"), "sym_a", "sym_b")
+    return S.engle_granger(level_pairs(v), "sym_a", "sym_b")
 
 
 @query("cointegration_pair_scan", f"-- floats: hedge_ratio intercept adf\nSELECT * FROM {_EG} ORDER BY adf, sym_a, sym_b LIMIT 5", digits=4)

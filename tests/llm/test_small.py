@@ -49,7 +49,7 @@ def texts():
 def docs(spark, texts):
     rows = [(d, t, None if d % 5 == 0 else "en", None if d % 7 == 0 else f"src{d % 3}", len(t or "")) for d, t in texts.items()]
     rows += [(7, "a b c", "en", "src1", 5), (None, "no id", None, None, None)]  # a repeated row and one without a doc_id
-    extra = ("kept", "key", "norm", "seq", "part", "ids", "sha", "n", "score", "_score", "shard", "start")
+    extra = ("_dropped", "_spans", "_new", "spans", "vec", "kept", "key", "norm", "seq", "part", "ids", "sha", "n", "score", "_score", "shard", "start")
     return spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in extra}).repartition(5)
 
 
@@ -230,11 +230,11 @@ def test_quality_learns_and_takes_odd_texts(spark, docs):
     lab = spark.createDataFrame(rows, "doc_id long, text string, quality int")
     model = quality.train(lab)
     got = quality.score(lab, model).collect()
-    assert sum((r._score >= 0.3) == bool(r.quality) for r in got) >= 195
-    odd = {r.doc_id: r.s for r in quality.score(docs.drop("_score"), model).select("doc_id", F.col("_score").alias("s")).collect()}
+    assert sum((r.score >= 0.3) == bool(r.quality) for r in got) >= 195
+    odd = {r.doc_id: r.s for r in quality.score(docs, model, "s").select("doc_id", "s").collect()}
     assert all(0 <= s <= 1 for s in odd.values()) and odd[1] == odd[2] == odd[3]
     none = quality.train(lab.limit(0))
-    assert quality.score(lab, none).filter("_score <> 0.5").count() == 0
+    assert quality.score(lab, none).filter("score <> 0.5").count() == 0
 
 
 def test_bpe(docs, texts):

@@ -46,6 +46,14 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, max
     return left.join(right, on, how)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until the frame has no such column (in any case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

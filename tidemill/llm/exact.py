@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import BLANKS, documents, join_checked, materialise, scratch, text_of
+from ._common import BLANKS, documents, free_name, join_checked, materialise, scratch, text_of
 
 #: Copies of one text that are verified against one shipped image of the kept text.
 SALT_ROWS = 1000
@@ -88,8 +88,9 @@ def exact_groups(docs: DataFrame, key_bytes: int = 16) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns."""
-    dropped = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    gone = free_name(docs, "_dropped")
+    dropped = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

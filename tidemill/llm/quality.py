@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, small_batches
+from ._common import documents, free_name, small_batches
 
 #: Parameters of the model. SAMPLE bounds the labelled rows that it is fitted on.
 BUCKETS, DIM, EPOCHS, RATE, SAMPLE, SEED = 1 << 16, 8, 8, 0.5, 3000, 17
@@ -139,8 +139,8 @@ def _scores(model: bytes) -> _Scores:
     return _Scores(model)
 
 
-def score(docs: DataFrame, model: bytes) -> DataFrame:
-    """``docs`` with column ``_score``: the chance of label 1, from the whole text alone; null and empty texts get the prior's."""
+def score(docs: DataFrame, model: bytes, name: str = "score") -> DataFrame:
+    """``docs`` with column ``name``: the chance of label 1, from the whole text alone; null and empty texts get the prior's."""
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # one double a bucket, whatever the input
 
@@ -150,7 +150,7 @@ def score(docs: DataFrame, model: bytes) -> DataFrame:
         for t in texts:
             yield pd.Series([s.score(x) for x in t], dtype="float64")
 
-    return docs.withColumn("_score", scored(F.col("text").cast("string")))
+    return docs.withColumn(name, scored(F.col("text").cast("string")))
 
 
 def held_out() -> F.Column:
@@ -171,10 +171,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted for every document with a doc_id."""
     docs = documents(spark, sf_dir).select("doc_id", "text").filter("doc_id is not null")
     model = train(labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return score(docs, model).select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is at least ``threshold``, with their own columns."""
     model = train(labelled(docs, labels))
-    return score(docs, model).filter(F.col("_score") >= threshold).drop("_score")
+    name = free_name(docs, "_score")
+    return score(docs, model, name).filter(F.col(name) >= threshold).drop(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, text_of
+from ._common import documents, free_name, text_of
 
 # Fixed values of the contract: patterns and least lengths, in the order in which kinds are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -94,8 +94,8 @@ def entropy_spans(text: Column) -> Column:
     return F.flatten(F.transform(found, spans))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with column ``_spans``: all spans of all kinds, sorted by start, then kind as listed.
+def scan(docs: DataFrame, name: str = "spans") -> DataFrame:
+    """``docs`` with column ``name``: all spans of all kinds, sorted by start, then kind as listed.
 
     A null text is empty and has none. Matching of base kinds is leftmost and non-overlapping per
     kind; an assign match spans from its keyword to the end of its value. Spans of different kinds may overlap.
@@ -105,12 +105,10 @@ def scan(docs: DataFrame) -> DataFrame:
     def tagged(k: int, spans: Column) -> Column:
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("kind"), x["end"].alias("end")))
 
-    out = docs.withColumns({
-        "_assign": F.filter(match_spans(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= ASSIGN_LEAST),
-        "_access": match_spans(text, ACCESS), "_hex": match_spans(text, HEX), "_entropy": entropy_spans(text),
-    })
-    parts = [tagged(k, F.col(f"_{kind}")) for k, kind in enumerate(KINDS)]
-    return out.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*(f"_{k}" for k in KINDS))
+    assign = F.filter(match_spans(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
+    found = {"assign": assign, "access": match_spans(text, ACCESS), "hex": match_spans(text, HEX), "entropy": entropy_spans(text)}
+    out = docs.withColumn(name, F.struct(*(c.alias(k) for k, c in found.items())))
+    return out.withColumn(name, F.array_sort(F.concat(*(tagged(k, F.col(name)[kind]) for k, kind in enumerate(KINDS)))))
 
 
 def _joined(spans: Column) -> Column:
@@ -120,7 +118,7 @@ def _joined(spans: Column) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """Counts per base kind, the digest of the base spans and all spans, one row per document with a doc_id."""
-    s = F.col("_spans")
+    s = F.col("spans")
     count = lambda k: F.size(F.filter(s, lambda x: x["kind"] == k)).cast("long")
     return scan(docs.select("doc_id", "text").filter("doc_id is not null")).select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
@@ -137,11 +135,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         cut = F.concat(a["out"], F.substr(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark))
         return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(fresh, cut).otherwise(a["out"]).alias("out"))
 
-    done = F.aggregate(F.col("_spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    out = scan(docs).withColumn("_new", F.when(F.size("_spans") > 0, done))
+    spans, new = free_name(docs, "_spans"), free_name(docs, "_new")
+    done = F.aggregate(F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
+    out = scan(docs, spans).withColumn(new, F.when(F.size(spans) > 0, done))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("_new").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return out.withColumn("text", F.coalesce("_new", "text")).drop("_spans", "_new")
+        out = out.withColumn("n_chars", F.coalesce(F.length(new).cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    return out.withColumn("text", F.coalesce(new, "text")).drop(spans, new)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, materialise, small_batches
+from ._common import documents, free_name, materialise, small_batches
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Members of a bucket that are compared in one piece; larger buckets are compared block by block.
@@ -190,8 +190,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with its own columns."""
-    dropped = near_groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    gone = free_name(docs, "_dropped")
+    dropped = near_groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def _xml(v):
     return IO.strategy_fields(v.spark.read.text(path).withColumnRenamed("value", "xml"))
 
 
-@query("sqx_inspect", "-- floats: net_profit drawdown_abs fitness_is fitness_oos\nSELECT CAST(strategy_id AS VARCHAR) AS name, symbol, timeframe, CAST(trades AS INT) AS trades, net_profit, drawdown_abs, fitness_is, fitness_oos FROM strategies", digits=4)
+@query("archive_inspect", "-- floats: net_profit drawdown_abs fitness_is fitness_oos\nSELECT CAST(strategy_id AS VARCHAR) AS name, symbol, timeframe, CAST(trades AS INT) AS trades, net_profit, drawdown_abs, fitness_is, fitness_oos FROM strategies", digits=4)
 def _(v):
     return _xml(v)
 

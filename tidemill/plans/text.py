@@ -47,7 +47,7 @@ def _(v):
     return v.table("documents").select("doc_id", F.md5(X.redact(F.col("text"))).alias("redacted_md5"))
 
 
-@query("mt5_parse_backtest_report", r"""SELECT page_id, length(t) AS n_chars, TRY_CAST(replace(nullif(regexp_extract(t, '\b(?:copyright|Copyright)\s*:?\s*(-?\d+(?:[.,]\d+)?)', 1), ''), ',', '.') AS DOUBLE) AS year, md5(t) AS text_md5 FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS t FROM pages)""")
+@query("report_parse_backtest", r"""SELECT page_id, length(t) AS n_chars, TRY_CAST(replace(nullif(regexp_extract(t, '\b(?:copyright|Copyright)\s*:?\s*(-?\d+(?:[.,]\d+)?)', 1), ''), ',', '.') AS DOUBLE) AS year, md5(t) AS text_md5 FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS t FROM pages)""")
 def _(v):
     t = v.table("pages").select("page_id", X.plain(F.col("html")).alias("t"))
     return t.select("page_id", F.length("t").cast("long").alias("n_chars"), X.field(F.col("t"), ["(?:copyright|Copyright)"]).alias("year"), F.md5("t").alias("text_md5"))
@@ -161,7 +161,7 @@ def _fp(v):
     return s.select("strategy_id", G.fingerprint_tags(s).alias("tags"), G.digest([F.col("drawdown_pct"), F.col("oos_is"), F.col("fitness_oos")]).alias("signature"))
 
 
-for _n in ("fingerprint_from_metrics", "fingerprint_from_sqx"):
+for _n in ("fingerprint_from_metrics", "fingerprint_from_archive"):
 
     @query(_n, f"SELECT strategy_id, array_to_string(tags, ',') AS tags, signature FROM {_FP}")
     def _(v):

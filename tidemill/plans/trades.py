@@ -213,7 +213,7 @@ def _(v):
     return T.ks_distance(t, "pnl", "live", "symbol").withColumn("drift", F.col("ks") > F.col("critical"))
 
 
-@query("mt5_compare_with_sqx", """-- floats: a b diff
+@query("report_compare_with_catalogue", """-- floats: a b diff
 SELECT strategy_id, metric, a, b, abs(a - b) / nullif(abs(b), 0) AS diff, CASE WHEN a IS NULL OR b IS NULL THEN 'missing' WHEN abs(a - b) / nullif(abs(b), 0) > 0.1 THEN 'warn' ELSE 'ok' END AS verdict FROM (UNPIVOT (SELECT strategy_id, sum(pnl) AS net, avg(pnl) AS mean, max(pnl) AS best FROM trades WHERE side = 'long' GROUP BY strategy_id) ON net, mean, best INTO NAME metric VALUE a) FULL JOIN (UNPIVOT (SELECT strategy_id, sum(pnl) AS net, avg(pnl) AS mean, min(pnl) AS worst FROM trades WHERE side = 'short' GROUP BY strategy_id) ON net, mean, worst INTO NAME metric VALUE b) USING (strategy_id, metric)""")
 def _(v):
     """Two reports of one strategy, metric by metric."""

@@ -99,7 +99,8 @@ def without_best(trades: DataFrame, n: int) -> DataFrame:
 
 def skip_key(seed: int) -> Column:
     """A uniform number of 0..1 that depends on the row alone, not on partitions: the same rows go on every run."""
-    return F.pmod(F.crc32(F.concat_ws(":", F.lit(seed).cast("string"), F.col(KEY).cast("string"), F.col(ORDER).cast("string")).cast("binary")), F.lit(1_000_000)) / 1_000_000
+    hexed = F.substring(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(KEY).cast("string"), F.col(ORDER).cast("string"))), 1, 8)
+    return F.conv(hexed, 16, 10).cast("long") % 1_000_000 / 1_000_000
 
 
 def randomly_skipped(trades: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

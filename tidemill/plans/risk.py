@@ -272,11 +272,11 @@ def _(v):
 
 
 @query("position_sizing_pyramid", """-- floats: cumulative_size avg_entry r_multiple
-SELECT series_id, seq, sum(volume + 1) OVER w AS cumulative_size, sum((volume + 1) * price) OVER w / sum(volume + 1) OVER w AS avg_entry, (price - first_value(price) OVER w) / 10 AS r_multiple FROM ticks WINDOW w AS (PARTITION BY series_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""", digits=4)
+SELECT series_id, seq, sum(volume + 1.1) OVER w AS cumulative_size, sum((volume + 1.1) * price) OVER w / sum(volume + 1.1) OVER w AS avg_entry, (price - first_value(price) OVER w) / 10 AS r_multiple FROM ticks WINDOW w AS (PARTITION BY series_id ORDER BY seq ROWS UNBOUNDED PRECEDING)""", digits=5)
 def _(v):
     """Tiers in order of arrival; the stop lies 10 below the first entry."""
     w = Window.partitionBy("series_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    size = F.col("volume") + 1
+    size = F.col("volume") + 1.1
     return v.ticks.select("series_id", "seq", F.sum(size).over(w).alias("cumulative_size"), (F.sum(size * F.col("price")).over(w) / F.sum(size).over(w)).alias("avg_entry"), ((F.col("price") - F.first("price").over(w)) / 10).alias("r_multiple"))
 
 

@@ -60,9 +60,14 @@ def _(v):
     return T.metrics(T.sized(v.trades, "percent_risk", risk=1000.0))
 
 
-@query("trade_replay_risk_caps")
+_CAPPED = """(SELECT strategy_id, seq, x2 AS pnl FROM (WITH RECURSIVE n AS (SELECT strategy_id, seq, pnl, row_number() OVER (PARTITION BY strategy_id ORDER BY seq) AS i FROM trades),
+f AS (SELECT strategy_id, 0::BIGINT AS i, 0::BIGINT AS seq, 0.0::DOUBLE AS x2, 0.0::DOUBLE AS day, 0.0::DOUBLE AS week, 0 AS k, 0 AS days FROM n GROUP BY strategy_id
+UNION ALL SELECT strategy_id, i, seq, x2, CASE WHEN k = 2 THEN 0.0 ELSE greatest(0.0, day - x2) END, CASE WHEN k = 2 AND days = 4 THEN 0.0 ELSE greatest(0.0, week - x2) END, CASE WHEN k = 2 THEN 0 ELSE k + 1 END, CASE WHEN k = 2 THEN (days + 1) % 5 ELSE days END
+FROM (SELECT *, CASE WHEN x1 < 0 AND week - x1 > 150 THEN 0.0 ELSE x1 END AS x2 FROM (SELECT *, CASE WHEN x0 < 0 AND day - x0 > 60 THEN 0.0 ELSE x0 END AS x1 FROM (SELECT n.strategy_id, n.i, n.seq, greatest(n.pnl, -40.0) AS x0, f.day, f.week, f.k, f.days FROM f JOIN n ON n.strategy_id = f.strategy_id AND n.i = f.i + 1)))) SELECT * FROM f WHERE i > 0))"""
+
+
+@query("trade_replay_risk_caps", f"-- floats: {_FM}\n" + metrics_sql(_CAPPED, floor=False), digits=4)
 def _(v):
-    """A fold with resets; tests hold it against a plain loop."""
     return T.metrics(T.risk_capped(v.trades, 40.0, 60.0, 150.0, 3), floor=None)
 
 
@@ -94,9 +99,12 @@ def _(v):
     return T.metrics(T.without_best(v.trades, 5))
 
 
-@query("stress_apply_random_skip")
+_SKIP = "(SELECT strategy_id, seq, pnl, seq AS place FROM trades WHERE CAST('0x' || left(md5(concat_ws(':', 42, strategy_id, seq)), 8) AS BIGINT) % 1000000 / 1000000 >= 0.05)"
+
+
+@query("stress_apply_random_skip", f"-- floats: {_FM}\n" + metrics_sql(_SKIP), digits=4)
 def _(v):
-    """Rows go by a hash of their keys; tests hold the share and its repeatability."""
+    """Rows go by a hash of their keys."""
     return T.metrics(T.randomly_skipped(v.trades, 0.05))
 
 
@@ -105,7 +113,7 @@ def _(v):
     return T.metrics(T.worst_first(v.trades, 10), order="place")
 
 
-@query("stress_combined_scenarios")
+@query("stress_combined_scenarios", "SELECT *, CASE WHEN killed >= 3 THEN 'fragile' WHEN killed >= 1 THEN 'moderate' ELSE 'robust' END AS verdict FROM (SELECT strategy_id, count(*) FILTER (net <= 0) AS killed FROM (" + " UNION ALL ".join(f"SELECT strategy_id, sum(pnl) AS net FROM {x} GROUP BY strategy_id" for x in (_SLIP, _BEST, _SKIP, _WORST)) + ") GROUP BY strategy_id)")
 def _(v):
     return T.stress_verdict(T.stress(v.trades))
 

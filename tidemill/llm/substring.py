@@ -13,14 +13,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, join_checked, materialise, small_batches
+from ._common import documents, materialise, small_batches
 
 #: Words of a window; words of the shingle whose least hash names a window's anchor.
 SPAN, GRAM = 50, 8
 #: Words that one shard's automaton reads, and documents of an anchor beyond which its windows are counted instead.
 SHARD_WORDS, HOT_DOCS = 250_000, 1_000
-#: Broadcast bounds, in documents, for tables of anchors and of spans (a few hundred bytes a document).
-BROADCAST_DOCS = 100_000
+#: Anchors, or spans, that a broadcast table may hold (32 bytes each, and a row counts as two: under 100 MB).
+BROADCAST_ITEMS = 3_000_000
 KEPT = 300_000
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -142,6 +142,12 @@ def _runs(a: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip([0, *cut.tolist()], [*cut.tolist(), len(a)])
 
 
+def _join_by_items(left: DataFrame, right: DataFrame, on: list[str], how: str, items: str) -> DataFrame:
+    """Join that broadcasts ``right`` only if the sum of its array sizes has been found to be under the bound, and shuffles otherwise."""
+    held = right.agg(F.sum(F.size(items) + 2)).head()[0] or 0
+    return left.join(F.broadcast(right) if held <= BROADCAST_ITEMS else right, on, how)
+
+
 def shared_anchors(docs: DataFrame) -> DataFrame:
     """doc_id, tkey, anchors (packed, sorted), hot: each document's anchors that another doc_id has too."""
 
@@ -175,7 +181,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     lists = materialise(shared_anchors(docs), "shared-anchors")
-    with_text = join_checked(docs, lists, ["doc_id", "tkey"], "inner", BROADCAST_DOCS).select("doc_id", "tkey", "text", "anchors.anchor", "anchors.hot")
+    with_text = _join_by_items(docs, lists, ["doc_id", "tkey"], "inner", "anchors").select("doc_id", "tkey", "text", "anchors.anchor", "anchors.hot")
     names = ["doc_id", "tkey", "start", "anchor", "words", "d1", "d2"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
@@ -263,7 +269,7 @@ def _kept(docs: DataFrame, texts: bool) -> DataFrame:
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(cols[: 4 + texts], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: 4 + texts])
 
-    joined = join_checked(rows, spans, ["doc_id", "tkey"], "left", BROADCAST_DOCS).select("doc_id", "text", "spans")
+    joined = _join_by_items(rows, spans, ["doc_id", "tkey"], "left", "spans").select("doc_id", "text", "spans")
     return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
 
 

@@ -8,6 +8,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 from ._common import documents, join_checked, materialise, scratch, small_batches
 from .packing import END_ID, RANKS, token_ids
 
-LENGTH = 1024
+LENGTH = 2048
 #: Sequences of a shard; with the stride this bounds a file (4 MB).
-SHARD = 2048
+SHARD = 1024
+#: zstd level of stored and shuffled ids.
+LEVEL = 9
 KEY, ROUNDS = 20_240_817, 4
 BASE_ROWS = 200_000
 
@@ -105,7 +108,7 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard: int =
     committed as a whole: the tasks of a lost executor write theirs again. An empty table writes no shard.
     """
     spark = docs.sparkSession
-    rows = materialise(sequences(docs, length), "sequences", compression="zstd")
+    rows = materialise(sequences(docs, length), "sequences", **{"compression": "zstd", "parquet.compression.codec.zstd.level": str(LEVEL)})
     counts = materialise(rows.groupBy("part").agg(F.count(F.lit(1)).alias("c")), "part-counts")
     n = counts.agg(F.sum("c")).head()[0] or 0
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,12 +122,18 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard: int =
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             slot = permuted(np.asarray(b.column("seq")), n, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((slot // shard).astype(np.int32)), _raw_strings(b.column("ids").to_pylist())], names=["slot", "shard", "value"])
+            press = zstandard.ZstdCompressor(level=LEVEL).compress  # the shuffle moves compressed records
+            packed = pa.array([press(x.as_buffer()) for x in b.column("ids")], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((slot // shard).astype(np.int32)), packed], names=["slot", "shard", "packed"])
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _raw_strings([zstandard.decompress(x.as_buffer()) for x in b.column(2)])], names=["slot", "shard", "value"])
 
     seq = (F.col("base") + F.col("k")).alias("seq")
     placed = join_checked(rows, base, ["part"], "inner", BASE_ROWS)
-    texts = placed.select(seq, "ids").mapInArrow(body, "slot long, shard int, value string")
-    texts = texts.repartitionByRange("shard").sortWithinPartitions("shard", "slot")
+    texts = placed.select(seq, "ids").mapInArrow(body, "slot long, shard int, packed binary")
+    texts = texts.repartitionByRange("shard").mapInArrow(expand, "slot long, shard int, value string").sortWithinPartitions("shard", "slot")
     texts.select("shard", "value").write.partitionBy("shard").options(compression="none", lineSep="\n").text(path)
     listed = placed.select(seq, "n_ids", "first_doc", "first_at").mapInArrow(slotted, "seq long, n_ids long, first_doc long, first_at long, slot long")
     return listed.select(

@@ -297,6 +297,28 @@ def test_packing(docs, texts, targets):
             assert all(abs(share[k][q] - 256 * n / sum(total.values())) <= 8 for q, n in total.items())
 
 
+@pytest.mark.parametrize("targets", [None, {"#hot": 3.0, "rare": 1.0}])
+def test_packing_of_very_many_sources(spark, targets):
+    rng, length, window = random.Random(3), 32, 8 if targets else 1024  # rounding moves a token a queue and window
+    rows = [(k, " ".join(words(rng, 60)), f"tail{k}") for k in range(1500)]
+    rows += [(k, " ".join(words(rng, 200)), "#hot") for k in range(1500, 1800)] + [(k, " ".join(words(rng, 20)), "rare") for k in range(1800, 1810)]
+    share, filled, tokens = defaultdict(lambda: defaultdict(int)), defaultdict(int), {}
+    own = {d: s for d, _, s in rows if d >= 1500}
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), targets, length, window).collect():
+        share[r.sequence_id // window][r.queue] += r.length
+        filled[r.doc_id] += r.length
+        tokens[r.doc_id] = r.doc_tokens
+        assert r.queue == own[r.doc_id] if r.doc_id in own else r.queue not in own.values()
+    assert filled == tokens and len(tokens) == len(rows)
+    if targets:  # until "rare" runs out, windows hold three parts to one
+        rare = sum(n for d, n in tokens.items() if own.get(d) == "rare")
+        for k in range(4 * rare // (length * window)):
+            assert abs(share[k]["#hot"] - 192) <= 8 and abs(share[k]["rare"] - 64) <= 8
+    else:
+        want = length * window * sum(n for d, n in tokens.items() if own.get(d) == "#hot") / sum(tokens.values())
+        assert all(abs(share[k]["#hot"] - want) <= packing.OWN + packing.TAIL for k in range(len(share) - 2))
+
+
 def test_mixture_places_every_token_once():
     rng = random.Random(9)
     for _ in range(40):

@@ -21,9 +21,10 @@ from ._common import documents, join_checked, materialise, small_batches
 RANKS = "byte_bpe_50k.tiktoken"
 END_ID = 1
 LENGTH = 2048
-#: Sequences of a mixing window, and the most queues.
+#: Sequences of a mixing window, the most sources that all have their own queues, and beyond them the largest that do and the queues of the rest.
 WINDOW = 64
 QUEUES = 1024
+OWN, TAIL = 512, 512
 BASE_ROWS = 200_000
 
 
@@ -115,21 +116,34 @@ class Mixture:
                 w += 1
 
 
+def queue_by_size(docs: DataFrame, source: F.Column, targets: dict[str, float]) -> F.Column:
+    """Queues of very many sources: all of ``targets`` and the OWN largest by bytes of text have their own; the rest share TAIL queues by hash.
+
+    A shared queue's name begins with a mark that no source with its own queue begins with.
+    """
+    sizes = docs.filter("doc_id is not null").groupBy(source.alias("q")).agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n"))
+    own = {r["q"] for r in sizes.orderBy(F.desc_nulls_last("n"), "q").limit(OWN).collect()} | set(targets)
+    mark = "#"
+    while any(q.startswith(mark) for q in own):
+        mark += "#"
+    return F.when(source.isin(*own), source).otherwise(F.concat(F.lit(mark), F.pmod(F.xxhash64(source), F.lit(TAIL)).cast("string")))
+
+
 def pack(docs: DataFrame, targets: dict[str, float] | None = None, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents in sequences of ``length`` ids; only the last sequence is not full.
 
     A row is a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and queue. The
-    queue is the source (null: a queue of its own); beyond QUEUES sources, queues are hashes of sources.
+    queue is the source (null: as empty); beyond QUEUES sources, see ``queue_by_size``.
     ``targets`` gives the wanted proportions by source, 0 where absent (such sources come last).
     A null or empty text is one id. Rows with a null doc_id take no part; repeated rows are packed each.
     """
-    few = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("q")).distinct().limit(QUEUES + 1).count() <= QUEUES
-    hashed = F.pmod(F.xxhash64(F.col("source").cast("string")), F.lit(QUEUES)).cast("string")
-    tokens = tokenised(docs, None if few else hashed)
+    source = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    few = docs.select(source.alias("q")).distinct().limit(QUEUES + 1).count() <= QUEUES
+    tokens = tokenised(docs, None if few else queue_by_size(docs, source, targets or {}))
     sums = materialise(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-sums")
-    totals = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()  # QUEUES rows at most
+    totals = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()  # at most QUEUES rows, or OWN + TAIL and the targets
     names = {r["queue"]: k for k, r in enumerate(totals)}
-    mix = Mixture([r["n"] for r in totals], [targets.get(q, 0.0) for q in names] if targets and few else None, window * length)
+    mix = Mixture([r["n"] for r in totals], [targets.get(q, 0.0) for q in names] if targets else None, window * length)
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("queue", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     rows = join_checked(tokens, base, ["queue", "part"], "left", BASE_ROWS).select("doc_id", "queue", (F.col("at") + F.col("base")).alias("at"), "ids")

@@ -42,6 +42,28 @@ def test_overshoot_is_not_carried(spark):
     assert [(r.bar, r.n_ticks, r.measure_sum, r.open, r.close) for r in rows] == [(0, 2, 15.0, 1.0, 2.0), (1, 2, 10.0, 3.0, 4.0)]
 
 
+def test_resetting_bars_over_many_batches(spark):
+    rng = random.Random(4)
+    rows = [(f"s{rng.randrange(3)}", i, i, 1.0, float(rng.randrange(9))) for i in range(400)]
+    want, state = {}, {}
+    for name, _, _, _, v in rows:
+        bar, total, n = state.get(name, (0, 0.0, 0))
+        total, n = total + v, n + 1
+        if total >= 20:
+            want[name, bar] = (n, total)
+            bar, total, n = bar + 1, 0.0, 0
+        state[name] = bar, total, n
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        df = B.reset_bars(spark.createDataFrame(rows[::-1], "series_id string, seq long, epoch long, price double, volume double"), F.col("volume"), 20.0)
+        assert {(r.series_id, r.bar): (r.n_ticks, r.measure_sum) for r in df.collect()} == want
+    finally:
+        spark.conf.set(key, before)
+    assert "InPandas" not in df._jdf.queryExecution().toString()  # no series is held whole
+
+
 def test_last_tick_bar_needs_two(spark):
     assert [r.n_ticks for r in B.tick_bars(ticks(spark, range(1, 8), [1] * 7), 3).orderBy("bar").collect()] == [3, 3]
     assert [r.n_ticks for r in B.tick_bars(ticks(spark, range(1, 9), [1] * 8), 3).orderBy("bar").collect()] == [3, 3, 2]

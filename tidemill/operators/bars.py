@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,28 +54,31 @@ def tick_bars(ticks: DataFrame, n: int) -> DataFrame:
 def reset_bars(ticks: DataFrame, measure: Column, threshold: float, signed: bool = False) -> DataFrame:
     """Bars that close when the running measure (its size, if signed) reaches ``threshold``; the sum then restarts at zero, so overshoot is not carried.
 
-    The reset makes a bar depend on all before it in its series: a fold in series order numbers the
-    bars, an ordinary aggregate builds them. Ticks after the last full bar are left over. Adds ``measure_sum``.
+    The reset makes a bar depend on all before it in its series: a fold over sorted rows numbers the bars
+    and carries only the series, bar and running total from batch to batch; an ordinary aggregate builds
+    them. Ticks after the last full bar are left over: their bar has no closing tick. Adds ``measure_sum``.
     """
 
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("seq", kind="stable")
-        bar, total, out = 0, 0.0, []
-        for m in p["m"].to_numpy():
-            total += m
-            out.append(bar)
-            if (abs(total) if signed else total) >= threshold:
-                bar, total = bar + 1, 0.0
-        p["bar"] = np.array(out, dtype=np.int64)
-        return p[p["bar"] < bar]
-
-    rows = ticks.select("series_id", "seq", "epoch", "price", "volume", measure.alias("m"))
-    schema = "series_id string, seq long, epoch long, price double, volume double, m double, bar long"
-    folded = rows.groupBy("series_id").applyInPandas(fold, schema)
-    p = F.col("price")
-    return folded.withColumns({"open": p, "high": p, "low": p, "close": p}).groupBy("series_id", "bar").agg(
-        F.min("epoch").alias("open_epoch"), F.max("epoch").alias("close_epoch"), F.count(F.lit(1)).alias("n_ticks"), *_ohlcv("seq"), F.sum("m").alias("measure_sum")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bar, total = object(), 0, 0.0
+        for b in batches:
+            bars, closed = [], []
+            for key, m in zip(b.column(0).to_pylist(), b.column(5).to_numpy(zero_copy_only=False).tolist()):
+                if key != now:
+                    now, bar, total = key, 0, 0.0
+                total += m
+                bars.append(bar)
+                closed.append((abs(total) if signed else total) >= threshold)
+                if closed[-1]:
+                    bar, total = bar + 1, 0.0
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bars, pa.int64()), pa.array(closed, pa.bool_())], names=[*b.schema.names, "bar", "closed"])
+
+    rows = ticks.select(F.col("series_id").cast("string"), F.col("seq").cast("long"), F.col("epoch").cast("long"), F.col("price").cast("double"), F.col("volume").cast("double"), measure.cast("double").alias("m"))
+    schema = "series_id string, seq long, epoch long, price double, volume double, m double, bar long, closed boolean"
+    folded = rows.repartition("series_id").sortWithinPartitions("series_id", F.asc_nulls_last("seq")).mapInArrow(run, schema)
+    return _as_points(folded).groupBy("series_id", "bar").agg(
+        F.min("epoch").alias("open_epoch"), F.max("epoch").alias("close_epoch"), F.count(F.lit(1)).alias("n_ticks"), *_ohlcv("seq"), F.sum("m").alias("measure_sum"), F.max("closed").alias("closed")
+    ).filter("closed").drop("closed")
 
 
 def vwap(price: str = "price", volume: str = "volume") -> Column:

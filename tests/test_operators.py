@@ -332,3 +332,33 @@ def test_streamed_reset_bars_equal_batch(spark, tmp_path):
     src = spark.readStream.schema(s.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     got = {(r.bar, round(r.measure_sum, 9), r.n_ticks) for r in _drain(live.stream_reset_bars(src, 20.0), "reset1", tmp_path)}
     assert got == want
+
+
+def test_whole_fingerprints_group_greedily(spark):
+    """Against the plain rule: equal tags alone are no duplicates, curves decide, groups form in input order."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):
+        base = [math.sin(i / (1 + k % 3)) * 10 + rng.random() * (k % 4) * 6 for i in range(20 + k)] if k % 9 else []
+        rows.append((k, "p" if k in (5, 6) else f"p{k}", rng.choice([150, 700]), 1.3, 5.0, 0.6, rng.choice(["long", None]), base))
+    s = spark.createDataFrame(rows, "strategy_id long, params string, trades long, profit_factor double, drawdown_pct double, oos_is double, direction string, curve array<double>")
+    s = s.withColumns({"net_profit": F.lit(1.0), "fitness_oos": F.lit(None).cast("double")})
+    fp = G.whole_fingerprints(s)
+    got = {r.strategy_id: r for r in fp.collect()}
+    assert got[1].tags == sorted([got[1].tags[k] for k in range(len(got[1].tags))]) and "pf>1.2" in got[1].tags and got[5].signature == got[6].signature != got[7].signature
+    assert got[1].curve == [round(rows[1][7][int(i * 21 / 16)], 6) for i in range(16)] and got[0].curve == []
+
+    def sim(a, b):
+        if a.signature == b.signature:
+            return 1.0
+        x, y = set(a.tags), set(b.tags)
+        c = np.corrcoef(a.curve, b.curve)[0, 1] if a.curve and b.curve else 0.0
+        return round(0.6 * len(x & y) / len(x | y) + 0.4 * max(0.0, c), 4)
+
+    for threshold in (0.85, 0.7):
+        want = {}
+        for i in got:
+            if i not in want:
+                want |= {j: i for j in got if j >= i and j not in want and (j == i or sim(got[i], got[j]) >= threshold)}
+        assert {r.strategy_id: r.owner for r in G.greedy_duplicates(fp, threshold).collect()} == want
+        assert 1 < len(set(want.values())) < len(want)

@@ -93,6 +93,77 @@ def duplicate_groups(fp: DataFrame, threshold: float, key: str = "strategy_id")
     return fp.join(named, ["signature", "tags"]).select(key, "owner")
 
 
+def curve_digest(curve: Column, samples: int = 16) -> Column:
+    """Values of a curve at ``samples`` even places, or all of a shorter one, to 6 digits; empty for a missing one."""
+    c = F.coalesce(curve, F.array().cast("array<double>"))
+    picked = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.get(c, F.floor(i * (F.size(c) / samples)).cast("int")))
+    return F.transform(F.when(F.size(c) <= samples, c).otherwise(picked), lambda x: F.round(x, 6))
+
+
+def whole_fingerprints(s: DataFrame, key: str = "strategy_id") -> DataFrame:
+    """(key, tags, signature, curve) from metrics, ``params`` (canonical text), ``direction`` and ``curve`` (array).
+
+    Tags add profit factor and direction; the signature joins digests of the parameters and of five metrics.
+    """
+    pf = F.coalesce("profit_factor", F.lit(0.0))
+    more = F.array(F.when(pf >= 2.0, "pf>2.0").when(pf >= 1.5, "pf>1.5").when(pf >= 1.2, "pf>1.2").otherwise("low_pf"), F.when(F.col("direction") != "", F.concat(F.lit("dir:"), "direction")))
+    metrics = digest([F.col(c) for c in ("net_profit", "profit_factor", "drawdown_pct", "oos_is", "fitness_oos")])
+    params = F.substring(F.sha2(F.coalesce("params", F.lit("{}")), 256), 1, 16)
+    return s.select(key, F.array_sort(F.array_compact(F.concat(fingerprint_tags(s), more))).alias("tags"), F.concat_ws(".", params, metrics).alias("signature"), curve_digest(F.col("curve")).alias("curve"))
+
+
+def curve_correlation(a: Column, b: Column) -> Column:
+    """Pearson over the common length; 0 under three values or without variance."""
+    n = F.least(F.size(a), F.size(b))
+
+    def centred(c: Column) -> Column:
+        x = F.slice(c, 1, n)
+        mean = F.aggregate(x, F.lit(0.0), lambda t, v: t + v) / n
+        return F.transform(x, lambda v: v - mean)
+
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda t, v: t + v)
+
+    x, y = centred(a), centred(b)
+    size = F.sqrt(dot(x, x) * dot(y, y))
+    return F.when((n >= 3) & (size > 0), dot(x, y) / size).otherwise(0.0)
+
+
+def greedy_duplicates(fp: DataFrame, threshold: float = 0.85, key: str = "strategy_id") -> DataFrame:
+    """(key, owner): groups in order of the key; a row belongs to the least owner that is similar enough, and owns itself if there is none.
+
+    Similarity is 1 on an equal signature, else 0.6 tag Jaccard + 0.4 curve correlation (0 at least), to 4 digits.
+    Equal fingerprints are one class. Classes meet by pairs of tag sets (few, as tags are coarse) whose Jaccard can
+    reach the threshold, and by signature; within such a pair of tag sets all classes are compared.
+    """
+    same = ["signature", "tags", "curve"]
+    c = materialise(fp.groupBy(*same).agg(F.min(key).alias("id")), "classes")
+    a, b = (c.select(*(F.col(n).alias(f"{n}_{x}") for n in (*same, "id"))) for x in "ab")
+    sets = c.select("tags").distinct()
+    j = jaccard(F.col("tags_a"), F.col("tags_b"))
+    able = sets.select(F.col("tags").alias("tags_a")).crossJoin(sets.select(F.col("tags").alias("tags_b"))).filter(F.round(0.6 * j + 0.4, 4) >= threshold)
+    near = a.join(able, "tags_a").join(b, "tags_b").filter("id_a < id_b")
+    near = near.filter(F.round(0.6 * j + 0.4 * F.greatest(curve_correlation(F.col("curve_a"), F.col("curve_b")), F.lit(0.0)), 4) >= threshold)
+    equal = a.join(b, F.col("signature_a") == F.col("signature_b")).filter("id_a < id_b")
+    pairs = materialise(near.select("id_a", "id_b").union(equal.select("id_a", "id_b")).distinct(), "pairs")
+    # An owner has no owner before it; each round settles the least open row of every component at least.
+    owners, todo = [], pairs
+    open_rows = c.select("id")
+    while open_rows.head() is not None:
+        first = materialise(open_rows.join(todo.select(F.col("id_b").alias("id")), "id", "left_anti"), "owners")
+        taken = materialise(todo.join(first.select(F.col("id").alias("id_a")), "id_a", "left_semi").select(F.col("id_b").alias("id")).distinct(), "taken")
+        owners.append(first)
+        gone = first.union(taken)
+        open_rows = materialise(open_rows.join(gone, "id", "left_anti"), "open")
+        todo = materialise(todo.join(gone.select(F.col("id").alias("id_a")), "id_a", "left_anti").join(gone.select(F.col("id").alias("id_b")), "id_b", "left_anti"), "pairs")
+    heads = owners[0] if owners else c.select("id")
+    for more in owners[1:]:
+        heads = heads.union(more)
+    least = pairs.join(heads.select(F.col("id").alias("id_a")), "id_a", "left_semi").groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("owner"))
+    named = c.join(least, "id", "left").select(*same, F.coalesce("owner", "id").alias("owner"))
+    return fp.join(named, same).select(key, "owner")
+
+
 def manifest_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Files of two manifests (name, sha): added, removed or changed."""
     j = a.select("name", F.col("sha").alias("sa")).join(b.select("name", F.col("sha").alias("sb")), "name", "full_outer")

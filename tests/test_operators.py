@@ -362,3 +362,12 @@ def test_whole_fingerprints_group_greedily(spark):
                 want |= {j: i for j in got if j >= i and j not in want and (j == i or sim(got[i], got[j]) >= threshold)}
         assert {r.strategy_id: r.owner for r in G.greedy_duplicates(fp, threshold).collect()} == want
         assert 1 < len(set(want.values())) < len(want)
+
+
+def test_lineage_deeper_than_64(spark):
+    edges = spark.createDataFrame([(k, k - 1 if k else None) for k in range(150)], "node_id long, parent_id long")
+    last = G.tree(edges).filter("node_id in (0, 149)").orderBy("node_id").collect()
+    assert [tuple(r) for r in last] == [(0, 0, 0, 149), (149, 0, 149, 0)]
+    ring = spark.createDataFrame([(k, (k - 1) % 5) for k in range(5)], "node_id long, parent_id long")
+    assert G.ancestors(ring).count() == 20
+    assert [r.error for r in G.link_errors(edges, spark.createDataFrame([(0, 149)], "node_id long, parent_id long")).collect()] == ["cycle"]

@@ -10,21 +10,19 @@ from ..session import materialise
 MOST_TAGS = 50
 
 
-def ancestors(edges: DataFrame, depth: int = 64) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """(node_id, ancestor, distance) of every node, by pointer doubling: each round joins paths of length up to 2^k to themselves.
 
-    Stops when no path grows; a cycle stops at ``depth`` and gives each node once, at its least distance.
+    Stops when no path is new, at any depth; on a cycle each node comes once, at its least distance.
     """
     paths = materialise(edges.filter("parent_id is not null").select("node_id", F.col("parent_id").alias("ancestor"), F.lit(1).alias("distance")), "paths")
-    reach = 1
-    while reach < depth:
+    while True:
         on = paths.select(F.col("node_id").alias("ancestor"), F.col("ancestor").alias("far"), F.col("distance").alias("more"))
         longer = paths.join(on, "ancestor").select("node_id", F.col("far").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance")).filter("node_id <> ancestor")
         new = materialise(paths.union(longer).groupBy("node_id", "ancestor").agg(F.min("distance").alias("distance")), "paths")
         if new.count() == paths.count():
             return paths
-        paths, reach = new, reach * 2
-    return paths
+        paths = new
 
 
 def tree(edges: DataFrame) -> DataFrame:

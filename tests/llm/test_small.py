@@ -257,9 +257,9 @@ def test_long_pre_tokens():
 
 def test_same_ids_as_the_tokenizers_library(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     path = public_tokenizers.path(packing.RANKS)
-    for x in [*texts.values(), "a <|endoftext|> b"]:
+    named = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b", "<|endoftext|", "x <|endoftext|>\n\n y"]
+    for x in [*texts.values(), *named, "ab " * 350_000, "a" * 20_000]:
         assert packing.token_ids(x, path).tolist() == [*t.encode(x or "", add_special_tokens=False).ids, 1]
 
 
@@ -268,7 +268,7 @@ def test_packing(docs, texts, targets):
     path = public_tokenizers.path(packing.RANKS)
     pieces, seqs, share = defaultdict(list), defaultdict(list), defaultdict(lambda: defaultdict(int))
     length, window = 64, 4
-    for r in packing.pack(docs, targets, length, window).collect():
+    for r in packing.pack(docs.filter("doc_id is not null"), targets, length, window, packet=8).collect():
         ids = packing.token_ids(texts[r.doc_id], path).astype("<u4")
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
         pieces[r.doc_id].append((r.start, r.length))
@@ -287,14 +287,14 @@ def test_packing(docs, texts, targets):
     full = [filled(seqs[k]) for k in range(len(seqs))]
     assert set(full[:-1]) == {length} and 0 < full[-1] <= length
     if targets:  # while both last, the first windows hold the targets; other sources come last
-        assert share[0]["src0"] / 256 == pytest.approx(0.6, abs=0.02) and share[0]["src1"] / 256 == pytest.approx(0.4, abs=0.02)
+        assert share[0]["src0"] / 256 == pytest.approx(0.6, abs=0.05) and share[0]["src1"] / 256 == pytest.approx(0.4, abs=0.05)
     else:
         total = defaultdict(int)
         for w in share.values():
             for q, n in w.items():
                 total[q] += n
         for k in range(len(share) - 2):
-            assert all(abs(share[k][q] - 256 * n / sum(total.values())) <= 8 for q, n in total.items())
+            assert all(abs(share[k][q] - 256 * n / sum(total.values())) <= 24 for q, n in total.items())
 
 
 @pytest.mark.parametrize("targets", [None, {"#hot": 3.0, "rare": 1.0}])
@@ -304,7 +304,7 @@ def test_packing_of_very_many_sources(spark, targets):
     rows += [(k, " ".join(words(rng, 200)), "#hot") for k in range(1500, 1800)] + [(k, " ".join(words(rng, 20)), "rare") for k in range(1800, 1810)]
     share, filled, tokens = defaultdict(lambda: defaultdict(int)), defaultdict(int), {}
     own = {d: s for d, _, s in rows if d >= 1500}
-    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), targets, length, window).collect():
+    for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), targets, length, window, packet=4).collect():
         share[r.sequence_id // window][r.queue] += r.length
         filled[r.doc_id] += r.length
         tokens[r.doc_id] = r.doc_tokens
@@ -313,42 +313,77 @@ def test_packing_of_very_many_sources(spark, targets):
     if targets:  # until "rare" runs out, windows hold three parts to one
         rare = sum(n for d, n in tokens.items() if own.get(d) == "rare")
         for k in range(4 * rare // (length * window)):
-            assert abs(share[k]["#hot"] - 192) <= 8 and abs(share[k]["rare"] - 64) <= 8
+            assert abs(share[k]["#hot"] - 192) <= 16 and abs(share[k]["rare"] - 64) <= 16
     else:
         want = length * window * sum(n for d, n in tokens.items() if own.get(d) == "#hot") / sum(tokens.values())
-        assert all(abs(share[k]["#hot"] - want) <= packing.OWN + packing.TAIL for k in range(len(share) - 2))
-
-
-def test_mixture_places_every_token_once():
+        assert all(abs(share[k]["#hot"] - want) <= 4 * (packing.OWN + packing.TAIL) for k in range(len(share) - 2))
+
+
+def round_robin(totals, take, rounds, packet):
+    """Plain deficit round-robin: the queue of each token, round by round."""
+    left, credit, line, sums = list(take), [0] * len(take), [], [0] * len(take)
+    for w in range(rounds):
+        for q, t in enumerate(take):
+            quantum = t * (w + 1) // rounds - t * w // rounds
+            credit[q] += quantum
+            while left[q] and (credit[q] >= min(packet, left[q]) if w < rounds - 1 else True) and not (w < rounds - 1 and left[q] < packet and credit[q] < packet):
+                n = min(packet, left[q])
+                line += [(q, sums[q] + i) for i in range(n)]
+                left[q], credit[q], sums[q] = left[q] - n, credit[q] - n, sums[q] + n
+    assert not any(left)
+    return line
+
+
+@pytest.mark.parametrize("packet", [1, 4, 11])
+def test_mixture_is_deficit_round_robin(packet):
     rng = random.Random(9)
     for _ in range(40):
         totals = [rng.randrange(0, 300) for _ in range(rng.randrange(1, 6))]
         targets = None if rng.random() < 0.5 else [rng.choice([0.0, 1.0, 2.5, 7.0]) for _ in totals]
-        mix = packing.Mixture(totals, targets, 37)
-        line = []
+        mix = packing.Mixture(totals, targets, 37, packet)
+        want, done = [], [0] * len(totals)
+        for _, take, rounds, _ in mix.phases:
+            want += [(q, i + done[q]) for q, i in round_robin(totals, take, rounds, packet)]
+            done = [a + b for a, b in zip(done, take)]
+        assert done == totals
+        line = {}
         for q, n in enumerate(totals):
             at = 0
             while at < n:
                 size = rng.randrange(1, n - at + 1)
                 got = list(mix.places(q, at, size))
-                assert [s for s, _, _ in got][0] == at and sum(k for _, k, _ in got) == size
+                assert got[0][0] == at and sum(k for _, k, _ in got) == size
                 for s, k, p in got:
-                    line += range(p, p + k)
+                    line |= {p + i: (q, s + i) for i in range(k)}
                 at += size
-        assert sorted(line) == list(range(sum(totals)))
+        assert [line[i] for i in range(len(line))] == want
+
+
+def test_a_rare_source_comes_in_whole_stretches():
+    mix = packing.Mixture([10**9, 1000])
+    assert len(list(mix.places(1, 0, 1000))) == 1 and len(list(mix.places(0, 0, 50_000))) <= 50_000 // packing.PACKET + 2
+    mix = packing.Mixture([10**9, 10**7], [0.0, 3.0])
+    assert next(mix.places(1, 0, 1))[2] == 0 and next(mix.places(0, 0, 1))[2] == 10**7
 
 
-def test_binary_shards(spark, docs, texts):
+@pytest.mark.parametrize("block", [256, 3])
+def test_binary_shards(spark, docs, texts, monkeypatch, block):
+    monkeypatch.setattr(binout, "BLOCK", block)
     path = _common.scratch(spark, "shards")
     listed = binout.write_shards(docs, path, length=32, shard=16)
     rows = listed.orderBy("slot").collect()
     assert [r.slot for r in rows] == list(range(len(rows))) and all(r.shard == r.slot // 16 and r.byte_offset == r.slot % 16 * 65 for r in rows)
+    assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
     back = {r.slot: np.frombuffer(bytes(r.ids), "<u2") for r in binout.read_shards(spark, path, 32, 16).collect()}
-    line = {d: packing.token_ids(t, public_tokenizers.path(packing.RANKS)) for d, t in texts.items()}
+    line = {d: packing.token_ids(t, public_tokenizers.path(packing.RANKS)) for d, t in texts.items()} | {None: packing.token_ids("no id", public_tokenizers.path(packing.RANKS))}
     assert sum(r.n_ids for r in rows) == sum(map(len, line.values())) + len(line[7])
+    slot_of = binout.permuted(np.arange(len(rows)), len(rows))
     for r in rows:
         n = min(r.n_ids, len(line[r.first_doc]) - r.first_at)
+        assert slot_of[r.sequence_id] == r.slot
         assert (back[r.slot][:n] == line[r.first_doc][r.first_at : r.first_at + n]).all() and (back[r.slot][r.n_ids :] == packing.END_ID).all()
+    every = np.concatenate([back[r.slot][: r.n_ids] for r in sorted(rows, key=lambda r: r.sequence_id)])
+    assert np.bincount(every).tolist() == np.bincount(np.concatenate([*line.values(), line[7]])).tolist()
     assert {r.slot for r in binout.read_shards(spark, path, 32, 16, 20).collect()} == set(range(20, len(rows)))
 
 

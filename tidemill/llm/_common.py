@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import scratch_path, ship
 
 #: White space of every contract here: the space and the five ASCII controls.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -16,12 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder of ``spark.checkpoint.dir``; see ``session.scratch_path``."""
+    return scratch_path(spark, name)
 
 
 def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -32,7 +25,10 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Before Python runs on the executors: they get this package, and Arrow batches of so many rows, so that very long texts fit a worker."""
+    """Before Python runs on the executors: they get this package, and Arrow batches of so many rows, so that very long texts fit a worker.
+
+    The setting stays: frames are lazy, and it counts when they run, after the operator has returned.
+    """
     ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:

@@ -1,4 +1,4 @@
-"""Mixture-controlled packing: deficit round-robin over source queues, in windows, without a shuffle of tokens."""
+"""Mixture-controlled packing: deficit round-robin over source queues, a window a round, without a shuffle of tokens."""
 
 from __future__ import annotations
 
@@ -19,12 +19,17 @@ from ._common import documents, join_checked, materialise, small_batches
 
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids, several times faster (tests compare both).
 RANKS = "byte_bpe_50k.tiktoken"
+# Fixed value: the added token of byte_bpe_50k.json, which the library finds in a text under default settings.
+ADDED = {"<|endoftext|>": 50256}
 END_ID = 1
 LENGTH = 2048
-#: Sequences of a mixing window, the most sources that all have their own queues, and beyond them the largest that do and the queues of the rest.
-WINDOW = 64
+#: Tokens of a packet, the unit that a queue sends; sequences of a mixing window.
+PACKET, WINDOW = 2048, 64
+#: The most sources that all have their own queues, and beyond them the largest that do and the queues of the rest.
 QUEUES = 1024
 OWN, TAIL = 512, 512
+#: Exponent of the registered query: a source's target is its tokens to this power, so small sources weigh more while they last.
+POWER = 0.7
 BASE_ROWS = 200_000
 
 
@@ -32,24 +37,24 @@ BASE_ROWS = 200_000
 def tokenizer(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
 def token_ids(text: str | None, path: str) -> np.ndarray:
-    """Ids of a whole text (null: empty), names of special tokens being ordinary text, then END_ID; unsigned 16-bit."""
-    ids = tokenizer(path).encode_ordinary((text or "").encode("utf-8", "replace").decode())
-    ids.append(END_ID)
-    return np.array(ids, dtype="<u2")
+    """Ids of a whole text (null: empty), the added token's name in it being that token, then END_ID; unsigned 16-bit."""
+    ids = tokenizer(path).encode_to_numpy(text or "", allowed_special="all")
+    out = np.empty(len(ids) + 1, "<u2")
+    out[:-1], out[-1] = ids, END_ID
+    return out
 
 
 def tokenised(docs: DataFrame, queue_of: F.Column | None = None) -> DataFrame:
-    """part, doc_id, queue, at, ids: every document's ids with its place in its queue within its input partition.
+    """part, doc_id, queue, at, n, ids: every document's ids with its place in its queue within its input partition.
 
     Written once, compressed, to the shared folder. ``part`` numbers the input partitions; queues run
     through the partitions in that order, and through a partition in row order.
     """
     path = public_tokenizers.path(RANKS)
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = TaskContext.get().partitionId(), {}
@@ -62,58 +67,79 @@ def tokenised(docs: DataFrame, queue_of: F.Column | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(ids), pa.int32()), b.column(0), b.column(2), pa.array(at, pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], names=["part", "doc_id", "queue", "at", "n", "ids"])
 
     queue = F.coalesce(F.col("source").cast("string"), F.lit("")) if queue_of is None else queue_of
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), queue.alias("queue"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), queue.alias("queue"))
+    small_batches(docs.sparkSession)
     return materialise(rows.mapInArrow(run, "part int, doc_id long, queue string, at long, n long, ids binary"), "tokens", compression="zstd")
 
 
 class Mixture:
-    """Which part of each queue goes to which window, and where it lies on the line of all tokens.
+    """Deficit round-robin over queues of tokens, with every token's place on the line that the rounds make.
+
+    A queue is a row of packets of PACKET tokens; its last one may be shorter. Each round is a window: it adds
+    a quantum to every queue's credit, then the queues, in order, send all packets that their credit covers, and
+    what is left, under a packet, is the deficit that the queue carries to the next window. Quanta follow ``targets``
+    (without them the totals); a phase of such rounds ends when a queue of the targets runs out, and the
+    others go on with shares in proportion. The last round of a phase settles what its queues still owe.
 
-    ``totals`` are the tokens of the queues, in order. Without ``targets`` every window takes the queues'
-    own proportions. With them a phase lasts until a queue runs out; the others then share in proportion.
-    In a phase of V windows that takes t of a queue, window w ends at floor(t * w / V) of it: what rounding
-    leaves is the queue's deficit, below one token, which the next window gets. The bound is closed
-    form, so any task places any token without knowing what other tasks do.
+    Rounds never wait for each other: with t tokens of a queue in a phase of v rounds, the credit after round w is
+    t * (w + 1) // v, so the packets sent by then are known, and any task places any token of any partition.
     """
 
-    def __init__(self, totals: list[int], targets: list[float] | None = None, window: int = WINDOW * LENGTH):
+    def __init__(self, totals: list[int], targets: list[float] | None = None, window: int = WINDOW * LENGTH, packet: int = PACKET):
+        self.packet = packet
         left, goal = list(totals), [float(x) for x in (targets or totals)]
-        self.phases = []  # (tokens of each queue before, tokens taken of each, windows, line position at the start)
+        self.phases = []  # (tokens of each queue before, tokens taken of each, rounds, line position at the start)
         line = 0
         while any(left):
-            live = [k for k, n in enumerate(left) if n]
-            positive = [k for k in live if goal[k] > 0]
+            positive = [k for k, n in enumerate(left) if n and goal[k] > 0]
             if targets is None or not positive:
                 take = list(left)  # the rest, as it comes
             else:
-                scale = min(left[k] / goal[k] for k in positive)
-                take = [min(left[k], int(goal[k] * scale + 0.5)) if k in positive else 0 for k in range(len(left))]
-                if not any(take[k] == left[k] for k in positive):
-                    take[min(positive, key=lambda k: left[k] / goal[k])] = left[min(positive, key=lambda k: left[k] / goal[k])]
+                first = min(positive, key=lambda k: left[k] / goal[k])
+                scale = left[first] / goal[first]
+                take = [0] * len(left)
+                for k in positive:
+                    take[k] = min(left[k], int(goal[k] * scale + 0.5))
+                take[first] = left[first]
             done = [n - m for n, m in zip(totals, left)]
             self.phases.append((done, take, max(1, round(sum(take) / window)), line))
             line += sum(take)
             left = [a - b for a, b in zip(left, take)]
         self.total = line
+        self._held: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+
+    def sent(self, take: int, rounds: int, w: int) -> int:
+        """Tokens of a queue that a phase has sent before round ``w``."""
+        return take if w >= rounds else take * w // rounds // self.packet * self.packet
+
+    def _round(self, phase: int, w: int) -> tuple[list[int], list[int]]:
+        """For each queue the tokens sent before round ``w`` and the line position of the first that it sends in it."""
+        found = self._held.get((phase, w))
+        if found is None:
+            if len(self._held) >= 64:
+                self._held.clear()
+            _, take, rounds, line = self.phases[phase]
+            before = [self.sent(t, rounds, w) for t in take]
+            at, position = line + sum(before), []
+            for t, b in zip(take, before):
+                position.append(at)
+                at += self.sent(t, rounds, w + 1) - b
+            self._held[phase, w] = found = (before, position)
+        return found
 
     def places(self, queue: int, start: int, length: int) -> Iterator[tuple[int, int, int]]:
         """(start in the queue, length, position on the line) of the stretches of ``length`` tokens from ``start``."""
         stop = start + length
-        for done, take, v, line in self.phases:
-            a, b = max(start, done[queue]) - done[queue], min(stop, done[queue] + take[queue]) - done[queue]
-            if a >= b:
-                continue
-            t = take[queue]
-            w = ((a + 1) * v - 1) // t  # the window of token a: the least w with floor(t (w + 1) / v) > a
+        for p, (done, take, rounds, _) in enumerate(self.phases):
+            t, skip = take[queue], done[queue]
+            a, b = max(start, skip) - skip, min(stop, skip + take[queue]) - skip
             while a < b:
-                end = t * (w + 1) // v
-                if end > a:
-                    begin = t * w // v
-                    before = sum(x * w // v for x in take) + sum(take[k] * (w + 1) // v - take[k] * w // v for k in range(queue))
-                    size = min(b, end) - a
-                    yield done[queue] + a, size, line + before + a - begin
-                    a += size
-                w += 1
+                need = (a // self.packet + 1) * self.packet  # the credit that covers the packet of token a
+                w = min(rounds - 1, (need * rounds - 1) // t)  # the first round after which t (w + 1) // rounds >= need
+                before, position = self._round(p, w)
+                end = min(b, self.sent(t, rounds, w + 1))
+                yield skip + a, end - a, position[queue] + a - before[queue]
+                a = end
 
 
 def queue_by_size(docs: DataFrame, source: F.Column, targets: dict[str, float]) -> F.Column:
@@ -121,7 +147,7 @@ def queue_by_size(docs: DataFrame, source: F.Column, targets: dict[str, float])
 
     A shared queue's name begins with a mark that no source with its own queue begins with.
     """
-    sizes = docs.filter("doc_id is not null").groupBy(source.alias("q")).agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n"))
+    sizes = docs.groupBy(source.alias("q")).agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("n"))
     own = {r["q"] for r in sizes.orderBy(F.desc_nulls_last("n"), "q").limit(OWN).collect()} | set(targets)
     mark = "#"
     while any(q.startswith(mark) for q in own):
@@ -129,13 +155,17 @@ def queue_by_size(docs: DataFrame, source: F.Column, targets: dict[str, float])
     return F.when(source.isin(*own), source).otherwise(F.concat(F.lit(mark), F.pmod(F.xxhash64(source), F.lit(TAIL)).cast("string")))
 
 
-def pack(docs: DataFrame, targets: dict[str, float] | None = None, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, targets: dict[str, float] | None = None, length: int = LENGTH, window: int = WINDOW, power: float | None = None, packet: int = PACKET) -> DataFrame:
     """Pieces of all documents in sequences of ``length`` ids; only the last sequence is not full.
 
     A row is a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and queue. The
     queue is the source (null: as empty); beyond QUEUES sources, see ``queue_by_size``.
-    ``targets`` gives the wanted proportions by source, 0 where absent (such sources come last).
-    A null or empty text is one id. Rows with a null doc_id take no part; repeated rows are packed each.
+    ``targets`` gives the wanted proportions by source, 0 where absent (such sources come last); ``power``
+    instead gives each queue its tokens to that power. Without both, every window holds the sources' own proportions.
+    Pieces are cut where packets, sequences and phases end, so a document has few, however rare its source.
+    A null or empty text is one id. Rows with a null doc_id are packed like others, under a null doc_id; of
+    rows that repeat a doc_id each is packed; order within a source is that of the input's partitions and rows.
+    An empty table gives no piece. Other columns are ignored.
     """
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     few = docs.select(source.alias("q")).distinct().limit(QUEUES + 1).count() <= QUEUES
@@ -143,18 +173,20 @@ def pack(docs: DataFrame, targets: dict[str, float] | None = None, length: int =
     sums = materialise(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-sums")
     totals = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").collect()  # at most QUEUES rows, or OWN + TAIL and the targets
     names = {r["queue"]: k for k, r in enumerate(totals)}
-    mix = Mixture([r["n"] for r in totals], [targets.get(q, 0.0) for q in names] if targets else None, window * length)
+    goal = [r["n"] ** power for r in totals] if power is not None and not targets else [targets.get(q, 0.0) for q in names] if targets else None
+    mix = docs.sparkSession.sparkContext.broadcast(Mixture([r["n"] for r in totals], goal, window * length, packet))  # a row of integers a phase, at most one phase a queue
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("queue", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     rows = join_checked(tokens, base, ["queue", "part"], "left", BASE_ROWS).select("doc_id", "queue", (F.col("at") + F.col("base")).alias("at"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = mix.value.places
         for b in batches:
             out: list[tuple] = []
-            for doc, q, at, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                ids = np.frombuffer(packed, "<u2").astype("<u4")
-                raw = memoryview(ids.tobytes())
-                for begin, size, line in mix.places(names[q], at, len(ids)):
+            for doc, q, at, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                ids = np.frombuffer(packed.as_buffer(), "<u2").astype("<u4")
+                raw = memoryview(ids).cast("B")
+                for begin, size, line in places(names[q], at, len(ids)):
                     first = begin - at
                     while size:
                         seq, off = divmod(line, length)
@@ -168,4 +200,5 @@ def pack(docs: DataFrame, targets: dict[str, float] | None = None, length: int =
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir))
+    """Pieces of all documents in sequences of LENGTH ids; sources weigh by their tokens to the power POWER while they last."""
+    return pack(documents(spark, sf_dir), power=POWER)

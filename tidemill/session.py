@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_LOCAL: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,11 +29,19 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A new path in the shared folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master gets a temporary folder of its own; on a cluster a machine-local
+    folder would lose data, so there it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="spark-")
+        base = _LOCAL[app]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -113,6 +113,26 @@ def test_exact(docs, texts, key_bytes):
     assert {r.doc_id for r in exact.drop_copies(docs).collect()} == {g[0] for g in by.values()} | {None}
 
 
+def test_index_filters_prune_and_levels_add_up(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.col("id") % 500).otherwise(F.col("id") * 1000).alias("v"))
+    rows = rows.select("doc_id", F.unhex(F.md5(F.col("v").cast("string"))).alias("key"), F.pmod("doc_id", F.lit(16)).cast("int").alias("run")).cache()
+    index = exact.DigestIndex(spark)
+    index.flush(rows)
+    probed = index.probed().cache()
+    twice = {bytes(r.key) for r in probed.groupBy("at", "key").count().filter("count > 1").collect()}
+    maybe = probed.filter("maybe")
+    assert twice <= {bytes(r.key) for r in maybe.collect()}
+    alone = probed.groupBy("key").count().filter("count = 1").count()
+    assert maybe.count() - sum(1 for r in probed.collect() if bytes(r.key) in twice) < 0.05 * alone  # false positives; the rest is not merged
+    want = {bytes(r.key): (r.a, r.n) for r in rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).collect()}
+    assert {bytes(r.key): (r.doc_id, r.n) for r in index.compact().collect()} == want and index.runs == 1
+    later = exact.DigestIndex(spark)
+    later.flush(rows.filter("doc_id >= 9000"))
+    later.compact()
+    later.flush(rows.filter("doc_id < 9000"), 16)
+    assert {bytes(r.key): (r.doc_id, r.n) for r in later.compact().collect()} == want
+
+
 def brute_spans(t):
     t = t or ""
     out = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 6]

@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small frames with every odd case: nulls, empty, long, ties, repeats, extra columns."""
 
 import hashlib
+import io
 import random
 import re
 import zlib
@@ -257,6 +258,41 @@ def test_quality_learns_and_takes_odd_texts(spark, docs):
     assert quality.score(lab, none).filter("score <> 0.5").count() == 0
 
 
+def test_scores_are_those_of_a_plain_forward_pass(docs, texts, spark):
+    rng = random.Random(4)
+    lab = spark.createDataFrame([(i, " ".join(words(rng, 30)) + " again again" * (i % 3 == 0), int(i % 3 > 0)) for i in range(90)], "doc_id long, text string, quality int")
+    model = quality.train(lab)
+    with np.load(io.BytesIO(model)) as m:
+        table, bias = m["word_score"], m["bias"][0]
+    for r in quality.score(docs, model).select("doc_id", "text", "score").collect():
+        found, w = [], split(r.text)
+        for x in w:
+            marked = "<" + x.decode() + ">"
+            found += [zlib.crc32(x) % quality.BUCKETS] + [zlib.crc32(marked[i : i + n].encode()) % quality.BUCKETS for n in (2, 3, 4) for i in range(len(marked) - n + 1)]
+        for x, y in zip(w, w[1:]):
+            d = (xxhash.xxh64_intdigest(y) - xxhash.xxh64_intdigest(x)) * 0x9E3779B97F4A7C15 % 2**64
+            found.append(quality.BUCKETS + (d >> 40) % quality.PAIRS)
+        z = bias + (sum(table[f] for f in found) / len(found) if found else 0)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_forgotten_words_change_no_score(monkeypatch):
+    rng = random.Random(6)
+    lines = [" ".join(words(rng, 50)) for _ in range(40)]
+    model = quality._saved(quality.fit(lines, [k % 2 for k in range(40)]))
+    want = [quality._Scores(model).score(t) for t in lines]
+    monkeypatch.setattr(quality, "KEPT", 16)
+    few = quality._Scores(model)
+    assert [few.score(t) for t in lines] == want and quality._saved(quality.fit(lines, [k % 2 for k in range(40)])) == model
+
+
+def test_training_rows(spark, docs, texts):
+    lab = spark.createDataFrame([(k, k % 2) for k in range(5000, 9000)] + [(d, d % 2) for d in texts] + [(5, 1), (1, 0), (6, 2), (None, 1)], "doc_id long, quality int")
+    got = {r.doc_id: (r.text, r.quality) for r in quality.labelled(docs, lab).collect()}
+    outside = {d for d in texts if zlib.crc32(str(d).encode()) % 5 and texts[d] is not None and d != 6}
+    assert got == {d: (texts[d], 1 if d == 5 else d % 2) for d in outside}  # labels without a document take no one's place
+
+
 def test_bpe(docs, texts):
     path = public_tokenizers.path(bpe.RANKS)
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})

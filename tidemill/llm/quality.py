@@ -1,27 +1,27 @@
-"""Quality classifier: averaged vectors of hashed words and character n-grams, softmax, numpy SGD."""
+"""Quality classifier: averaged vectors of hashed words, word pairs and character n-grams, softmax, numpy SGD."""
 
 from __future__ import annotations
 
 import io
 from collections.abc import Iterator
 from functools import cache
-from operator import eq
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import documents, free_name, small_batches
 
-#: Parameters of the model. SAMPLE bounds the labelled rows that it is fitted on.
-BUCKETS, DIM, EPOCHS, RATE, SAMPLE, SEED = 1 << 16, 8, 8, 0.5, 3000, 17
+#: Parameters of the model. SAMPLE bounds the labelled rows that it is fitted on; word pairs have buckets of their own behind the others.
+BUCKETS, PAIRS, DIM, EPOCHS, RATE, SAMPLE, SEED = 1 << 16, 1 << 16, 8, 8, 0.5, 3000, 17
 GRAMS = (2, 3, 4)
 THRESHOLD = 0.3
-#: A word that repeats the word before it; the blank keeps it apart from any word.
-REPEAT = b" ="
+#: Words that a worker knows.
 KEPT = 400_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def features(word: bytes) -> list[int]:
@@ -32,23 +32,51 @@ def features(word: bytes) -> list[int]:
     return [crc32(word) & mask, *(crc32(g.encode()) & mask for g in grams)]
 
 
-class _Features(dict):
-    def __missing__(self, word: bytes) -> np.ndarray:
-        if len(self) >= KEPT // 8:
+def pair_buckets(h: np.ndarray) -> np.ndarray:
+    """Buckets of the word 2-grams of a text with these word hashes.
+
+    The hash of a pair is that of the difference of its words' hashes, so all pairs of a word with itself share a bucket.
+    """
+    return BUCKETS + (((h[1:] - h[:-1]) * _MIX) >> np.uint64(40)).astype(np.int64) % PAIRS
+
+
+class Words(dict):
+    """Word to its number; by number its hash, the count of its buckets, and ``of`` of them (the buckets, or the sum of their scores)."""
+
+    def __init__(self, scores: list[float] | None = None):
+        super().__init__()
+        self.scores, self.hash, self.count, self.of = scores, np.zeros(1024, np.uint64), np.zeros(1024), [] if scores is None else np.zeros(1024)
+
+    def __missing__(self, word: bytes) -> int:
+        k, found = len(self), features(word)
+        if k == len(self.hash):
+            self.hash, self.count = np.concatenate([self.hash, self.hash]), np.concatenate([self.count, self.count])
+            if self.scores is not None:
+                self.of = np.concatenate([self.of, self.of])
+        self.hash[k], self.count[k] = xxhash.xxh64_intdigest(word), len(found)
+        if self.scores is None:
+            self.of.append(np.array(found, np.int64))
+        else:
+            self.of[k] = sum(map(self.scores.__getitem__, found))
+        self[word] = k
+        return k
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        """The numbers of a text's words, in order; between texts, all words are forgotten when there are too many."""
+        if len(self) >= (KEPT if self.scores is not None else KEPT // 8):
             self.clear()
-        self[word] = found = np.array(features(word), np.int64)
-        return found
+            self.__init__(self.scores)
+        words = (text or "").encode("utf-8", "replace").split()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def counted(text: str, memo: _Features) -> tuple[np.ndarray, np.ndarray]:
+def counted(text: str, memo: Words) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text and their shares, which sum to 1 (nothing for an empty text)."""
-    words = text.encode("utf-8", "replace").split()
-    if not words:
+    k = memo.numbers(text)
+    if not len(k):
         return np.zeros(0, np.int64), np.zeros(0)
-    words += [REPEAT] * sum(map(eq, words, words[1:]))
-    n = np.bincount(np.concatenate([memo[w] for w in words]), minlength=BUCKETS)
-    ids = np.flatnonzero(n)
-    return ids, n[ids] / n.sum()
+    ids, n = np.unique(np.concatenate([memo.of[i] for i in k.tolist()] + [pair_buckets(memo.hash[k])]), return_counts=True)
+    return ids, n / n.sum()
 
 
 def fit(texts: list[str], labels: list[int]) -> dict[str, np.ndarray]:
@@ -57,8 +85,8 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, np.ndarray]:
     Word vectors start at random, output weights at zero. Without rows, or with one label only,
     every score is that of the prior.
     """
-    rng, memo = np.random.default_rng(SEED), _Features()
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    rng, memo = np.random.default_rng(SEED), Words()
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + PAIRS, DIM)).astype(np.float32)
     weights, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     rows = [counted(t, memo) for t in texts]
     steps, total = 0, max(1, EPOCHS * len(rows))
@@ -108,29 +136,19 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> bytes:
     return row["model"] if row else _saved(fit([], []))  # an empty table has no task to run in
 
 
-class _Scores(dict):
-    """Word to (sum of its buckets' scores, number of buckets); the score of a mean is the mean of the scores."""
+class _Scores:
+    """The score of a mean vector is the mean of its buckets' scores, so a word counts by the sum of its own."""
 
     def __init__(self, model: bytes):
-        super().__init__()
         with np.load(io.BytesIO(model)) as m:
-            self.of, self.bias = m["word_score"].tolist(), float(m["bias"][0])
-        self.repeat = self[REPEAT]
-
-    def __missing__(self, word: bytes) -> tuple[float, int]:
-        if len(self) >= KEPT:
-            self.clear()
-        found = features(word)
-        self[word] = pair = (sum(map(self.of.__getitem__, found)), len(found))
-        return pair
+            self.of, self.bias = m["word_score"], float(m["bias"][0])
+        self.words = Words(self.of.tolist())
 
     def score(self, text: str | None) -> float:
-        words = (text or "").encode("utf-8", "replace").split()
-        z = self.bias
-        if words:
-            total, n = map(sum, zip(*map(self.__getitem__, words)))
-            again = sum(map(eq, words, words[1:]))
-            z += (total + again * self.repeat[0]) / (n + again * self.repeat[1])
+        k, z = self.words.numbers(text), self.bias
+        if len(k):
+            w = self.words
+            z += (w.of[k].sum() + self.of[pair_buckets(w.hash[k])].sum()) / (w.count[k].sum() + len(k) - 1)
         return float(1 / (1 + np.exp(-z)))
 
 
@@ -157,25 +175,31 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(5)) == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: documents with a label outside the held-out fifth, one row a doc_id.
+def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Training rows: ``sample`` documents with text and a label outside the held-out fifth, one row a doc_id, lowest hash of doc_id first.
 
-    Repeated labels of a doc_id count once, by the larger; repeated documents by the larger text.
+    Labels without a document, or of null texts only, are none. Repeated labels of a doc_id count once, by the larger;
+    repeated documents by the larger text.
     """
-    marks = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    picked = marks.filter("quality in (0, 1)").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE)  # a bounded table, and twice what is needed: some have no document
+    marks = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality in (0, 1)")
+    have = docs.filter("text is not null and doc_id is not null").select("doc_id")
+    picked = marks.join(have, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("text").alias("text"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document with a doc_id."""
+    """doc_id, held_out, score, predicted for every document with a doc_id; repeated rows repeat."""
     docs = documents(spark, sf_dir).select("doc_id", "text").filter("doc_id is not null")
     model = train(labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score is at least ``threshold``, with their own columns."""
+    """The documents whose score is at least ``threshold``, with their own columns, whatever their names.
+
+    Rows with a null doc_id are scored by their text like others; null and empty texts have the prior's score. Repeated
+    rows stay or go together; without usable labels every score is 0.5 and all stay. An empty table stays empty.
+    """
     model = train(labelled(docs, labels))
     name = free_name(docs, "_score")
     return score(docs, model, name).filter(F.col(name) >= threshold).drop(name)

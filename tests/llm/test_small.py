@@ -223,6 +223,19 @@ def test_simhash(docs, texts):
     assert {r.doc_id for r in simhash.keep_first(docs).collect()} == set(group.values()) | {None}
 
 
+def test_pivots_discard_and_lose_nothing():
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2)
+    fp[1::2] = (fp[::2] & np.uint64(0xFFFFFFF)) | (fp[1::2] & ~np.uint64(0xFFFFFFF))  # strangers that agree on 28 bits
+    for k in range(1, 801, 2):
+        fp[k] = fp[k - 1] ^ np.uint64(1 << int(rng.integers(64))) ^ np.uint64(1 << int(rng.integers(64)))
+    x = np.arange(0, 4000, 2)
+    assert simhash.pairs_within(fp, x, x + 1).tolist() == np.flatnonzero(np.bitwise_count(fp[x] ^ fp[x + 1]) <= 3).tolist()
+    table = simhash.distance_table(fp)
+    passed = (np.abs(table[x] - table[x + 1]).max(1) <= 3).sum()
+    assert 400 <= passed <= 400 + 0.05 * 1600  # of 1,600 strangers the table leaves few to verify
+
+
 @pytest.mark.parametrize("block", [4096, 8])
 def test_links_of_a_dense_cloud(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)

@@ -51,6 +51,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def distance_table(fp: np.ndarray) -> np.ndarray:
+    """Hamming distances of each fingerprint to each pivot."""
+    return np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+
+
+def pairs_within(fp: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x[i], y[i]) lie within RADIUS: the table discards first, the exact distance verifies what is left."""
+    table = distance_table(fp)
+    near = np.flatnonzero(np.abs(table[x] - table[y]).max(1, initial=0) <= RADIUS)
+    return near[np.bitwise_count(fp[x[near]] ^ fp[y[near]]) <= RADIUS]
+
+
 def pivot_links(fp: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members ``left`` or between ``left`` and ``right`` of one bucket, as index pairs.
 
@@ -60,7 +72,7 @@ def pivot_links(fp: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tup
     most of those, and the exact distance verifies the rest. A linked member leaves the table and
     is searched from in turn, so a bucket gives at most one link a member.
     """
-    table = np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+    table = distance_table(fp)
     one_side = len(right) == 0
     free = [left, left if one_side else right]
     free = [f[np.argsort(table[f, 0], kind="stable")] for f in free]
@@ -131,21 +143,22 @@ def links(fps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a, z = [], []
-            for i, j, ms in zip(b.column("i").to_pylist(), b.column("j").to_pylist(), b.column("ms")):
-                flat = ms.values
-                rep, fp, block = (np.asarray(flat.field(c)) for c in ("rep", "fp", "block"))
-                if len(rep) == 2 and i == j:  # by far the most
-                    if (int(fp[0] ^ fp[1]) & (1 << 64) - 1).bit_count() <= RADIUS:
-                        a.append(int(rep[0]))
-                        z.append(int(rep[1]))
-                    continue
-                order = np.argsort(rep, kind="stable")
-                rep, fp, block = rep[order], fp[order].view(np.uint64), block[order]
-                every = np.arange(len(rep))
-                found = pivot_links(fp, every, every[:0]) if i == j else pivot_links(fp, every[block == i], every[block == j])
-                a += [int(rep[x]) for x, _ in found]
-                z += [int(rep[y]) for _, y in found]
+            ms = b.column("ms")
+            at, flat = np.asarray(ms.offsets), ms.values
+            rep, fp, block = (np.asarray(flat.field(c)) for c in ("rep", "fp", "block"))
+            fp, i, j = fp.view(np.uint64), np.asarray(b.column("i")), np.asarray(b.column("j"))
+            two = (np.diff(at) == 2) & (i == j)  # by far the most: all of the batch at once
+            x = at[:-1][two].astype(np.int64) - at[0]
+            base = slice(int(at[0]), int(at[-1]))
+            found = x[pairs_within(fp[base], x, x + 1)] + at[0]
+            a, z = rep[found].tolist(), rep[found + 1].tolist()
+            for k in np.flatnonzero(~two).tolist():
+                here = np.arange(at[k], at[k + 1])
+                here = here[np.argsort(rep[here], kind="stable")]
+                every, side = np.arange(len(here)), block[here]
+                forest = pivot_links(fp[here], every, every[:0]) if i[k] == j[k] else pivot_links(fp[here], every[side == i[k]], every[side == j[k]])
+                a += [int(rep[here[p]]) for p, _ in forest]
+                z += [int(rep[here[q]]) for _, q in forest]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
 
     small_batches(fps.sparkSession)
@@ -156,7 +169,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from each node that has an edge.
 
     Alternating large-star and small-star steps: every step joins each node's neighbours to the
-    smallest one seen, is written to the shared folder, and ends when nothing changes.
+    smallest one seen, is written to the shared folder, and ends when nothing changes. Repeated edges, loops
+    and edges given both ways count once; without edges there is no row.
     """
     edges = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     state = None
@@ -189,11 +203,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with its own columns."""
+    """One document of each component, the one with the smallest doc_id, with its own columns, whatever their names.
+
+    All texts without words are one class. Rows with a null doc_id stay all; rows that repeat a doc_id stay or go
+    together. An empty table stays empty.
+    """
     gone = free_name(docs, "_dropped")
     dropped = near_groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
     return docs.join(dropped, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_groups`` of all documents."""
     return near_groups(documents(spark, sf_dir))

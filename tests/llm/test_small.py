@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import tiktoken
 import xxhash
@@ -488,6 +489,36 @@ def test_neighbours(spark):
     assert [i for _, i, _ in got[100]] == list(range(101, 111)) and [i for _, i, _ in got[120]] == list(range(100, 110))
 
 
+def recall(vectors, found, k=10):
+    ids, x, hit, n = np.array(list(vectors)), np.array(list(vectors.values())), 0, 0
+    for q, got in found.items():
+        d = ((x - np.asarray(vectors[q])) ** 2).sum(1)
+        d[ids == q] = np.inf
+        near = np.sort(d)[:k][-1] * (1 + 1e-9)
+        hit, n = hit + int((d[np.searchsorted(ids, got)] <= near).sum()), n + k
+    return hit / n
+
+
+def test_recall_on_fifty_thousand_vectors(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(200, 24))[rng.integers(0, 200, 50_000)] + rng.normal(size=(50_000, 24)) * 0.6
+    pd.DataFrame({"vec_id": np.arange(50_000), "embedding": list(x)}).to_parquet(f"{tmp_path}/v.parquet")
+    df = spark.read.parquet(f"file://{tmp_path}/v.parquet")
+    found = defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 200 == 0).collect():
+        found[r.query_id].append(r.vec_id)
+    assert len(found) == 250 and all(len(f) == 10 for f in found.values()) and recall(dict(enumerate(x)), found) >= 0.9
+
+
+def test_recall_of_the_registered_query(spark):
+    sf = "/root/testdata/sf0.1"
+    vectors = {r.vec_id: r.embedding for r in ann.usable(spark.read.parquet(f"{sf}/embeddings.parquet")).select("vec_id", F.col("vec").alias("embedding")).orderBy("vec_id").collect()}
+    found = defaultdict(list)
+    for r in ann.op5_nearest_neighbours(spark, sf).collect():
+        found[r.query_id].append(r.vec_id)
+    assert set(found) == {v for v in vectors if v % 100 == 0} and recall(vectors, found) >= 0.9
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (20, [2.0, 2.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert {(r.query_id, r.rank, r.vec_id) for r in ann.search(df, F.col("vec_id") % 20 == 0).collect()} == {(0, 1, 20), (0, 2, 3), (20, 1, 0), (20, 2, 3)}

@@ -16,7 +16,8 @@ from ._common import materialise, small_batches
 SAMPLE, PROBE_QUERIES, ROUNDS, SEED = 16_384, 256, 10, 5
 RECALL = 0.97
 K = 10
-MAX_WORDS = 256
+#: Words of a codebook follow the square root of the rows up to this; a cell then holds ROWS_PER_CELL rows on average.
+MAX_WORDS, ROWS_PER_CELL = 1_024, 48
 #: Vectors of a list and queries that one task compares at once.
 LIST_ROWS, QUERY_ROWS = 16_384, 1_024
 
@@ -47,7 +48,8 @@ def kmeans(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest_word(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return ((c * c).sum(1)[None, :] - 2 * x @ c.T).argmin(1)
+    norms = (c * c).sum(1)[None, :]
+    return np.concatenate([(norms - 2 * x[k : k + 2048] @ c.T).argmin(1) for k in range(0, max(1, len(x)), 2048)])
 
 
 def traverse(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, wanted: int) -> list[int]:
@@ -79,7 +81,7 @@ class MultiIndex:
 
     def __init__(self, sample: np.ndarray, rows: int, recall: float = RECALL, k: int = K):
         self.half = sample.shape[1] // 2
-        words = int(min(MAX_WORDS, max(2, round((rows / 48) ** 0.5))))
+        words = int(min(MAX_WORDS, max(2, round((rows / ROWS_PER_CELL) ** 0.5))))
         self.books = [kmeans(np.ascontiguousarray(h), words) for h in (sample[:, : self.half], sample[:, self.half :])] if self.half else [kmeans(sample, words), np.zeros((1, 0))]
         if not self.half:
             self.half = sample.shape[1]
@@ -167,7 +169,10 @@ def search(rows: DataFrame, queries: F.Column, k: int = K, recall: float = RECAL
             xs = xs.sort_values("cell", kind="stable")
             x, ids, cell = np.stack(xs["vec"].to_numpy()), xs["vec_id"].to_numpy(), xs["cell"].to_numpy()
             for q, v, cells in zip(qs["query_id"], qs["qvec"], qs["cells"]):
-                at = np.flatnonzero(np.isin(cell, cells) & (ids != q))
+                first, stop = np.searchsorted(cell, cells, "left"), np.searchsorted(cell, cells, "right")  # the inverted lists of the cells
+                n = stop - first
+                at = np.repeat(stop - np.cumsum(n), n) + np.arange(n.sum())
+                at = at[ids[at] != q]
                 d = np.sqrt(((x[at] - np.asarray(v)) ** 2).sum(1))
                 if len(at) > 4 * k:
                     near = d <= np.partition(d, k - 1)[k - 1]
@@ -183,4 +188,5 @@ def search(rows: DataFrame, queries: F.Column, k: int = K, recall: float = RECAL
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The K nearest of every vector whose vec_id is divisible by 100."""
     return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)

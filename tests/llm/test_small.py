@@ -83,7 +83,8 @@ def test_substring(docs, texts):
 
 def test_substring_hot_anchors_and_many_shards(docs, monkeypatch):
     want = sorted(map(str, substring.dedup_substrings(docs).collect()))
-    monkeypatch.setattr(substring, "HOT_DOCS", 2)
+    monkeypatch.setattr(substring, "HOT_WINDOWS", 60)
+    monkeypatch.setattr(substring, "SALT_WINDOWS", 20)
     monkeypatch.setattr(substring, "SHARD_WORDS", 300)
     monkeypatch.setattr(substring, "BROADCAST_ITEMS", 0)
     assert want == sorted(map(str, substring.dedup_substrings(docs).collect()))

@@ -17,8 +17,8 @@ from ._common import documents, materialise, small_batches
 
 #: Words of a window; words of the shingle whose least hash names a window's anchor.
 SPAN, GRAM = 50, 8
-#: Words that one shard's automaton reads, and documents of an anchor beyond which its windows are counted instead.
-SHARD_WORDS, HOT_DOCS = 250_000, 1_000
+#: Words that one shard's automaton reads; windows of an anchor beyond which they are counted instead, and by how many their join is salted.
+SHARD_WORDS, HOT_WINDOWS, SALT_WINDOWS = 250_000, 40_000, 20_000
 #: Anchors, or spans, that a broadcast table may hold (32 bytes each, and a row counts as two: under 100 MB).
 BROADCAST_ITEMS = 3_000_000
 KEPT = 300_000
@@ -149,23 +149,25 @@ def _join_by_items(left: DataFrame, right: DataFrame, on: list[str], how: str, i
 
 
 def shared_anchors(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, anchors (packed, sorted), hot: each document's anchors that another doc_id has too."""
+    """doc_id, tkey, anchors: each document's anchors that another doc_id has too, with ``salts``, zero unless the anchor is hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys, found = [], [], []
+            ids, keys, found, counts = [], [], [], []
             for d, k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                a = np.unique(anchors(word_hashes(t.as_py())[1]))
+                a, n = np.unique(anchors(word_hashes(t.as_py())[1]), return_counts=True)
                 ids.append(np.full(len(a), d, np.int64))
                 keys.append(np.full(len(a), k, np.int64))
                 found.append(a.view(np.int64))
-            cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([cat(ids), cat(keys), cat(found)], names=["doc_id", "tkey", "anchor"])
+                counts.append(n.astype(np.int32))
+            cat = lambda x, kind=np.int64: pa.array(np.concatenate(x) if x else np.zeros(0, kind))
+            yield pa.RecordBatch.from_arrays([cat(ids), cat(keys), cat(found), cat(counts, np.int32)], names=["doc_id", "tkey", "anchor", "n"])
 
-    every = materialise(docs.mapInArrow(run, "doc_id long, tkey long, anchor long"), "anchors")
-    shared = every.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count(F.lit(1)).alias("n")).filter("a < z")
-    held = every.join(shared.select("anchor", (F.col("n") > HOT_DOCS).alias("hot")), "anchor")
-    return held.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("anchor", "hot")).alias("anchors"))  # no more than the document's own
+    every = materialise(docs.mapInArrow(run, "doc_id long, tkey long, anchor long, n int"), "anchors")
+    shared = every.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.sum("n").alias("n")).filter("a < z")
+    salts = F.when(F.col("n") > HOT_WINDOWS, F.ceil(F.col("n") / SALT_WINDOWS)).otherwise(0).cast("int")
+    held = every.select("doc_id", "tkey", "anchor").join(shared.select("anchor", salts.alias("salts")), "anchor")
+    return held.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("anchor", "salts")).alias("anchors"))  # no more than the document's own
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -176,14 +178,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     SHARD_WORDS, and travel by shuffle, since the reference is the whole corpus and no bound for a broadcast holds.
     In a shard documents stream in the order of doc_id: matching statistics against the automaton
     of all smaller ones give the repeated windows; words of new windows are then added to it.
-    An anchor of over HOT_DOCS documents would make a shard without bound: its windows are digested
-    and the digests' smallest doc_ids found by a pre-aggregated groupBy, which gives the same windows.
+    An anchor of over HOT_WINDOWS windows would make a shard without bound: its windows are digested
+    and the digests' smallest doc_ids found by a pre-aggregated groupBy, which gives the same windows; equal
+    windows have one anchor, whose number of salts spreads their join.
     """
     small_batches(docs.sparkSession)
     lists = materialise(shared_anchors(docs), "shared-anchors")
-    with_text = _join_by_items(docs, lists, ["doc_id", "tkey"], "inner", "anchors").select("doc_id", "tkey", "text", "anchors.anchor", "anchors.hot")
-    names = ["doc_id", "tkey", "start", "anchor", "words", "d1", "d2"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    with_text = _join_by_items(docs, lists, ["doc_id", "tkey"], "inner", "anchors").select("doc_id", "tkey", "text", "anchors.anchor", "anchors.salts")
+    names = ["doc_id", "tkey", "start", "anchor", "words", "d1", "d2", "salts"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,17 +198,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 heat = dict(zip(known.tolist(), hot.values.to_pylist()))
                 digests = window_digests(h) if any(heat.values()) else None
                 for x, y in _runs(a):
-                    is_hot = heat.get(int(a[x]))
-                    if is_hot is None:
+                    salts = heat.get(int(a[x]))
+                    if salts is None:
                         continue
-                    if is_hot:
-                        out += [(d, k, s, None, None, p, q) for s, p, q in zip(range(x, y), digests[0][x:y].tolist(), digests[1][x:y].tolist())]
+                    if salts:
+                        out += [(d, k, s, None, None, p, q, salts) for s, p, q in zip(range(x, y), digests[0][x:y].tolist(), digests[1][x:y].tolist())]
                     else:
-                        out.append((d, k, x, int(a[x : x + 1].view(np.int64)[0]), h[x : y + SPAN - 1].tobytes(), None, None))
+                        out.append((d, k, x, int(a[x : x + 1].view(np.int64)[0]), h[x : y + SPAN - 1].tobytes(), None, None, None))
             cols = list(zip(*out)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
 
-    pieces = materialise(with_text.mapInArrow(cut, "doc_id long, tkey long, start int, anchor long, words binary, d1 long, d2 long"), "pieces")
+    pieces = materialise(with_text.mapInArrow(cut, "doc_id long, tkey long, start int, anchor long, words binary, d1 long, d2 long, salts int"), "pieces")
     cold = pieces.filter("anchor is not null")
     words = cold.agg(F.sum(F.octet_length("words") / 8)).head()[0] or 0
     shards = max(1, int(words // SHARD_WORDS))
@@ -232,9 +235,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["doc_id", "tkey", "a", "z"])
 
     spans = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(match, "doc_id long, tkey long, a long, z long")
-    hot = pieces.filter("anchor is null").select("doc_id", "tkey", "start", "d1", "d2")
-    first = hot.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"))
-    again = hot.join(first, ["d1", "d2"]).filter("first < doc_id").select("doc_id", "tkey", F.col("start").cast("long").alias("a"), (F.col("start") + SPAN).cast("long").alias("z"))
+    hot = pieces.filter("anchor is null").select("doc_id", "tkey", "start", "d1", "d2", "salts")
+    first = hot.groupBy("d1", "d2", "salts").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    first = first.select("d1", "d2", "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    hot = hot.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts")).cast("int"))
+    again = hot.join(first, ["d1", "d2", "salt"]).filter("first < doc_id").select("doc_id", "tkey", F.col("start").cast("long").alias("a"), (F.col("start") + SPAN).cast("long").alias("z"))
     return spans.union(again).groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
 
 
@@ -274,6 +279,7 @@ def _kept(docs: DataFrame, texts: bool) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dedup_substrings`` of all documents, without the kept texts."""
     return _kept(documents(spark, sf_dir), False)
 
 

@@ -193,4 +193,5 @@ def _digests(ids: bytes, back: bytes) -> tuple[str, str]:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the ids and of the decoded bytes of all documents."""
     return _coded(documents(spark, sf_dir), None, _digests, "ids_sha256 string, decoded_sha256 string")

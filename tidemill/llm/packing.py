@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import cache
 from zlib import crc32
@@ -10,17 +11,23 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import documents, join_checked, materialise, small_batches
+from .bpe import load_ranks, merge
 
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids, several times faster (tests compare both).
 RANKS = "byte_bpe_50k.tiktoken"
 # Fixed value: the added token of byte_bpe_50k.json, which the library finds in a text under default settings.
 ADDED = {"<|endoftext|>": 50256}
+_ADDED = re.compile("(" + "|".join(map(re.escape, ADDED)) + ")")
+#: White space in a row beyond which ids come from the merge queue of ``bpe`` instead of the library.
+BLANK_RUN = 50_000
+_BLANK_RUN = re.compile(rf"\s{{{BLANK_RUN}}}")
 END_ID = 1
 LENGTH = 2048
 #: Tokens of a packet, the unit that a queue sends; sequences of a mixing window.
@@ -40,9 +47,17 @@ def tokenizer(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
+def _merged(text: str, path: str) -> list[int]:
+    return [i for piece in regex.findall(public_tokenizers.PATTERN, text) for i in merge(piece.encode(), load_ranks(path))]
+
+
 def token_ids(text: str | None, path: str) -> np.ndarray:
     """Ids of a whole text (null: empty), the added token's name in it being that token, then END_ID; unsigned 16-bit."""
-    ids = tokenizer(path).encode_to_numpy(text or "", allowed_special="all")
+    text = text or ""
+    if len(text) < BLANK_RUN or not _BLANK_RUN.search(text):
+        ids = tokenizer(path).encode_to_numpy(text, allowed_special="all")
+    else:  # the library's regex gives up on such a run
+        ids = [i for k, part in enumerate(_ADDED.split(text)) for i in ([ADDED[part]] if k % 2 else _merged(part, path))]
     out = np.empty(len(ids) + 1, "<u2")
     out[:-1], out[-1] = ids, END_ID
     return out

@@ -27,26 +27,51 @@ ALLOWED = (
     r"^[a-z]+(?:[/_-][a-z]+)*[/_-]?[0-9]{0,4}$",  # words and paths
 )
 
+#: Rows that a fold appends to one short array.
+CHUNK = 256
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often, and inside whatever lambda, it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _fold(rows: Column, kind: str, step) -> Column:
+    """Array of what ``step`` makes of each row and the position reached before it; ``step`` gives (position after, array to append).
+
+    Folded by CHUNK rows into short arrays, which are then appended whole: appending to one array row by row would be
+    quadratic in the matches of a text.
+    """
+    empty = F.array().cast(kind)
+
+    def one(acc: Column, x: Column) -> Column:
+        at, more = step(acc["at"], x)
+        return F.struct(at.alias("at"), F.concat(acc["out"], more).alias("out"))
+
+    def chunk(acc: Column, i: Column) -> Column:
+        part = F.aggregate(F.slice(rows, i * CHUNK + 1, CHUNK), F.struct(acc["at"].alias("at"), empty.alias("out")), one)
+        return F.struct(part["at"].alias("at"), F.concat(acc["out"], part["out"]).alias("out"))
+
+    count = F.greatest(F.lit(0), F.ceil(F.size(rows) / CHUNK).cast("int") - 1)  # an empty array is one empty chunk
+    return F.aggregate(F.sequence(F.lit(0), count), F.struct(F.lit(0).alias("at"), empty.alias("out")), chunk)["out"]
+
+
 def match_spans(text: Column, pattern: str, keep: int = 0) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches; value is group ``keep``.
 
     The pieces between the matches and the matches themselves give the places, in code points.
     """
     pieces, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(keep))
+    values = whole if keep == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(keep))
     rows = F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("p"), whole.alias("m"), values.alias("v"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["p"])
         end = start + F.length(x["m"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["v"].alias("value")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
+        return end, F.array(F.struct(start.alias("start"), end.alias("end"), x["v"].alias("value")))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(rows, zero, step)["out"]).otherwise(F.array().cast(_SPANS))
+    return F.when(text.rlike(pattern), _bound(rows, lambda r: _fold(r, _SPANS, step))).otherwise(F.array().cast(_SPANS))
 
 
 def _hot_windows(value: Column, bits: Column) -> Column:
@@ -54,17 +79,23 @@ def _hot_windows(value: Column, bits: Column) -> Column:
 
     With c the counts, the entropy of a window is log2(W) - sum(c log2 c) / W.
     """
-    chars = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    chars = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) + 1)  # places in the table of counts, 1 being any other character
     term = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
-    state = "struct<i:int,n:array<int>,s:double,old:array<int>,out:array<struct<start:int,end:int>>>"
-    zero = F.struct(F.lit(0), F.array_repeat(F.lit(0), len(ALPHABET) + 1), F.lit(0.0), F.array().cast("array<int>"), F.array().cast("array<struct<start:int,end:int>>")).cast(state)
+    state = "struct<i:int,n:string,s:double,old:array<int>,out:array<struct<start:int,end:int>>>"
+    # the table is a string: its k-th letter is A for a count of zero, B for one and so on, so that a change rewrites one letter
+    zero = F.struct(F.lit(0), F.lit("A" * (len(ALPHABET) + 1)), F.lit(0.0), F.array().cast("array<int>"), F.array().cast("array<struct<start:int,end:int>>")).cast(state)
+    count = lambda n, k: F.ascii(F.substr(n, k, F.lit(1))) - ord("A")
+    changed = lambda n, k, by: F.overlay(n, F.char(count(n, k) + ord("A") + by), k, F.lit(1))
 
     def step(a: Column, c: Column) -> Column:
         full = F.size(a["old"]) >= WINDOW
-        gone = F.when(full, F.element_at(a["old"], 1)).otherwise(F.lit(-1))
-        less = F.transform(a["n"], lambda n, j: n - (j == gone).cast("int"))
-        n = F.transform(less, lambda n, j: n + (j == c).cast("int"))
-        was_out, was_in = F.when(full, F.get(a["n"], gone)).otherwise(F.lit(0)), F.get(less, c)
+        gone = F.element_at(a["old"], 1)
+        less = F.when(full, changed(a["n"], gone, -1)).otherwise(a["n"])
+        return _bound(less, lambda less: moved(a, c, full, gone, less))
+
+    def moved(a: Column, c: Column, full: Column, gone: Column, less: Column) -> Column:
+        was_in, was_out = count(less, c), F.when(full, count(a["n"], gone)).otherwise(F.lit(0))
+        n = changed(less, c, 1)
         s = a["s"] - F.when(full, term(was_out) - term(was_out - 1)).otherwise(F.lit(0.0)) + term(was_in + 1) - term(was_in)
         old = F.concat(F.when(full, F.slice(a["old"], 2, WINDOW - 1)).otherwise(a["old"]), F.array(c))
         end = a["i"] + 1
@@ -89,7 +120,8 @@ def entropy_spans(text: Column) -> Column:
         bits = F.lit(CLASSES[-1][2])
         for _, pattern, b in reversed(CLASSES[:-1]):
             bits = F.when(x["value"].rlike(pattern), F.lit(b)).otherwise(bits)
-        return F.transform(_hot_windows(x["value"], bits), lambda w: F.struct((x["start"] + w["start"]).alias("start"), (x["start"] + w["end"]).alias("end")))
+        hot = _bound(bits, lambda b: _hot_windows(x["value"], b))
+        return F.transform(hot, lambda w: F.struct((x["start"] + w["start"]).alias("start"), (x["start"] + w["end"]).alias("end")))
 
     return F.flatten(F.transform(found, spans))
 
@@ -127,16 +159,20 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span (overlapping ones as one) in ``text`` replaced by ``mark`` (``n_chars``, if there, follows); other texts are unchanged."""
+    """``docs`` with every span (overlapping ones as one) in ``text`` replaced by ``mark`` (``n_chars``, if there, follows); other texts are unchanged.
+
+    No row is dropped, whatever its doc_id; null and empty texts stay as they are, repeated rows get repeated results,
+    and helper columns keep clear of the frame's own.
+    """
     text = text_of()
+    spans, new = free_name(docs, "_spans"), free_name(docs, "_new")
 
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["start"] >= a["at"]
-        cut = F.concat(a["out"], F.substr(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark))
-        return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(fresh, cut).otherwise(a["out"]).alias("out"))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        cut = F.array(F.substr(text, at + 1, x["start"] - at), F.lit(mark))
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, cut).otherwise(F.array().cast("array<string>"))
 
-    spans, new = free_name(docs, "_spans"), free_name(docs, "_new")
-    done = F.aggregate(F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
+    last = F.array_max(F.transform(F.col(spans), lambda x: x["end"]))
+    done = F.concat(F.array_join(_bound(F.col(spans), lambda r: _fold(r, "array<string>", step)), ""), F.substr(text, last + 1))
     out = scan(docs, spans).withColumn(new, F.when(F.size(spans) > 0, done))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length(new).cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
@@ -144,4 +180,5 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``report`` of all documents."""
     return report(documents(spark, sf_dir))

@@ -330,7 +330,7 @@ def test_same_ids_as_the_tokenizers_library(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     path = public_tokenizers.path(packing.RANKS)
     named = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b", "<|endoftext|", "x <|endoftext|>\n\n y"]
-    for x in [*texts.values(), *named, "ab " * 350_000, "a" * 20_000]:
+    for x in [*texts.values(), *named, "ab " * 350_000, "a" * 20_000, " " * 60_000, "a " + "  \n" * 30_000 + "x<|endoftext|> y"]:
         assert packing.token_ids(x, path).tolist() == [*t.encode(x or "", add_special_tokens=False).ids, 1]
 
 

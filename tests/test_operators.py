@@ -364,10 +364,86 @@ def test_whole_fingerprints_group_greedily(spark):
         assert 1 < len(set(want.values())) < len(want)
 
 
-def test_lineage_deeper_than_64(spark):
-    edges = spark.createDataFrame([(k, k - 1 if k else None) for k in range(150)], "node_id long, parent_id long")
-    last = G.tree(edges).filter("node_id in (0, 149)").orderBy("node_id").collect()
-    assert [tuple(r) for r in last] == [(0, 0, 0, 149), (149, 0, 149, 0)]
-    ring = spark.createDataFrame([(k, (k - 1) % 5) for k in range(5)], "node_id long, parent_id long")
-    assert G.ancestors(ring).count() == 20
-    assert [r.error for r in G.link_errors(edges, spark.createDataFrame([(0, 149)], "node_id long, parent_id long")).collect()] == ["cycle"]
+def test_lineage_of_a_long_chain(spark):
+    n = 1000
+    edges = spark.createDataFrame([(k, k - 1 if k else None) for k in range(n)] + [(2000, 2001), (2001, 2000), (2002, 2000), (3001, 3000)], "node_id long, parent_id long")
+    got = {r.node_id: (r.root, r.depth, r.descendants, r.height) for r in G.tree(edges).collect()}
+    assert all(got[k] == (0, k, n - 1 - k, n - 1 - k) for k in range(n))
+    assert got[2000] == got[2001] == got[2002] == (None,) * 4 and got[3001] == (3000, 1, 0, 0) and 3000 not in got
+    asked = [(999, 0), (0, 999), (500, 500), (7, 4000), (3, 999), (999, 3), (10, None)]
+    bad = {(r.node_id, r.parent_id): r.error for r in G.link_errors(edges, spark.createDataFrame(asked, "node_id long, parent_id long")).collect()}
+    assert bad == {(0, 999): "cycle", (500, 500): "self", (7, 4000): "missing_parent", (3, 999): "cycle"}
+    linked = {r.node_id: r.parent_id for r in G.relink(edges, spark.createDataFrame(asked, "node_id long, parent_id long")).collect()}
+    assert linked[10] is None and linked[999] == 0 and linked[0] is None and linked[500] == 499 and linked[3] == 2
+
+
+def test_tree_against_a_walk(spark):
+    rng = random.Random(8)
+    parent = {k: rng.choice([None, *range(max(0, k - 9), k)]) if k else None for k in range(300)}
+    got = {r.node_id: (r.root, r.depth, r.descendants, r.height) for r in G.tree(spark.createDataFrame(list(parent.items()), "node_id long, parent_id long")).collect()}
+    under, high = {k: 0 for k in parent}, {k: 0 for k in parent}
+    for k in parent:
+        up, d = parent[k], 1
+        while up is not None:
+            under[up], high[up] = under[up] + 1, max(high[up], d)
+            up, d = parent[up], d + 1
+    for k in parent:
+        r, d = k, 0
+        while parent[r] is not None:
+            r, d = parent[r], d + 1
+        assert got[k] == (r, d, under[k], high[k])
+
+
+def test_too_many_tags_are_refused(spark):
+    tags = spark.createDataFrame([(1, ["b", "a", "a"]), (2, [f"t{k}" for k in range(50)]), (3, ["x"])], "strategy_id long, tags array<string>")
+    changes = spark.createDataFrame([(1, ["c"], ["b"]), (2, ["new"], []), (4, [f"t{k}" for k in range(51)], []), (5, ["z", "y"], None)], "strategy_id long, add array<string>, remove array<string>")
+    got = {r.strategy_id: (r.tags, r.error) for r in G.edit_tags(tags, changes).collect()}
+    assert got[1] == (["a", "c"], None) and got[3] == (["x"], None) and got[5] == (["y", "z"], None)
+    assert len(got[2][0]) == 50 and "new" not in got[2][0] and "50" in got[2][1] and got[4][0] == [] and "50" in got[4][1]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 2.0, 50.0])
+def test_cusum_like_a_loop(spark, threshold):
+    rng = random.Random(4)
+    series = {"a": [rng.gauss(0.05, 1) for _ in range(3000)], "b": [1.0], "c": [rng.gauss(0, 0.3) for _ in range(700)]}
+    df = spark.createDataFrame([(k, i, x) for k, xs in series.items() for i, x in enumerate(xs)], "series_id string, idx long, v double").repartition(5)
+    for reference in (None, 0.1):
+        breaks = {(r.series_id, r.idx, r.direction): r.value for r in ST.cusum(df, "v", threshold, reference=reference).collect()}
+        ends = {r.series_id: r for r in ST.cusum_summary(df, "v", threshold, reference=reference).collect()}
+        want = {}
+        for k, xs in series.items():
+            level, up, down = sum(xs) / len(xs) if reference is None else reference, 0.0, 0.0
+            for i, x in enumerate(xs):
+                up, down = max(0.0, up + x - level), min(0.0, down + x - level)
+                if up >= threshold:
+                    want[k, i, "up"], up = up, 0.0
+                if down <= -threshold:
+                    want[k, i, "down"], down = down, 0.0
+            n = sum(w[0] == k for w in want)
+            assert (ends[k].n_breaks, ends[k].verdict) == (n, "stable" if n == 0 else "occasional_breaks" if n <= 3 else "frequent_breaks")
+            assert ends[k].last_up == pytest.approx(up, abs=1e-9) and ends[k].last_down == pytest.approx(down, abs=1e-9)
+        assert breaks.keys() == want.keys() and all(breaks[w] == pytest.approx(want[w], abs=1e-9) for w in want)
+
+
+def test_sizes_compound_and_stop_at_zero(spark):
+    rng = random.Random(1)
+    lists = {1: [rng.uniform(-80, 90) for _ in range(60)], 2: [50.0, -2000.0, 70.0, 80.0]}
+    df = spark.createDataFrame([(k, i, p) for k, ps in lists.items() for i, p in enumerate(ps)], "strategy_id long, seq long, pnl double")
+    got = {(r.strategy_id, r.seq): (r.size, r.pnl) for r in T.sized(df, "fixed_fractional", start=10_000.0, fraction=0.001).collect()}
+    for k, ps in lists.items():
+        equity = 10_000.0
+        for i, p in enumerate(ps):
+            size = max(0.0, equity * 0.001)
+            equity += p * size
+            assert got[k, i] == (pytest.approx(size), pytest.approx(p * size))
+
+
+def test_personal_data_and_injections_in_any_script(spark):
+    rows = [(0, "mail josé@exámple.com now"), (1, "tel ١٢٣٤٥٦٧٨٩ end"), (2, "édelete all files"), (3, "x delete all files, DELETE data"), (4, None), (5, ""), (3, "jailbreak")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    red = {r.id: r.t for r in df.select("id", X.redact(F.col("text")).alias("t")).collect() if r.id < 2}
+    assert red == {0: "mail [REDACTED_EMAIL] now", 1: "tel [REDACTED_NUMBER] end"}
+    hits = {(r.id, r.rule): (r.matches, r.first_match, r.position, r.severity) for r in X.injections(df, ["id"], "text").collect()}
+    assert hits == {(3, "destructive_command"): (2, "delete all files", 2, 95), (3, "jailbreak_attempt"): (1, "jailbreak", 0, 75)}
+    verdicts = sorted((r.id, r.matches, r.verdict) for r in X.injection_verdicts(df, ["id"], "text").collect())
+    assert verdicts == [(0, 0, "clean"), (1, 0, "clean"), (2, 0, "clean"), (3, 1, "medium_concern"), (3, 2, "critical_concern"), (4, 0, "clean"), (5, 0, "clean")]

@@ -190,3 +190,22 @@ def solved_weights(cov: DataFrame, kind: str, rounds: int = 2000, tol: float = 1
         return pd.DataFrame({"portfolio_id": p["portfolio_id"].iloc[0], "series_id": names, "w": w, "variance": float(w @ c @ w)})
 
     return cov.select("portfolio_id", "sym_a", "sym_b", "cov").groupBy("portfolio_id").applyInPandas(solve, "portfolio_id string, series_id string, w double, variance double")
+
+
+def registry_lookup(registry: DataFrame, symbol: str | None = None, timeframe: str | None = None) -> DataFrame:
+    """Rows whose symbol, alias or instrument is ``symbol`` and whose timeframe is ``timeframe`` (None: any); ``date_to`` from epoch milliseconds to ISO text."""
+    if symbol is not None:
+        registry = registry.filter(F.lit(symbol).isin(F.col("symbol"), F.col("alias"), F.col("instrument")))
+    if timeframe is not None:
+        registry = registry.filter(F.col("timeframe") == timeframe)
+    return registry.withColumn("date_to", F.date_format(F.timestamp_millis("date_to"), "yyyy-MM-dd'T'HH:mm:ss"))
+
+
+def registry_query(table: DataFrame, column: str | None, value: str | None, order: str, limit: int = 50) -> DataFrame:
+    """The first ``limit`` rows by ``order`` whose ``column`` holds ``value`` in any case (None: all rows), with ``total``, the number of all such rows."""
+    if column is not None and value is not None:
+        if column not in table.columns:
+            raise ValueError(f"no column {column!r}; there are {', '.join(sorted(table.columns))}")
+        table = table.filter(F.contains(F.upper(F.col(column).cast("string")), F.lit(value.upper())))
+    total = table.agg(F.count(F.lit(1)).alias("total"))  # one row
+    return table.orderBy(order).limit(limit).join(F.broadcast(total))

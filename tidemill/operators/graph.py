@@ -25,24 +25,76 @@ def ancestors(edges: DataFrame) -> DataFrame:
         paths = new
 
 
+def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(node_id, root, depth, descendants, height) of every node, and the tables (node_id, up) of ancestors at 1, 2, 4, ... steps.
+
+    Each round doubles the steps: a node's ancestor at 2^(k+1) is that of its ancestor at 2^k, and what is known of the
+    descendants up to 2^k steps down comes up from the nodes 2^k below. Rows stay one a node, rounds are the logarithm of the
+    depth. A parent that has no row is a root. Nodes on a cycle, or below one, have no root, depth, descendants or height: all null.
+    """
+    known = edges.select("node_id", "parent_id").distinct()
+    roots = known.select(F.col("parent_id").alias("node_id")).filter("node_id is not null").distinct().join(known, "node_id", "left_anti")
+    every = known.unionByName(roots.withColumn("parent_id", F.lit(None).cast(known.schema["parent_id"].dataType)))
+    zero = F.lit(0).cast("long")
+    state = materialise(every.select("node_id", F.col("parent_id").alias("up"), F.col("node_id").alias("root"), zero.alias("depth"), zero.alias("descendants"), zero.alias("height")), "jumps")
+    tables, step, nodes = [], 1, state.count()
+    while step <= 2 * nodes and state.filter("up is not null").head(1):
+        tables.append(state.filter("up is not null").select("node_id", "up"))
+        above = state.select(F.col("node_id").alias("up"), F.col("up").alias("far"), F.col("root").alias("top"), F.col("depth").alias("more"))
+        below = state.filter("up is not null").groupBy(F.col("up").alias("node_id")).agg(F.sum(F.col("descendants") + 1).alias("under"), (F.max("height") + step).alias("down"))
+        new = state.join(above, "up", "left").join(below, "node_id", "left")
+        on = F.col("up").isNotNull()
+        state = materialise(
+            new.select(
+                "node_id", F.col("far").alias("up"), F.when(on, F.col("top")).otherwise(F.col("root")).alias("root"), F.when(on, F.col("more") + step).otherwise(F.col("depth")).alias("depth"),
+                (F.col("descendants") + F.coalesce("under", zero)).alias("descendants"), F.greatest("height", F.coalesce("down", zero)).alias("height"),
+            ), "jumps",
+        )
+        step *= 2
+    done = F.col("up").isNull()
+    out = state.select("node_id", *(F.when(done, F.col(c)).alias(c) for c in ("root", "depth", "descendants", "height")))
+    return out.join(known.select("node_id").distinct(), "node_id", "left_semi"), tables
+
+
 def tree(edges: DataFrame) -> DataFrame:
-    """Each node's root, depth, and number of descendants."""
-    up = ancestors(edges)
-    roots = up.groupBy("node_id").agg(F.max("distance").alias("depth"), F.max_by("ancestor", "distance").alias("root"))
-    down = up.groupBy(F.col("ancestor").alias("node_id")).agg(F.count(F.lit(1)).alias("descendants"))
-    out = edges.select("node_id").join(roots, "node_id", "left").join(down, "node_id", "left")
-    return out.select("node_id", F.coalesce("root", "node_id").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("descendants", F.lit(0)).alias("descendants"))
+    """Each node's root, depth, number of descendants and height (steps to the farthest of them)."""
+    return jumps(edges)[0]
+
+
+def descends(pairs: DataFrame, edges: DataFrame, low: str, high: str) -> DataFrame:
+    """The (low, high) pairs of ``pairs`` in which ``low`` descends from ``high``: ``low`` climbs the difference of their depths, a bit of it at a time."""
+    depths, tables = jumps(edges)
+    at = lambda c: depths.select(F.col("node_id").alias(c), F.col("depth").alias(f"_{c}"), F.col("root").alias(f"_{c}_root"))
+    p = pairs.select(low, high).distinct().join(at(low), low).join(at(high), high)
+    p = p.filter(F.col(f"_{low}_root") == F.col(f"_{high}_root")).withColumn("_need", F.col(f"_{low}") - F.col(f"_{high}")).filter("_need > 0").withColumn("_now", F.col(low))
+    for k, table in enumerate(tables):
+        up = table.select(F.col("node_id").alias("_now"), F.col("up").alias("_up"))
+        climbs = F.floor(F.col("_need") / (1 << k)) % 2 == 1
+        p = p.join(up, "_now", "left").withColumn("_now", F.when(climbs, F.col("_up")).otherwise(F.col("_now"))).drop("_up")
+    return p.filter(F.col("_now") == F.col(high)).select(low, high)
 
 
 def link_errors(edges: DataFrame, proposed: DataFrame) -> DataFrame:
     """Proposed (node_id, parent_id) that may not be: ``self``, ``missing_parent`` or ``cycle`` (the parent descends from the node)."""
     known = edges.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("_known")).distinct()
-    loop = ancestors(edges).select(F.col("node_id").alias("parent_id"), F.col("ancestor").alias("node_id"), F.lit(True).alias("_loop")).distinct()
+    loop = descends(proposed.filter("parent_id is not null"), edges, "parent_id", "node_id").withColumn("_loop", F.lit(True))
     p = proposed.join(known, "parent_id", "left").join(loop, ["node_id", "parent_id"], "left")
     error = F.when(F.col("node_id") == F.col("parent_id"), "self").when(F.col("_known").isNull() & F.col("parent_id").isNotNull(), "missing_parent").when(F.col("_loop"), "cycle")
     return p.withColumn("error", error).filter("error is not null").select("node_id", "parent_id", "error")
 
 
+def relink(edges: DataFrame, proposed: DataFrame) -> DataFrame:
+    """Edges after the nodes of ``proposed`` (node_id, parent_id; null detaches) get their new parents, all checked against the edges as they are.
+
+    A link that ``link_errors`` refuses, or whose node has no row, changes nothing. Of several for a node the smallest parent counts.
+    Other columns stay.
+    """
+    bad = link_errors(edges, proposed).select("node_id", F.coalesce(F.col("parent_id").cast("string"), F.lit("")).alias("_p"))
+    good = proposed.withColumn("_p", F.coalesce(F.col("parent_id").cast("string"), F.lit(""))).join(bad, ["node_id", "_p"], "left_anti")
+    new = good.groupBy("node_id").agg(F.min("parent_id").alias("_new"), F.lit(True).alias("_set"))
+    return edges.join(new, "node_id", "left").withColumn("parent_id", F.when(F.col("_set"), F.col("_new")).otherwise(F.col("parent_id"))).select(*edges.columns)
+
+
 def without_nodes(edges: DataFrame, gone: DataFrame) -> DataFrame:
     """Edges after nodes are removed; their children become roots."""
     g = gone.select("node_id").distinct()
@@ -51,11 +103,15 @@ def without_nodes(edges: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def edit_tags(tags: DataFrame, changes: DataFrame, key: str = "strategy_id") -> DataFrame:
-    """Tags after a batch of changes (key, add, remove: arrays): sorted, distinct, MOST_TAGS at most, the first by name."""
+    """Tags after a batch of changes (key, add, remove: arrays), sorted and distinct, and ``error``.
+
+    A change that would leave more than MOST_TAGS tags is refused: the tags stay as they were, and ``error`` says why.
+    """
     none = F.array().cast("array<string>")
-    j = tags.join(changes, key, "full_outer")
-    new = F.array_except(F.array_union(F.coalesce("tags", none), F.coalesce("add", none)), F.coalesce("remove", none))
-    return j.select(key, F.slice(F.array_sort(F.array_distinct(new)), 1, MOST_TAGS).alias("tags"))
+    j = tags.join(changes, key, "full_outer").withColumn("_old", F.coalesce("tags", none))
+    new = F.array_sort(F.array_except(F.array_union(F.col("_old"), F.coalesce("add", none)), F.coalesce("remove", none)))
+    j = j.withColumn("_new", new).withColumn("error", F.when((F.size("_new") > MOST_TAGS) & F.col("add").isNotNull(), f"would exceed {MOST_TAGS} tags"))
+    return j.select(key, F.when(F.col("error").isNull(), F.col("_new")).otherwise(F.array_sort(F.array_distinct("_old"))).alias("tags"), "error")
 
 
 def rename_tag(tags: Column, old: str, new: str) -> Column:

@@ -65,6 +65,12 @@ def presence_matrix(rows: DataFrame, timeframes: list[str]) -> DataFrame:
     return out.withColumn("missing", F.array_join(F.filter(F.array(*(F.when(F.col(t) == 0, F.lit(t)) for t in timeframes)), lambda x: x.isNotNull()), ","))
 
 
+def history_summary(bars: DataFrame, seconds: int) -> DataFrame:
+    """Per series the bars, the first and the last start, the bars of a gapless series between them, and the extremes."""
+    first, last = F.min("t"), F.max("t")
+    return bars.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), first.alias("first_t"), last.alias("last_t"), (F.floor((last - first) / seconds) + 1).alias("expected"), F.max("high").alias("high"), F.min("low").alias("low"))
+
+
 def version_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Two versions of the same series: counts, and rows that only the new one has."""
     added = new.join(old.select("series_id", "t"), ["series_id", "t"], "left_anti").groupBy("series_id").agg(F.count(F.lit(1)).alias("appended"))

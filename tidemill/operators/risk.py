@@ -175,3 +175,9 @@ def irr(flows: DataFrame, tol: float = 1e-10) -> DataFrame:
         return pd.DataFrame({"account": [p["account"].iloc[0]], "irr": [(lo + hi) / 2]})
 
     return flows.select("account", "t", "flow").groupBy("account").applyInPandas(solve, "account long, irr double")
+
+
+def liquidation_price(entry: Column, leverage: Column, long: Column, margin_pct: Column) -> Column:
+    """Price at which an isolated position is closed: the entry less (long) or plus (short) what leverage leaves above the maintenance margin."""
+    room = 1 / leverage - margin_pct / 100
+    return entry * (1 + F.when(long, -room).otherwise(room))

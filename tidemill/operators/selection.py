@@ -159,6 +159,13 @@ def fold_summary(folds: DataFrame, *keys: str) -> DataFrame:
     return g.withColumn("efficiency", F.when(F.col("is_mean") > 0, F.col("oos_mean") / F.col("is_mean")))
 
 
+def databank_folds(strategies: DataFrame, metric: str) -> DataFrame:
+    """Fold summary by project and databank, a strategy being a fold of ``<metric>_is`` and ``<metric>_oos``; two folds at least."""
+    x, y = F.col(f"{metric}_is"), F.col(f"{metric}_oos")
+    folds = strategies.filter(x.isNotNull() & y.isNotNull()).select("project", "databank", x.alias("is_metric"), y.alias("oos_metric"))
+    return fold_summary(folds, "project", "databank").filter("n >= 2")
+
+
 def consistency(summary: DataFrame) -> DataFrame:
     """0 to 100: up to 40 for mean over deviation (5 without deviation), 30 for positive folds, 30 for efficiency; 0 without a positive mean."""
     m, zero = F.col("oos_mean"), F.lit(0.0)

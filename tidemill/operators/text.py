@@ -29,18 +29,23 @@ PERSONAL = [
     (r"(?i)\b[a-f0-9]{32,}\b", "[REDACTED_HEX_KEY]"),
     (r"\b\d{8,}\b", "[REDACTED_NUMBER]"),
 ]
-SEVERITY = [("<", 50, "low"), ("<", 80, "medium"), ("<", 95, "high")]
+SEVERITY = [("<", 50, "low_concern"), ("<", 80, "medium_concern"), ("<", 95, "high_concern")]
+#: Characters of a match that are kept.
+SHOWN = 120
+# The names of role tags.
+ROLE_TAG = r"(?i)<(/?(?:system|assistant|user|tool|instructions?))>"
 
 
 def sanitize(text: Column) -> Column:
     """Breaks code fences with a zero-width space and escapes role tags."""
     out = F.regexp_replace(text, "```", "``​`")
-    return F.regexp_replace(out, r"(?i)<(/?(?:system|assistant|user|tool|instructions?))>", "&lt;$1&gt;")
+    return F.regexp_replace(out, ROLE_TAG, "&lt;$1&gt;")
 
 
 def redact(text: Column) -> Column:
+    """Personal data replaced by marks; words and digits are those of Unicode."""
     for pattern, mark in PERSONAL:
-        text = F.regexp_replace(text, pattern, mark.replace("$", r"\$"))
+        text = F.regexp_replace(text, f"(?U){pattern}", mark.replace("$", r"\$"))
     return text
 
 
@@ -57,18 +62,33 @@ def over_strings(value: Column, kind: T.DataType, f) -> Column:
     return value
 
 
-def injections(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """A row a rule that matches a text: key, rule, severity, matches. Texts without any match give none."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    found = F.array(*(F.struct(F.lit(label).alias("rule"), F.lit(k).alias("rule_no"), F.lit(sev).alias("severity"), F.regexp_count(t, F.lit(f"(?i){p}")).cast("long").alias("matches")) for k, (p, label, sev) in enumerate(INJECTION)))
-    quick = t.rlike("(?i)" + "|".join(f"(?:{p})" for p, _, _ in INJECTION))
-    return rows.filter(quick).select(key, F.inline(F.filter(found, lambda x: x["matches"] > 0)))
+def injection_hits(text: Column) -> Column:
+    """Array of (rule, rule_no, severity, matches, first_match, position) of the rules that match a text: how often, and where first (from 0)."""
+    t = F.coalesce(text, F.lit(""))
 
+    def hit(k: int, pattern: str, label: str, severity: int) -> Column:
+        p = F.lit(f"(?iU){pattern}")
+        return F.struct(
+            F.lit(label).alias("rule"), F.lit(k).alias("rule_no"), F.lit(severity).alias("severity"), F.regexp_count(t, p).cast("long").alias("matches"),
+            F.left(F.regexp_substr(t, p), F.lit(SHOWN)).alias("first_match"), (F.regexp_instr(t, p) - 1).cast("long").alias("position"),
+        )
 
-def injection_verdicts(rows: DataFrame, key: str, text: str) -> DataFrame:
-    g = injections(rows, key, text).groupBy(key).agg(F.sum("matches").alias("matches"), F.max("severity").alias("severity"))
-    out = rows.select(key).join(g, key, "left").fillna(0, ["matches", "severity"])
-    return out.withColumn("verdict", F.when(F.col("matches") == 0, "clean").otherwise(bands(F.col("severity"), SEVERITY, "critical")))
+    found = F.array(*(F.when(t.rlike(f"(?iU){p}"), hit(k, p, label, severity)) for k, (p, label, severity) in enumerate(INJECTION)))
+    quick = t.rlike("(?iU)" + "|".join(f"(?:{p})" for p, _, _ in INJECTION))
+    return F.when(quick, F.array_compact(found)).otherwise(F.slice(found, 1, 0))
+
+
+def injections(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """A row a rule that matches a text: keys, then the columns of ``injection_hits``. Texts without any match give none."""
+    return rows.select(*keys, F.inline(injection_hits(F.col(text))))
+
+
+def injection_verdicts(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Per row the number of matches, the largest severity and the verdict; one projection, so rows that repeat a key stay apart."""
+    out = rows.select(*keys, injection_hits(F.col(text)).alias("_hits"))
+    matches, severity = F.aggregate("_hits", F.lit(0).cast("long"), lambda n, x: n + x["matches"]), F.coalesce(F.array_max(F.transform("_hits", lambda x: x["severity"])), F.lit(0))
+    out = out.select(*keys, matches.alias("matches"), severity.alias("severity"))
+    return out.withColumn("verdict", F.when(F.col("matches") == 0, "clean").otherwise(bands(F.col("severity"), SEVERITY, "critical_concern")))
 
 
 def plain(html: Column) -> Column:

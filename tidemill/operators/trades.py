@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,47 +43,52 @@ def cost_grid(trades: DataFrame, commissions: list[float], slippages: list[float
 def sized(trades: DataFrame, mode: str, start: float = 10000.0, lot: float = 1.0, fraction: float = 0.001, risk_pct: float = 1.0, risk: float = 100.0) -> DataFrame:
     """pnl scaled by size: a fixed lot, a fraction of equity, or a share of equity by average risk.
 
-    Equity compounds trade by trade and sizes stop at zero, so the last two are folds in order.
+    Equity compounds: a trade multiplies it by one plus share times pnl, and the first factor that is not positive ends
+    all sizes. So equity is the exponential of a running sum of logarithms, and a window gives it.
     """
     if mode == "fixed_lot":
         return trades.withColumn("size", F.lit(lot)).withColumn("pnl", F.col("pnl") * lot)
     share = fraction if mode == "fixed_fractional" else risk_pct / 100 / max(risk, 1e-9)
-
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(ORDER, kind="stable")
-        equity, sizes, out = start, [], []
-        for x in p["pnl"]:
-            sizes.append(max(0.0, equity * share))
-            out.append(x * sizes[-1])
-            equity += out[-1]
-        return p.assign(size=sizes, pnl=out)
-
-    return trades.select(KEY, ORDER, "pnl").withColumn("size", F.lit(0.0)).groupBy(KEY).applyInPandas(fold, f"{KEY} long, {ORDER} long, pnl double, size double")
+    before = Window.partitionBy(KEY).orderBy(ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    rows = trades.select(KEY, ORDER, "pnl").withColumn("_f", 1 + share * F.col("pnl"))
+    grown = F.exp(F.coalesce(F.sum(F.ln(F.when(F.col("_f") > 0, F.col("_f")))).over(before), F.lit(0.0)))
+    over = F.coalesce(F.max(F.col("_f") <= 0).over(before), F.lit(False))
+    rows = rows.withColumn("size", F.when(over, 0.0).otherwise(start * share * grown))
+    return rows.select(KEY, ORDER, (F.col("pnl") * F.col("size")).alias("pnl"), "size")
 
 
 def risk_capped(trades: DataFrame, trade_cap: float | None, day_cap: float | None, week_cap: float | None, per_day: int) -> DataFrame:
-    """Losses held to a cap a trade, and left out beyond caps a day (``per_day`` trades) and a week (5 days); gains lower the running losses, to zero at least."""
-
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(ORDER, kind="stable")
-        day = week = 0.0
-        trades_today = days = 0
-        out = []
-        for x in p["pnl"]:
-            if trade_cap is not None and x < -trade_cap:
-                x = -trade_cap
-            for run, cap in ((day, day_cap), (week, week_cap)):
-                if cap is not None and x < 0 and run - x > cap:
-                    x = 0.0
-            out.append(x)
-            day, week, trades_today = max(0.0, day - x), max(0.0, week - x), trades_today + 1
-            if trades_today >= per_day:
-                day, trades_today, days = 0.0, 0, days + 1
-                if days == 5:
-                    week, days = 0.0, 0
-        return p.assign(pnl=out)
-
-    return trades.select(KEY, ORDER, "pnl").groupBy(KEY).applyInPandas(fold, f"{KEY} long, {ORDER} long, pnl double")
+    """pnl under loss caps, with ``capped`` (the loss was cut to the cap of a trade), ``skipped`` (it would have broken that of its day or week), ``day`` and ``week``.
+
+    A day is ``per_day`` trades in order, a week five days. The running loss of either falls by gains, to zero at
+    least, and ends with it; so weeks do not touch each other: a week's few trades are one array, folded by an expression.
+    """
+    at = F.row_number().over(Window.partitionBy(KEY).orderBy(ORDER)) - 1
+    rows = trades.select(KEY, ORDER, "pnl").withColumn("day", F.floor(at / per_day))
+    weeks = rows.groupBy(KEY, F.floor(F.col("day") / 5).alias("week")).agg(F.array_sort(F.collect_list(F.struct(ORDER, "day", "pnl"))).alias("xs"))  # 5 * per_day trades at most
+    result = f"struct<{ORDER}:bigint,day:bigint,pnl:double,capped:boolean,skipped:boolean>"
+    state = f"struct<day:bigint,lost:double,week_lost:double,out:array<{result}>>"
+
+    def step(a: Column, x: Column) -> Column:
+        cut = x["pnl"] if trade_cap is None else F.greatest(x["pnl"], F.lit(-float(trade_cap)))
+        today = F.when(a["day"] == x["day"], a["lost"]).otherwise(0.0)
+        breaks = [(lost - cut) > cap for lost, cap in ((today, day_cap), (a["week_lost"], week_cap)) if cap is not None]
+        skip = (cut < 0) & (F.greatest(F.lit(False), *breaks) if breaks else F.lit(False))
+        kept = F.when(skip, 0.0).otherwise(cut)
+        row = F.struct(x[ORDER], x["day"], kept, cut != x["pnl"], skip).cast(result)
+        fallen = lambda lost: F.greatest(F.lit(0.0), lost - kept)
+        return F.struct(x["day"], fallen(today), fallen(a["week_lost"]), F.concat(a["out"], F.array(row))).cast(state)
+
+    zero = F.struct(F.lit(-1), F.lit(0.0), F.lit(0.0), F.array().cast(f"array<{result}>")).cast(state)
+    return weeks.select(KEY, "week", F.inline(F.aggregate("xs", zero, step)["out"]))
+
+
+def cap_counts(capped: DataFrame, per_day: int) -> DataFrame:
+    """Per strategy: trades whose loss was cut, trades left out, and the whole days and weeks gone through."""
+    n = F.count(F.lit(1))
+    return capped.groupBy(KEY).agg(
+        F.count(F.when(F.col("capped"), 1)).alias("n_capped"), F.count(F.when(F.col("skipped"), 1)).alias("n_skipped"), F.floor(n / per_day).alias("n_days"), F.floor(n / (5 * per_day)).alias("n_weeks")
+    )
 
 
 def slipped(pnl: Column, pct: float) -> Column:

@@ -209,11 +209,15 @@ def _(v):
 
 
 _TF = ["H1", "H4", "D1"]
-for _name in ("symbol_timeframe_matrix", "symbol_data_summary", "history_data_summary"):
+@query("symbol_timeframe_matrix", f"""SELECT symbol, {', '.join(f"count(*) FILTER (timeframe = '{t}') AS {t}" for t in _TF)}, concat_ws(',', {', '.join(f"CASE WHEN count(*) FILTER (timeframe = '{t}') = 0 THEN '{t}' END" for t in _TF)}) AS missing FROM strategies GROUP BY symbol""")
+def _(v):
+    return H.presence_matrix(v.strategies, _TF)
+
 
-    @query(_name, f"""SELECT symbol, {', '.join(f"count(*) FILTER (timeframe = '{t}') AS {t}" for t in _TF)}, concat_ws(',', {', '.join(f"CASE WHEN count(*) FILTER (timeframe = '{t}') = 0 THEN '{t}' END" for t in _TF)}) AS missing FROM strategies GROUP BY symbol""")
-    def _(v):
-        return H.presence_matrix(v.strategies, _TF)
+@query("history_data_summary", '-- floats: high low\nSELECT series_id, count(*) AS n, min(t) AS first_t, max(t) AS last_t, (max(t) - min(t)) // 3600 + 1 AS expected, max(high) AS high, min(low) AS low FROM bars GROUP BY series_id')
+def _(v):
+    """What the history of each series holds: bars, ends, bars that a gapless one would have, extremes."""
+    return H.history_summary(v.bars, 3600)
 
 
 @query("data_dat_header_diff", """SELECT series_id, n_new, last_new, n_old, last_old, n_new - n_old AS appended FROM (SELECT series_id, count(*) AS n_new, max(t) AS last_new, count(*) FILTER (t < 1705276800) AS n_old, max(t) FILTER (t < 1705276800) AS last_old FROM bars GROUP BY ALL)""")

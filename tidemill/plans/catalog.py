@@ -456,11 +456,23 @@ def _(v):
     return best.union(s.orderBy(F.asc_nulls_last("score"), "strategy_id").limit(10).select("strategy_id", F.lit("worst").alias("side")))
 
 
-for _n in ("databank_list", "databank_count", "projects_inventory"):
+@query("databank_list", "SELECT project, databank, count(*) AS n FROM strategies GROUP BY ALL")
+def _(v):
+    return v.strategies.groupBy("project", "databank").agg(F.count(F.lit(1)).alias("n"))
 
-    @query(_n, "SELECT project, databank, count(*) AS n FROM strategies GROUP BY ALL")
-    def _(v):
-        return v.strategies.groupBy("project", "databank").agg(F.count(F.lit(1)).alias("n"))
+
+@query("databank_count", "SELECT project, count(*) FILTER (databank = 'd1') AS n FROM strategies GROUP BY project")
+def _(v):
+    """Strategies of one databank by name, in every project, those without it included."""
+    return v.strategies.groupBy("project").agg(F.count(F.when(F.col("databank") == "d1", 1)).alias("n"))
+
+
+@query("projects_inventory", "SELECT project, count(*) AS databanks, CAST(sum(n) AS BIGINT) AS strategies, array_to_string(list_sort(list(databank || '=' || n)), ',') AS counts FROM (SELECT project, databank, count(*) AS n FROM strategies GROUP BY ALL) GROUP BY project")
+def _(v):
+    """A row a project: its databanks, strategies, and counts by databank (names, few in a project)."""
+    n = v.strategies.groupBy("project", "databank").agg(F.count(F.lit(1)).alias("n"))
+    counts = F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "databank", "n"))), ",")
+    return n.groupBy("project").agg(F.count(F.lit(1)).alias("databanks"), F.sum("n").alias("strategies"), counts.alias("counts"))
 
 
 @query("instrument_list", "SELECT symbol, array_to_string(list_sort(list(DISTINCT project)), ',') AS projects, arg_min(timeframe, strategy_id) AS timeframe FROM strategies GROUP BY symbol")
@@ -468,8 +480,18 @@ def _(v):
     return v.strategies.groupBy("symbol").agg(F.array_join(F.sort_array(F.collect_set("project")), ",").alias("projects"), F.min_by("timeframe", "strategy_id").alias("timeframe"))
 
 
-for _n in ("data_registry_lookup", "broker_registry_query"):
+_REG = "(SELECT strategy_id, symbol, trades_hash AS alias, fingerprint AS instrument, timeframe, history_days * 86400000 + strategy_id AS date_to FROM strategies)"
 
-    @query(_n, "SELECT strategy_id, symbol, timeframe FROM strategies WHERE (symbol = 'NATION_7' OR trades_hash = 'h2' OR fingerprint = 'x5') AND timeframe = 'H1'")
-    def _(v):
-        return v.strategies.filter("(symbol = 'NATION_7' or trades_hash = 'h2' or fingerprint = 'x5') and timeframe = 'H1'").select("strategy_id", "symbol", "timeframe")
+
+@query("data_registry_lookup", f"SELECT asked, strategy_id, symbol, timeframe, strftime(make_timestamp(date_to * 1000), '%Y-%m-%dT%H:%M:%S') AS date_to FROM {_REG} r JOIN (VALUES ('h2 H1', 'h2', 'H1'), ('x5', 'x5', NULL), ('all D1', NULL, 'D1')) q(asked, s, f) ON (s IS NULL OR r.symbol = s OR r.alias = s OR r.instrument = s) AND (f IS NULL OR timeframe = f)")
+def _(v):
+    """Three look-ups, each by a symbol, alias or instrument, a timeframe, or both."""
+    reg = v.strategies.select("strategy_id", "symbol", F.col("trades_hash").alias("alias"), F.col("fingerprint").alias("instrument"), "timeframe", (F.col("history_days") * 86400000 + F.col("strategy_id")).alias("date_to"))
+    found = [C.registry_lookup(reg, s, f).withColumn("asked", F.lit(a)) for a, s, f in (("h2 H1", "h2", "H1"), ("x5", "x5", None), ("all D1", None, "D1"))]
+    return found[0].union(found[1]).union(found[2]).select("asked", "strategy_id", "symbol", "timeframe", "date_to")
+
+
+@query("broker_registry_query", "SELECT p_partkey, p_brand, (SELECT count(*) FROM part WHERE upper(p_brand) LIKE '%D#1%') AS total FROM part WHERE upper(p_brand) LIKE '%D#1%' ORDER BY p_partkey LIMIT 50")
+def _(v):
+    """The first 50 rows of a table whose column holds a text, in any case, and how many there are."""
+    return C.registry_query(v.table("part"), "p_brand", "d#1", "p_partkey", 50).select("p_partkey", "p_brand", "total")

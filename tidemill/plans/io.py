@@ -55,14 +55,41 @@ def _(v):
     return _xml(v).select("name", ratio(F.col("fitness_oos"), F.col("fitness_is")).alias("oos_is"), ratio(F.col("net_profit"), F.col("drawdown_abs")).alias("profit_to_dd"), ratio(F.col("net_profit"), F.col("trades")).alias("avg_trade"))
 
 
-for _n in ("data_list_local", "history_disk_inventory", "symbol_list"):
+def _history(v, rows=None):
+    """History files of a fixed number of bytes a strategy, one a pair of symbol and timeframe; the inventory reads names and sizes alone."""
+    path = scratch_path(v.spark, "history")
+    rows = v.strategies if rows is None else rows
+    line = F.format_string("%010d", "strategy_id").alias("line")
+    rows.select("symbol", "timeframe", line).repartition("symbol", "timeframe").write.partitionBy("symbol", "timeframe").text(path)
+    return IO.inventory(v.spark, path, r"symbol=([^/]+)/timeframe=([^/]+)/[^/]+\.txt$")
 
-    @query(_n, "SELECT symbol, timeframe, CAST(1 AS BIGINT) AS files FROM strategies GROUP BY symbol, timeframe")
-    def _(v):
-        """A file a pair is written; the inventory reads names and sizes alone."""
-        path = scratch_path(v.spark, "history")
-        v.strategies.select("symbol", "timeframe", "trades").repartition("symbol", "timeframe").write.partitionBy("symbol", "timeframe").parquet(path)
-        return IO.inventory(v.spark, path, r"symbol=([^/]+)/timeframe=([^/]+)/[^/]+\.parquet$").select("symbol", "timeframe", "files")
+
+@query("data_list_local", "SELECT symbol, timeframe, CAST(1 AS BIGINT) AS files FROM strategies GROUP BY symbol, timeframe")
+def _(v):
+    return _history(v).select("symbol", "timeframe", "files")
+
+
+@query("history_disk_inventory", "SELECT symbol, count(*) AS files, CAST(sum(n) * 11 AS BIGINT) AS bytes, array_to_string(list_sort(list(timeframe)), ',') AS timeframes FROM (SELECT symbol, timeframe, count(*) AS n FROM strategies GROUP BY ALL) GROUP BY symbol")
+def _(v):
+    """A row a symbol: files, bytes, timeframes."""
+    return IO.by_symbol(_history(v)).drop("newest")
+
+
+@query("symbol_data_summary", "SELECT symbol, timeframe, CAST(1 AS BIGINT) AS files, count(*) * 11 AS bytes, CAST(sum(count(*) * 11) OVER (PARTITION BY symbol) AS BIGINT) AS symbol_bytes, true AS fresh FROM strategies GROUP BY symbol, timeframe")
+def _(v):
+    """The files of each symbol in detail, beside the symbol's bytes, and whether they changed within the day."""
+    f = _history(v)
+    total = f.groupBy("symbol").agg(F.sum("bytes").alias("symbol_bytes"))
+    fresh = F.col("newest") >= F.current_timestamp() - F.make_dt_interval(days=F.lit(1))
+    return f.join(total, "symbol").select("symbol", "timeframe", "files", "bytes", "symbol_bytes", fresh.alias("fresh"))
+
+
+@query("symbol_list", "SELECT symbol, coalesce(files, 0) AS files, CASE WHEN r THEN 'registry' ELSE 'filesystem' END AS source FROM (SELECT symbol, count(DISTINCT timeframe) AS files FROM strategies WHERE databank <> 'd1' GROUP BY symbol) d FULL JOIN (SELECT DISTINCT symbol, true AS r FROM strategies WHERE project <> 'p0') g USING (symbol)")
+def _(v):
+    """Symbols of the registry, and those that only the disk has, with the number of their files."""
+    disk = IO.by_symbol(_history(v, v.strategies.filter("databank <> 'd1'"))).select("symbol", "files")
+    registry = v.strategies.filter("project <> 'p0'").select("symbol", F.lit(True).alias("listed")).distinct()
+    return IO.symbols(disk, registry)
 
 
 def _back(v, path: str, schema: str):
@@ -76,20 +103,27 @@ def _(v):
     return _back(v, path, "strategy_id long, symbol string, net_profit double")
 
 
-@query("strategy_orders_export", "-- floats: pnl\nSELECT seq, symbol, pnl FROM trades WHERE strategy_id = 3", digits=4)
+@query("strategy_orders_export", "-- floats: pnl\nSELECT strategy_id % 16 AS bucket, strategy_id, seq, symbol, pnl FROM trades", digits=4)
 def _(v):
+    """All orders, in folders by a bucket of strategies."""
     path = scratch_path(v.spark, "orders")
-    IO.export_csv(v.trades.filter("strategy_id = 3"), path, ["seq", "symbol", "pnl"])
-    return _back(v, path, "seq long, symbol string, pnl double")
+    IO.export_csv(v.trades.withColumn("bucket", F.col("strategy_id") % 16).repartition("bucket"), path, ["strategy_id", "seq", "symbol", "pnl"], ["bucket"])
+    return _back(v, path, "strategy_id long, seq long, symbol string, pnl double, bucket long")
 
 
-for _n in ("data_export", "databank_export"):
+@query("data_export", '-- floats: "close" volume\nSELECT series_id, t, "close", volume FROM bars WHERE series_id IN (\'click\', \'view\') AND t >= 1705276800', digits=4)
+def _(v):
+    path = scratch_path(v.spark, "bars-csv")
+    IO.export_csv(v.bars.filter("series_id in ('click', 'view') and t >= 1705276800"), path, ["t", "close", "volume"], ["series_id"])
+    return _back(v, path, "t long, close double, volume double, series_id string")
+
 
-    @query(_n, '-- floats: "close" volume\nSELECT series_id, t, "close", volume FROM bars WHERE series_id IN (\'click\', \'view\') AND t >= 1705276800', digits=4)
-    def _(v):
-        path = scratch_path(v.spark, "bars-csv")
-        IO.export_csv(v.bars.filter("series_id in ('click', 'view') and t >= 1705276800"), path, ["t", "close", "volume"], ["series_id"])
-        return _back(v, path, "t long, close double, volume double, series_id string")
+@query("databank_export", "-- floats: fitness_full net_profit\nSELECT strategy_id, symbol, fitness_full, net_profit FROM strategies WHERE project = 'p1' AND databank = 'd2'", digits=4)
+def _(v):
+    """One databank, with the columns of a view, as CSV."""
+    path = scratch_path(v.spark, "databank-csv")
+    IO.export_csv(v.strategies.filter("project = 'p1' and databank = 'd2'"), path, ["strategy_id", "symbol", "fitness_full", "net_profit"])
+    return _back(v, path, "strategy_id long, symbol string, fitness_full double, net_profit double")
 
 
 @query("data_import", '-- floats: open "close"\nSELECT series_id, t - 3600 AS t, open, "close" FROM bars WHERE t - 3600 >= 1704499200', digits=4)

@@ -222,14 +222,20 @@ _LIQ = "price * (1 + CASE WHEN side = 'buy' THEN -1 ELSE 1 END * (1.0 / 5 - 0.00
 
 
 def _liquidation():
-    return F.col("price") * (1 + F.when(F.col("side") == "buy", -1).otherwise(1) * (1.0 / 5 - 0.005))
+    return R.liquidation_price(F.col("price"), F.lit(5.0), F.col("side") == "buy", F.lit(0.5))
 
 
-for _name in ("perp_liquidation_price", "perp_liquidation_distance_pct"):
+@query("perp_liquidation_price", f"-- floats: liquidation distance_pct\nSELECT seq, {_LIQ} AS liquidation, abs(price - {_LIQ}) / price * 100 AS distance_pct FROM ticks")
+def _(v):
+    return v.ticks.select("seq", _liquidation().alias("liquidation"), (F.abs(F.col("price") - _liquidation()) / F.col("price") * 100).alias("distance_pct"))
 
-    @query(_name, f"-- floats: liquidation distance_pct\nSELECT seq, {_LIQ} AS liquidation, abs(price - {_LIQ}) / price * 100 AS distance_pct FROM ticks")
-    def _(v):
-        return v.ticks.select("seq", _liquidation().alias("liquidation"), (F.abs(F.col("price") - _liquidation()) / F.col("price") * 100).alias("distance_pct"))
+
+@query("perp_liquidation_distance_pct", "-- floats: distance_pct\nSELECT seq, side, 2 + seq % 124 AS leverage, 100 * abs(1.0 / (2 + seq % 124) - (0.1 + 0.1 * (seq % 7)) / 100) AS distance_pct FROM ticks WHERE price > 0")
+def _(v):
+    """Of positions whose leverage and maintenance margin are their own."""
+    k = v.ticks.filter("price > 0").withColumns({"leverage": 2 + F.col("seq") % 124, "margin_pct": 0.1 + 0.1 * (F.col("seq") % 7)})
+    price = R.liquidation_price(F.col("price"), F.col("leverage"), F.col("side") == "buy", F.col("margin_pct"))
+    return k.select("seq", "side", "leverage", (100 * F.abs(price - F.col("price")) / F.col("price")).alias("distance_pct"))
 
 
 _LIQ_BANDS = [("<=", 0.0, "safe"), ("<", 0.01, "marginal"), ("<", 0.05, "dangerous")]

@@ -167,11 +167,15 @@ def _(v):
     return f.select("strategy_id", "fold_id", "score", i.alias("i")).filter("i <= 5")
 
 
-for _n in ("walkforward_databank_summary", "walkforward_from_folds"):
+@query("walkforward_from_folds", f"-- floats: {_SF}\nSELECT * FROM {_SUM}")
+def _(v):
+    return S.fold_summary(v.folds, "strategy_id")
+
 
-    @query(_n, f"-- floats: {_SF}\nSELECT * FROM {_SUM}")
-    def _(v):
-        return S.fold_summary(v.folds, "strategy_id")
+@query("walkforward_databank_summary", f"-- floats: {_SF}\nSELECT project, databank, count(*) AS n, avg(x) AS is_mean, stddev_samp(x) AS is_std, avg(y) AS oos_mean, stddev_samp(y) AS oos_std, min(y) AS oos_min, max(y) AS oos_max, avg(CASE WHEN y > 0 THEN 1.0 ELSE 0 END) AS positive, CASE WHEN avg(x) > 0 THEN avg(y) / avg(x) END AS efficiency FROM (SELECT project, databank, fitness_is AS x, fitness_oos AS y FROM strategies WHERE fitness_is IS NOT NULL AND fitness_oos IS NOT NULL) GROUP BY project, databank HAVING count(*) >= 2")
+def _(v):
+    """Each strategy of a databank that has both fitness values is a fold; databanks with one fold have no summary."""
+    return S.databank_folds(v.strategies, "fitness")
 
 
 @query("walkforward_consistency_score", f"-- floats: score\nSELECT *, {bands_sql('score', [('>=', 70, 'robust'), ('>=', 40, 'borderline')], 'weak')} AS verdict FROM (SELECT strategy_id, CASE WHEN oos_mean > 0 THEN least(40, greatest(0, CASE WHEN oos_std > 0 THEN oos_mean / oos_std ELSE 5 END * 10)) + positive * 30 + CASE WHEN is_mean > 0 THEN greatest(0, least(1, oos_mean / is_mean)) * 30 ELSE 0 END ELSE 0 END AS score FROM {_SUM})")

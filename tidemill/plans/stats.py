@@ -240,6 +240,15 @@ def _(v):
     return S.cusum(_returns(v), "r", 8.0)
 
 
+@query("mean_reversion_cusum_summary", """-- floats: last_up last_down
+SELECT series_id, count(*) FILTER (idx > 0 AND (h >= 2 OR l <= -2)) AS n_breaks, arg_max(CASE WHEN h >= 2 THEN 0.0 ELSE h END, idx) AS last_up, arg_max(CASE WHEN l <= -2 THEN 0.0 ELSE l END, idx) AS last_down, CASE WHEN count(*) FILTER (idx > 0 AND (h >= 2 OR l <= -2)) = 0 THEN 'stable' WHEN count(*) FILTER (idx > 0 AND (h >= 2 OR l <= -2)) <= 3 THEN 'occasional_breaks' ELSE 'frequent_breaks' END AS verdict FROM (
+WITH RECURSIVE x AS (SELECT series_id, idx, r - 0.05 AS d FROM series WHERE r IS NOT NULL), f AS (SELECT series_id, 0::BIGINT AS idx, 0.0::DOUBLE AS h, 0.0::DOUBLE AS l FROM x GROUP BY series_id
+UNION ALL SELECT x.series_id, x.idx, greatest(0.0, CASE WHEN f.h >= 2 THEN 0.0 ELSE f.h END + d), least(0.0, CASE WHEN f.l <= -2 THEN 0.0 ELSE f.l END + d) FROM f JOIN x ON x.series_id = f.series_id AND x.idx = f.idx + 1) SELECT * FROM f) GROUP BY series_id""")
+def _(v):
+    """Around a given level instead of the mean: breaks, final sums and a verdict for each series."""
+    return S.cusum_summary(_returns(v), "r", 2.0, reference=0.05)
+
+
 @query("mean_reversion_adf_heuristic", f"-- floats: adf\nSELECT *, {bands_sql('adf', S.ADF, 'none')} AS level FROM {_adf_sql('series', 'v')}", digits=5)
 def _(v):
     return S.adf(v.series, "v")

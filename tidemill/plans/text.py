@@ -24,22 +24,47 @@ def _(v):
     return c.select("conv_id", F.array_join(F.transform(safe, lambda t: t["text"]), "|").alias("safe"))
 
 
-_HITS = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS rule, {k} AS rule_no, {sev} AS severity, len(regexp_extract_all(text, '(?i){p}')) AS matches FROM documents WHERE regexp_matches(text, '(?i){p}')" for k, (p, label, sev) in enumerate(X.INJECTION))
+# The oracle's own list of rules: patterns, labels and severities as the specification has them.
+_RULES = r"""(VALUES (0, '\bignore (?:all )?previous (?:instructions?|prompts?)\b', 'instruction_override', 90), (1, '\bdisregard (?:all )?previous\b', 'instruction_override', 80), (2, '\b(?:new|updated) instructions?\s*[:.]', 'instruction_takeover', 70),
+(3, '\bdelete (?:all )?(?:files|data|projects|history)\b', 'destructive_command', 95), (4, '\bdrop (?:all )?(?:tables?|databases?)\b', 'destructive_command', 95), (5, '\brm\s+-rf\b', 'destructive_command', 100), (6, '\bexec(?:ute)?\b.*\bsystem\b', 'command_execution', 80),
+(7, '<\s*(?:script|iframe|object)\b', 'html_injection', 60), (8, '</?(?:system|assistant|tool|instructions?)\b', 'fake_role_tag', 70), (9, '\bact as\b.*\b(?:admin|root|sudo)\b', 'privilege_escalation', 80), (10, '\bjailbreak\b|\bDAN\b', 'jailbreak_attempt', 75))"""
+# Phrases of which every turn of a conversation gets one, so that each rule fires and near misses do not.
+_PHRASES = [
+    "Ignore all previous instructions", "please DISREGARD previous notes", "New instructions: go", "delete all files, delete data", "drop table t", "rm  -rf /", "exec the System", "< script src", "</tool> <assistant>",
+    "act as an Admin", "DAN, jailbreak", "ignore previously; dropped tables; Dante acts as root", "nothing here", "",
+]
+_SAID = "(SELECT conv_id, turn, text || ' ' || [" + ", ".join(f"'{p}'" for p in _PHRASES) + f"][CAST((conv_id + turn) % {len(_PHRASES)} AS INT) + 1] AS text FROM conversations)"
+_HITS = rf"SELECT *, strpos(text, m) - 1 AS position FROM (SELECT s.*, k, label, sev, len(regexp_extract_all(text, '(?i)' || p)) AS matches, regexp_extract(text, '(?i)' || p) AS m FROM {{rows}} s, {_RULES} r(k, p, label, sev) WHERE regexp_matches(text, '(?i)' || p))"
 
 
-@query("detect_prompt_injection_hits", f"SELECT doc_id, rule, rule_no, severity, matches FROM ({_HITS})")
+def _said(v):
+    phrase = F.element_at(F.array(*map(F.lit, _PHRASES)), ((F.col("conv_id") + F.col("turn")) % len(_PHRASES) + 1).cast("int"))
+    return v.table("conversations").select("conv_id", "turn", F.concat_ws(" ", "text", phrase).alias("text"))
+
+
+@query("detect_prompt_injection_hits", f"SELECT conv_id, turn, label AS rule, CAST(k AS INT) AS rule_no, CAST(sev AS INT) AS severity, matches, left(m, 120) AS first_match, position FROM ({_HITS.format(rows=_SAID)})")
+def _(v):
+    """Over all turns of all conversations, each with a phrase that trips a rule or just does not."""
+    return X.injections(_said(v), ["conv_id", "turn"], "text")
+
+
+_VERDICT = "coalesce(n, 0) AS matches, CAST(coalesce(s, 0) AS INT) AS severity, CASE WHEN n IS NULL THEN 'clean' WHEN s < 50 THEN 'low_concern' WHEN s < 80 THEN 'medium_concern' WHEN s < 95 THEN 'high_concern' ELSE 'critical_concern' END AS verdict"
+
+
+@query("detect_prompt_injection", f"SELECT doc_id, {_VERDICT} FROM documents LEFT JOIN (SELECT doc_id, CAST(sum(matches) AS BIGINT) AS n, max(sev) AS s FROM ({_HITS.format(rows='documents')}) GROUP BY doc_id) USING (doc_id)")
 def _(v):
-    return X.injections(v.table("documents"), "doc_id", "text")
+    return X.injection_verdicts(v.table("documents"), ["doc_id"], "text")
 
 
-@query("detect_prompt_injection", f"SELECT doc_id, coalesce(m, 0) AS matches, coalesce(s, 0) AS severity, CASE WHEN m IS NULL THEN 'clean' WHEN s < 50 THEN 'low' WHEN s < 80 THEN 'medium' WHEN s < 95 THEN 'high' ELSE 'critical' END AS verdict FROM documents LEFT JOIN (SELECT doc_id, CAST(sum(matches) AS BIGINT) AS m, max(severity) AS s FROM ({_HITS}) GROUP BY doc_id) USING (doc_id)")
+@query("detect_prompt_injection_conversations", f"SELECT conv_id, turn, {_VERDICT} FROM conversations LEFT JOIN (SELECT conv_id, turn, CAST(sum(matches) AS BIGINT) AS n, max(sev) AS s FROM ({_HITS.format(rows=_SAID)}) GROUP BY conv_id, turn) USING (conv_id, turn)")
 def _(v):
-    return X.injection_verdicts(v.table("documents"), "doc_id", "text")
+    return X.injection_verdicts(_said(v), ["conv_id", "turn"], "text")
 
 
+# The oracle's own list of personal data.
 _RED = "text"
-for _p, _mark in X.PERSONAL:
-    _RED = f"regexp_replace({_RED}, '{_p}', '{_mark}', 'g')"
+for _p, _mark in ((r"[\w.+-]+@[\w-]+\.[\w.-]+", "EMAIL"), (r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "IP"), (r"(?i)\b[a-f0-9]{32,}\b", "HEX_KEY"), (r"\b\d{8,}\b", "NUMBER")):
+    _RED = f"regexp_replace({_RED}, '{_p}', '[REDACTED_{_mark}]', 'g')"
 
 
 @query("redact_pii", f"SELECT doc_id, md5({_RED}) AS redacted_md5 FROM documents")
@@ -63,12 +88,12 @@ def _(v):
 
 @query("lineage_descendants", f"SELECT ancestor AS node_id, count(*) AS descendants, max(distance) AS height FROM {_UP} GROUP BY ancestor")
 def _(v):
-    return G.ancestors(v.lineage).groupBy(F.col("ancestor").alias("node_id")).agg(F.count(F.lit(1)).alias("descendants"), F.max("distance").alias("height"))
+    return G.tree(v.lineage).filter("descendants > 0").select("node_id", "descendants", "height")
 
 
 @query("lineage_tree", f"SELECT l.node_id, coalesce(root, l.node_id) AS root, coalesce(depth, 0) AS depth, coalesce(descendants, 0) AS descendants FROM lineage l LEFT JOIN (SELECT node_id, max(distance) AS depth, arg_max(ancestor, distance) AS root FROM {_UP} GROUP BY node_id) a USING (node_id) LEFT JOIN (SELECT ancestor AS node_id, count(*) AS descendants FROM {_UP} GROUP BY ancestor) d USING (node_id)")
 def _(v):
-    return G.tree(v.lineage)
+    return G.tree(v.lineage).drop("height")
 
 
 @query("lineage_list", "SELECT node_id, parent_id, label FROM lineage")
@@ -82,13 +107,18 @@ def _(v):
     return v.lineage.join(p, "parent_id", "left").select("node_id", "label", "parent_label")
 
 
-for _n in ("lineage_register", "lineage_link"):
+@query("lineage_register", f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + 1000001 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
+def _(v):
+    """A proposed parent for every node: itself, its own child, or one that is not there."""
+    k = F.col("node_id")
+    return G.link_errors(v.lineage, v.lineage.select(k, F.when(k % 3 == 0, k).when(k % 3 == 1, k * 2).otherwise(k + 1000001).alias("parent_id")))
 
-    @query(_n, f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + 1000001 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
-    def _(v):
-        """A proposed parent for every node: itself, its own child, or one that is not there."""
-        k = F.col("node_id")
-        return G.link_errors(v.lineage, v.lineage.select(k, F.when(k % 3 == 0, k).when(k % 3 == 1, k * 2).otherwise(k + 1000001).alias("parent_id")))
+
+@query("lineage_link", f"SELECT l.node_id, CASE WHEN l.node_id % 7 = 0 THEN NULL WHEN p.node_id IS NOT NULL THEN p.parent_id ELSE l.parent_id END AS parent_id, label FROM lineage l LEFT JOIN (SELECT * FROM (SELECT node_id, CASE WHEN node_id % 2 = 0 THEN node_id + 1 ELSE node_id * 4 END AS parent_id FROM lineage WHERE node_id % 7 <> 0) x WHERE parent_id IN (SELECT node_id FROM lineage) AND NOT EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = x.parent_id AND u.ancestor = x.node_id)) p ON p.node_id = l.node_id")
+def _(v):
+    """Even nodes move under the next node, odd ones try to move below themselves, every seventh is detached."""
+    k = F.col("node_id")
+    return G.relink(v.lineage, v.lineage.select(k, F.when(k % 7 == 0, None).when(k % 2 == 0, k + 1).otherwise(k * 4).cast("long").alias("parent_id")))
 
 
 @query("lineage_remove", "SELECT node_id, CASE WHEN parent_id % 5 <> 0 THEN parent_id END AS parent_id, label FROM lineage WHERE node_id % 5 <> 0")
@@ -103,10 +133,11 @@ def _tags(v):
     return v.strategies.select("strategy_id", F.array_sort(F.array("symbol", "timeframe", "project")).alias("tags"))
 
 
-@query("strategy_tag_list_all", f"SELECT tag, count(*) AS n, array_to_string(list_sort(list(strategy_id)), ',') AS ids FROM (SELECT strategy_id, unnest(tags) AS tag FROM {_TAGS}) GROUP BY tag")
+@query("strategy_tag_list_all", f"SELECT tag, strategy_id, count(*) OVER (PARTITION BY tag) AS n FROM (SELECT strategy_id, unnest(tags) AS tag FROM {_TAGS})")
 def _(v):
+    """A row a tag and strategy, with the tag's count: a tag's strategies have no bound and are never gathered into one row."""
     t = _tags(v).select("strategy_id", F.explode("tags").alias("tag"))
-    return t.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list("strategy_id")), lambda x: x.cast("string")), ",").alias("ids"))
+    return t.join(t.groupBy("tag").agg(F.count(F.lit(1)).alias("n")), "tag").select("tag", "strategy_id", "n")
 
 
 @query("strategy_query_by_tag", f"SELECT strategy_id FROM {_TAGS} WHERE list_has_any(tags, ['H1', 'p3'])")
@@ -123,18 +154,21 @@ def _edited(v, add: bool, remove: bool):
     k = F.col("strategy_id")
     none = F.array().cast("array<string>")
     ch = v.strategies.filter("strategy_id % 2 = 0").select(k, (F.array(F.lit("even"), F.lit("H1")) if add else none).alias("add"), (F.array(F.lit("H4"), F.lit("absent")) if remove else none).alias("remove"))
-    return G.edit_tags(_tags(v), ch).select("strategy_id", F.array_join("tags", ",").alias("tags"))
+    if add:  # every tenth would get more tags than there may be
+        many = F.transform(F.sequence(F.lit(1), F.lit(G.MOST_TAGS)), lambda k: F.concat(F.lit("t"), k.cast("string")))
+        ch = ch.withColumn("add", F.when(k % 10 == 0, many).otherwise(F.col("add")))
+    return G.edit_tags(_tags(v), ch).select("strategy_id", F.array_join("tags", ",").alias("tags"), "error")
 
 
-_EDIT = "SELECT strategy_id, array_to_string(list_sort(list_distinct(CASE WHEN strategy_id % 2 = 0 THEN list_filter(list_concat(tags, {add}), lambda t: NOT list_contains({rem}, t)) ELSE tags END)), ',') AS tags FROM " + _TAGS
+_EDIT = "SELECT strategy_id, array_to_string(list_sort(list_distinct(CASE WHEN strategy_id % 2 = 0 AND {refused} THEN list_filter(list_concat(tags, {add}), lambda t: NOT list_contains({rem}, t)) ELSE tags END)), ',') AS tags, {error} AS error FROM " + _TAGS
 
 
-@query("strategy_tag_add", _EDIT.format(add="['even', 'H1']", rem="['-']"))
+@query("strategy_tag_add", _EDIT.format(add="['even', 'H1']", rem="['-']", refused="strategy_id % 10 <> 0", error="CASE WHEN strategy_id % 10 = 0 THEN 'would exceed 50 tags' END"))
 def _(v):
     return _edited(v, True, False)
 
 
-@query("strategy_tag_remove", _EDIT.format(add="[]::VARCHAR[]", rem="['H4', 'absent']"))
+@query("strategy_tag_remove", _EDIT.format(add="[]::VARCHAR[]", rem="['H4', 'absent']", refused="true", error="CAST(NULL AS VARCHAR)"))
 def _(v):
     return _edited(v, False, True)
 
@@ -217,21 +251,30 @@ def _arrivals(v):
 
 _WIN = """(SELECT event_type AS project, CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) AS t, count(*) AS new, quantile_disc(value / 500, 0.5) AS fitness, quantile_disc(value / 500 * CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / 100, 0.5) AS fitness_oos FROM events GROUP BY ALL)"""
 
-for _n in ("monitor_status", "monitor_list"):
-
-    @query(_n, f"-- floats: fitness fitness_oos\nSELECT * FROM {_WIN}")
-    def _(v):
-        return L.monitor_windows(_arrivals(v), "6 hours", None)
+_ALERTS = f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY t) AS i FROM {_WIN}), a AS (SELECT project, t, i, sum(new) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS s, median(fitness) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS f, median(CASE WHEN fitness > 0 THEN fitness_oos / fitness END) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS r FROM w)
+SELECT project, min(t) AS t, CAST(arg_min(s, t) AS DOUBLE) AS value, 'STALLED_GROWTH' AS code FROM a WHERE i >= 5 AND s <= 0 GROUP BY project UNION ALL SELECT project, min(t), arg_min(f, t), 'LOW_MEDIAN_FITNESS' FROM a WHERE i >= 3 AND f < 0.2 GROUP BY project UNION ALL SELECT project, min(t), arg_min(r, t), 'OOS_DEGRADATION' FROM a WHERE i >= 3 AND r < 0.5 GROUP BY project"""
 
 
-@query("monitor_alerts", f"""-- floats: value
-WITH w AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY t) AS i FROM {_WIN}), a AS (SELECT project, t, i, sum(new) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS s, median(fitness) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS f, median(CASE WHEN fitness > 0 THEN fitness_oos / fitness END) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS r FROM w)
-SELECT project, min(t) AS t, CAST(arg_min(s, t) AS DOUBLE) AS value, 'STALLED_GROWTH' AS code FROM a WHERE i >= 5 AND s <= 0 GROUP BY project UNION ALL SELECT project, min(t), arg_min(f, t), 'LOW_MEDIAN_FITNESS' FROM a WHERE i >= 3 AND f < 0.2 GROUP BY project UNION ALL SELECT project, min(t), arg_min(r, t), 'OOS_DEGRADATION' FROM a WHERE i >= 3 AND r < 0.5 GROUP BY project""")
+@query("monitor_alerts", f"-- floats: value\n{_ALERTS}")
 def _(v):
     """Batch twin of the stateful alerts."""
     return L.monitor_alerts(L.monitor_windows(_arrivals(v), "6 hours", None))
 
 
+@query("monitor_list", f"SELECT project, windows, started, last, n, coalesce(alerts, 0) AS alerts FROM (SELECT project, count(*) AS windows, min(t) AS started, max(t) AS last, CAST(sum(new) AS BIGINT) AS n FROM {_WIN} GROUP BY project) LEFT JOIN (SELECT project, count(*) AS alerts FROM ({_ALERTS}) GROUP BY project) USING (project)")
+def _(v):
+    """A row a monitored project: windows taken, first and last, rows seen, alerts raised."""
+    w = L.monitor_windows(_arrivals(v), "6 hours", None)
+    return L.monitor_sessions(w, L.monitor_alerts(w))
+
+
+@query("monitor_status", f"-- floats: fitness fitness_oos\nSELECT project, t, new, total, fitness, fitness_oos, coalesce(codes, '') AS codes FROM (SELECT *, CAST(sum(new) OVER (PARTITION BY project ORDER BY t) AS BIGINT) AS total, row_number() OVER (PARTITION BY project ORDER BY t DESC) AS i FROM {_WIN} WHERE project IN ('click', 'purchase')) LEFT JOIN (SELECT project, array_to_string(list_sort(list(code)), ',') AS codes FROM ({_ALERTS}) GROUP BY project) USING (project) WHERE i <= 5")
+def _(v):
+    """Of two projects the last five snapshots, with the rows seen by then and the codes that have been raised."""
+    w = L.monitor_windows(_arrivals(v).filter("project in ('click', 'purchase')"), "6 hours", None)
+    return L.monitor_state(w, L.monitor_alerts(w), 5)
+
+
 @query("monitor_default_rules", f"""SELECT project, CAST(count(*) FILTER (new <= 0) AS BIGINT) AS stalled, CAST(count(*) FILTER (fitness < 0.2) AS BIGINT) AS low, CAST(count(*) FILTER (fitness > 0 AND fitness_oos / fitness < 0.5) AS BIGINT) AS degraded FROM {_WIN} GROUP BY project""")
 def _(v):
     """Windows that break each default rule by themselves."""

@@ -66,9 +66,10 @@ UNION ALL SELECT strategy_id, i, seq, x2, CASE WHEN k = 2 THEN 0.0 ELSE greatest
 FROM (SELECT *, CASE WHEN x1 < 0 AND week - x1 > 150 THEN 0.0 ELSE x1 END AS x2 FROM (SELECT *, CASE WHEN x0 < 0 AND day - x0 > 60 THEN 0.0 ELSE x0 END AS x1 FROM (SELECT n.strategy_id, n.i, n.seq, greatest(n.pnl, -40.0) AS x0, f.day, f.week, f.k, f.days FROM f JOIN n ON n.strategy_id = f.strategy_id AND n.i = f.i + 1)))) SELECT * FROM f WHERE i > 0))"""
 
 
-@query("trade_replay_risk_caps", f"-- floats: {_FM}\n" + metrics_sql(_CAPPED, floor=False), digits=4)
+@query("trade_replay_risk_caps", f"-- floats: {_FM}\nSELECT m.*, n_capped, n_skipped, n_days, n_weeks FROM ({metrics_sql(_CAPPED, floor=False)}) m JOIN (SELECT c.strategy_id, count(*) FILTER (t.pnl < -40) AS n_capped, count(*) FILTER (t.pnl <> 0 AND c.pnl = 0) AS n_skipped, count(*) // 3 AS n_days, count(*) // 15 AS n_weeks FROM {_CAPPED} c JOIN trades t ON t.strategy_id = c.strategy_id AND t.seq = c.seq GROUP BY c.strategy_id) n ON n.strategy_id = m.strategy_id", digits=4)
 def _(v):
-    return T.metrics(T.risk_capped(v.trades, 40.0, 60.0, 150.0, 3), floor=None)
+    capped = T.risk_capped(v.trades, 40.0, 60.0, 150.0, 3)
+    return T.metrics(capped, floor=None).join(T.cap_counts(capped, 3), "strategy_id")
 
 
 @query("trade_replay_filter_by_regime", f"-- floats: {_FM}\n" + metrics_sql("(SELECT * FROM trades WHERE symbol NOT IN ('error', 'view'))"), digits=4)

@@ -110,6 +110,17 @@ def inventory(spark: SparkSession, path: str, pattern: str = r"([A-Z0-9]+?)(?:_[
     return f.groupBy("symbol", "timeframe").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest"))
 
 
+def by_symbol(files: DataFrame) -> DataFrame:
+    """An inventory by symbol: files, bytes, newest change, timeframes (names, a handful)."""
+    return files.groupBy("symbol").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), F.max("newest").alias("newest"), F.array_join(F.sort_array(F.collect_set("timeframe")), ",").alias("timeframes"))
+
+
+def symbols(disk: DataFrame, registry: DataFrame) -> DataFrame:
+    """All symbols of a registry (symbol, listed) and of a disk (symbol, files); ``source`` is the registry where it has the symbol."""
+    j = disk.join(registry, "symbol", "full_outer")
+    return j.select("symbol", F.coalesce("files", F.lit(0)).alias("files"), F.when(F.col("listed"), "registry").otherwise("filesystem").alias("source"))
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """name, bytes and sha of every file below ``path``."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -50,6 +50,20 @@ def monitor_alerts(windows: DataFrame) -> DataFrame:
     return out
 
 
+def monitor_sessions(windows: DataFrame, alerts: DataFrame) -> DataFrame:
+    """A row a monitored project: number of windows, start of the first and the last, rows seen, alerts raised."""
+    g = windows.groupBy("project").agg(F.count(F.lit(1)).alias("windows"), F.min("t").alias("started"), F.max("t").alias("last"), F.sum("new").alias("n"))
+    return g.join(alerts.groupBy("project").agg(F.count(F.lit(1)).alias("alerts")), "project", "left").fillna(0, ["alerts"])
+
+
+def monitor_state(windows: DataFrame, alerts: DataFrame, last: int) -> DataFrame:
+    """The ``last`` newest snapshots of each project, with the rows seen by then, and the codes (a rule each) that have been raised."""
+    by = Window.partitionBy("project")
+    w = windows.withColumns({"total": F.sum("new").over(by.orderBy("t")), "_i": F.row_number().over(by.orderBy(F.desc("t")))}).filter(F.col("_i") <= last).drop("_i")
+    codes = alerts.groupBy("project").agg(F.array_join(F.sort_array(F.collect_set("code")), ",").alias("codes"))
+    return w.join(codes, "project", "left").fillna("", ["codes"])
+
+
 class MonitorState(StatefulProcessor):
     """Rules over the last windows of a project, each fired once: a list of the newest windows and the codes that have fired are kept."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from statistics import NormalDist
 
 import pandas as pd
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,16 @@ def normal_cdf(z: Column | str) -> Column:
     return cdf(z)
 
 
+def with_total(rows: DataFrame, **totals: Column) -> DataFrame:
+    """``rows`` with columns of aggregates over all of them: one row, partially aggregated and broadcast, not a window that would gather the rows in one task."""
+    return rows.join(F.broadcast(rows.agg(*(c.alias(n) for n, c in totals.items()))))
+
+
+def small(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """``df`` marked for a broadcast if a count shows at most ``rows`` rows, as it is otherwise."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def hhi(share: str, n: Column) -> tuple[Column, Column]:
     """Sum of squared shares, and that scaled to 0..1 over n members (1 for one)."""
     raw = F.sum(F.col(share) * F.col(share))

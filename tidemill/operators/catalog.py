@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, hhi, ratio
+from ..functions.common import bands, hhi, ratio, small
 
 ID = "strategy_id"
 # Caps and least ratios by risk profile, and severities in order.
@@ -108,11 +108,10 @@ def promotion(s: DataFrame, cap: float, least_oos: float) -> DataFrame:
 def evaluate_rules(payload: DataFrame, rules: DataFrame) -> DataFrame:
     """Rules (name, metric, op, threshold, severity) against payload rows (id, metric, value text); a rule fires on its metric's value, ``missing`` on its absence.
 
-    Numbers that cannot be read compare false. ``rules`` is a small table and goes to every task.
+    Numbers that cannot be read compare false. ``rules`` goes to every task if a count finds it small.
     """
     ids = payload.select("id").distinct()
-    r = F.broadcast(rules)
-    every = ids.crossJoin(r).join(payload, ["id", "metric"], "left")  # ids x rules, the size of the result
+    every = ids.crossJoin(small(rules)).join(payload, ["id", "metric"], "left")  # ids x rules, the size of the result
     v, t = F.expr("try_cast(value as double)"), F.expr("try_cast(threshold as double)")
     listed = F.array_contains(F.split("threshold", ","), F.col("value"))
     hit = (

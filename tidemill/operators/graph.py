@@ -218,6 +218,12 @@ def greedy_duplicates(fp: DataFrame, threshold: float = 0.85, key: str = "strate
     return fp.join(named, same).select(key, "owner")
 
 
+def combined_digest(manifest: DataFrame, by: Column, sha: str) -> DataFrame:
+    """Per ``by`` one digest of many SHA-256 values (hex), whatever their order: four pieces of 60 bits of each are summed, and the sums hashed."""
+    pieces = [F.sum(F.conv(F.substring(sha, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    return manifest.groupBy(by).agg(F.sha2(F.concat_ws(",", *pieces), 256).alias("combined"), F.count(F.lit(1)).alias("files"))
+
+
 def manifest_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Files of two manifests (name, sha): added, removed or changed."""
     j = a.select("name", F.col("sha").alias("sa")).join(b.select("name", F.col("sha").alias("sb")), "name", "full_outer")

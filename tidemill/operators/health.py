@@ -30,10 +30,11 @@ def freshness(rows: DataFrame, now: Column, max_age_seconds: int) -> DataFrame:
 
 
 def not_increasing(rows: DataFrame, arrival: str, first: int = 10) -> DataFrame:
-    """The first rows of each series, in order of arrival, whose time is not after the one before."""
-    rn = F.row_number().over(Window.partitionBy("series_id").orderBy(arrival))
-    bad = _steps(rows, arrival).filter("t <= prev").withColumn("nth", rn)
-    return bad.filter(F.col("nth") <= first).select("series_id", F.col(arrival).alias("arrival"), "prev", "t")
+    """The ``first`` rows of each series, in order of arrival, whose time is not after the one before, and ``total``, how many such rows it has."""
+    bad = _steps(rows, arrival).filter("t <= prev")
+    total = bad.groupBy("series_id").agg(F.count(F.lit(1)).alias("total"))
+    head = bad.withColumn("nth", F.row_number().over(Window.partitionBy("series_id").orderBy(arrival))).filter(F.col("nth") <= first)
+    return head.join(total, "series_id").select("series_id", F.col(arrival).alias("arrival"), "prev", "t", "total")
 
 
 def bar_counts(rows: DataFrame, seconds: int, market_hours: float = 1.0) -> DataFrame:

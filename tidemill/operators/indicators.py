@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,38 +26,54 @@ def full(value: Column, w: int, order: str = ORDER) -> Column:
     return F.when(F.row_number().over(_by(order)) >= w, value)
 
 
-def _seeded(x: np.ndarray, span: int, keep: float) -> np.ndarray:
-    """y = keep * y + (1 - keep) * x over the values after the nulls at the start, from the mean of the first ``span`` of them."""
-    out = np.full(len(x), np.nan)
-    first = np.flatnonzero(~np.isnan(x))
-    if len(first) < span:
+class _Seeded:
+    """y = keep * y + (1 - keep) * x over the values after the nulls at the start, from the mean of the first ``span`` of them; carried from batch to batch."""
+
+    def __init__(self, span: int, keep: float):
+        self.span, self.keep, self.n, self.y = span, keep, 0, 0.0
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        out, y, n, keep, span = np.full(len(x), np.nan), self.y, self.n, self.keep, self.span
+        for i, v in enumerate(x.tolist()):
+            if n >= span:
+                out[i] = y = (1 - keep) * v + keep * y
+            elif n or v == v:
+                y, n = y + v, n + 1  # a sum, until there are enough for the mean
+                if n == span:
+                    out[i] = y = y / span
+        self.y, self.n = y, n
         return out
-    a = first[0] + span - 1
-    y = x[first[0] : a + 1].sum() / span
-    out[a] = y
-    for i in range(a + 1, len(x)):
-        y = (1 - keep) * x[i] + keep * y
-        out[i] = y
-    return out
 
 
 def smooth(rows: DataFrame, specs: list[tuple[str, str, int, float]], order: str = ORDER) -> DataFrame:
     """Adds a column for each (name, source, span, keep): exponential smoothing seeded by a simple mean.
 
     A value depends on all before it, so a series is folded in order in one task; all specs share the pass.
+    Sorted rows pass in batches, and only a number a spec is carried between them, so a series may be of any length.
     A later spec may read an earlier one, or ``a-b``, the difference of two columns.
     """
     schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), *(f"`{s[0]}` double" for s in specs)])
-
-    def fold(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(order, kind="stable")
-        for name, source, span, keep in specs:
-            a, _, b = source.partition("-")
-            x = p[a].to_numpy(dtype=float) - (p[b].to_numpy(dtype=float) if b else 0.0)
-            p[name] = _seeded(x, span, keep)
-        return p
-
-    out = rows.groupBy("series_id").applyInPandas(fold, schema)
+    key, columns = rows.columns.index("series_id"), rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, states = object(), []
+        for b in batches:
+            keys, new = b.column(key).to_pylist(), {}
+            heads = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for name, source, *_ in specs:
+                new[name] = np.full(len(keys), np.nan)
+                for c in source.split("-"):
+                    if c not in new:
+                        new[c] = b.column(columns.index(c)).to_numpy(zero_copy_only=False).astype(float)
+            for i, j in zip(heads, heads[1:]):
+                if i < j and keys[i] != now:
+                    now, states = keys[i], [_Seeded(span, keep) for _, _, span, keep in specs]
+                for state, (name, source, _, _) in zip(states, specs):
+                    a, _, c = source.partition("-")
+                    new[name][i:j] = state(new[a][i:j] - (new[c][i:j] if c else 0.0))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(new[s[0]]) for s in specs)], names=[*columns, *(s[0] for s in specs)])
+
+    out = rows.repartition("series_id").sortWithinPartitions("series_id", order).mapInArrow(run, schema)
     return out.withColumns({s[0]: F.when(~F.isnan(s[0]), F.col(s[0])) for s in specs})
 
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, hhi, normal_quantile, ratio
+from ..functions.common import bands, hhi, normal_quantile, ratio, with_total
 
 UNDERWATER = [("<", 0.2, "rarely_underwater"), ("<", 0.5, "moderately_underwater"), ("<", 0.8, "often_underwater")]
 CONCENTRATION = [(">", 0.5, "very_concentrated"), (">", 0.25, "concentrated"), (">", 0.1, "moderately_diversified")]
@@ -98,10 +98,10 @@ def longest_runs(rows: DataFrame, kind: Column, key: str, order: str) -> DataFra
 def combined_curve(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Weighted sum of curves up to the shortest one's end; negative weights count as zero, all zero as equal. ``weights`` has a row a curve."""
     w = weights.withColumn("w", F.greatest("w", F.lit(0.0)))
-    total, n = F.sum("w").over(Window.partitionBy(F.lit(0))), F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    w = w.withColumn("w", F.when(total > 0, F.col("w") / total).otherwise(1 / n))
+    w = with_total(w, _total=F.sum("w"), _n=F.count(F.lit(1)))
+    w = w.select("series_id", F.when(F.col("_total") > 0, F.col("w") / F.col("_total")).otherwise(1 / F.col("_n")).alias("w"))
     shortest = rows.groupBy("series_id").agg(F.max("idx").alias("last")).agg(F.min("last").alias("last"))
-    return rows.join(F.broadcast(w), "series_id").join(F.broadcast(shortest)).filter("idx <= last").groupBy("idx").agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+    return rows.join(w, "series_id").join(F.broadcast(shortest)).filter("idx <= last").groupBy("idx").agg(F.sum(F.col("v") * F.col("w")).alias("v"))
 
 
 def exposure(positions: DataFrame) -> DataFrame:

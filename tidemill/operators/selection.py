@@ -88,7 +88,7 @@ def reality_check(excess: DataFrame, n_boot: int, block: float = 5.0, seed: int
     """One row: observed maximum, p, best series. p is the share of boots whose largest centred mean reaches the observed one."""
     obs = excess.groupBy("series_id").agg(F.avg("x").alias("m"), F.greatest(F.stddev_samp("x"), F.lit(1e-15)).alias("s"), F.count(F.lit(1)).alias("n"))
     scale = F.sqrt("n") / F.col("s") if studentised else F.lit(1.0)
-    boots = bootstrap_means(excess, n_boot, block, seed).join(F.broadcast(obs), "series_id")  # a row a series
+    boots = bootstrap_means(excess, n_boot, block, seed).join(obs, "series_id")
     top = boots.groupBy("boot").agg(F.max((F.col("mean") - F.col("m")) * scale).alias("v"))
     best = obs.agg(F.max(F.col("m") * scale).alias("observed"), F.max_by("series_id", F.col("m") * scale).alias("best"), F.count(F.lit(1)).alias("n_series"))
     out = top.crossJoin(F.broadcast(best)).groupBy("observed", "best", "n_series").agg(F.avg((F.col("v") >= F.col("observed")).cast("double")).alias("p"))  # best is one row

@@ -156,7 +156,7 @@ for _name, _limit in (("data_health_freshness_gate", 3600), ("data_age_check", 7
         return H.freshness(v.bars, F.lit(_NOW).cast("long"), limit)
 
 
-@query("data_health_monotonicity", """SELECT series_id, seq AS arrival, prev, t FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY seq) AS nth FROM (SELECT series_id, seq, epoch // 600 AS t, lag(epoch // 600) OVER (PARTITION BY series_id ORDER BY seq) AS prev FROM ticks) WHERE t <= prev) WHERE nth <= 10""")
+@query("data_health_monotonicity", """SELECT series_id, seq AS arrival, prev, t, total FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY seq) AS nth, count(*) OVER (PARTITION BY series_id) AS total FROM (SELECT series_id, seq, epoch // 600 AS t, lag(epoch // 600) OVER (PARTITION BY series_id ORDER BY seq) AS prev FROM ticks) WHERE t <= prev) WHERE nth <= 10""")
 def _(v):
     return H.not_increasing(v.ticks.withColumn("t", F.floor(F.col("epoch") / 600)), "seq")
 

@@ -56,7 +56,7 @@ SELECT seq, CASE WHEN side = 'buy' THEN price - 2 * atr ELSE price + 2 * atr END
 def _(v):
     last = I.atr(v.bars, 14).groupBy("series_id").agg(F.max_by("atr", "idx").alias("atr"))
     stop, d, pct = I.atr_stop(F.col("price"), F.col("atr"), F.when(F.col("side") == "buy", "long").otherwise("short"))
-    return v.ticks.join(F.broadcast(last), "series_id").select("seq", stop.alias("stop"), d.alias("distance"), pct.alias("distance_pct"))
+    return v.ticks.join(last, "series_id").select("seq", stop.alias("stop"), d.alias("distance"), pct.alias("distance_pct"))
 
 
 @query("indicator_chandelier_stop", f"""-- floats: long_stop short_stop

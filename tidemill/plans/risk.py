@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, bands_sql, hhi, normal_quantile, ratio
+from ..functions.common import bands, bands_sql, hhi, normal_quantile, ratio, with_total
 from ..operators import risk as R
 from .indicators import PAIRS, _pairs, _returns
 from .registry import query
@@ -60,7 +60,7 @@ def _(v):
 @query("tail_risk_historical_var", f"-- floats: var\nWITH q AS (SELECT series_id, -quantile_cont(r, 0.05) AS var FROM {_R} GROUP BY series_id) SELECT series_id, any_value(var) AS var, count(*) FILTER (var > 0 AND r <= -var) AS tail_size FROM {_R} JOIN q USING (series_id) GROUP BY series_id")
 def _(v):
     q = _returns(v).groupBy("series_id").agg((-F.percentile("r", 0.05)).alias("var"))
-    return _returns(v).join(F.broadcast(q), "series_id").groupBy("series_id").agg(F.max("var").alias("var"), F.count(F.when((F.col("var") > 0) & (F.col("r") <= -F.col("var")), 1)).alias("tail_size"))
+    return _returns(v).join(q, "series_id").groupBy("series_id").agg(F.max("var").alias("var"), F.count(F.when((F.col("var") > 0) & (F.col("r") <= -F.col("var")), 1)).alias("tail_size"))
 
 
 @query("tail_risk_cvar", f"""-- floats: cvar var
@@ -125,7 +125,7 @@ def _(v):
     n = v.series.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
     at = n.select("series_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(23).cast("long"))).alias("bucket"), "n").withColumn("idx", F.floor(F.col("bucket") * F.col("n") / 24))
     prev = F.lag("v").over(Window.partitionBy("series_id").orderBy("bucket"))
-    return v.series.join(F.broadcast(at), ["series_id", "idx"]).select("series_id", "bucket", ((F.col("v") - prev) / F.abs(prev) * 100).alias("return_pct")).filter("return_pct is not null")
+    return v.series.join(at, ["series_id", "idx"]).select("series_id", "bucket", ((F.col("v") - prev) / F.abs(prev) * 100).alias("return_pct")).filter("return_pct is not null")
 
 
 _WEIGHTS = "(SELECT series_id, greatest(w, 0) / sum(greatest(w, 0)) OVER () AS w FROM (SELECT series_id, CASE WHEN series_id = 'BUILDING' THEN -1.0 ELSE len(series_id) END AS w FROM (SELECT DISTINCT series_id FROM series)))"
@@ -149,17 +149,17 @@ _TOTALS = f"(SELECT series_id, (arg_max(v, idx) / arg_min(v, idx) - 1) * 100 AS
 @query("portfolio_contribution", f"-- floats: contribution dd_contribution share\nSELECT series_id, ret * w AS contribution, dd * w AS dd_contribution, ret * w / sum(ret * w) OVER () AS share FROM {_TOTALS} JOIN {_WEIGHTS} USING (series_id)")
 def _(v):
     w = _weights(v).withColumn("w", F.greatest("w", F.lit(0.0)))
-    w = w.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy(F.lit(0))))
+    w = with_total(w, _total=F.sum("w")).select("series_id", (F.col("w") / F.col("_total")).alias("w"))
     g = R.with_drawdown(v.series).groupBy("series_id").agg(((F.max_by("v", "idx") / F.min_by("v", "idx") - 1) * 100).alias("ret"), (F.max("dd") * 100).alias("dd")).join(w, "series_id")
     c = F.col("ret") * F.col("w")
-    return g.select("series_id", c.alias("contribution"), (F.col("dd") * F.col("w")).alias("dd_contribution"), (c / F.sum(c).over(Window.partitionBy(F.lit(0)))).alias("share"))
+    return with_total(g, _total=F.sum(c)).select("series_id", c.alias("contribution"), (F.col("dd") * F.col("w")).alias("dd_contribution"), (c / F.col("_total")).alias("share"))
 
 
 @query("attribution_by_strategy", f"-- floats: contribution share_pct\nSELECT series_id, ret * w AS contribution, ret * w / nullif(sum(ret * w) OVER (), 0) * 100 AS share_pct FROM (SELECT series_id, sum(r) AS ret, 1.0 / len(series_id) AS w FROM {_R} GROUP BY series_id)")
 def _(v):
     g = _returns(v).groupBy("series_id").agg(F.sum("r").alias("ret"))
     c = F.col("ret") * (1.0 / F.length("series_id"))
-    return g.select("series_id", c.alias("contribution"), (ratio(c, F.sum(c).over(Window.partitionBy(F.lit(0)))) * 100).alias("share_pct"))
+    return with_total(g, _total=F.sum(c)).select("series_id", c.alias("contribution"), (ratio(c, F.col("_total")) * 100).alias("share_pct"))
 
 
 _BUCKET = "(SELECT series_id, bucket, coalesce((arg_max(v, idx) - arg_min(v, idx)) / nullif(abs(arg_min(v, idx)), 0), 0) * 100 AS return_pct FROM (SELECT *, least((row_number() OVER (PARTITION BY series_id ORDER BY idx) - 1) // (count(*) OVER (PARTITION BY series_id) // {n}), {n} - 1) AS bucket FROM series) GROUP BY ALL)"
@@ -187,7 +187,7 @@ def _(v):
 WITH g AS (SELECT d.series_id, (arg_max(v, idx) / arg_min(v, idx) - 1) * 100 AS return_pct, max(dd) * 100 AS max_drawdown_pct, avg(r) / nullif(stddev_samp(r), 0) * sqrt(252.0) AS sharpe FROM {_DD} d GROUP BY d.series_id) SELECT g.*, g.return_pct - b.return_pct AS excess_return_pct FROM g, (SELECT return_pct FROM g WHERE series_id = 'BUILDING') b""")
 def _(v):
     g = R.with_drawdown(v.series).groupBy("series_id").agg(((F.max_by("v", "idx") / F.min_by("v", "idx") - 1) * 100).alias("return_pct"), (F.max("dd") * 100).alias("max_drawdown_pct"), R.sharpe(F.col("r")).alias("sharpe"))
-    b = g.filter("series_id = 'BUILDING'").select(F.col("return_pct").alias("_b"))
+    b = g.filter("series_id = 'BUILDING'").select(F.col("return_pct").alias("_b"))  # one row
     return g.join(F.broadcast(b)).withColumn("excess_return_pct", F.col("return_pct") - F.col("_b")).drop("_b")
 
 
@@ -342,7 +342,7 @@ WITH s AS (SELECT book_id, symbol, w * sd AS w FROM {_SIGNED} JOIN (SELECT serie
 SELECT book_id, symbol, {normal_quantile(0.95)!r} * sqrt(greatest(sum(term) OVER (PARTITION BY book_id), 0)) AS var_value, term / nullif(sum(term) OVER (PARTITION BY book_id), 0) AS share FROM f""", digits=4)
 def _(v):
     sd = _returns(v).groupBy(F.col("series_id").alias("symbol")).agg((F.stddev_samp("r") / 1000).alias("sd"))
-    w = R.signed_weights(v.positions).join(F.broadcast(sd), "symbol").select("book_id", "symbol", (F.col("w") * F.col("sd")).alias("w"))
+    w = R.signed_weights(v.positions).join(sd, "symbol").select("book_id", "symbol", (F.col("w") * F.col("sd")).alias("w"))
     total = F.sum("term").over(Window.partitionBy("book_id"))
     return R.quadratic_form(w, correlations(v)).select("book_id", "symbol", (normal_quantile(0.95) * F.sqrt(F.greatest(total, F.lit(0.0)))).alias("var_value"), ratio(F.col("term"), total).alias("share"))
 
@@ -350,7 +350,7 @@ def _(v):
 @query("cross_instrument_group_by_symbol", "-- floats: weight mean_fitness share\nSELECT *, weight / sum(weight) OVER () AS share FROM (SELECT symbol, count(*) AS n, sum(trades) + 0.0 AS weight, avg(fitness_full) AS mean_fitness FROM strategies GROUP BY symbol)")
 def _(v):
     g = v.strategies.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("trades").cast("double").alias("weight"), F.avg("fitness_full").alias("mean_fitness"))
-    return g.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy(F.lit(0))))
+    return with_total(g, _total=F.sum("weight")).withColumn("share", F.col("weight") / F.col("_total")).drop("_total")
 
 
 _SHARE = "(SELECT project, symbol, sum(trades) / sum(sum(trades)) OVER (PARTITION BY project) AS s FROM strategies GROUP BY project, symbol)"
@@ -375,7 +375,8 @@ _CLASS = "CASE WHEN regexp_matches(symbol, '^(EUR|GBP|USD|JPY)') THEN 'forex' WH
 def _(v):
     s = F.upper(F.translate("symbol", "_", ""))
     kind = F.when(s.rlike("^(EUR|GBP|USD|JPY)"), "forex").when(s.rlike("(USDT|BTC|ETH)$"), "crypto").when(s.rlike("[0-9]$"), "futures").otherwise("unknown")
-    return v.strategies.groupBy(kind.alias("asset_class")).agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    g = v.strategies.groupBy(kind.alias("asset_class")).agg(F.count(F.lit(1)).alias("n"))
+    return with_total(g, _total=F.sum("n")).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
 
 
 @query("cross_instrument_correlation_groups", "SELECT CASE WHEN regexp_matches(symbol, '_1[0-9]?$') THEN 'ones' WHEN regexp_matches(symbol, '_2[0-9]?$') THEN 'twos' ELSE 'rest' END AS cluster, array_to_string(list_sort(list(DISTINCT symbol)), ',') AS symbols FROM strategies GROUP BY ALL")

@@ -25,12 +25,12 @@ for _n, _stat, _steps in (("montecarlo_equity_paths", "total", None), ("montecar
     @query(_n)
     def _(v, stat=_stat, steps=_steps):
         """Draws depend on seed, series and path alone; tests hold repeatability, moments and bounds."""
-        return S.percentiles(S.bootstrap_paths(_scaled(v), 500, steps=steps), stat, [0.05, 0.25, 0.5, 0.75, 0.95])
+        return S.percentiles(S.bootstrap_paths(_scaled(v), 1000, steps=steps), stat, [0.05, 0.25, 0.5, 0.75, 0.95])
 
 
 @query("montecarlo_probability_of_drawdown")
 def _(v):
-    return S.bootstrap_paths(_scaled(v), 500).groupBy("series_id").agg(F.avg((F.col("max_drawdown") >= 50).cast("double")).alias("probability"))
+    return S.bootstrap_paths(_scaled(v), 1000).groupBy("series_id").agg(F.avg((F.col("max_drawdown") >= 50).cast("double")).alias("probability"))
 
 
 @query("stationary_bootstrap_resample")
@@ -40,12 +40,12 @@ def _(v):
 
 @query("stationary_bootstrap_paths")
 def _(v):
-    return S.percentiles(S.bootstrap_paths(_scaled(v), 500, block=10.0), "sharpe", [0.05, 0.25, 0.5, 0.75, 0.95])
+    return S.percentiles(S.bootstrap_paths(_scaled(v), 1000, block=10.0), "sharpe", [0.05, 0.25, 0.5, 0.75, 0.95])
 
 
 @query("stationary_bootstrap_confidence")
 def _(v):
-    return S.percentiles(S.bootstrap_paths(_scaled(v), 500, block=10.0), "mean", [0.025, 0.975]).withColumnsRenamed({"p2": "ci_low", "p98": "ci_high"})
+    return S.percentiles(S.bootstrap_paths(_scaled(v), 1000, block=10.0), "mean", [0.025, 0.975]).withColumnsRenamed({"p2": "ci_low", "p98": "ci_high"})
 
 
 def _excess(v):
@@ -54,17 +54,17 @@ def _excess(v):
 
 @query("spa_test_reality_check")
 def _(v):
-    return S.reality_check(_excess(v), 300)
+    return S.reality_check(_excess(v), 1000)
 
 
 @query("spa_test_hansen")
 def _(v):
-    return S.reality_check(_excess(v), 300, studentised=True)
+    return S.reality_check(_excess(v), 1000, studentised=True)
 
 
 @query("spa_test_consistency")
 def _(v):
-    return S.win_shares(_excess(v), 300)
+    return S.win_shares(_excess(v), 1000)
 
 
 _SPLITS = [(a, b) for a in range(6) for b in range(a + 1, 6)]
@@ -266,7 +266,7 @@ _DIST = "sqrt(" + " + ".join(f"power(a.z{k} - b.z{k}, 2)" for k in range(3)) + "
 def _(v):
     """Lloyd's rounds; tests hold them against plain numpy."""
     z = S.standardised(v.strategies, _ZM, "strategy_id")
-    return S.kmeans(z, 3, 10, "strategy_id").select("strategy_id", "cluster")
+    return S.kmeans(z, 3, 50, "strategy_id").select("strategy_id", "cluster")
 
 
 _TOP20 = "(SELECT z.* FROM " + _Z + " z JOIN (SELECT strategy_id FROM strategies ORDER BY fitness_full DESC, strategy_id LIMIT 20) t ON t.strategy_id = z.strategy_id)"

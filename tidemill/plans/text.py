@@ -16,12 +16,12 @@ def _(v):
     return v.table("conversations").select("conv_id", "turn", X.sanitize(F.col("text")).alias("safe"))
 
 
-@query("sanitize_struct_for_llm", r"""SELECT conv_id, array_to_string(list(regexp_replace(replace(text, '```', '``' || chr(8203) || '`'), '<(/?(?:system|assistant|user|tool|instructions?))>', '&lt;\1&gt;', 'gi') ORDER BY turn, text), '|') AS safe FROM conversations GROUP BY conv_id""")
+@query("sanitize_struct_for_llm", r"""SELECT conv_id, turn // 100 AS part, array_to_string(list(regexp_replace(replace(text, '```', '``' || chr(8203) || '`'), '<(/?(?:system|assistant|user|tool|instructions?))>', '&lt;\1&gt;', 'gi') ORDER BY turn, text), '|') AS safe FROM conversations GROUP BY ALL""")
 def _(v):
-    """Every string of a conversation's array of structs, by a walk of the schema."""
-    c = v.table("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("turns"))
+    """Every string of an array of structs, by a walk of the schema; an array holds a hundred turns of a conversation, however long that is."""
+    c = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 100).alias("part")).agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("turns"))
     safe = X.over_strings(F.col("turns"), c.schema["turns"].dataType, X.sanitize)
-    return c.select("conv_id", F.array_join(F.transform(safe, lambda t: t["text"]), "|").alias("safe"))
+    return c.select("conv_id", "part", F.array_join(F.transform(safe, lambda t: t["text"]), "|").alias("safe"))
 
 
 # The oracle's own list of rules: patterns, labels and severities as the specification has them.
@@ -231,9 +231,13 @@ def _(v):
     return _manifest(v)
 
 
-@query("workspace_fingerprint", f"SELECT left(name, 12) AS part, sha256(string_agg(sha, ',' ORDER BY sha)) AS combined, count(*) AS files FROM (SELECT name, max(sha) AS sha FROM {_MAN} GROUP BY name) GROUP BY ALL")
+_QUARTERS = ", ".join(f"CAST(sum(('0x' || substr(sha, {1 + 15 * k}, 15))::BIGINT::DECIMAL(38, 0)) AS VARCHAR)" for k in range(4))
+
+
+@query("workspace_fingerprint", f"SELECT left(name, 12) AS part, sha256(concat_ws(',', {_QUARTERS})) AS combined, count(*) AS files FROM (SELECT name, max(sha) AS sha FROM {_MAN} GROUP BY name) GROUP BY ALL")
 def _(v):
-    return _manifest(v).groupBy(F.substring("name", 1, 12).alias("part")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("sha")), ","), 256).alias("combined"), F.count(F.lit(1)).alias("files"))
+    """A digest of a part's files in any order: sums of pieces of their hashes, so that a part may hold any number of files."""
+    return G.combined_digest(_manifest(v), F.substring("name", 1, 12).alias("part"), "sha")
 
 
 @query("workspace_diff_manifests", f"WITH m AS (SELECT name, max(sha) AS sha FROM {_MAN} GROUP BY name), a AS (SELECT * FROM m WHERE length(name) % 3 <> 0), b AS (SELECT name, CASE WHEN length(name) % 5 = 0 THEN upper(sha) ELSE sha END AS sha FROM m WHERE length(name) % 4 <> 0) SELECT name, CASE WHEN a.sha IS NULL THEN 'added' WHEN b.sha IS NULL THEN 'removed' ELSE 'changed' END AS state FROM a FULL JOIN b USING (name) WHERE a.sha IS DISTINCT FROM b.sha")

@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and returns a frame that is
 written as Parquet and read again as the next one's docs. All but the last return the columns of documents.
+
+In every stage a null text counts as empty, rows that repeat a doc_id stay or go together, other columns may have any
+name, and an empty table stays empty. A row with a null doc_id is scored, masked and packed like others (its pieces
+have a null doc_id); the two stages that drop copies keep it, since it can be neither the smallest of a group nor named.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ BUCKETS, PAIRS, DIM, EPOCHS, RATE, SAMPLE, SEED = 1 << 16, 1 << 16, 8, 8, 0.5, 3
 GRAMS = (2, 3, 4)
 THRESHOLD = 0.3
 #: Words that a worker knows.
-KEPT = 400_000
+KEPT = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,7 +63,7 @@ class Words(dict):
 
     def numbers(self, text: str | None) -> np.ndarray:
         """The numbers of a text's words, in order; between texts, all words are forgotten when there are too many."""
-        if len(self) >= (KEPT if self.scores is not None else KEPT // 8):
+        if len(self) >= (KEPT if self.scores is not None else KEPT // 20):
             self.clear()
             self.__init__(self.scores)
         words = (text or "").encode("utf-8", "replace").split()

@@ -18,8 +18,8 @@ from ._common import documents, join_checked, materialise, scratch, small_batche
 from .packing import END_ID, RANKS, token_ids
 
 LENGTH = 2048
-#: Sequences of a shard; with the stride this bounds a file (16 MB), which its reader holds whole.
-SHARD = 4_096
+#: Sequences of a shard; with the stride this bounds a file (8 MB), which its reader holds whole.
+SHARD = 2_048
 #: Sequences that are compressed as one block of the scratch table, and the zstd level of blocks and shuffled records.
 BLOCK, LEVEL = 256, 3
 #: Writing takes turns of slot ranges, so that only one turn's shuffled records are on disk at a time.

@@ -120,7 +120,7 @@ def test_index_filters_prune_and_levels_add_up(spark, monkeypatch):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.col("id") % 500).otherwise(F.col("id") * 1000).alias("v"))
     rows = rows.select("doc_id", F.unhex(F.md5(F.col("v").cast("string"))).alias("key"), F.pmod("doc_id", F.lit(16)).cast("int").alias("run")).cache()
     index = exact.DigestIndex(spark)
-    index.flush(rows)
+    index.flush(rows, 16)
     probed = index.probed().cache()
     twice = {bytes(r.key) for r in probed.groupBy("at", "key").count().filter("count > 1").collect()}
     maybe = probed.filter("maybe")
@@ -130,7 +130,7 @@ def test_index_filters_prune_and_levels_add_up(spark, monkeypatch):
     want = {bytes(r.key): (r.a, r.n) for r in rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).collect()}
     assert {bytes(r.key): (r.doc_id, r.n) for r in index.compact().collect()} == want and index.runs == 1
     later = exact.DigestIndex(spark)
-    later.flush(rows.filter("doc_id >= 9000"))
+    later.flush(rows.filter("doc_id >= 9000"), 16)
     later.compact()
     later.flush(rows.filter("doc_id < 9000"), 16)
     assert {bytes(r.key): (r.doc_id, r.n) for r in later.compact().collect()} == want

@@ -30,6 +30,8 @@ PERSONAL = [
     (r"\b\d{8,}\b", "[REDACTED_NUMBER]"),
 ]
 SEVERITY = [("<", 50, "low_concern"), ("<", 80, "medium_concern"), ("<", 95, "high_concern")]
+#: One of these is in every match, in lower case: a cheap test that spares most texts the rules. Letters of which Unicode has other cases are left out.
+MARKERS = ("gnore", "regard", "truct", "delete", "drop", "-rf", "exec", "<", "act a", "lbrea")
 #: Characters of a match that are kept.
 SHOWN = 120
 # The names of role tags.
@@ -74,7 +76,10 @@ def injection_hits(text: Column) -> Column:
         )
 
     found = F.array(*(F.when(t.rlike(f"(?iU){p}"), hit(k, p, label, severity)) for k, (p, label, severity) in enumerate(INJECTION)))
-    quick = t.rlike("(?iU)" + "|".join(f"(?:{p})" for p, _, _ in INJECTION))
+    low = F.lower(t)
+    quick = F.contains(low, F.lit("dan")) & low.rlike(r"(?<![a-z])dan(?![a-z])")
+    for marker in MARKERS:
+        quick = F.contains(low, F.lit(marker)) | quick
     return F.when(quick, F.array_compact(found)).otherwise(F.slice(found, 1, 0))
 
 

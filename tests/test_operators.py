@@ -19,6 +19,7 @@ from tidemill.operators import selection as S
 from tidemill.operators import stats as ST
 from tidemill.operators import text as X
 from tidemill.operators import trades as T
+from tidemill.operators import workflows as W
 from tidemill.session import ship
 from tidemill.sources import readers
 from tidemill.streaming import live
@@ -447,3 +448,36 @@ def test_personal_data_and_injections_in_any_script(spark):
     assert hits == {(3, "destructive_command"): (2, "delete all files", 2, 95), (3, "jailbreak_attempt"): (1, "jailbreak", 0, 75)}
     verdicts = sorted((r.id, r.matches, r.verdict) for r in X.injection_verdicts(df, ["id"], "text").collect())
     assert verdicts == [(0, 0, "clean"), (1, 0, "clean"), (2, 0, "clean"), (3, 1, "medium_concern"), (3, 2, "critical_concern"), (4, 0, "clean"), (5, 0, "clean")]
+
+
+def test_sides_are_compared_whole(spark):
+    """A side that gains evenly beats one that lives from a single row; equal sides do not differ."""
+    rows = [("even", i, 10.0 + i % 3, 500.0 if i == 7 else -1.0) for i in range(60)] + [("same", i, float(i % 5 - 2), float(i % 5 - 2)) for i in range(60)]
+    rows += [("worse", i, -1.0 - i % 2, 3.0 + i % 4) for i in range(60)] + [("one", 0, 1.0, 2.0)]
+    got = {r.series_id: r for r in W.compare_sides(spark.createDataFrame(rows, "series_id string, idx long, a double, b double")).collect()}
+    e, s, w = got["even"], got["same"], got["worse"]
+    assert (e.brittle_a, e.stress_a, e.killed_a) == ("robust", "robust", 0) and (e.brittle_b, e.top10_b, e.stress_b) == ("very_brittle", 100.0, "moderate") and e.better == "no significant difference"
+    assert (e.longest_above, e.longest_below) == (52, 1) and e.share_above == pytest.approx(59 / 60)
+    assert (s.mean, s.better, s.beta, s.longest_above) == (0.0, "no significant difference", pytest.approx(1.0), 0)
+    assert (w.better, w.different, w.killed_a, w.stress_a, w.longest_above) == ("b", True, 4, "fragile", 0)
+    assert got["one"].better == "no significant difference" and got["one"].t is None
+
+
+def test_shipping_tags_and_registers(spark):
+    gates = spark.createDataFrame([(k, g, g != "soft", not (k == 2 and g == "hard") and g != "soft") for k in range(1, 8) for g in ("hard", "soft")], "strategy_id long, gate string, required boolean, passed boolean")
+    many = [f"t{i:02}" for i in range(49)]
+    tags = spark.createDataFrame([(1, ["x"]), (2, ["x"]), (4, many), (9, ["z"])], "strategy_id long, tags array<string>")
+    lineage = spark.createDataFrame([("root", None, "r"), ("n5", "root", "r")], "node_id string, parent_id string, label string")
+    asked = [(1, "n1", "root", ["new", "x"], False), (2, "n2", "root", ["new"], False), (3, "n3", None, ["new"], True), (4, "n4", "nowhere", ["new", "more"], False), (5, "n5", None, [], False), (6, "n6", None, None, False), (7, "n7", "n6", ["new"], False)]
+    requests = spark.createDataFrame([(k, n, p, f"s{k}", a, d) for k, n, p, a, d in asked], "strategy_id long, node_id string, parent_id string, label string, add array<string>, dry_run boolean")
+    metrics = spark.createDataFrame([(1, 30.0, 0.2, 50, "very_brittle"), (3, 25.0, 0.0, 100, None), (7, None, None, None, "robust")], "strategy_id long, drawdown_pct double, oos_is double, trades long, brittle_verdict string")
+    alerts = W.workspace_alerts(W.ship_payload(metrics.withColumn("drift_verdict", F.when(F.col("strategy_id") == 3, "red"))))
+    m = W.ship(requests, gates, tags, lineage, alerts)
+    got = {r.strategy_id: (r.verdict, r.tagging, r.tags, r.lineage) for r in m.collect()}
+    assert got == {
+        1: ("shipped", "tagged", ["new", "x"], "registered"), 2: ("blocked", "not approved", ["x"], "not approved"), 3: ("approved_dry_run", "dry_run", None, "dry_run"),
+        4: ("shipped", "would exceed 50 tags", many, "parent not registered"), 5: ("shipped", "no tags requested", None, "node already exists"), 6: ("shipped", "no tags requested", None, "registered"),
+        7: ("shipped", "tagged", ["new"], "parent not registered"),
+    }
+    assert {(r.strategy_id, r.blocked_by, r.warnings, r.alerts, r.n_alerts) for r in m.filter("strategy_id < 4").collect()} == {(1, "", "soft", "extreme_drawdown,low_trades,very_brittle,weak_oos", 4), (2, "hard", "soft", "", 0), (3, "", "soft", "drift_red", 1)}
+    assert {tuple(r) for r in W.shipped_nodes(m).collect()} == {("n1", "root", "s1"), ("n6", None, "s6")} and {r.strategy_id for r in W.shipped_tags(m).collect()} == {1, 7}

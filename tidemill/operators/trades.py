@@ -151,6 +151,13 @@ def top_share(rows: DataFrame, value: str, key: str, n: Column, name: str) -> Da
     return ranked.groupBy(key).agg(F.coalesce(100 * ratio(F.sum(F.when(F.col("_i") <= n, pos)), F.sum(pos)), F.lit(0.0)).alias(name))
 
 
+def brittle(trades: DataFrame, key: str = KEY) -> DataFrame:
+    """Gini of the sizes, percent of the gains in the best twentieth and tenth of the trades (one at least), and the verdict."""
+    at = lambda k: F.greatest(F.lit(1), F.floor(F.col("_n") / k))
+    g = gini(trades, "pnl", key).join(top_share(trades, "pnl", key, at(20), "top5"), key).join(top_share(trades, "pnl", key, at(10), "top10"), key)
+    return g.withColumn("verdict", F.when(F.col("top10") >= 80, "very_brittle").when(F.col("top10") >= 60, "brittle").when(F.col("gini") > 0.7, "skewed").otherwise("robust"))
+
+
 def calendar(trades: DataFrame, part: Column, every: list, name: str) -> DataFrame:
     """Counts and sums by a part of the closing time; all values of the part are there, with nulls for means and extremes of none."""
     p = F.col("pnl")

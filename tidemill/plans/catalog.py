@@ -201,11 +201,6 @@ def _(v):
     return _alerts(v).groupBy("severity").agg(F.count(F.when(F.col("fired"), 1)).alias("fired"), F.count(F.lit(1)).alias("n"))
 
 
-@query("alert_workspace_defaults", f"SELECT id, array_to_string(list_sort(list(name) FILTER (fired)), ',') AS fired FROM {_FIRED} GROUP BY id")
-def _(v):
-    return _alerts(v).groupBy("id").agg(F.array_join(F.sort_array(F.collect_list(F.when(F.col("fired"), F.col("name")))), ",").alias("fired")).withColumn("fired", F.nullif("fired", F.lit("")))
-
-
 _GATES = "(" + " UNION ALL ".join(f"SELECT strategy_id, '{g}' AS gate, {r} AS required, coalesce({p}, false) AS passed FROM {_COUNTED}" for g, r, p in (("min_trades", "true", "trades >= 100"), ("oos_evidence", "true", "oos_is >= 0.4"), ("drawdown_cap", "true", "drawdown_pct <= 40"), ("profit", "false", "net_profit > 0"), ("audit_clean", "true", "critical = 0"))) + ")"
 _PROMO = f"(SELECT strategy_id, count(*) FILTER (passed) AS passed, count(*) FILTER (required AND NOT passed) AS required_failures, count(*) FILTER (NOT required AND NOT passed) AS soft_failures, count(*) FILTER (required AND NOT passed) = 0 AS approved FROM {_GATES} GROUP BY strategy_id)"
 
@@ -339,17 +334,6 @@ def _(v):
     return C.diverse(s.withColumn("score", C.defensive_score(s)), F.col("trades_hash"), 5).select("strategy_id", "bucket", _light().alias("light"))
 
 
-_SHIP = f"SELECT strategy_id, CASE WHEN NOT approved THEN 'blocked' WHEN strategy_id % 2 = 0 THEN 'approved_dry_run' ELSE 'shipped' END AS verdict FROM {_PROMO}"
-for _n in ("ship_pipeline_run", "ship_pipeline_dry_run", "workflow_promote_strategy"):
-
-    @query(_n, _SHIP if _n == "ship_pipeline_run" else f"SELECT strategy_id, CASE WHEN NOT approved THEN 'blocked' ELSE '{'approved_dry_run' if 'dry' in _n else 'shipped'}' END AS verdict FROM {_PROMO}")
-    def _(v, name=_n):
-        done = F.lit("approved_dry_run" if "dry" in name else "shipped")
-        if name == "ship_pipeline_run":  # even ids are asked for as dry runs
-            done = F.when(F.col("strategy_id") % 2 == 0, "approved_dry_run").otherwise("shipped")
-        return _promo(v).select("strategy_id", F.when(~F.col("approved"), "blocked").otherwise(done).alias("verdict"))
-
-
 @query("databank_regression_check", """-- floats: cur prev change
 WITH n AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS cur, true AS k FROM strategies WHERE project <> 'p0' GROUP BY ALL), t AS (SELECT fingerprint, arg_max(fitness_full, strategy_id) AS prev, true AS k FROM strategies WHERE project = 'p0' GROUP BY ALL)
 SELECT fingerprint, cur, prev, change, CASE WHEN nk IS NULL THEN 'missing' WHEN tk IS NULL THEN 'new' WHEN change > 0.01 THEN 'improved' WHEN change < -0.01 THEN 'regressed' ELSE 'stable' END AS state FROM (SELECT fingerprint, cur, prev, n.k AS nk, t.k AS tk, (cur - prev) / nullif(abs(prev), 0) AS change FROM n FULL JOIN t USING (fingerprint))""")

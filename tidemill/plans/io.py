@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import stats as ST
 from ..operators import trades as T
 from ..session import scratch_path
 from ..sources import readers as IO
 from ..streaming import live as L
 from .catalog import _S
-from .indicators import PAIRS, _pairs
 from .registry import query
 from .text import _WIN
 
@@ -155,17 +153,6 @@ for _n in ("databank_save", "databank_load", "databank_clear"):
         return v.spark.read.parquet(path).select("project", "databank", "strategy_id")
 
 
-_TOP = """(SELECT series_id, coalesce(100 * sum(CASE WHEN i <= 5 THEN greatest(a, 0) END) / nullif(sum(greatest(a, 0)), 0), 0) AS top5 FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY a DESC) AS i FROM {p}) GROUP BY series_id)"""
-
-
-@query("workflow_compare_two_strategies", f"-- floats: mean t beta alpha top5\nSELECT x.series_id, x.mean, x.t, x.beta, x.alpha, top5 FROM (SELECT series_id, avg(a - b) AS mean, avg(a - b) / (stddev_samp(a - b) / sqrt(count(*))) AS t, regr_slope(a, b) AS beta, regr_intercept(a, b) AS alpha FROM {PAIRS} GROUP BY series_id) x JOIN {_TOP.format(p=PAIRS)} y ON y.series_id = x.series_id")
-def _(v):
-    """Paired test, regression and share of the best five, for each series beside the benchmark."""
-    p = _pairs(v)
-    fit = p.groupBy("series_id").agg(F.regr_slope("a", "b").alias("beta"), F.regr_intercept("a", "b").alias("alpha"))
-    return ST.paired_t(p).drop("n").join(fit, "series_id").join(T.top_share(p, "a", "series_id", F.lit(5), "top5"), "series_id")
-
-
 def _live(v):
     """Starts a stream over the events, lets it take all that is there, stops it, and gives its table and its progress."""
     spark, path = v.spark, scratch_path(v.spark, "live")

@@ -40,4 +40,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
     return put
 
 
-from . import bars, catalog, indicators, io, risk, selection, stats, text, trades  # noqa: E402, F401
+from . import bars, catalog, indicators, io, risk, selection, stats, text, trades, workflows  # noqa: E402, F401

@@ -114,7 +114,10 @@ def _(v):
     return T.metrics(T.worst_first(v.trades, 10), order="place")
 
 
-@query("stress_combined_scenarios", "SELECT *, CASE WHEN killed >= 3 THEN 'fragile' WHEN killed >= 1 THEN 'moderate' ELSE 'robust' END AS verdict FROM (SELECT strategy_id, count(*) FILTER (net <= 0) AS killed FROM (" + " UNION ALL ".join(f"SELECT strategy_id, sum(pnl) AS net FROM {x} GROUP BY strategy_id" for x in (_SLIP, _BEST, _SKIP, _WORST)) + ") GROUP BY strategy_id)")
+STRESS_SQL = "SELECT *, CASE WHEN killed >= 3 THEN 'fragile' WHEN killed >= 1 THEN 'moderate' ELSE 'robust' END AS verdict FROM (SELECT strategy_id, count(*) FILTER (net <= 0) AS killed FROM (" + " UNION ALL ".join(f"SELECT strategy_id, sum(pnl) AS net FROM {x} GROUP BY strategy_id" for x in (_SLIP, _BEST, _SKIP, _WORST)) + ") GROUP BY strategy_id)"
+
+
+@query("stress_combined_scenarios", STRESS_SQL)
 def _(v):
     return T.stress_verdict(T.stress(v.trades))
 
@@ -126,12 +129,12 @@ def _top(n: str, name: str, src: str = "trades", key: str = "strategy_id", val:
     return f"(SELECT {key}, coalesce(100 * sum(CASE WHEN i <= {n} THEN greatest({val}, 0) END) / nullif(sum(greatest({val}, 0)), 0), 0) AS {name} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {val} DESC) AS i, count(*) OVER (PARTITION BY {key}) AS n FROM {src}) GROUP BY {key})"
 
 
-@query("brittle_score_from_trades", f"""-- floats: gini top5 top10
-SELECT *, CASE WHEN top10 >= 80 THEN 'very_brittle' WHEN top10 >= 60 THEN 'brittle' WHEN gini > 0.7 THEN 'skewed' ELSE 'robust' END AS verdict FROM {_GINI.format(key='strategy_id', val='pnl', src='trades')} JOIN {_top('greatest(1, n // 20)', 'top5')} USING (strategy_id) JOIN {_top('greatest(1, n // 10)', 'top10')} USING (strategy_id)""")
+BRITTLE_SQL = f"""SELECT *, CASE WHEN top10 >= 80 THEN 'very_brittle' WHEN top10 >= 60 THEN 'brittle' WHEN gini > 0.7 THEN 'skewed' ELSE 'robust' END AS verdict FROM {_GINI.format(key='strategy_id', val='pnl', src='trades')} JOIN {_top('greatest(1, n // 20)', 'top5')} USING (strategy_id) JOIN {_top('greatest(1, n // 10)', 'top10')} USING (strategy_id)"""
+
+
+@query("brittle_score_from_trades", f"-- floats: gini top5 top10\n{BRITTLE_SQL}")
 def _(v):
-    at = lambda k: F.greatest(F.lit(1), F.floor(F.col("_n") / k))
-    g = T.gini(v.trades, "pnl", "strategy_id").join(T.top_share(v.trades, "pnl", "strategy_id", at(20), "top5"), "strategy_id").join(T.top_share(v.trades, "pnl", "strategy_id", at(10), "top10"), "strategy_id")
-    return g.withColumn("verdict", F.when(F.col("top10") >= 80, "very_brittle").when(F.col("top10") >= 60, "brittle").when(F.col("gini") > 0.7, "skewed").otherwise("robust"))
+    return T.brittle(v.trades)
 
 
 _DELTA = "(SELECT series_id, bucket, arg_max(v, idx) - arg_min(v, idx) AS d FROM (SELECT *, least((row_number() OVER (PARTITION BY series_id ORDER BY idx) - 1) // (count(*) OVER (PARTITION BY series_id) // 20), 19) AS bucket FROM series) GROUP BY ALL)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -135,18 +135,6 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.size(F.array_union(a, b)), F.lit(1))
 
 
-def duplicate_groups(fp: DataFrame, threshold: float, key: str = "strategy_id") -> DataFrame:
-    """(key, owner): pairs of equal signature, or of one tag band and tag similarity at the threshold, joined to the smallest key seen directly.
-
-    The tag band keeps rows without a common band apart, so there is no join of all with all; equal signatures are classes first.
-    """
-    classes = fp.groupBy("signature", "tags").agg(F.min(key).alias("owner"))
-    a, b = classes.select(F.col("owner").alias("x"), F.col("tags").alias("tx"), F.explode("tags").alias("band")), classes.select(F.col("owner").alias("y"), F.col("tags").alias("ty"), F.explode("tags").alias("band"))
-    close = a.join(b, "band").filter((F.col("x") > F.col("y")) & (jaccard(F.col("tx"), F.col("ty")) >= threshold)).groupBy("x").agg(F.min("y").alias("y"))
-    named = classes.join(close, F.col("owner") == F.col("x"), "left").select("signature", "tags", F.coalesce("y", "owner").alias("owner"))
-    return fp.join(named, ["signature", "tags"]).select(key, "owner")
-
-
 def curve_digest(curve: Column, samples: int = 16) -> Column:
     """Values of a curve at ``samples`` even places, or all of a shorter one, to 6 digits; empty for a missing one."""
     c = F.coalesce(curve, F.array().cast("array<double>"))
@@ -154,6 +142,17 @@ def curve_digest(curve: Column, samples: int = 16) -> Column:
     return F.transform(F.when(F.size(c) <= samples, c).otherwise(picked), lambda x: F.round(x, 6))
 
 
+def sampled_curves(rows: DataFrame, value: str, order: list[str], key: str = "strategy_id", samples: int = 16) -> DataFrame:
+    """(key, curve): the places that ``curve_digest`` takes of the running sum of ``value``, so that no whole curve is gathered."""
+    w = Window.partitionBy(key)
+    run = w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(key, F.sum(value).over(run).alias("v"), (F.count(F.lit(1)).over(run) - 1).alias("i"), F.count(F.lit(1)).over(w).alias("n"))
+    place = F.ceil(F.col("i") * samples / F.col("n"))  # the only one that can fall on row i
+    taken = (F.col("n") <= samples) | ((place < samples) & (F.floor(place * F.col("n") / samples) == F.col("i")))
+    picked = rows.filter(taken).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("c"))
+    return picked.select(key, F.transform("c", lambda x: F.round(x["v"], 6)).alias("curve"))
+
+
 def whole_fingerprints(s: DataFrame, key: str = "strategy_id") -> DataFrame:
     """(key, tags, signature, curve) from metrics, ``params`` (canonical text), ``direction`` and ``curve`` (array).
 
@@ -183,6 +182,14 @@ def curve_correlation(a: Column, b: Column) -> Column:
     return F.when((n >= 3) & (size > 0), dot(x, y) / size).otherwise(0.0)
 
 
+def similarity(tags_a: Column, tags_b: Column, correlation: Column) -> Column:
+    """Of two fingerprints of different signature, to 4 digits."""
+    return F.round(0.6 * jaccard(tags_a, tags_b) + 0.4 * F.greatest(correlation, F.lit(0.0)), 4)
+
+
+SIMILARITY = [(">=", 0.95, "near_identical"), (">=", 0.85, "very_similar"), (">=", 0.70, "similar")]
+
+
 def greedy_duplicates(fp: DataFrame, threshold: float = 0.85, key: str = "strategy_id") -> DataFrame:
     """(key, owner): groups in order of the key; a row belongs to the least owner that is similar enough, and owns itself if there is none.
 
@@ -194,10 +201,10 @@ def greedy_duplicates(fp: DataFrame, threshold: float = 0.85, key: str = "strate
     c = materialise(fp.groupBy(*same).agg(F.min(key).alias("id")), "classes")
     a, b = (c.select(*(F.col(n).alias(f"{n}_{x}") for n in (*same, "id"))) for x in "ab")
     sets = c.select("tags").distinct()
-    j = jaccard(F.col("tags_a"), F.col("tags_b"))
-    able = sets.select(F.col("tags").alias("tags_a")).crossJoin(sets.select(F.col("tags").alias("tags_b"))).filter(F.round(0.6 * j + 0.4, 4) >= threshold)
+    ta, tb = F.col("tags_a"), F.col("tags_b")
+    able = sets.select(F.col("tags").alias("tags_a")).crossJoin(sets.select(F.col("tags").alias("tags_b"))).filter(similarity(ta, tb, F.lit(1.0)) >= threshold)
     near = a.join(able, "tags_a").join(b, "tags_b").filter("id_a < id_b")
-    near = near.filter(F.round(0.6 * j + 0.4 * F.greatest(curve_correlation(F.col("curve_a"), F.col("curve_b")), F.lit(0.0)), 4) >= threshold)
+    near = near.filter(similarity(ta, tb, curve_correlation(F.col("curve_a"), F.col("curve_b"))) >= threshold)
     equal = a.join(b, F.col("signature_a") == F.col("signature_b")).filter("id_a < id_b")
     pairs = materialise(near.select("id_a", "id_b").union(equal.select("id_a", "id_b")).distinct(), "pairs")
     # An owner has no owner before it; each round settles the least open row of every component at least.

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.common import bands, ratio
 from ..operators import graph as G
 from ..operators import text as X
+from ..session import materialise
 from ..streaming import live as L
 from .catalog import _S, cat
 from .registry import query
@@ -185,38 +187,53 @@ def _(v):
     return _tags(v).select("strategy_id", F.array_join(G.rename_tag(F.col("tags"), "H1", "p1"), ",").alias("tags"))
 
 
-_FTAGS = "list_sort([CASE WHEN trades >= 1000 THEN 'trades>1000' WHEN trades >= 500 THEN 'trades>500' WHEN trades >= 100 THEN 'trades>100' ELSE 'low_trades' END, CASE WHEN drawdown_pct > 25 THEN 'high_dd' WHEN drawdown_pct > 10 THEN 'mod_dd' ELSE 'low_dd' END, CASE WHEN coalesce(oos_is, 0) >= 0.5 THEN 'oos>0.5' WHEN coalesce(oos_is, 0) >= 0.3 THEN 'oos>0.3' ELSE 'weak_oos' END])"
-_FDIG = "left(sha256(concat_ws(',', '0=' || CAST(CAST(round_even(drawdown_pct / 0.05, 0) AS BIGINT) AS VARCHAR), '1=' || CAST(CAST(round_even(oos_is / 0.05, 0) AS BIGINT) AS VARCHAR), '2=' || CAST(CAST(round_even(fitness_oos / 0.05, 0) AS BIGINT) AS VARCHAR))), 16)"
-_FP = f"(SELECT strategy_id, {_FTAGS} AS tags, {_FDIG} AS signature FROM {_S})"
+_CENTS = "(SELECT l_suppkey AS strategy_id, l_shipdate, l_orderkey, l_linenumber, CAST(round(l_extendedprice * (l_discount - 0.05) * 10000) AS BIGINT) AS p FROM lineitem)"
+_CURVE = f"(SELECT strategy_id, i, v, row_number() OVER (PARTITION BY strategy_id ORDER BY i) AS k FROM (SELECT strategy_id, v, i, n FROM (SELECT strategy_id, sum(p) OVER w / 10000 AS v, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY strategy_id) AS n FROM {_CENTS} WINDOW w AS (PARTITION BY strategy_id ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING))) WHERE n <= 16 OR list_contains(list_transform(range(16), lambda x: CAST(floor(x * n / 16) AS BIGINT)), i))"
+_FTAGS = "list_sort(list_filter([CASE WHEN trades >= 1000 THEN 'trades>1000' WHEN trades >= 500 THEN 'trades>500' WHEN trades >= 100 THEN 'trades>100' ELSE 'low_trades' END, CASE WHEN drawdown_pct > 25 THEN 'high_dd' WHEN drawdown_pct > 10 THEN 'mod_dd' ELSE 'low_dd' END, CASE WHEN coalesce(oos_is, 0) >= 0.5 THEN 'oos>0.5' WHEN coalesce(oos_is, 0) >= 0.3 THEN 'oos>0.3' ELSE 'weak_oos' END, CASE WHEN pf >= 2.0 THEN 'pf>2.0' WHEN pf >= 1.5 THEN 'pf>1.5' WHEN pf >= 1.2 THEN 'pf>1.2' ELSE 'low_pf' END, CASE timeframe WHEN 'H1' THEN 'dir:long' WHEN 'H4' THEN 'dir:short' END], lambda t: t IS NOT NULL))"
+_FDIG = "concat_ws(',', " + ", ".join(f"'{k}=' || CAST(CAST(round_even({c} / 0.05, 0) AS BIGINT) AS VARCHAR)" for k, c in enumerate(("net", "pf", "drawdown_pct", "oos_is", "fitness_oos"))) + ")"
+_FP = f"(SELECT s.strategy_id, {_FTAGS} AS tags, left(sha256('{{\"tf\":\"' || timeframe || '\"}}'), 16) || '.' || left(sha256({_FDIG}), 16) AS signature, curve FROM {_S} s JOIN (SELECT strategy_id, sum(p) / 10000 AS net, sum(greatest(p, 0)) / nullif(sum(greatest(-p, 0)), 0) AS pf FROM {_CENTS} GROUP BY strategy_id) g ON g.strategy_id = s.strategy_id JOIN (SELECT strategy_id, list(v ORDER BY k) AS curve FROM {_CURVE} GROUP BY strategy_id) c ON c.strategy_id = s.strategy_id)"
 
 
 def _fp(v):
-    s = cat(v)
-    return s.select("strategy_id", G.fingerprint_tags(s).alias("tags"), G.digest([F.col("drawdown_pct"), F.col("oos_is"), F.col("fitness_oos")]).alias("signature"))
+    """Metrics with exact profits (whole ten-thousandths), parameters, a direction and the sampled curve of each strategy."""
+    p = F.round(F.col("l_extendedprice") * (F.col("l_discount") - 0.05) * 10000).cast("long")
+    rows = v.table("lineitem").select(F.col("l_suppkey").alias("strategy_id"), "l_shipdate", "l_orderkey", "l_linenumber", p.alias("p"))
+    curves = G.sampled_curves(rows.withColumn("pnl", F.col("p").cast("decimal(18,0)") / 10000), "pnl", ["l_shipdate", "l_orderkey", "l_linenumber"])
+    curves = curves.withColumn("curve", F.col("curve").cast("array<double>"))
+    g = rows.groupBy("strategy_id").agg((F.sum("p") / 10000).alias("net_profit"), ratio(F.sum(F.greatest("p", F.lit(0))), F.sum(F.greatest(-F.col("p"), F.lit(0)))).alias("profit_factor"))
+    s = cat(v).drop("net_profit").join(g, "strategy_id").join(curves, "strategy_id")
+    s = s.withColumn("params", F.concat(F.lit('{"tf":"'), "timeframe", F.lit('"}'))).withColumn("direction", F.when(F.col("timeframe") == "H1", "long").when(F.col("timeframe") == "H4", "short"))
+    return G.whole_fingerprints(s)
 
 
 for _n in ("fingerprint_from_metrics", "fingerprint_from_archive"):
 
-    @query(_n, f"SELECT strategy_id, array_to_string(tags, ',') AS tags, signature FROM {_FP}")
+    @query(_n, f"SELECT strategy_id, array_to_string(tags, ',') AS tags, signature, array_to_string(list_transform(curve, lambda x: CAST(round(x * 10000) AS BIGINT)), ',') AS curve FROM {_FP}")
     def _(v):
-        return _fp(v).withColumn("tags", F.array_join("tags", ","))
+        """The curve in whole ten-thousandths."""
+        return _fp(v).select("strategy_id", F.array_join("tags", ",").alias("tags"), "signature", F.array_join(F.transform("curve", lambda x: F.round(x * 10000).cast("long").cast("string")), ",").alias("curve"))
 
 
-@query("fingerprint_similarity", f"-- floats: similarity\nSELECT a.strategy_id AS a, b.strategy_id AS b, CASE WHEN a.signature = b.signature THEN 1.0 ELSE len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags))) END AS similarity FROM {_FP} a JOIN {_FP} b ON a.strategy_id + 1 = b.strategy_id")
-def _(v):
-    """Of neighbours by id."""
-    a = _fp(v).select(F.col("strategy_id").alias("a"), F.col("tags").alias("ta"), F.col("signature").alias("sa"))
-    b = _fp(v).select(F.col("strategy_id").alias("b"), F.col("tags").alias("tb"), F.col("signature").alias("sb"))
-    j = a.join(b, F.col("a") + 1 == F.col("b"))
-    return j.select("a", "b", F.when(F.col("sa") == F.col("sb"), 1.0).otherwise(G.jaccard(F.col("ta"), F.col("tb"))).alias("similarity"))
+def _sim(on: str) -> str:
+    cor = f"(SELECT x.strategy_id AS a, y.strategy_id AS b, CASE WHEN count(*) >= 3 AND stddev_pop(x.v) > 0 AND stddev_pop(y.v) > 0 THEN corr(x.v, y.v) ELSE 0 END AS c FROM {_CURVE} x JOIN {_CURVE} y ON x.k = y.k AND {on} GROUP BY ALL)"
+    return f"(SELECT a.strategy_id AS a, b.strategy_id AS b, CASE WHEN a.signature = b.signature THEN 1.0 ELSE round(0.6 * len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags))) + 0.4 * greatest(c, 0), 4) END AS similarity FROM {cor} r JOIN {_FP} a ON a.strategy_id = r.a JOIN {_FP} b ON b.strategy_id = r.b)"
 
 
-_CLS = f"(SELECT signature, tags, min(strategy_id) AS owner FROM {_FP} GROUP BY signature, tags)"
+@query("fingerprint_similarity", "-- floats: similarity\nSELECT *, CASE WHEN similarity >= 0.95 THEN 'near_identical' WHEN similarity >= 0.85 THEN 'very_similar' WHEN similarity >= 0.7 THEN 'similar' ELSE 'distinct' END AS verdict FROM " + _sim("x.strategy_id + 1 = y.strategy_id"), digits=4)
+def _(v):
+    """Of neighbours by id."""
+    fp = materialise(_fp(v), "fingerprints")
+    a, b = (fp.select(F.col("strategy_id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("tags", "signature", "curve"))) for s in "ab")
+    s = G.similarity(F.col("tags_a"), F.col("tags_b"), G.curve_correlation(F.col("curve_a"), F.col("curve_b")))
+    out = a.join(b, F.col("a") + 1 == F.col("b")).select("a", "b", F.when(F.col("signature_a") == F.col("signature_b"), 1.0).otherwise(s).alias("similarity"))
+    return out.withColumn("verdict", bands(F.col("similarity"), G.SIMILARITY, "distinct"))
 
 
-@query("fingerprint_find_duplicates", f"SELECT f.strategy_id, coalesce(y, c.owner) AS owner FROM {_FP} f JOIN {_CLS} c ON c.signature = f.signature AND c.tags = f.tags LEFT JOIN (SELECT a.owner AS x, min(b.owner) AS y FROM {_CLS} a JOIN {_CLS} b ON a.owner > b.owner AND len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags))) >= 0.85 GROUP BY a.owner) d ON d.x = c.owner")
+@query("fingerprint_find_duplicates", "WITH RECURSIVE near AS (SELECT a, b FROM " + _sim("x.strategy_id < y.strategy_id") + """ WHERE similarity >= 0.85), n AS (SELECT strategy_id, row_number() OVER (ORDER BY strategy_id) AS i, coalesce(before, []) AS before FROM strategies LEFT JOIN (SELECT b AS strategy_id, list(a ORDER BY a) AS before FROM near GROUP BY b) USING (strategy_id)),
+f AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS owners UNION ALL SELECT n.i, CASE WHEN list_has_any(owners, before) THEN owners ELSE list_append(owners, strategy_id) END FROM f JOIN n ON n.i = f.i + 1)
+SELECT strategy_id, coalesce(list_filter(before, lambda x: list_contains(owners, x))[1], strategy_id) AS owner FROM n, (SELECT owners FROM f ORDER BY i DESC LIMIT 1)""")
 def _(v):
-    return G.duplicate_groups(_fp(v), 0.85)
+    return G.greedy_duplicates(materialise(_fp(v), "fingerprints"), 0.85)
 
 
 _MAN = "(SELECT url AS name, sha256(html) AS sha FROM pages)"

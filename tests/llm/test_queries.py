@@ -13,7 +13,8 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     df = queries.QUERIES[name](spark, DATA)
     cur = con.execute(queries.ORACLE_SQL[name])
     names = [d[0] for d in cur.description]
@@ -22,7 +23,7 @@ def test_oracles(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
 
 
 def test_pipeline_stages(spark):

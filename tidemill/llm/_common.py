@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +19,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, partitionBy: str | None = None, **options: str) -> DataFrame:
     """Write to a scratch table and read it back: cuts the lineage, survives lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).parquet(path, partitionBy=partitionBy)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replaced(df: DataFrame, path: str) -> DataFrame:
+    """``materialise`` to a path of the scratch folder whose earlier table is no longer read, and goes: for loops whose tables would pile up."""
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession):
+    """Inside, a finished write's shuffle files are removed at once, not when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Before Python runs on the executors: they get this package, and Arrow batches of so many rows, so that very long texts fit a worker.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from zlib import crc32
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import documents, join_checked, materialise, scratch, small_batches
+from ._common import documents, join_checked, materialise, released_shuffles, scratch, small_batches
 from .packing import END_ID, RANKS, token_ids
 
 LENGTH = 2048
@@ -162,18 +161,6 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard: int =
     )
 
 
-@contextmanager
-def released_shuffles(spark: SparkSession):
-    """Inside, a finished write's shuffle files are removed at once, not when the driver happens to collect garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
-
-
 def read_shards(spark: SparkSession, path: str, length: int = LENGTH, shard: int = SHARD, first_slot: int = 0) -> DataFrame:
     """slot, ids (packed) from ``first_slot`` on: earlier shards are pruned by their path, earlier records of its shard skipped by the stride.
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import documents, join_checked, materialise, small_batches
+from ._common import documents, join_checked, materialise, released_shuffles, replaced, scratch, small_batches
 
 #: Fixed values of the contract: least occurrences, longest phrase, share (in hundredths) of a phrase that a longer one must hold to replace it, phrases of a language.
 LEAST, LONGEST, ABSORB, TOP = 10, 3, 50, 2000
@@ -151,44 +151,49 @@ def _ends(length: int) -> tuple[Column, Column]:
     return F.concat_ws(" ", F.slice(words, 1, length - 1)), F.concat_ws(" ", F.slice(words, 2, length - 1))
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """lang, length, phrase, f: exact occurrences of every word, and of every longer phrase whose two parts (without the last, without the first word) have ``least``.
+def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+    """(lang, length, phrase, f): the exact occurrences of every word and phrase of up to ``longest`` words that has ``least``; and (lang, n), all words.
 
     Documents are dealt into ``shards``, which are scanned in turn, step 0, 1, 2 and so on, around and around. Words are counted from step 0
-    on. A phrase is active from the step after the one at which the later of its parts reached ``least``, and is counted for one
-    full cycle, so over every shard once. Scans end when nothing is active: after three cycles at the latest for three words.
-    A scan leaves out what cannot be active by a table of slots of fixed size; the counts that come back are joined
+    on. A phrase is active from the step after the one at which the later of its parts (without the last, without the first word) reached ``least``, and
+    is counted for one full cycle, so over every shard once; with fewer than ``least`` it is then forgotten. Scans end when nothing is active: after
+    three cycles at the latest for three words. A scan leaves out what cannot be active by a table of slots of fixed size; the counts that come back are joined
     with the parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before it is shuffled.
     """
     spark = docs.sparkSession
     small_batches(spark)
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(lang.alias("lang"), text.cast("binary").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string"), text), F.lit(shards)).cast("int").alias("shard"))
-    path = materialise(rows, "phrase-shards", compression="zstd")
-    state, step = None, 0
+    rows = materialise(rows, "phrase-shards", compression="zstd", partitionBy="shard")
+    here = scratch(spark, "phrases")  # one table of counts and two of states take turns, so that the disk holds no more
+    state, totals, step = None, None, 0
     reached: dict[int, tuple[int, int]] = {}  # by length: the last step at which a phrase became frequent, and how many are
-    while step < shards or step <= max((last for length, (last, _) in reached.items() if length < longest), default=-1) + shards:
-        counts = scan(path.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, state, reached, longest, slots), shards, longest)
-        counts = counts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"), F.first("h").alias("h"))
-        counts = materialise(counts.select("lang", "length", F.col("phrase").cast("string").alias("phrase"), "n", "h"), "phrase-step")
-        new = counts.filter("length = 1").select("lang", "length", "phrase", "h", "n")
-        for length in [n + 1 for n, (last, _) in reached.items() if n < longest and last + shards >= step]:
-            part = state.filter((F.col("length") == length - 1) & F.col("reach").isNotNull()).select("lang", "phrase", "reach")
-            part = F.broadcast(part) if reached[length - 1][1] <= PHRASE_ROWS else part
-            head, tail = _ends(length)
-            found = counts.filter(F.col("length") == length).withColumns({"head": head, "tail": tail})
-            found = found.join(part.select("lang", F.col("phrase").alias("head"), F.col("reach").alias("r1")), ["lang", "head"])
-            found = found.join(part.select("lang", F.col("phrase").alias("tail"), F.col("reach").alias("r2")), ["lang", "tail"])
-            start = F.greatest("r1", "r2") + 1
-            new = new.union(found.filter((start <= step) & (start > step - shards)).select("lang", "length", "phrase", "h", "n"))
-        new = new.select("lang", "length", "phrase", "h", F.col("n").alias("f"), F.lit(None).cast("int").alias("reach"))
-        held = new if state is None else state.union(new)
-        held = held.groupBy("lang", "length", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f"), F.min("reach").alias("reach"))
-        state = materialise(held.withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step)))), "phrase-state")
-        grown = state.filter("reach is not null").groupBy("length").agg(F.max("reach").alias("last"), F.count(F.lit(1)).alias("n"))
-        reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect()}  # ``longest`` rows
-        step += 1
-    return state.select("lang", "length", "phrase", "f")
+    with released_shuffles(spark):
+        while step < shards or step <= max((last for length, (last, _) in reached.items() if length < longest), default=-1) + shards:
+            counts = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, state, reached, longest, slots), shards, longest)
+            counts = counts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"), F.first("h").alias("h"))
+            counts = replaced(counts.select("lang", "length", F.col("phrase").cast("string").alias("phrase"), "n", "h"), f"{here}/counts")
+            new = counts.filter("length = 1").select("lang", "length", "phrase", "h", "n", F.lit(0).alias("start"))
+            for length in [n + 1 for n, (last, _) in reached.items() if n < longest and last + shards >= step]:
+                part = state.filter((F.col("length") == length - 1) & F.col("reach").isNotNull()).select("lang", "phrase", "reach")
+                part = F.broadcast(part) if reached[length - 1][1] <= PHRASE_ROWS else part
+                head, tail = _ends(length)
+                found = counts.filter(F.col("length") == length).withColumns({"head": head, "tail": tail})
+                found = found.join(part.select("lang", F.col("phrase").alias("head"), F.col("reach").alias("r1")), ["lang", "head"])
+                found = found.join(part.select("lang", F.col("phrase").alias("tail"), F.col("reach").alias("r2")), ["lang", "tail"])
+                start = F.greatest("r1", "r2") + 1
+                new = new.union(found.filter((start <= step) & (start > step - shards)).select("lang", "length", "phrase", "h", "n", start.alias("start")))
+            new = new.select("lang", "length", "phrase", "h", F.col("n").alias("f"), "start", F.lit(None).cast("int").alias("reach"))
+            held = new if state is None else state.union(new)
+            held = held.groupBy("lang", "length", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f"), F.min("start").alias("start"), F.min("reach").alias("reach"))
+            held = held.withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step))))
+            if step == shards - 1:
+                totals = materialise(held.filter("length = 1").groupBy("lang").agg(F.sum("f").alias("n")), "phrase-words")
+            state = replaced(held.filter(F.col("reach").isNotNull() | (F.col("start") > step + 1 - shards)), f"{here}/state-{step % 2}")
+            grown = state.filter("reach is not null").groupBy("length").agg(F.max("reach").alias("last"), F.count(F.lit(1)).alias("n"))
+            reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect()}  # ``longest`` rows
+            step += 1
+    return state.select("lang", "length", "phrase", "f"), totals
 
 
 def _steps(spark: SparkSession, state: DataFrame | None, reached: dict[int, tuple[int, int]], longest: int, slots: int):
@@ -212,9 +217,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     All numbers are exact: products are decimals of 38 digits, enough for 10^15 occurrences. Repeated rows and rows with a null doc_id count
     like others, other columns are ignored, and an empty table gives no rows.
     """
-    counts = phrase_counts(docs, least, longest, shards, slots)
-    total = counts.filter("length = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = materialise(counts.filter(F.col("f") >= least), "frequent")
+    frequent, total = phrase_counts(docs, least, longest, shards, slots)
     found = frequent.filter("length > 1").withColumn("words", F.split("phrase", " ", -1))
     cuts = found.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("length") - 1)))
     side = lambda start, size: F.concat_ws(" ", F.slice("words", start, size))

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import small
+from ..session import materialise
+from .scan import BLOCK, Series, running
+
 
 def bucket(epoch: Column, seconds: int, offset: int = 0) -> Column:
     """Start of the epoch-aligned interval that holds ``epoch``."""
@@ -36,8 +42,7 @@ def resample(bars: DataFrame, seconds: int, offset: int = 0) -> DataFrame:
 def align_to_session(bars: DataFrame, start_hour: int) -> DataFrame:
     """Daily bars that begin at ``start_hour`` UTC. The very first row of a series is left out if it is not aligned; the rest of that partial day stays."""
     offset = start_hour * 3600
-    rn = F.row_number().over(Window.partitionBy("series_id").orderBy("t"))
-    kept = bars.withColumn("_rn", rn).filter((F.col("_rn") > 1) | (F.pmod(F.col("t") - offset, F.lit(86400)) == 0)).drop("_rn")
+    kept = running(bars, ["series_id"], "t", _rn=("count", F.lit(1))).filter((F.col("_rn") > 1) | (F.pmod(F.col("t") - offset, F.lit(86400)) == 0)).drop("_rn")
     return resample(kept, 86400, offset)
 
 
@@ -47,18 +52,32 @@ def _bars_of(ticks: DataFrame) -> DataFrame:
 
 def tick_bars(ticks: DataFrame, n: int) -> DataFrame:
     """A bar every n ticks; a last bar of at least two ticks stays."""
-    rn = F.row_number().over(Window.partitionBy("series_id").orderBy("seq")) - 1
-    return _bars_of(ticks.withColumn("bar", F.floor(rn / n))).filter("n_ticks >= 2")
+    numbered = running(ticks, ["series_id"], "seq", _rn=("count", F.lit(1)))
+    return _bars_of(numbered.withColumn("bar", F.floor((F.col("_rn") - 1) / n))).filter("n_ticks >= 2")
 
 
-def reset_bars(ticks: DataFrame, measure: Column, threshold: float, signed: bool = False) -> DataFrame:
+def reset_bars(ticks: DataFrame, measure: Column, threshold: float, signed: bool = False, block_rows: int | None = None) -> DataFrame:
     """Bars that close when the running measure (its size, if signed) reaches ``threshold``; the sum then restarts at zero, so overshoot is not carried.
 
-    The reset makes a bar depend on all before it in its series: a fold over sorted rows numbers the bars
-    and carries only the series, bar and running total from batch to batch; an ordinary aggregate builds
-    them. Ticks after the last full bar are left over: their bar has no closing tick. Adds ``measure_sum``.
+    The reset makes a bar depend on all before it in its series. A series that fits a block is folded in one task, which carries only the
+    series, bar and running total from batch to batch; a longer one is solved block by block (``_reset_blocks``). An ordinary
+    aggregate then builds the bars. Ticks after the last full bar are left over: their bar has no closing tick. A null measure adds nothing. Adds ``measure_sum``.
     """
+    rows = ticks.select(
+        F.col("series_id").cast("string").alias("series_id"), F.col("seq").cast("long").alias("seq"), F.col("epoch").cast("long").alias("epoch"), F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
+        F.coalesce(measure.cast("double"), F.lit(0.0)).alias("m"),
+    )
+    series = Series(rows, ["series_id"], "seq", block_rows)
+    folded = _reset_blocks(series, threshold, signed) if series.cut else _reset_fold(series.frame(), threshold, signed)
+    return _as_points(folded).groupBy("series_id", "bar").agg(
+        F.min("epoch").alias("open_epoch"), F.max("epoch").alias("close_epoch"), F.count(F.lit(1)).alias("n_ticks"), *_ohlcv("seq"), F.sum("m").alias("measure_sum"), F.max("closed").alias("closed")
+    ).filter("closed").drop("closed")
+
 
+_TICK = "series_id string, seq long, epoch long, price double, volume double, m double"
+
+
+def _reset_fold(rows: DataFrame, threshold: float, signed: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bar, total = object(), 0, 0.0
         for b in batches:
@@ -73,12 +92,107 @@ def reset_bars(ticks: DataFrame, measure: Column, threshold: float, signed: bool
                     bar, total = bar + 1, 0.0
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bars, pa.int64()), pa.array(closed, pa.bool_())], names=[*b.schema.names, "bar", "closed"])
 
-    rows = ticks.select(F.col("series_id").cast("string"), F.col("seq").cast("long"), F.col("epoch").cast("long"), F.col("price").cast("double"), F.col("volume").cast("double"), measure.cast("double").alias("m"))
-    schema = "series_id string, seq long, epoch long, price double, volume double, m double, bar long, closed boolean"
-    folded = rows.repartition("series_id").sortWithinPartitions("series_id", F.asc_nulls_last("seq")).mapInArrow(run, schema)
-    return _as_points(folded).groupBy("series_id", "bar").agg(
-        F.min("epoch").alias("open_epoch"), F.max("epoch").alias("close_epoch"), F.count(F.lit(1)).alias("n_ticks"), *_ohlcv("seq"), F.sum("m").alias("measure_sum"), F.max("closed").alias("closed")
-    ).filter("closed").drop("closed")
+    return rows.repartition("series_id").sortWithinPartitions("series_id", F.asc_nulls_last("seq")).mapInArrow(run, f"{_TICK}, bar long, closed boolean")
+
+
+def first_close(s: np.ndarray, at: int, base: float, threshold: float, signed: bool) -> int:
+    """First place from ``at`` on at which the prefix sums ``s`` have left ``base`` by the threshold; ``len(s)`` if none. Looks ahead in growing steps."""
+    size = 64
+    while at < len(s):
+        grown = s[at : at + size] - base
+        hit = (np.abs(grown) if signed else grown) >= threshold
+        k = int(hit.argmax())
+        if hit[k]:
+            return at + k
+        at, size = at + size, 2 * size
+    return len(s)
+
+
+def reset_steps(m: np.ndarray, threshold: float, signed: bool) -> list[tuple[int, float, float, float, int]]:
+    """The running total at the end of a block of measures ``m`` as a step function of that at its start.
+
+    (place, highest, lowest, total, closes): a block entered with total r closes its first bar at the first place where r + highest reaches the
+    threshold (or, if signed, r + lowest the negative one), and ends with ``total`` after that many closes. Places are those where the prefix sum
+    has a new extreme, and end where every total that can come in has closed. The last row, at place len(m), stands for no close; its total adds to r.
+    Bars from different first closes soon fall together, so each start is followed only to one that is known.
+    """
+    s = np.cumsum(m)
+    high, low = np.maximum.accumulate(s), np.minimum.accumulate(s)
+    new = np.r_[True, high[1:] > high[:-1]] | (np.r_[True, low[1:] < low[:-1]] if signed else False)
+    places = np.flatnonzero(new)
+    if signed:
+        sure = np.flatnonzero(high[places] - low[places] >= 2 * threshold)
+    else:
+        sure = np.flatnonzero(high[places] >= threshold) if (m >= 0).all() else np.zeros(0, np.int64)
+    if len(sure):
+        places = places[: sure[0] + 1]
+    known: dict[int, tuple[float, int]] = {len(s): (0.0, 0)}
+    out = []
+    for p in places.tolist():
+        path, at = [], p + 1
+        while at not in known:
+            close = first_close(s, at, s[at - 1], threshold, signed)
+            if close == len(s):
+                known[at] = (float(s[-1] - s[at - 1]), 0)
+            else:
+                path.append(at)
+                at = close + 1
+        total, closes = known[at]
+        for q in reversed(path):
+            closes += 1
+            known[q] = (total, closes)
+        out.append((p, float(high[p]), float(low[p]), total, closes + 1))
+    return [*out, (len(s), float("inf"), float("-inf"), float(s[-1]) if len(s) else 0.0, 0)]
+
+
+def _reset_blocks(series: Series, threshold: float, signed: bool) -> DataFrame:
+    """Bar numbers and closing ticks of series of any length.
+
+    What a block does to the running total is a step function (``reset_steps``) of a row for each tick of its first bar at most. The
+    functions of a series are applied in order, streamed through a task that carries one total and one count; then every block numbers its own
+    bars from its true start. Sums run from the start of a block, so they differ from the plain fold's by rounding at most.
+    """
+    rows = materialise(series.rows, "reset-blocks")
+    by = rows.groupBy("series_id", BLOCK)
+    steps = by.applyInPandas(lambda p: _step_rows(p, threshold, signed), f"series_id string, {BLOCK} int, place long, highest double, lowest double, total double, closes long")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """series_id, block, total and bars so far at its start."""
+        now, found, total, bars, out = object(), None, 0.0, 0, []
+        for b in batches:
+            out = []
+            for key, block, high, low, ends, closes in zip(*(b.column(c).to_pylist() for c in ("series_id", BLOCK, "highest", "lowest", "total", "closes"))):
+                if key != now:
+                    now, total, bars, found = key, 0.0, 0, None
+                if block != found:  # not past this block's first close yet
+                    if total + high >= threshold or (signed and total + low <= -threshold):
+                        out.append((key, block, total, bars))
+                        found, total, bars = block, ends if closes else total + ends, bars + closes
+            cols = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.float64(), pa.int64()))], names=["k", "b", "start", "bars"])
+
+    walked = steps.repartition("series_id").sortWithinPartitions("series_id", BLOCK, "place").mapInArrow(walk, "k string, b int, start double, bars long")
+    walked = small(materialise(walked, "reset-starts"))
+    return rows.join(walked, F.col("series_id").eqNullSafe(F.col("k")) & (F.col(BLOCK) == F.col("b"))).drop("k", "b").groupBy("series_id", BLOCK).applyInPandas(lambda p: _numbered(p, threshold, signed), f"{_TICK}, bar long, closed boolean")
+
+
+def _step_rows(p: pd.DataFrame, threshold: float, signed: bool) -> pd.DataFrame:
+    m = p.sort_values("seq", kind="stable")["m"].to_numpy()
+    out = pd.DataFrame(reset_steps(m, threshold, signed), columns=["place", "highest", "lowest", "total", "closes"])
+    out.insert(0, BLOCK, p[BLOCK].iloc[0])
+    out.insert(0, "series_id", p["series_id"].iloc[0])
+    return out
+
+
+def _numbered(p: pd.DataFrame, threshold: float, signed: bool) -> pd.DataFrame:
+    p = p.sort_values("seq", kind="stable")
+    s, base, at = np.cumsum(p["m"].to_numpy()), -float(p["start"].iloc[0]), 0
+    closed = np.zeros(len(s), bool)
+    while (close := first_close(s, at, base, threshold, signed)) < len(s):
+        closed[close] = True
+        base, at = s[close], close + 1
+    bar = int(p["bars"].iloc[0]) + np.cumsum(closed) - closed
+    return p[["series_id", "seq", "epoch", "price", "volume", "m"]].assign(bar=bar, closed=closed)
 
 
 def vwap(price: str = "price", volume: str = "volume") -> Column:

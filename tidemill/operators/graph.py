@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +31,9 @@ def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
     Each round doubles the steps: a node's ancestor at 2^(k+1) is that of its ancestor at 2^k, and what is known of the
     descendants up to 2^k steps down comes up from the nodes 2^k below. Rows stay one a node, rounds are the logarithm of the
-    depth. A parent that has no row is a root. Nodes on a cycle, or below one, have no root, depth, descendants or height: all null.
+    depth. Of several edges of a node that with the smallest parent counts. A parent that has no row is a root. Nodes on a cycle, or below one, have no root, depth, descendants or height: all null.
     """
-    known = edges.select("node_id", "parent_id").distinct()
+    known = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id"))
     roots = known.select(F.col("parent_id").alias("node_id")).filter("node_id is not null").distinct().join(known, "node_id", "left_anti")
     every = known.unionByName(roots.withColumn("parent_id", F.lit(None).cast(known.schema["parent_id"].dataType)))
     zero = F.lit(0).cast("long")
@@ -74,25 +75,130 @@ def descends(pairs: DataFrame, edges: DataFrame, low: str, high: str) -> DataFra
     return p.filter(F.col("_now") == F.col(high)).select(low, high)
 
 
+def components(links: DataFrame) -> DataFrame:
+    """(node, component): the smallest node reachable from each node that an undirected link (a, b) joins to another.
+
+    Alternating stars: each node's larger neighbours, then its smaller ones, are tied to the smallest node around it, until every node hangs on its
+    component's smallest. Each step is a join and an aggregate, written to the shared folder; a hub is a key of aggregates, never a group in a task.
+    """
+    edges = materialise(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    before = None
+    while True:
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("low"))
+        large = materialise(both.join(near, "u").filter("v > u and v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct(), "links")
+        near = large.groupBy("u").agg(F.min("v").alias("low"))
+        small_ = large.join(near, "u").filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")).union(near.select("u", F.col("low").alias("v")))
+        edges = materialise(small_.distinct(), "links")
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
+        if now == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        before = now
+
+
+def anchors(edges: DataFrame, moving: DataFrame) -> DataFrame:
+    """(node_id, anchor) of every node: the first node of ``moving`` at or above it, null if there is none. Pointers double in each round."""
+    own = moving.select("node_id", F.lit(True).alias("_moves")).distinct()
+    start = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id")).join(own, "node_id", "left")
+    state = materialise(start.select("node_id", F.when(F.col("_moves"), F.col("node_id")).alias("anchor"), F.when(F.col("_moves").isNull(), F.col("parent_id")).alias("up")), "anchors")
+    step, nodes = 1, state.count()
+    while step <= 2 * nodes and state.filter("up is not null").head(1):
+        above = state.select(F.col("node_id").alias("up"), F.col("anchor").alias("_a"), F.col("up").alias("_u"))
+        state = materialise(state.join(above, "up", "left").select("node_id", F.coalesce("anchor", "_a").alias("anchor"), F.when(F.col("_a").isNull(), F.col("_u")).alias("up")), "anchors")
+        step *= 2
+    return state.select("node_id", "anchor")
+
+
+def _applied(p: pd.DataFrame) -> pd.DataFrame:
+    """The operations of one component in their order: ``error`` of each, null where it is applied."""
+    p = p.sort_values(["seq", "node_id", "parent_id"], kind="stable", na_position="first")
+    value = lambda x: x if isinstance(x, str) else None
+    up, below, there, out = {}, {}, set(), []
+
+    def point(node, to) -> None:
+        old = up.get(node)
+        if old is not None:
+            below[old] -= 1
+        up[node] = to
+        if to is not None:
+            below[to] = below.get(to, 0) + 1
+
+    for node, known, anchor in zip(p["node_id"], p["known"], p["anchor"]):
+        if known and node not in there:
+            there.add(node)
+            point(node, value(anchor))
+    for op, node, parent, parent_known, to in zip(p["op"], p["node_id"], p["parent_id"], p["parent_known"], p["parent_anchor"]):
+        parent, to, error = value(parent), value(to), None
+        if op == "register" and node in there:
+            error = "exists"
+        elif op == "link" and node not in there:
+            error = "missing_node"
+        elif parent is not None and parent == node and op == "link":
+            error = "self"
+        elif parent is not None and not parent_known and parent not in there:
+            error = "missing_parent"
+        elif op == "link" and (to == node or below.get(node)):  # what has no moving node below it is above no other
+            at = to
+            while at is not None and at != node:
+                at = up.get(at)
+            error = "cycle" if at is not None else None
+        out.append(error)
+        if error is None:
+            there.add(node)
+            point(node, to)
+    return p[["seq", "op", "node_id", "parent_id"]].assign(error=out)
+
+
+def lineage_results(edges: DataFrame, operations: DataFrame) -> DataFrame:
+    """``error`` of each operation (seq, op, node_id, parent_id) as if they were applied one after the other in order of ``seq``; null where it is applied.
+
+    ``register`` adds a node (``exists``, ``missing_parent``); ``link`` gives a node a new parent, null for none (``missing_node``, ``self``,
+    ``missing_parent``, and ``cycle`` if the node is at or above the parent at that moment). Nodes that no operation names keep their parents, so each path up
+    is contracted to the nodes that may move (``anchors``), and operations that share no such node, however far, cannot touch each
+    other (``components``). Each component is applied in order by one task, which holds its operations: their order is what decides.
+    Operations of equal ``seq`` come in order of node_id and parent_id, as text. A null node_id is ``missing_node``. Of several edges of a node that with the smallest parent counts.
+    """
+    ops = materialise(operations.select("seq", "op", "node_id", "parent_id"), "operations")
+    kind = dict(ops.dtypes)
+    moving = ops.select("node_id").filter("node_id is not null").distinct()
+    held = materialise(anchors(edges, moving), "anchored")
+    above = held.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("parent_known"), F.col("anchor").alias("parent_anchor"))
+    own = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id")).join(moving, "node_id", "left_semi").join(above, "parent_id", "left").select("node_id", F.lit(True).alias("known"), F.col("parent_anchor").alias("anchor"))
+    fresh = moving.select(F.col("node_id").alias("parent_id"), F.col("node_id").alias("_self"))  # a parent that the batch registers is its own anchor
+    rows = ops.join(above, "parent_id", "left").join(fresh, "parent_id", "left").join(own, "node_id", "left").withColumn("parent_anchor", F.coalesce("parent_anchor", "_self"))
+    rows = materialise(rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("parent_known", "known")}).drop("_self"), "operations")
+    links = rows.filter("node_id is not null").select(F.col("node_id").alias("a"), F.explode(F.array("parent_anchor", "anchor")).alias("b"))
+    found = components(links).select(F.col("node").alias("node_id"), "component")
+    rows = rows.join(found, "node_id", "left").withColumn("component", F.coalesce("component", "node_id"))
+    text = {c: F.col(c).cast("string") for c in ("node_id", "parent_id", "parent_anchor", "anchor", "component")}
+    done = rows.filter("node_id is not null").withColumns(text).groupBy("component").applyInPandas(_applied, f"seq {kind['seq']}, op string, node_id string, parent_id string, error string")
+    done = done.select("seq", "op", *(F.col(c).cast(kind[c]).alias(c) for c in ("node_id", "parent_id")), "error")
+    return done.union(ops.filter("node_id is null").select("seq", "op", "node_id", "parent_id", F.lit("missing_node")))
+
+
+def _links(proposed: DataFrame) -> DataFrame:
+    """The operations of a batch of links; without a ``seq`` they come in order of node_id and parent_id."""
+    seq = F.col("seq" if "seq" in proposed.columns else "node_id").alias("seq")
+    return proposed.select(seq, F.lit("link").alias("op"), "node_id", "parent_id")
+
+
 def link_errors(edges: DataFrame, proposed: DataFrame) -> DataFrame:
-    """Proposed (node_id, parent_id) that may not be: ``self``, ``missing_parent`` or ``cycle`` (the parent descends from the node)."""
-    known = edges.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("_known")).distinct()
-    loop = descends(proposed.filter("parent_id is not null"), edges, "parent_id", "node_id").withColumn("_loop", F.lit(True))
-    p = proposed.join(known, "parent_id", "left").join(loop, ["node_id", "parent_id"], "left")
-    error = F.when(F.col("node_id") == F.col("parent_id"), "self").when(F.col("_known").isNull() & F.col("parent_id").isNotNull(), "missing_parent").when(F.col("_loop"), "cycle")
-    return p.withColumn("error", error).filter("error is not null").select("node_id", "parent_id", "error")
+    """The refused links (node_id, parent_id) of a batch and why; see ``lineage_results``."""
+    return lineage_results(edges, _links(proposed)).filter("error is not null").select("node_id", "parent_id", "error")
 
 
 def relink(edges: DataFrame, proposed: DataFrame) -> DataFrame:
-    """Edges after the nodes of ``proposed`` (node_id, parent_id; null detaches) get their new parents, all checked against the edges as they are.
+    """Edges after the links of ``proposed`` (node_id, parent_id: null detaches; seq) are applied one after the other; refused ones change nothing. Other columns stay."""
+    done = lineage_results(edges, _links(proposed)).filter("error is null")
+    last = F.max_by(F.struct("parent_id"), F.struct("seq", F.col("parent_id").cast("string")))
+    new = materialise(done.groupBy("node_id").agg(last.alias("_new")), "links")
+    return edges.join(new, "node_id", "left").withColumn("parent_id", F.when(F.col("_new").isNotNull(), F.col("_new.parent_id")).otherwise(F.col("parent_id"))).select(*edges.columns)
 
-    A link that ``link_errors`` refuses, or whose node has no row, changes nothing. Of several for a node the smallest parent counts.
-    Other columns stay.
-    """
-    bad = link_errors(edges, proposed).select("node_id", F.coalesce(F.col("parent_id").cast("string"), F.lit("")).alias("_p"))
-    good = proposed.withColumn("_p", F.coalesce(F.col("parent_id").cast("string"), F.lit(""))).join(bad, ["node_id", "_p"], "left_anti")
-    new = good.groupBy("node_id").agg(F.min("parent_id").alias("_new"), F.lit(True).alias("_set"))
-    return edges.join(new, "node_id", "left").withColumn("parent_id", F.when(F.col("_set"), F.col("_new")).otherwise(F.col("parent_id"))).select(*edges.columns)
+
+def register(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``edges`` with the nodes of ``nodes`` (seq, node_id, parent_id) that can be registered one after the other; columns that they lack are null."""
+    done = lineage_results(edges, nodes.select("seq", F.lit("register").alias("op"), "node_id", "parent_id")).filter("error is null")
+    return edges.unionByName(done.select("node_id", "parent_id"), allowMissingColumns=True)
 
 
 def without_nodes(edges: DataFrame, gone: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import bands, hhi, normal_quantile, ratio, with_total
+from .scan import Series, running
 
 UNDERWATER = [("<", 0.2, "rarely_underwater"), ("<", 0.5, "moderately_underwater"), ("<", 0.8, "often_underwater")]
 CONCENTRATION = [(">", 0.5, "very_concentrated"), (">", 0.25, "concentrated"), (">", 0.1, "moderately_diversified")]
@@ -34,9 +35,9 @@ def omega(r: Column, threshold: float = 0.0) -> Column:
 
 def with_drawdown(rows: DataFrame, value: str = "v", key: str = "series_id", order: str = "idx", floor: float | None = None) -> DataFrame:
     """Adds ``peak`` so far (at least ``floor``, if given) and ``dd``, the fall from it as a share."""
-    peak = F.max(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    peak = peak if floor is None else F.greatest(peak, F.lit(floor))
-    return rows.withColumn("peak", peak).withColumn("dd", F.when(F.col("peak") > 0, (F.col("peak") - F.col(value)) / F.col("peak")).otherwise(0.0))
+    rows = running(rows, [key], order, peak=("max", F.col(value)))
+    rows = rows if floor is None else rows.withColumn("peak", F.greatest("peak", F.lit(floor)))
+    return rows.withColumn("dd", F.when(F.col("peak") > 0, (F.col("peak") - F.col(value)) / F.col("peak")).otherwise(0.0))
 
 
 def growth(rows: DataFrame, periods: int = 252) -> DataFrame:
@@ -63,14 +64,18 @@ def drawdown_episodes(rows: DataFrame, value: str = "v", key: str = "series_id",
 
     A value at or above the peak so far starts an island, the values below it up to the next are its drawdown.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    before = F.max(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = rows.select(key, order, value, F.when(before.isNull() | (F.col(value) >= before), 1).otherwise(0).alias("_new"))
-    marked = marked.withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    low = F.min_by(F.when(F.col("_new") == 0, F.col(order)), F.when(F.col("_new") == 0, F.struct(value, order)))
-    out = marked.groupBy(key, "island").agg(F.min(order).alias("start"), F.max(order).alias("_end"), F.count(F.lit(1)).alias("_n"), F.min_by(value, order).alias("_peak"), F.min(value).alias("_low"), low.alias("trough"))
-    nxt = F.lead("start").over(Window.partitionBy(key).orderBy("island"))
-    out = out.withColumn("recovery", nxt).filter("_n > 1")
+    series = Series(rows.select(key, order, value), [key], order).running(_before=("max_before", F.col(value)))
+    series = series.adding(_new=F.when(F.col("_before").isNull() | (F.col(value) >= F.col("_before")), 1).otherwise(0))
+    marked = series.running(_upto=("sum", F.col("_new"))).frame()
+    # the row that starts an island ends the drawdown of the one before, so it is told to both
+    marked = marked.withColumn("island", F.explode(F.when(F.col("_new") == 1, F.array("_upto", F.col("_upto") - 1)).otherwise(F.array("_upto"))))
+    own = lambda x: F.when(F.col("island") == F.col("_upto"), x)
+    under = lambda x: F.when((F.col("island") == F.col("_upto")) & (F.col("_new") == 0), x)
+    at = F.col(order)
+    out = marked.groupBy(key, "island").agg(
+        F.min(own(at)).alias("start"), F.max(own(at)).alias("_end"), F.count(own(F.lit(1))).alias("_n"), F.min_by(value, own(at)).alias("_peak"), F.min(own(F.col(value))).alias("_low"),
+        F.min_by(at, under(F.struct(value, order))).alias("trough"), F.min(F.when(F.col("island") < F.col("_upto"), at)).alias("recovery"),
+    ).filter("_n > 1")
     return out.select(
         key, "start", "trough", "recovery", F.when(F.col("_peak") > 0, (F.col("_peak") - F.col("_low")) / F.col("_peak") * 100).otherwise(0.0).alias("depth_pct"),
         (F.coalesce("recovery", F.col("_end") + 1) - F.col("start")).alias("duration"), (F.col("trough") - F.col("start")).alias("drop_bars"), (F.col("recovery") - F.col("trough")).alias("recovery_bars"),
@@ -88,10 +93,9 @@ def pain_buckets(rows: DataFrame, buckets: list[float]) -> DataFrame:
 
 def longest_runs(rows: DataFrame, kind: Column, key: str, order: str) -> DataFrame:
     """Longest run of rows of the same kind, per key and kind (null kinds break runs and are left out)."""
-    marked = rows.withColumn("kind", kind)
-    all_rn = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    own_rn = F.row_number().over(Window.partitionBy(key, "kind").orderBy(order))
-    runs = marked.withColumn("_g", all_rn - own_rn).filter("kind is not null").groupBy(key, "kind", "_g").agg(F.count(F.lit(1)).alias("run"))
+    series = Series(rows.withColumn("kind", kind), [key], order).running(_last=("lag", F.col("kind")))
+    series = series.adding(_change=F.when(F.col("kind").eqNullSafe(F.col("_last")), 0).otherwise(1)).running(_g=("sum", F.col("_change")))
+    runs = series.frame().filter("kind is not null").groupBy(key, "kind", "_g").agg(F.count(F.lit(1)).alias("run"))
     return runs.groupBy(key, "kind").agg(F.max("run").alias("longest"))
 
 
@@ -137,8 +141,9 @@ def quadratic_form(weights: DataFrame, correlations: DataFrame) -> DataFrame:
 
 def bucket_returns(rows: DataFrame, n: int) -> DataFrame:
     """Percent change inside n buckets of equal count; the last takes the remainder."""
-    size = F.floor(F.count(F.lit(1)).over(Window.partitionBy("series_id")) / n)
-    b = F.least(F.floor((F.row_number().over(Window.partitionBy("series_id").orderBy("idx")) - 1) / size), F.lit(n - 1))
+    counts = rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("_all"))
+    rows = running(rows, ["series_id"], "idx", _rn=("count", F.lit(1))).join(counts, "series_id")
+    b = F.least(F.floor((F.col("_rn") - 1) / F.floor(F.col("_all") / n)), F.lit(n - 1))
     first, last = F.min_by("v", "idx"), F.max_by("v", "idx")
     return rows.withColumn("bucket", b).groupBy("series_id", "bucket").agg(F.coalesce(ratio(last - first, F.abs(first)), F.lit(0.0)).alias("_r")).select("series_id", "bucket", (F.col("_r") * 100).alias("return_pct"))
 

@@ -15,11 +15,11 @@ from ._common import documents, join_checked, materialise, released_shuffles, re
 #: Fixed values of the contract: least occurrences, longest phrase, share (in hundredths) of a phrase that a longer one must hold to replace it, phrases of a language.
 LEAST, LONGEST, ABSORB, TOP = 10, 3, 50, 2000
 #: Shards of a cycle; the scan stops after each to activate phrases.
-SHARDS = 4
+SHARDS = 2
 #: Slots (a power of two) of the table of activation steps that goes to the scanning tasks: two bytes each, whatever the corpus.
 SLOTS = 1 << 22
 #: Words that a task counts at once, and different words that it knows before it starts anew.
-CHUNK_WORDS, KNOWN_WORDS = 4_000_000, 1_000_000
+CHUNK_WORDS, KNOWN_WORDS = 2_000_000, 1_000_000
 #: Bytes of a text that are split into words at once.
 PART = 1 << 20
 #: Broadcast bound for tables of phrases.
@@ -74,45 +74,51 @@ class Steps:
         return self.first[at], self.last[at]
 
 
-def count_chunk(lang: str, ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps], shards: int, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
-    """(length, phrases, their hashes, occurrences) of all phrases in ``ids`` that may be active at ``step``."""
+Counted = tuple[int, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps], shards: int, longest: int) -> Iterator[Counted]:
+    """(length, phrases, their hashes, those of their two parts, occurrences) of all phrases in ``ids`` that may be active at ``step``; length 0 stands for all words."""
     names, h = list(words)[2:], words.hashes()
+    live = np.flatnonzero(ids >= 0)
     if step < shards:
-        n = np.bincount(ids[ids >= 0], minlength=len(names))
+        n = np.bincount(ids[live], minlength=len(names))
         at = np.flatnonzero(n)
-        yield 1, [names[i] for i in at.tolist()], h[at], n[at]
-    # of a phrase that may be active: the hash, first and last step of the phrase of the length before that begins at each place
-    live = np.flatnonzero(ids >= 0)
+        none = np.zeros(len(at), np.uint64)
+        one = np.zeros(1, np.uint64)
+        yield 0, [b""], one, one, one, np.array([len(live)])
+        yield 1, [names[i] for i in at.tolist()], h[at], none, none, n[at]
     if 1 not in steps or not len(live):
         return
-    first, last = (np.full(len(ids), v, np.uint8) for v in (NEVER, 0))
+    # of the phrase of the length before that begins at each place: its hash, a number, and the first and last step at which it may have become frequent
+    first, last, hashes, code = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint8), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.int64)
     word_first, word_last = steps[1].of(h)
-    first[live], last[live] = word_first[ids[live]], word_last[ids[live]]
-    hashes = np.zeros(len(ids), np.uint64)
-    hashes[live] = h[ids[live]]
+    first[live], last[live], hashes[live], code[live] = word_first[ids[live]], word_last[ids[live]], h[ids[live]], ids[live]
     for length in range(2, longest + 1):
-        begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER)) if len(ids) >= length else np.zeros(0, np.int64)
+        begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER))
         if not len(begin):
             return
+        end = ids[begin + length - 1]
+        whole, key = joined(hashes[begin], h[end]), code[begin] * len(names) + end
         early, late = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1, np.maximum(last[begin], last[begin + 1]).astype(np.int64) + 1
-        both = joined(hashes[begin], h[ids[begin + length - 1]])
-        due = (early <= step) & (late > step - shards)
-        at = begin[due]
-        if len(at):
-            rows = np.stack([ids[at + k] for k in range(length)], axis=1)
-            order = np.lexsort(rows.T[::-1])
-            rows, keyed = rows[order], both[due][order]
-            new = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(1)])
-            yield length, [b" ".join([names[i] for i in r]) for r in rows[new].tolist()], keyed[new], np.diff(np.r_[new, len(rows)])
-        if length not in steps:
+        due = np.flatnonzero((early <= step) & (late > step - shards))
+        if len(due):
+            _, at, n = np.unique(key[due], return_index=True, return_counts=True)
+            at = due[at]
+            place = begin[at]
+            phrases = list(map(b" ".join, zip(*([names[i] for i in ids[place + k].tolist()] for k in range(length)))))
+            yield length, phrases, whole[at], hashes[place], hashes[place + 1], n
+        if length not in steps or length == longest:
             return
-        found_first, found_last = steps[length].of(both)
-        first, last, hashes = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint8), np.zeros(len(ids), np.uint64)
-        first[begin], last[begin], hashes[begin] = found_first, found_last, both
+        found_first, found_last = steps[length].of(whole)
+        on = np.flatnonzero(found_first != NEVER)
+        first[:], place = NEVER, begin[on]
+        first[place], last[place], hashes[place], code[place] = found_first[on], found_last[on], whole[on], np.unique(key[on], return_inverse=True)[1]
 
 
 def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataFrame:
-    """lang, length, phrase, h, n: occurrences in one shard (lang, text as bytes), summed by chunks of a task."""
+    """lang, length, phrase, h, head, tail, n: occurrences in one shard (lang, text as bytes), summed by chunks of a task; h, head and tail are the hashes of the phrase and its two parts."""
+    names = ["lang", "length", "phrase", "h", "head", "tail", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Words] = {}
@@ -121,11 +127,12 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataF
 
         def counted() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                for length, phrases, h, n in count_chunk(lang, np.concatenate(parts), words[lang], step, table, shards, longest):
+                for length, phrases, h, head, tail, n in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
                     for k in range(0, len(phrases), 50_000):
-                        part = phrases[k : k + 50_000]
-                        columns = [pa.repeat(pa.scalar(lang), len(part)), pa.repeat(pa.scalar(length, pa.int32()), len(part)), pa.array(part, pa.binary()), pa.array(h[k : k + 50_000].view(np.int64)), pa.array(n[k : k + 50_000], pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, names=["lang", "length", "phrase", "h", "n"])
+                        part = slice(k, k + 50_000)
+                        here = phrases[part]
+                        hashes = [pa.array(x[part].view(np.int64)) for x in (h, head, tail)]
+                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.repeat(pa.scalar(length, pa.int32()), len(here)), pa.array(here, pa.binary()), *hashes, pa.array(n[part], pa.int64())], names=names)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -142,13 +149,7 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataF
                 words, held, size = {}, {}, 0
         yield from counted()
 
-    return shard.mapInArrow(run, "lang string, length int, phrase binary, h long, n long")
-
-
-def _ends(length: int) -> tuple[Column, Column]:
-    """The phrase without its last word, and without its first."""
-    words = F.split("phrase", " ", -1)
-    return F.concat_ws(" ", F.slice(words, 1, length - 1)), F.concat_ws(" ", F.slice(words, 2, length - 1))
+    return shard.mapInArrow(run, "lang string, length int, phrase binary, h long, head long, tail long, n long").withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
@@ -157,51 +158,55 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     Documents are dealt into ``shards``, which are scanned in turn, step 0, 1, 2 and so on, around and around. Words are counted from step 0
     on. A phrase is active from the step after the one at which the later of its parts (without the last, without the first word) reached ``least``, and
     is counted for one full cycle, so over every shard once; with fewer than ``least`` it is then forgotten. Scans end when nothing is active: after
-    three cycles at the latest for three words. A scan leaves out what cannot be active by a table of slots of fixed size; the counts that come back are joined
-    with the parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before it is shuffled.
+    three cycles at the latest for three words. A scan leaves out what cannot be active by a table of slots of fixed size; of what comes back
+    new phrases are joined with their parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before the one shuffle of a step, which merges
+    it with the active phrases; complete ones are set aside.
     """
     spark = docs.sparkSession
     small_batches(spark)
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(lang.alias("lang"), text.cast("binary").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string"), text), F.lit(shards)).cast("int").alias("shard"))
     rows = materialise(rows, "phrase-shards", compression="zstd", partitionBy="shard")
-    here = scratch(spark, "phrases")  # one table of counts and two of states take turns, so that the disk holds no more
-    state, totals, step = None, None, 0
+    here = scratch(spark, "phrases")  # two tables of states take turns, so that the disk holds no more
+    keys, none = ["lang", "length", "phrase"], F.lit(None).cast("int")
+    active = spark.createDataFrame([], "lang string, length int, phrase string, h long, f long, start int, reach int")
+    done, step = active, 0
     reached: dict[int, tuple[int, int]] = {}  # by length: the last step at which a phrase became frequent, and how many are
     with released_shuffles(spark):
-        while step < shards or step <= max((last for length, (last, _) in reached.items() if length < longest), default=-1) + shards:
-            counts = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, state, reached, longest, slots), shards, longest)
-            counts = counts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"), F.first("h").alias("h"))
-            counts = replaced(counts.select("lang", "length", F.col("phrase").cast("string").alias("phrase"), "n", "h"), f"{here}/counts")
-            new = counts.filter("length = 1").select("lang", "length", "phrase", "h", "n", F.lit(0).alias("start"))
-            for length in [n + 1 for n, (last, _) in reached.items() if n < longest and last + shards >= step]:
-                part = state.filter((F.col("length") == length - 1) & F.col("reach").isNotNull()).select("lang", "phrase", "reach")
+        while step < shards or step <= max((last for length, (last, _) in reached.items() if 0 < length < longest), default=-1) + shards:
+            frequent = active.filter("reach is not null").union(done)
+            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, frequent, reached, longest, slots), shards, longest)
+            held = active.select(*keys, "h", F.lit(0).cast("long").alias("head"), F.lit(0).cast("long").alias("tail"), "f", F.lit(0).cast("long").alias("n"), "start", "reach")
+            held = held.union(found.select(*keys, "h", "head", "tail", F.lit(0).cast("long"), "n", none, none)).repartition(*keys)
+            held = held.groupBy(*keys).agg(F.first("h").alias("h"), F.max_by("head", "n").alias("head"), F.max_by("tail", "n").alias("tail"), F.sum("f").alias("f"), F.sum("n").alias("n"), F.min("start").alias("start"), F.min("reach").alias("reach"))
+            old = held.filter("start is not null").select(*keys, "h", (F.col("f") + F.col("n")).alias("f"), "start", "reach")
+            fresh = held.filter("start is null")
+            now = old.union(fresh.filter("length < 2").select(*keys, "h", F.col("n").alias("f"), F.lit(0).alias("start"), "reach"))
+            for length in [n + 1 for n, (last, _) in reached.items() if 0 < n < longest and last + shards >= step]:
+                part = frequent.filter(F.col("length") == length - 1)
                 part = F.broadcast(part) if reached[length - 1][1] <= PHRASE_ROWS else part
-                head, tail = _ends(length)
-                found = counts.filter(F.col("length") == length).withColumns({"head": head, "tail": tail})
-                found = found.join(part.select("lang", F.col("phrase").alias("head"), F.col("reach").alias("r1")), ["lang", "head"])
-                found = found.join(part.select("lang", F.col("phrase").alias("tail"), F.col("reach").alias("r2")), ["lang", "tail"])
+                side = lambda at, r: part.select(F.col("lang").alias(f"l{r}"), F.col("h").alias(at), F.col("phrase").alias(f"p{r}"), F.col("reach").alias(r))  # noqa: B023, E731
+                new = fresh.filter(F.col("length") == length).join(side("head", "r1"), "head").join(side("tail", "r2"), "tail")
+                new = new.filter("lr1 = lang and lr2 = lang and startswith(phrase, concat(pr1, ' ')) and endswith(phrase, concat(' ', pr2))")  # hashes bring them together, the words decide
                 start = F.greatest("r1", "r2") + 1
-                new = new.union(found.filter((start <= step) & (start > step - shards)).select("lang", "length", "phrase", "h", "n", start.alias("start")))
-            new = new.select("lang", "length", "phrase", "h", F.col("n").alias("f"), "start", F.lit(None).cast("int").alias("reach"))
-            held = new if state is None else state.union(new)
-            held = held.groupBy("lang", "length", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f"), F.min("start").alias("start"), F.min("reach").alias("reach"))
-            held = held.withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step))))
-            if step == shards - 1:
-                totals = materialise(held.filter("length = 1").groupBy("lang").agg(F.sum("f").alias("n")), "phrase-words")
-            state = replaced(held.filter(F.col("reach").isNotNull() | (F.col("start") > step + 1 - shards)), f"{here}/state-{step % 2}")
-            grown = state.filter("reach is not null").groupBy("length").agg(F.max("reach").alias("last"), F.count(F.lit(1)).alias("n"))
-            reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect()}  # ``longest`` rows
+                now = now.union(new.filter((start <= step) & (start > step - shards)).select(*keys, "h", F.col("n").alias("f"), start.alias("start"), "reach"))
+            now = now.withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step)).cast("int")))
+            complete = F.col("start") <= step + 1 - shards
+            state = replaced(now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)), f"{here}/state-{step % 2}")
+            active = state.filter(~complete)
+            done = done.union(materialise(state.filter(complete), "phrases-done"))
+            grown = active.filter("reach is not null").union(done).groupBy("length").agg(F.max("reach").alias("last"), F.count("reach").alias("n"))
+            reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect() if r["last"] is not None}  # ``longest`` rows
             step += 1
-    return state.select("lang", "length", "phrase", "f"), totals
+    return done.filter(F.col("length") > 0).select(*keys, "f"), done.filter("length = 0").select("lang", F.col("f").alias("n"))
 
 
-def _steps(spark: SparkSession, state: DataFrame | None, reached: dict[int, tuple[int, int]], longest: int, slots: int):
+def _steps(spark: SparkSession, frequent: DataFrame, reached: dict[int, tuple[int, int]], longest: int, slots: int):
     """Broadcast of ``Steps`` by length, from at most ``slots`` rows a length."""
-    lengths, tables = [n for n in reached if n < longest], {}
+    lengths, tables = [n for n in reached if 0 < n < longest], {}
     if lengths:
         slot = F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
-        used = state.filter(F.col("length").isin(lengths) & F.col("reach").isNotNull()).groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
+        used = frequent.filter(F.col("length").isin(lengths)).groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
         of, columns = used.column("length").to_numpy(), [used.column(c).to_numpy() for c in ("slot", "a", "b")]
         tables = {n: Steps(*(c[of == n] for c in columns), slots) for n in lengths}
     return spark.sparkContext.broadcast(tables)

@@ -243,6 +243,13 @@ def test_phrases_activation(spark, prose):
     assert min(found.values()) >= 10 and found["fr", "new york"] == 10 and {r.lang for r in words.collect()} == {"en", "de", "und", "fr", "es"}
 
 
+def test_phrase_hashes_are_those_of_spark(spark):
+    rows = [(k, -(k**5) - 3) for k in range(50)]
+    x = np.array(rows, np.int64).view(np.uint64)
+    want = [r.h for r in spark.createDataFrame(rows, "a long, b long").coalesce(1).select(F.xxhash64("a", "b").alias("h")).collect()]
+    assert phrases.joined(x[:, 0].copy(), x[:, 1].copy()).view(np.int64).tolist() == want
+
+
 def test_phrases_edges(spark, monkeypatch):
     schema = "doc_id long, lang string, text string"
     assert phrases.collocations(spark.createDataFrame([], schema), slots=16).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import documents, join_checked, materialise, released_shuffles, replaced, scratch, small_batches
@@ -52,10 +52,23 @@ class Words(dict):
         return np.array([xxhash.xxh64_intdigest(w, seed) for w in list(self)[2:]], np.uint64)
 
 
-def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from that of its first words and that of its last."""
-    x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b + np.uint64(0x632BE59BD9B4E019) + (a >> np.uint64(7)))
-    return x ^ (x >> np.uint64(32))
+#: The primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _hash_long(x: np.ndarray, seed) -> np.ndarray:
+    """XXH64 of eight bytes."""
+    turn = lambda v, k: (v << np.uint64(k)) | (v >> np.uint64(64 - k))
+    h = turn((seed + _P5 + np.uint64(8)) ^ (turn(x * _P2, 31) * _P1), 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def joined(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from those of its two parts, as ``xxhash64(head, tail)`` gives it in Spark."""
+    with np.errstate(over="ignore"):
+        return _hash_long(tail, _hash_long(head, np.uint64(42)))
 
 
 class Steps:
@@ -74,20 +87,22 @@ class Steps:
         return self.first[at], self.last[at]
 
 
-Counted = tuple[int, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Counted = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]
 
 
 def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps], shards: int, longest: int) -> Iterator[Counted]:
-    """(length, phrases, their hashes, those of their two parts, occurrences) of all phrases in ``ids`` that may be active at ``step``; length 0 stands for all words."""
+    """(phrases, the hashes of their two parts, occurrences) of all phrases in ``ids`` that may be active at ``step``.
+
+    A word has its own hash and zero for its parts; the empty phrase stands for all words.
+    """
     names, h = list(words)[2:], words.hashes()
     live = np.flatnonzero(ids >= 0)
     if step < shards:
         n = np.bincount(ids[live], minlength=len(names))
         at = np.flatnonzero(n)
-        none = np.zeros(len(at), np.uint64)
-        one = np.zeros(1, np.uint64)
-        yield 0, [b""], one, one, one, np.array([len(live)])
-        yield 1, [names[i] for i in at.tolist()], h[at], none, none, n[at]
+        zero = np.zeros(len(at) + 1, np.uint64)
+        yield [b""], zero[:1], zero[:1], np.array([len(live)])
+        yield [names[i] for i in at.tolist()], h[at], zero[1:], n[at]
     if 1 not in steps or not len(live):
         return
     # of the phrase of the length before that begins at each place: its hash, a number, and the first and last step at which it may have become frequent
@@ -98,18 +113,17 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
         begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER))
         if not len(begin):
             return
-        end = ids[begin + length - 1]
-        whole, key = joined(hashes[begin], h[end]), code[begin] * len(names) + end
+        key = code[begin] * len(names) + ids[begin + length - 1]
         early, late = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1, np.maximum(last[begin], last[begin + 1]).astype(np.int64) + 1
         due = np.flatnonzero((early <= step) & (late > step - shards))
         if len(due):
             _, at, n = np.unique(key[due], return_index=True, return_counts=True)
-            at = due[at]
-            place = begin[at]
+            place = begin[due[at]]
             phrases = list(map(b" ".join, zip(*([names[i] for i in ids[place + k].tolist()] for k in range(length)))))
-            yield length, phrases, whole[at], hashes[place], hashes[place + 1], n
+            yield phrases, hashes[place], hashes[place + 1], n
         if length not in steps or length == longest:
             return
+        whole = joined(hashes[begin], hashes[begin + 1])
         found_first, found_last = steps[length].of(whole)
         on = np.flatnonzero(found_first != NEVER)
         first[:], place = NEVER, begin[on]
@@ -117,8 +131,8 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
 
 
 def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataFrame:
-    """lang, length, phrase, h, head, tail, n: occurrences in one shard (lang, text as bytes), summed by chunks of a task; h, head and tail are the hashes of the phrase and its two parts."""
-    names = ["lang", "length", "phrase", "h", "head", "tail", "n"]
+    """lang, phrase, head, tail, f: occurrences in one shard (lang, text as bytes), summed by chunks of a task; head and tail are the hashes of the phrase's two parts."""
+    names = ["lang", "phrase", "head", "tail", "f"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Words] = {}
@@ -127,12 +141,11 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataF
 
         def counted() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                for length, phrases, h, head, tail, n in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
+                for phrases, head, tail, n in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
                     for k in range(0, len(phrases), 50_000):
                         part = slice(k, k + 50_000)
                         here = phrases[part]
-                        hashes = [pa.array(x[part].view(np.int64)) for x in (h, head, tail)]
-                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.repeat(pa.scalar(length, pa.int32()), len(here)), pa.array(here, pa.binary()), *hashes, pa.array(n[part], pa.int64())], names=names)
+                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.array(here, pa.binary()), *(pa.array(x[part].view(np.int64)) for x in (head, tail)), pa.array(n[part], pa.int64())], names=names)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -149,7 +162,7 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataF
                 words, held, size = {}, {}, 0
         yield from counted()
 
-    return shard.mapInArrow(run, "lang string, length int, phrase binary, h long, head long, tail long, n long").withColumn("phrase", F.col("phrase").cast("string"))
+    return shard.mapInArrow(run, "lang string, phrase binary, head long, tail long, f long").withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
@@ -168,48 +181,50 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     rows = docs.select(lang.alias("lang"), text.cast("binary").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string"), text), F.lit(shards)).cast("int").alias("shard"))
     rows = materialise(rows, "phrase-shards", compression="zstd", partitionBy="shard")
     here = scratch(spark, "phrases")  # two tables of states take turns, so that the disk holds no more
-    keys, none = ["lang", "length", "phrase"], F.lit(None).cast("int")
-    active = spark.createDataFrame([], "lang string, length int, phrase string, h long, f long, start int, reach int")
+    none, octets = F.lit(None).cast("long"), F.octet_length("phrase")
+    length = F.when(octets == 0, 0).otherwise(octets - F.octet_length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1).cast("int")
+    active = spark.createDataFrame([], "lang string, phrase string, length int, h long, f long, start int, reach int")
     done, step = active, 0
     reached: dict[int, tuple[int, int]] = {}  # by length: the last step at which a phrase became frequent, and how many are
     with released_shuffles(spark):
-        while step < shards or step <= max((last for length, (last, _) in reached.items() if 0 < length < longest), default=-1) + shards:
-            frequent = active.filter("reach is not null").union(done)
-            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, frequent, reached, longest, slots), shards, longest)
-            held = active.select(*keys, "h", F.lit(0).cast("long").alias("head"), F.lit(0).cast("long").alias("tail"), "f", F.lit(0).cast("long").alias("n"), "start", "reach")
-            held = held.union(found.select(*keys, "h", "head", "tail", F.lit(0).cast("long"), "n", none, none)).repartition(*keys)
-            held = held.groupBy(*keys).agg(F.first("h").alias("h"), F.max_by("head", "n").alias("head"), F.max_by("tail", "n").alias("tail"), F.sum("f").alias("f"), F.sum("n").alias("n"), F.min("start").alias("start"), F.min("reach").alias("reach"))
-            old = held.filter("start is not null").select(*keys, "h", (F.col("f") + F.col("n")).alias("f"), "start", "reach")
-            fresh = held.filter("start is null")
-            now = old.union(fresh.filter("length < 2").select(*keys, "h", F.col("n").alias("f"), F.lit(0).alias("start"), "reach"))
-            for length in [n + 1 for n, (last, _) in reached.items() if 0 < n < longest and last + shards >= step]:
-                part = frequent.filter(F.col("length") == length - 1)
-                part = F.broadcast(part) if reached[length - 1][1] <= PHRASE_ROWS else part
-                side = lambda at, r: part.select(F.col("lang").alias(f"l{r}"), F.col("h").alias(at), F.col("phrase").alias(f"p{r}"), F.col("reach").alias(r))  # noqa: B023, E731
-                new = fresh.filter(F.col("length") == length).join(side("head", "r1"), "head").join(side("tail", "r2"), "tail")
-                new = new.filter("lr1 = lang and lr2 = lang and startswith(phrase, concat(pr1, ' ')) and endswith(phrase, concat(' ', pr2))")  # hashes bring them together, the words decide
-                start = F.greatest("r1", "r2") + 1
-                now = now.union(new.filter((start <= step) & (start > step - shards)).select(*keys, "h", F.col("n").alias("f"), start.alias("start"), "reach"))
-            now = now.withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step)).cast("int")))
+        while step < shards or step <= max((last for n, (last, _) in reached.items() if 0 < n < longest), default=-1) + shards:
+            frequent = active.filter("reach is not null").union(done).filter(F.col("length").between(1, longest - 1))
+            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, frequent, slots), shards, longest)
+            mark = F.col("start") + 1000 * (F.coalesce("reach", F.lit(-1)) + 1)  # of an active phrase, in one number
+            held = active.select("lang", "phrase", "h", none.alias("head"), none.alias("tail"), "f", mark.alias("mark")).union(found.select("lang", "phrase", none, "head", "tail", "f", none.cast("int")))
+            held = held.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.max("head").alias("head"), F.max("tail").alias("tail"), F.sum("f").alias("f"), F.max("mark").alias("mark"))
+            held = held.withColumn("length", length)
+            seeks = F.col("mark").isNull() & (F.col("length") > 1)
+            for at, r in (("head", "r1"), ("tail", "r2")):
+                part = frequent.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), (F.col("length") + 1).alias("_length"), F.col("h").alias("_h"), F.col("reach").alias(r))
+                part = F.broadcast(part) if sum(n for k, (_, n) in reached.items() if 0 < k < longest) <= PHRASE_ROWS else part
+                # the hash brings a phrase and its part together, the words decide; what seeks no part has a key that spreads and meets none
+                same = F.startswith("phrase", F.concat("_phrase", F.lit(" "))) if at == "head" else F.endswith("phrase", F.concat(F.lit(" "), F.col("_phrase")))
+                key = F.when(seeks, F.col(at)).otherwise(F.xxhash64("phrase"))
+                held = held.withColumn("_key", key).join(part, (F.col("_key") == F.col("_h")) & seeks & (F.col("length") == F.col("_length")) & (F.col("lang") == F.col("_lang")) & same, "left").drop("_key", "_lang", "_phrase", "_length", "_h")
+            begun = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.greatest("r1", "r2") + 1)
+            start = F.when(F.col("mark").isNotNull(), F.col("mark") % 1000).when(F.col("length") < 2, 0).when((begun <= step) & (begun > step - shards), begun)
+            before = F.when(F.col("mark") >= 1000, F.floor(F.col("mark") / 1000) - 1)
+            reach = F.coalesce(before, F.when(F.col("f") >= least, F.lit(step))).cast("int")
+            now = held.withColumns({"start": start.cast("int"), "reach": reach}).filter("start is not null")
+            h = F.when(F.col("reach").isNotNull(), F.coalesce("h", F.when(F.col("length") == 1, F.col("head")).otherwise(F.xxhash64("head", "tail"))))
             complete = F.col("start") <= step + 1 - shards
-            state = replaced(now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)), f"{here}/state-{step % 2}")
+            now = now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)).select("lang", "phrase", "length", h.alias("h"), "f", "start", "reach")
+            state = replaced(now, f"{here}/state-{step % 2}")
             active = state.filter(~complete)
             done = done.union(materialise(state.filter(complete), "phrases-done"))
             grown = active.filter("reach is not null").union(done).groupBy("length").agg(F.max("reach").alias("last"), F.count("reach").alias("n"))
             reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect() if r["last"] is not None}  # ``longest`` rows
             step += 1
-    return done.filter(F.col("length") > 0).select(*keys, "f"), done.filter("length = 0").select("lang", F.col("f").alias("n"))
+    return done.filter(F.col("length") > 0).select("lang", "length", "phrase", "f"), done.filter("length = 0").select("lang", F.col("f").alias("n"))
 
 
-def _steps(spark: SparkSession, frequent: DataFrame, reached: dict[int, tuple[int, int]], longest: int, slots: int):
+def _steps(spark: SparkSession, frequent: DataFrame, slots: int):
     """Broadcast of ``Steps`` by length, from at most ``slots`` rows a length."""
-    lengths, tables = [n for n in reached if 0 < n < longest], {}
-    if lengths:
-        slot = F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
-        used = frequent.filter(F.col("length").isin(lengths)).groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
-        of, columns = used.column("length").to_numpy(), [used.column(c).to_numpy() for c in ("slot", "a", "b")]
-        tables = {n: Steps(*(c[of == n] for c in columns), slots) for n in lengths}
-    return spark.sparkContext.broadcast(tables)
+    slot = F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
+    used = frequent.groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
+    of, columns = used.column("length").to_numpy(), [used.column(c).to_numpy() for c in ("slot", "a", "b")]
+    return spark.sparkContext.broadcast({n: Steps(*(c[of == n] for c in columns), slots) for n in np.unique(of).tolist()})
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:

@@ -219,8 +219,10 @@ def prose(spark):
     return docs
 
 
-@pytest.mark.parametrize(("longest", "shards", "slots"), [(3, 3, 1 << 12), (4, 2, 1)])
-def test_phrases_against_plain(spark, prose, longest, shards, slots):
+@pytest.mark.parametrize(("longest", "shards", "slots", "exact"), [(3, 3, 1 << 12, 0), (4, 2, 1, 0), (4, 2, 1, 1 << 20)])
+def test_phrases_against_plain(spark, prose, longest, shards, slots, exact, monkeypatch):
+    """With the exact table of steps, with slots, and with a single slot for all."""
+    monkeypatch.setattr(phrases, "EXACT_ROWS", exact)
     docs = clashing(spark.createDataFrame(prose, "doc_id long, lang string, text string")).repartition(4)
     want = plain_phrases([d[1:] for d in prose], longest=longest)
     assert len(want) > 50

@@ -31,7 +31,8 @@ class DigestIndex:
     ``flush`` turns rows into runs of level 0: the memtables are the partial aggregates of the tasks (a hot key is one
     row in each), a run has one entry a key with its smallest doc_id and number of rows. ``compact`` merges FAN_IN runs into
     one of the next level until one run is left. An entry is merged only if the filter of another run of its group
-    may hold its key; all others, most of a corpus, are surely alone in the group and pass on without a shuffle.
+    may hold its key; all others, most of a corpus, are surely alone in the group and pass on as they are. The filters are broadcast to
+    the entries up to BROADCAST_ROWS words; beyond that the probe is a join that shuffles the entries (24 bytes or so each, no text).
     More rows may be flushed later: their runs are compacted with the run that is there.
     """
 

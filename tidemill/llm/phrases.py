@@ -16,10 +16,10 @@ from ._common import documents, join_checked, materialise, released_shuffles, re
 LEAST, LONGEST, ABSORB, TOP = 10, 3, 50, 2000
 #: Shards of a cycle; the scan stops after each to activate phrases.
 SHARDS = 2
-#: Slots (a power of two) of the table of activation steps that goes to the scanning tasks: two bytes each, whatever the corpus.
-SLOTS = 1 << 22
+#: Frequent words and phrases whose hashes and steps go to the scanning tasks (nine bytes each); beyond, a table of so many slots (a power of two) goes.
+EXACT_ROWS, SLOTS = 1 << 22, 1 << 22
 #: Words that a task counts at once, and different words that it knows before it starts anew.
-CHUNK_WORDS, KNOWN_WORDS = 2_000_000, 1_000_000
+CHUNK_WORDS, KNOWN_WORDS = 3_000_000, 1_000_000
 #: Bytes of a text that are split into words at once.
 PART = 1 << 20
 #: Broadcast bound for tables of phrases.
@@ -72,11 +72,32 @@ def joined(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
 
 
 class Steps:
-    """For phrases of one length, by slots of their hashes: the first and last step at which a phrase of the slot became frequent.
+    """For frequent phrases of one length, by their hashes: the step at which each became frequent, as first and last."""
+
+    exact = True
+
+    def __init__(self, hashes: np.ndarray, reach: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.reach = hashes[order], reach[order].astype(np.uint8)
+
+    def clash(self) -> bool:
+        """Whether two phrases have one hash."""
+        return bool((self.hashes[1:] == self.hashes[:-1]).any())
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        found = np.where(self.hashes[at] == hashes, self.reach[at], NEVER).astype(np.uint8)
+        return found, found
+
+
+class SharedSteps:
+    """By slots of the hashes: the first and last step at which a phrase of the slot became frequent.
 
     Slots are shared, so a look-up can only widen what may be counted; the join after the scan is exact.
     """
 
+    exact = False
+
     def __init__(self, slots: np.ndarray, first: np.ndarray, last: np.ndarray, size: int):
         self.mask = np.uint64(size - 1)
         self.first, self.last = np.full(size, NEVER, np.uint8), np.zeros(size, np.uint8)
@@ -87,22 +108,19 @@ class Steps:
         return self.first[at], self.last[at]
 
 
-Counted = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]
-
+Counted = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps], shards: int, longest: int) -> Iterator[Counted]:
-    """(phrases, the hashes of their two parts, occurrences) of all phrases in ``ids`` that may be active at ``step``.
 
-    A word has its own hash and zero for its parts; the empty phrase stands for all words.
-    """
+def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps | SharedSteps], shards: int, longest: int) -> Iterator[Counted]:
+    """(phrases, their hashes, those of their two parts, occurrences, first steps) of all phrases in ``ids`` that may be active at ``step``; the empty phrase stands for all words."""
     names, h = list(words)[2:], words.hashes()
     live = np.flatnonzero(ids >= 0)
     if step < shards:
         n = np.bincount(ids[live], minlength=len(names))
         at = np.flatnonzero(n)
         zero = np.zeros(len(at) + 1, np.uint64)
-        yield [b""], zero[:1], zero[:1], np.array([len(live)])
-        yield [names[i] for i in at.tolist()], h[at], zero[1:], n[at]
+        yield [b""], zero[:1], zero[:1], zero[:1], np.array([len(live)]), zero[:1]
+        yield [names[i] for i in at.tolist()], h[at], zero[1:], zero[1:], n[at], zero[1:]
     if 1 not in steps or not len(live):
         return
     # of the phrase of the length before that begins at each place: its hash, a number, and the first and last step at which it may have become frequent
@@ -120,7 +138,7 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
             _, at, n = np.unique(key[due], return_index=True, return_counts=True)
             place = begin[due[at]]
             phrases = list(map(b" ".join, zip(*([names[i] for i in ids[place + k].tolist()] for k in range(length)))))
-            yield phrases, hashes[place], hashes[place + 1], n
+            yield phrases, joined(hashes[place], hashes[place + 1]), hashes[place], hashes[place + 1], n, early[due[at]]
         if length not in steps or length == longest:
             return
         whole = joined(hashes[begin], hashes[begin + 1])
@@ -131,21 +149,29 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
 
 
 def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataFrame:
-    """lang, phrase, head, tail, f: occurrences in one shard (lang, text as bytes), summed by chunks of a task; head and tail are the hashes of the phrase's two parts."""
-    names = ["lang", "phrase", "head", "tail", "f"]
+    """lang, phrase, h, head, tail, f, start: occurrences in one shard (lang, text as bytes), summed by chunks of a task.
+
+    h is the phrase's hash, head and tail (null if ``steps`` are exact) are those of its two parts, start (null if they are not) is the step at which its count begins.
+    """
+    names = ["lang", "phrase", "h", "head", "tail", "f", "start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Words] = {}
         held: dict[str, list[np.ndarray]] = {}
         size, table = 0, steps.value
+        exact = all(t.exact for t in table.values())
 
         def counted() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                for phrases, head, tail, n in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
+                for phrases, *numbers in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
                     for k in range(0, len(phrases), 50_000):
-                        part = slice(k, k + 50_000)
-                        here = phrases[part]
-                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.array(here, pa.binary()), *(pa.array(x[part].view(np.int64)) for x in (head, tail)), pa.array(n[part], pa.int64())], names=names)
+                        here = phrases[k : k + 50_000]
+                        h, head, tail, n, start = (pa.array(x[k : k + 50_000].view(np.int64)) for x in numbers)
+                        if exact:
+                            head = tail = pa.nulls(len(here), pa.int64())
+                        elif b" " in here[0]:
+                            start = pa.nulls(len(here), pa.int64())
+                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.array(here, pa.binary()), h, head, tail, n, start], names=names)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -162,7 +188,7 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataF
                 words, held, size = {}, {}, 0
         yield from counted()
 
-    return shard.mapInArrow(run, "lang string, phrase binary, head long, tail long, f long").withColumn("phrase", F.col("phrase").cast("string"))
+    return shard.mapInArrow(run, "lang string, phrase binary, h long, head long, tail long, f long, start long").withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
@@ -171,8 +197,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     Documents are dealt into ``shards``, which are scanned in turn, step 0, 1, 2 and so on, around and around. Words are counted from step 0
     on. A phrase is active from the step after the one at which the later of its parts (without the last, without the first word) reached ``least``, and
     is counted for one full cycle, so over every shard once; with fewer than ``least`` it is then forgotten. Scans end when nothing is active: after
-    three cycles at the latest for three words. A scan leaves out what cannot be active by a table of slots of fixed size; of what comes back
-    new phrases are joined with their parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before the one shuffle of a step, which merges
+    three cycles at the latest for three words. Scanning tasks know the hashes and steps of up to EXACT_ROWS frequent phrases, if no two share a hash, and so what is
+    active. Of more they have a table of slots of fixed size, which leaves out most; of what comes back new phrases are then joined with their parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before the one shuffle of a step, which merges
     it with the active phrases; complete ones are set aside.
     """
     spark = docs.sparkSession
@@ -189,25 +215,27 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     with released_shuffles(spark):
         while step < shards or step <= max((last for n, (last, _) in reached.items() if 0 < n < longest), default=-1) + shards:
             frequent = active.filter("reach is not null").union(done).filter(F.col("length").between(1, longest - 1))
-            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, _steps(spark, frequent, slots), shards, longest)
+            steps, exact = _steps(spark, frequent, sum(n for k, (_, n) in reached.items() if 0 < k < longest), slots)
+            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, steps, shards, longest)
             mark = F.col("start") + 1000 * (F.coalesce("reach", F.lit(-1)) + 1)  # of an active phrase, in one number
-            held = active.select("lang", "phrase", "h", none.alias("head"), none.alias("tail"), "f", mark.alias("mark")).union(found.select("lang", "phrase", none, "head", "tail", "f", none.cast("int")))
+            held = active.select("lang", "phrase", "h", none.alias("head"), none.alias("tail"), "f", mark.alias("mark")).union(found.select("lang", "phrase", "h", "head", "tail", "f", F.col("start").cast("int")))
             held = held.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.max("head").alias("head"), F.max("tail").alias("tail"), F.sum("f").alias("f"), F.max("mark").alias("mark"))
             held = held.withColumn("length", length)
             seeks = F.col("mark").isNull() & (F.col("length") > 1)
-            for at, r in (("head", "r1"), ("tail", "r2")):
+            for at, r in (("head", "r1"), ("tail", "r2")) if not exact else ():
                 part = frequent.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), (F.col("length") + 1).alias("_length"), F.col("h").alias("_h"), F.col("reach").alias(r))
-                part = F.broadcast(part) if sum(n for k, (_, n) in reached.items() if 0 < k < longest) <= PHRASE_ROWS else part
                 # the hash brings a phrase and its part together, the words decide; what seeks no part has a key that spreads and meets none
                 same = F.startswith("phrase", F.concat("_phrase", F.lit(" "))) if at == "head" else F.endswith("phrase", F.concat(F.lit(" "), F.col("_phrase")))
                 key = F.when(seeks, F.col(at)).otherwise(F.xxhash64("phrase"))
                 held = held.withColumn("_key", key).join(part, (F.col("_key") == F.col("_h")) & seeks & (F.col("length") == F.col("_length")) & (F.col("lang") == F.col("_lang")) & same, "left").drop("_key", "_lang", "_phrase", "_length", "_h")
-            begun = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.greatest("r1", "r2") + 1)
-            start = F.when(F.col("mark").isNotNull(), F.col("mark") % 1000).when(F.col("length") < 2, 0).when((begun <= step) & (begun > step - shards), begun)
+            start = F.col("mark") % 1000
+            if not exact:
+                begun = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.greatest("r1", "r2") + 1)
+                start = F.coalesce(start, F.when((begun <= step) & (begun > step - shards), begun))
             before = F.when(F.col("mark") >= 1000, F.floor(F.col("mark") / 1000) - 1)
             reach = F.coalesce(before, F.when(F.col("f") >= least, F.lit(step))).cast("int")
             now = held.withColumns({"start": start.cast("int"), "reach": reach}).filter("start is not null")
-            h = F.when(F.col("reach").isNotNull(), F.coalesce("h", F.when(F.col("length") == 1, F.col("head")).otherwise(F.xxhash64("head", "tail"))))
+            h = F.when(F.col("reach").isNotNull(), F.col("h"))
             complete = F.col("start") <= step + 1 - shards
             now = now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)).select("lang", "phrase", "length", h.alias("h"), "f", "start", "reach")
             state = replaced(now, f"{here}/state-{step % 2}")
@@ -219,12 +247,18 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     return done.filter(F.col("length") > 0).select("lang", "length", "phrase", "f"), done.filter("length = 0").select("lang", F.col("f").alias("n"))
 
 
-def _steps(spark: SparkSession, frequent: DataFrame, slots: int):
-    """Broadcast of ``Steps`` by length, from at most ``slots`` rows a length."""
+def _steps(spark: SparkSession, frequent: DataFrame, n: int, slots: int):
+    """Broadcast of ``Steps`` by length, from at most EXACT_ROWS rows, or else of ``SharedSteps``, from at most ``slots`` rows a length; and whether it is exact."""
+    if n <= EXACT_ROWS:
+        used = frequent.select("length", "h", F.col("reach").cast("short").alias("reach")).toArrow()
+        of, h, reach = (used.column(c).to_numpy() for c in ("length", "h", "reach"))
+        tables = {k: Steps(h[of == k].view(np.uint64), reach[of == k]) for k in np.unique(of).tolist()}
+        if not any(t.clash() for t in tables.values()):
+            return spark.sparkContext.broadcast(tables), True
     slot = F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
     used = frequent.groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
     of, columns = used.column("length").to_numpy(), [used.column(c).to_numpy() for c in ("slot", "a", "b")]
-    return spark.sparkContext.broadcast({n: Steps(*(c[of == n] for c in columns), slots) for n in np.unique(of).tolist()})
+    return spark.sparkContext.broadcast({k: SharedSteps(*(c[of == k] for c in columns), slots) for k in np.unique(of).tolist()}), False
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:

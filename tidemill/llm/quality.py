@@ -104,7 +104,7 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, np.ndarray]:
             back = weights @ g
             weights -= rate * np.outer(mean, g)
             bias -= rate * 0.1 * g
-            # the step of a bucket is its share times the number of distinct buckets, held to 1: rare n-grams of long texts learn as well
+            # the step of a bucket is fifty times its share of the text, held to 1: rare n-grams of long texts learn as well
             vectors[ids] -= rate * np.minimum(1, share * 50) * back
     return {"word_score": (vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float64), "bias": np.array([float(bias[1] - bias[0])])}
 

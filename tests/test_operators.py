@@ -173,10 +173,34 @@ def test_bootstrap_is_the_same_for_any_partitioning(spark):
     assert all(0 <= r[6] <= 100 for r in a)
 
 
-def test_block_indices_run_and_wrap():
-    x = S.block_indices(np.random.default_rng(1), 10, 5000, 20.0)
+def test_positions_run_and_wrap(monkeypatch):
+    x = S.positions([1, 2], 10, 5000, 20.0)
     steps = (x[1:] - x[:-1]) % 10
     assert 0.93 < (steps == 1).mean() < 0.98 and set(x) == set(range(10))
+    alone = S.positions([1, 3], 1000, 5000, 1.0)
+    assert 0.9 < len(set(alone)) / (1000 * (1 - math.exp(-5))) < 1.1 and len(S.positions([1], 5, 0, 3.0)) == 0
+    monkeypatch.setattr(S, "CHUNK", 37)  # a run goes on over the end of a chunk
+    assert (S.positions([1, 2], 10, 5000, 20.0) == x).all() and (S.positions([1, 3], 1000, 5000, 1.0) == alone).all()
+
+
+@pytest.mark.parametrize("block", [1.0, 6.0])
+def test_long_series_are_looked_up(spark, monkeypatch, block):
+    """Series that no task may hold give the paths of those that one holds, to rounding."""
+    rng = random.Random(21)
+    rows = [("long", i, rng.choice([-0.02, 0.0, 0.01, rng.gauss(0, 0.05)])) for i in range(400)] + [("wild", i, rng.choice([-1.5, 0.4, 0.2])) for i in range(150)] + [("short", i, rng.gauss(0, 0.01)) for i in range(30)]
+    df = spark.createDataFrame(rows, "series_id string, idx long, r double").repartition(3)
+    key = lambda r: (r.series_id, r.path)
+    made = lambda steps: sorted(S.bootstrap_paths(df, 25, block=block, steps=steps).collect(), key=key)
+    excess = df.withColumnRenamed("r", "x")
+    means = lambda: {(r.series_id, r.boot): r.mean for r in S.bootstrap_means(excess, 25, block).collect()}
+    want, more, want_means = made(None), made(777), means()
+    for name, size in (("SERIES_ROWS", 100), ("STRETCH", 60), ("CHUNK", 70), ("LOT", 7), ("BINS", 8)):
+        monkeypatch.setattr(S, name, size)
+    for plain, looked in ((want, made(None)), (more, made(777))):
+        assert [key(r) for r in plain] == [key(r) for r in looked] and len(plain) == 75
+        for a, b in zip(plain, looked):
+            assert tuple(b)[2:] == pytest.approx(tuple(a)[2:], rel=1e-9, abs=1e-12), (a, b)
+    assert means() == pytest.approx(want_means, rel=1e-9, abs=1e-12)
 
 
 def test_reality_check_finds_an_edge(spark):
@@ -315,15 +339,37 @@ def test_streamed_bars_equal_batch(spark, tmp_path):
     assert got and all(want[k] == v for k, v in got.items()) and {k for k in want if k[1] < last - 7200} <= set(got)
 
 
+def _by_order(spark, w, path, sizes):
+    """Windows as files in order of their start, one a trigger."""
+    rows = sorted((tuple(r[c] for c in w.columns) for r in w.collect()), key=lambda r: r[w.columns.index("t")])
+    for k, at in enumerate(range(0, len(rows), sizes)):
+        spark.createDataFrame(rows[at : at + sizes], w.schema).coalesce(1).write.parquet(str(path / f"b{k:03d}"))
+    return spark.readStream.schema(w.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(path))
+
+
 def test_streamed_alerts_equal_batch(spark, tmp_path):
     e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     rows = e.select(F.col("event_type").alias("project"), F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 500).alias("fitness"), (F.col("value") / 900).alias("fitness_oos"))
     w = live.monitor_windows(rows, "1 day", None)
     want = {(r.project, r.code): (r.t, r.value) for r in live.monitor_alerts(w).collect()}
-    got = {(r.project, r.code): (r.t, r.value) for r in _drain(live.stream_alerts(_stream(spark, w.coalesce(1), tmp_path / "in", 1)), "alerts1", tmp_path)}
+    got = {(r.project, r.code): (r.t, r.value) for r in _drain(live.stream_alerts(_by_order(spark, w, tmp_path / "in", 40), 86400), "alerts1", tmp_path)}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_a_silent_project_alerts_in_batch_and_stream(spark, tmp_path):
+    """Project a stops after six windows, b has a gap of five, c starts late, d never stops; the rules see the windows without rows."""
+    at = {"a": range(6), "b": [*range(4), *range(9, 30)], "c": range(20, 30), "d": range(30), "e": [0, 1, 9, 12]}
+    rows = [(p, 3600 * k + 60 * i, 0.5, 0.4) for p, ks in at.items() for k in ks for i in range(2)]
+    df = spark.createDataFrame(rows, "project string, at long, fitness double, fitness_oos double").withColumn("ts", F.timestamp_seconds("at"))
+    w = live.monitor_windows(df, "1 hour", None)
+    counts = {r.project: (r.n, r.silent) for r in w.groupBy("project").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("new") == 0).alias("silent")).collect()}
+    assert counts == {"a": (30, 24), "b": (30, 5), "c": (10, 0), "d": (30, 0), "e": (30, 26)}
+    want = {(r.project, r.code): (r.t, r.value) for r in live.monitor_alerts(w).collect()}
+    assert want == {("a", "STALLED_GROWTH"): (10 * 3600, 0.0), ("b", "STALLED_GROWTH"): (8 * 3600, 0.0), ("e", "STALLED_GROWTH"): (6 * 3600, 0.0)}
+    got = {(r.project, r.code): (r.t, r.value) for r in _drain(live.stream_alerts(_by_order(spark, w.filter("new > 0"), tmp_path / "in", 9), 3600), "alerts2", tmp_path)}
+    assert got == want
+
+
 def test_streamed_reset_bars_equal_batch(spark, tmp_path):
     t = ticks(spark, [1.0] * 60, [random.Random(i).uniform(1, 9) for i in range(60)])
     want = {(r.bar, round(r.measure_sum, 9), r.n_ticks) for r in B.reset_bars(t, F.col("volume"), 20.0).collect()}
@@ -371,11 +417,104 @@ def test_lineage_of_a_long_chain(spark):
     got = {r.node_id: (r.root, r.depth, r.descendants, r.height) for r in G.tree(edges).collect()}
     assert all(got[k] == (0, k, n - 1 - k, n - 1 - k) for k in range(n))
     assert got[2000] == got[2001] == got[2002] == (None,) * 4 and got[3001] == (3000, 1, 0, 0) and 3000 not in got
-    asked = [(999, 0), (0, 999), (500, 500), (7, 4000), (3, 999), (999, 3), (10, None)]
-    bad = {(r.node_id, r.parent_id): r.error for r in G.link_errors(edges, spark.createDataFrame(asked, "node_id long, parent_id long")).collect()}
-    assert bad == {(0, 999): "cycle", (500, 500): "self", (7, 4000): "missing_parent", (3, 999): "cycle"}
-    linked = {r.node_id: r.parent_id for r in G.relink(edges, spark.createDataFrame(asked, "node_id long, parent_id long")).collect()}
-    assert linked[10] is None and linked[999] == 0 and linked[0] is None and linked[500] == 499 and linked[3] == 2
+    asked = [(k, *link) for k, link in enumerate([(0, 999), (500, 500), (7, 4000), (3, 999), (999, 3), (10, None), (3, 11), (2002, 2001)])]
+    batch = spark.createDataFrame(asked, "seq long, node_id long, parent_id long")
+    bad = {(r.node_id, r.parent_id): r.error for r in G.link_errors(edges, batch).collect()}
+    assert bad == {(0, 999): "cycle", (500, 500): "self", (7, 4000): "missing_parent", (3, 999): "cycle"}  # 3 may go below 11 once 10 has left it
+    linked = {r.node_id: r.parent_id for r in G.relink(edges, batch).collect()}
+    assert linked[10] is None and linked[999] == 3 and linked[0] is None and linked[500] == 499 and linked[3] == 11 and linked[2002] == 2001
+
+
+def plain_lineage(edges, ops):
+    """The operations one after the other."""
+    parent, out = dict(edges), []
+    for seq, op, node, to in sorted(ops):
+        error = None
+        if op == "register":
+            error = "exists" if node in parent else "missing_parent" if to is not None and to not in parent else None
+        elif node not in parent:
+            error = "missing_node"
+        elif to is not None and to == node:
+            error = "self"
+        elif to is not None and to not in parent:
+            error = "missing_parent"
+        else:
+            up = to
+            while up is not None and up != node:
+                up = parent.get(up)
+            error = "cycle" if up is not None else None
+        out.append((seq, node, to, error))
+        if error is None:
+            parent[node] = to
+    return out, parent
+
+
+def test_links_that_close_a_cycle_together(spark):
+    edges = spark.createDataFrame([(1, None), (2, None)], "node_id long, parent_id long")
+    asked = spark.createDataFrame([(0, 1, 2), (1, 2, 1)], "seq long, node_id long, parent_id long")
+    assert [(r.node_id, r.parent_id, r.error) for r in G.link_errors(edges, asked).collect()] == [(2, 1, "cycle")]
+    assert sorted((r.node_id, r.parent_id) for r in G.relink(edges, asked).collect()) == [(1, 2), (2, None)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_batches_of_lineage_operations_against_the_loop(spark, seed):
+    rng = random.Random(seed)
+    n = 120
+    edges = {k: rng.choice([None, *range(max(0, k - 6), k)]) if k else None for k in range(n)} | {(1 << 60) + 1: (1 << 60) + 2, (1 << 60) + 2: 5}
+    ids = [*range(n + 30), (1 << 60) + 1, (1 << 60) + 2]
+    ops = [(k, rng.choice(["link", "link", "link", "register"]), rng.choice(ids), rng.choice([None, *rng.sample(ids, 9)])) for k in range(160)]
+    ops += [(160 + k, "register", 1000 + k, 999 + k if k else None) for k in range(40)] + [(300, "link", 1000, 1039), (301, "link", 1000, None), (302, "register", 5000, 5001), (303, "register", 5001, None), (304, "register", 5000, 5001)]
+    e = spark.createDataFrame([(k, p, f"n{k}") for k, p in edges.items()], "node_id long, parent_id long, label string")
+    o = spark.createDataFrame(ops + [(900, "link", None, 3)], "seq long, op string, node_id long, parent_id long").repartition(3)
+    want, parents = plain_lineage(edges, ops)
+    got = sorted(G.lineage_results(e, o).select("seq", "node_id", "parent_id", "error").collect())
+    assert [tuple(r) for r in got[:-1]] == want and tuple(got[-1]) == (900, None, 3, "missing_node")
+    assert {"exists", "missing_parent", "missing_node", "cycle", None} <= {w[3] for w in want}
+    links = [op for op in ops if op[1] == "link"]
+    _, moved = plain_lineage(edges, links)
+    assert {r.node_id: r.parent_id for r in G.relink(e, o.filter("op = 'link'")).collect()} == moved
+    new = [op for op in ops if op[1] == "register"]
+    _, grown = plain_lineage(edges, new)
+    assert {r.node_id: r.parent_id for r in G.register(e, o.filter("op = 'register'")).collect()} == grown
+    assert G.lineage_results(e, o.limit(0)).count() == 0
+
+
+def test_intervals_and_paths_against_a_walk(spark, monkeypatch):
+    from tidemill.operators import scan
+
+    rng = random.Random(14)
+    parent = {k: rng.choice([None, *range(max(0, k - 7), k)]) if k else None for k in range(200)} | {500 + k: 500 for k in range(1, 40)} | {800: 801, 801: 800, 802: 801} | {900 + k: 899 + k for k in range(60)}
+    edges = spark.createDataFrame([(k, p) for k, p in parent.items() if k != 500], "node_id long, parent_id long")
+
+    def above(k):
+        out = []
+        while parent.get(k) is not None and k < 800 or 900 <= k < 1000:
+            k = parent[k]
+            out.append(k)
+        return out
+
+    up = {k: above(k) for k in parent if not 800 <= k <= 802}
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 9)
+    got = {r.node_id: r for r in G.intervals(edges).collect()}
+    assert all(got[k].root is None for k in (800, 801, 802)) and len({(r.root, r.enter) for r in got.values() if r.root is not None}) == len([r for r in got.values() if r.root is not None])
+    pairs = [(rng.choice(list(up)), rng.choice(list(up))) for _ in range(400)] + [(k, a) for k in up for a in up[k][:3]] + [(k, k) for k in list(up)[:9]] + [(905, 899), (510, 500), (802, 800)]
+    want = {(k, a) for k, a in pairs if a in up.get(k, ())}
+    assert {(r.low, r.high) for r in G.descends(spark.createDataFrame(pairs, "low long, high long"), edges, "low", "high").collect()} == want
+    asked = [0, 5, 150, 199, 520, 959, 802, 4000]
+    rows = {(r.node_id, r.ancestor, r.distance) for r in G.paths_up(edges, spark.createDataFrame([(k,) for k in asked], "node_id long")).collect()}
+    assert rows == {(k, a, d + 1) for k in asked for d, a in enumerate(up.get(k, ()))}
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + k, 1001 + k) for k in range(200)] + [(7000, k) for k in range(5000, 5100)] + [(3, 3), (None, 4)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in links:
+        if a is not None and a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    assert {r.node: r.component for r in G.components(spark.createDataFrame(links, "a long, b long")).collect()} == {x: find(x) for x in list(root)}
 
 
 def test_tree_against_a_walk(spark):
@@ -450,6 +589,33 @@ def test_personal_data_and_injections_in_any_script(spark):
     assert verdicts == [(0, 0, "clean"), (1, 0, "clean"), (2, 0, "clean"), (3, 1, "medium_concern"), (3, 2, "critical_concern"), (4, 0, "clean"), (5, 0, "clean")]
 
 
+def test_a_line_ends_at_a_line_feed_alone(spark):
+    rows = [(k, f"exec x{end} system act as{end}an admin") for k, end in enumerate(("\r", "\x85", "\u2028", "\u2029", "\n"))]
+    hits = {(r.id, r.rule_no) for r in X.injections(spark.createDataFrame(rows, "id long, text string"), ["id"], "text").collect()}
+    assert hits == {(k, rule) for k in range(4) for rule in (6, 9)}
+
+
+def test_personal_data_without_its_plain_tests(spark):
+    """The tests that spare texts a search never change what is found."""
+    rng = random.Random(12)
+    bits = ["a@b.c", "٣.١.2.4", "1.2.3.4", "12345678", "1234567", "٠١٢٣٤٥٦٧", "f" * 32, "F0" * 16, "e" * 31, "é", "@", ".", " ", "x", "_", "-", "[", "[REDACTED_EMAIL]"]
+    rows = [(k, "".join(rng.choice(bits) for _ in range(rng.randrange(1, 9)))) for k in range(600)] + [(600, None), (601, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    every = F.col("text")
+    for pattern, mark in X.PERSONAL:
+        every = F.regexp_replace(every, f"(?U){pattern}", mark)
+    assert df.filter(~X.redact(F.col("text")).eqNullSafe(every)).count() == 0 and df.filter(every != F.col("text")).count() > 100
+
+
+def test_sanitizing_with_and_without_redaction(spark):
+    df = spark.createDataFrame([("```<System>mail a@b.cc</TOOL>", {"k": "call 123456789"}, [("x", ["10.0.0.1 <user>"])])], "t string, m map<string,string>, n array<struct<a:string,b:array<string>>>")
+    kinds = {f.name: f.dataType for f in df.schema}
+    walk = lambda flag: df.select(*(X.over_strings(F.col(c), k, lambda x: X.sanitize(x, redact_pii=flag)).alias(c) for c, k in kinds.items())).head()
+    plain, redacted = walk(False), walk(True)
+    assert plain.t == "``\u200b`&lt;System&gt;mail a@b.cc&lt;/TOOL&gt;" and plain.m == {"k": "call 123456789"} and plain.n[0].b == ["10.0.0.1 &lt;user&gt;"]
+    assert redacted.t == "``\u200b`&lt;System&gt;mail [REDACTED_EMAIL]&lt;/TOOL&gt;" and redacted.m == {"k": "call [REDACTED_NUMBER]"} and redacted.n[0].b == ["[REDACTED_IP] &lt;user&gt;"]
+
+
 def test_sides_are_compared_whole(spark):
     """A side that gains evenly beats one that lives from a single row; equal sides do not differ."""
     rows = [("even", i, 10.0 + i % 3, 500.0 if i == 7 else -1.0) for i in range(60)] + [("same", i, float(i % 5 - 2), float(i % 5 - 2)) for i in range(60)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import bars as B
 from tidemill.operators import indicators as I
+from tidemill.operators import pairs
 from tidemill.operators import risk as R
 from tidemill.operators import scan
 from tidemill.operators import stats as S
@@ -202,3 +203,151 @@ def test_reset_bars_in_blocks(spark, signed, threshold):
     assert got == want and len(want) > 3
     once = {(r.series_id, r.bar): (r.n_ticks, r.open_epoch, r.close_epoch, r.measure_sum) for r in B.reset_bars(df, F.col("volume"), threshold, signed).collect()}
     assert once == want
+
+
+@pytest.mark.parametrize("rows", [0, 300])
+def test_quantiles_are_exact(spark, monkeypatch, rows):
+    """Against the aggregate that holds all values; with ties, nulls, few rows and a hot key."""
+    rng = random.Random(17)
+    data = [("hot", rng.choice([1.0, 2.0, rng.gauss(0, 100)])) for _ in range(20000)] + [("tied", 5.0)] * 2000 + [("few", 1.0), ("few", 4.0), ("one", 3.0), ("none", None), (None, 7.0)] + [("skew", 10.0 ** rng.uniform(-300, 300)) for _ in range(5000)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    at = {"a": 0.0, "b": 0.05, "c": 0.25, "d": 0.5, "e": 0.999, "f": 1.0}
+    want = {r.k: tuple(r.q) for r in df.filter("v is not null and k is not null").groupBy("k").agg(F.percentile("v", F.array(*map(F.lit, at.values()))).alias("q")).collect()}
+    if rows:
+        monkeypatch.setattr(scan, "SELECT_ROWS", rows)
+        monkeypatch.setattr(scan, "SKETCH", 700)
+        monkeypatch.setattr(scan, "BLOCK_ROWS", 40)
+    got = {r.k: (tuple(r[c] for c in at), r.n) for r in scan.quantiles(df, ["k"], "v", at, keep="n").collect() if r.k is not None}
+    assert got.keys() == want.keys() and all(got[k][0] == pytest.approx(want[k], rel=1e-12) for k in want) and got["hot"][1] == 20000
+
+
+def test_worst_share_with_ties(spark, monkeypatch):
+    rng = random.Random(3)
+    data = {"a": [float(rng.randrange(6)) for _ in range(250)], "b": [1.0], "c": [rng.random() for _ in range(99)]}
+    df = spark.createDataFrame([(k, x) for k, xs in data.items() for x in xs], "series_id string, r double")
+    for size in (1_000_000, 5):
+        monkeypatch.setattr(scan, "BLOCK_ROWS", size)
+        got = {r.series_id: (r.cvar, r["var"], r.tail_size) for r in R.worst_share(df, "r", 0.9).collect()}
+        for k, xs in data.items():
+            tail = sorted(xs)[: max(1, round(0.1 * len(xs)))]
+            assert got[k] == (pytest.approx(-sum(tail) / len(tail)), -max(tail), len(tail))
+
+
+def plain_barrier(x, profit, stop, horizon, sign):
+    out = []
+    for i, p in enumerate(x):
+        last, label = min(len(x) - 1, i + horizon), 0
+        for j in range(i + 1, last + 1):
+            r = sign * (x[j] - p) / p * 100 if p else 0.0
+            if r >= profit or r <= -stop:
+                last, label = j, 1 if r >= profit else -1
+                break
+        out.append((label, last, sign * (x[last] - p) / p * 100) if p > 0 else (None, last, None))
+    return out
+
+
+@pytest.mark.parametrize(("horizon", "side"), [(5, "long"), (5, "short"), (33, "long"), (100, "short"), (5000, "long")])
+def test_barriers_near_and_far(spark, monkeypatch, horizon, side):
+    rng = random.Random(horizon)
+    walk = [100.0]
+    for _ in range(700):
+        walk.append(max(1.0, walk[-1] * rng.choice([0.97, 1.0, 1.03])))
+    data = {"long": walk, "odd": [10.0, -5.0, 12.0, 0.0, 11.0, 13.0], "one": [3.0], "flat": [2.0] * 80}
+    df = spark.createDataFrame([(k, 2 * i, x) for k, xs in data.items() for i, x in enumerate(xs)], "series_id string, idx long, close double").repartition(3)
+    monkeypatch.setattr(S, "SEARCHED", 64)
+    for size in (None, 50):
+        got = plain(S.triple_barrier(df, 9.0, 6.0, horizon, side, block_rows=size))
+        for k, xs in data.items():
+            want = plain_barrier(xs, 9.0, 6.0, horizon, 1.0 if side == "long" else -1.0)
+            rows = [(r.label, r.exit_index // 2, r.return_pct) for r in got[k]]
+            keep = [i for i, x in enumerate(xs) if x > 0]
+            assert [rows[i] for i in keep] == [(a, b, pytest.approx(c)) for a, b, c in (want[i] for i in keep)], (k, size)
+            assert all(rows[i][0] is None and rows[i][2] is None for i in range(len(xs)) if xs[i] <= 0)
+
+
+def loop_cusum(d, limit, start=0.0):
+    """One side by the plain loop: breaks and the sum at the end."""
+    out, held = [], start
+    for i, x in enumerate(d):
+        held = max(0.0, held + x)
+        if held >= limit:
+            out.append((i, held))
+            held = 0.0
+    return out, held
+
+
+@pytest.mark.parametrize("limit", [3.0, 20.0, 500.0])
+def test_excursion_steps_are_the_loop(limit):
+    rng = random.Random(int(limit))
+    for n in (1, 4, 150):
+        for drift in (-2, 0, 1):
+            x = np.array([float(rng.randrange(-6, 7) + drift) for _ in range(n)])
+            *some, none, zero = S.excursion_steps(x, limit)
+            for start in [0.0, *(float(rng.randrange(0, int(limit))) for _ in range(40))]:
+                breaks, end = loop_cusum(x, limit, start)
+                down, got = start <= 0, None
+                for _, level, lowest, ends, count in some:
+                    down = down or start + lowest <= 0
+                    if not down and start + level >= limit:
+                        got = (ends, count)
+                        break
+                if got is None:
+                    down = down or start + none[2] <= 0
+                    got = zero[3:] if down else (start + none[3], 0)
+                assert got == (end, len(breaks)), (start, x.tolist())
+                assert S._excursions(x, start, limit) == (breaks, end)
+
+
+@pytest.mark.parametrize("limit", [4.0, 60.0])
+def test_cusum_in_blocks(spark, limit):
+    rng = random.Random(23)
+    data = {"hot": [float(rng.randrange(-3, 4)) for _ in range(700)], "few": [1.0, 9.0], "up": [1.0] * 130, "gap": [None if k % 9 == 2 else float(k % 7 - 3) for k in range(120)]}
+    df = spark.createDataFrame([(k, i, x) for k, xs in data.items() for i, x in enumerate(xs)], "series_id string, idx long, v double").repartition(3)
+    want = set()
+    for k, xs in data.items():
+        known = [(i, x) for i, x in enumerate(xs) if x is not None]
+        for sign, name in ((1.0, "up"), (-1.0, "down")):
+            breaks, end = loop_cusum([sign * (x - 0.25) for _, x in known], limit)
+            want |= {(k, known[i][0], name, sign * h) for i, h in breaks} | {(k, known[-1][0], f"last_{name}", sign * end)}
+    for size in (None, 50):
+        assert {tuple(r) for r in S.cusum_states(df, "v", limit, reference=0.25, block_rows=size).collect()} == want
+
+
+def test_tiles_of_all_pairs(spark, monkeypatch):
+    """Against a join of all series on the order: gaps, constant and disjoint series, one value, large levels."""
+    rng = random.Random(31)
+    data = [(f"s{k:02d}", t, 1e6 + rng.gauss(0, 1) + (t % 5) * (k % 3)) for k in range(23) for t in range(-40, 160) if rng.random() < 0.8]
+    data += [("flat", t, 4.0) for t in range(50)] + [("one", 3, 1.0), ("far", 10**6, 1.0), ("far", 10**6 + 1, 2.0), ("null", 5, None), (None, 5, 1.0)]
+    df = spark.createDataFrame(data, "series_id string, idx long, r double").repartition(3)
+    x, y = (df.filter("r is not null").select(F.col("series_id").alias(s), "idx", F.col("r").alias(c)) for s, c in (("sym_a", "a"), ("sym_b", "b")))
+    joined = x.join(y, "idx").filter("sym_a < sym_b").groupBy("sym_a", "sym_b").agg(F.count(F.lit(1)).alias("n"), F.corr(F.col("a") - 1e6, F.col("b") - 1e6).alias("rho"))
+    want = {(r.sym_a, r.sym_b): (r.n, r.rho) for r in joined.collect()}
+    for series, places in ((256, 4096), (5, 37)):
+        monkeypatch.setattr(pairs, "SERIES", series)
+        monkeypatch.setattr(pairs, "PLACES", places)
+        n = {(r.sym_a, r.sym_b): r.n for r in pairs.pair_moments(df, "r").collect()}
+        rho = {(r.sym_a, r.sym_b): r.rho for r in pairs.correlations(df, "r").collect()}
+        assert n == {k: v[0] for k, v in want.items()} and rho.keys() == want.keys()
+        for k, (count, value) in want.items():
+            if count > 2 and "flat" not in k:
+                assert rho[k] == pytest.approx(value, abs=1e-7), k
+            elif "flat" in k or count == 1:
+                assert rho[k] is None
+
+
+def test_rolling_indicators_do_not_hang_on_blocks(spark, monkeypatch):
+    rng = random.Random(16)
+    rows = [(n, k, *(p := sorted(rng.uniform(90, 110) for _ in range(3)))[:1], p[2], p[1], rng.gauss(0, 1)) for n, size in (("x", 300), ("y", 12)) for k in range(size)]
+    bars = spark.createDataFrame(rows, "series_id string, idx long, low double, high double, close double, r double")
+    pairs_ = bars.select("series_id", "idx", F.col("r").alias("a"), F.col("close").alias("b"))
+    made = {
+        "bollinger": lambda: I.bollinger(bars), "donchian": lambda: I.donchian(bars), "chandelier": lambda: I.chandelier(bars), "stochastic": lambda: I.stochastic(bars), "cci": lambda: I.cci(bars), "williams": lambda: I.williams_r(bars), "sharpe": lambda: I.rolling_sharpe(bars, "r", 15),
+        "volatility": lambda: I.rolling_volatility(bars, "r", 15), "correlation": lambda: I.rolling_correlation(pairs_, 15), "beta": lambda: I.rolling_beta_alpha(pairs_, 15), "drawdown": lambda: I.rolling_drawdown(bars, "close", 15), "wins": lambda: I.rolling_win_rate(bars, "r", 15),
+        "calm": lambda: I.volatility_regimes(bars, "r"), "trend": lambda: I.trend_regimes(bars, "close"),
+    }
+    show = lambda df: sorted((tuple(round(v, 7) if isinstance(v, float) else v for v in (r[c] for c in sorted(df.columns))) for r in df.collect()), key=str)
+    want = {k: show(f()) for k, f in made.items()}
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(I, "BLOCK_ROWS", 60)
+    for k, f in made.items():
+        assert show(f()) == want[k], k

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .scan import running
 
 MOST_TAGS = 50
 
@@ -62,17 +63,48 @@ def tree(edges: DataFrame) -> DataFrame:
     return jumps(edges)[0]
 
 
+def intervals(edges: DataFrame) -> DataFrame:
+    """(node_id, root, enter, leave): places of a walk that visits each tree parent first. A node is above another if they share the root and the other's ``enter`` lies in (enter, leave].
+
+    A node enters behind its parent and the subtrees of the siblings before it (in order of a hash), so its place is a sum along its path
+    up, gathered by doubling pointers; ``leave`` adds its descendants. One row a node answers any number of questions by comparison. Nodes on or below a cycle have none: all null.
+    """
+    known = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id"))
+    sizes = materialise(jumps(edges)[0].select("node_id", "root", "descendants"), "tree")
+    step = known.join(sizes, "node_id").filter("parent_id is not null").withColumn("_h", F.xxhash64("node_id"))
+    step = running(step, ["parent_id"], "_h", _before=("sum_before", F.col("descendants") + 1)).select("node_id", F.col("parent_id").alias("up"), (1 + F.coalesce("_before", F.lit(0))).alias("enter"))
+    # a parent without a row of its own is a root: nothing lies before its first child but itself
+    state = materialise(sizes.select("node_id").join(step, "node_id", "left").select("node_id", "up", F.coalesce("enter", F.lit(0)).cast("long").alias("enter")), "enter")
+    reach, nodes = 1, state.count()
+    while reach <= 2 * nodes and state.filter("up is not null").head(1):
+        above = state.select(F.col("node_id").alias("up"), F.col("up").alias("_u"), F.col("enter").alias("_e"))
+        state = materialise(state.join(above, "up", "left").select("node_id", F.col("_u").alias("up"), (F.col("enter") + F.coalesce("_e", F.lit(0))).alias("enter")), "enter")
+        reach *= 2
+    out = sizes.join(state, "node_id")
+    whole = F.col("root").isNotNull()
+    return out.select("node_id", "root", F.when(whole, F.col("enter")).alias("enter"), F.when(whole, F.col("enter") + F.col("descendants")).alias("leave"))
+
+
 def descends(pairs: DataFrame, edges: DataFrame, low: str, high: str) -> DataFrame:
-    """The (low, high) pairs of ``pairs`` in which ``low`` descends from ``high``: ``low`` climbs the difference of their depths, a bit of it at a time."""
-    depths, tables = jumps(edges)
-    at = lambda c: depths.select(F.col("node_id").alias(c), F.col("depth").alias(f"_{c}"), F.col("root").alias(f"_{c}_root"))
-    p = pairs.select(low, high).distinct().join(at(low), low).join(at(high), high)
-    p = p.filter(F.col(f"_{low}_root") == F.col(f"_{high}_root")).withColumn("_need", F.col(f"_{low}") - F.col(f"_{high}")).filter("_need > 0").withColumn("_now", F.col(low))
-    for k, table in enumerate(tables):
-        up = table.select(F.col("node_id").alias("_now"), F.col("up").alias("_up"))
-        climbs = F.floor(F.col("_need") / (1 << k)) % 2 == 1
-        p = p.join(up, "_now", "left").withColumn("_now", F.when(climbs, F.col("_up")).otherwise(F.col("_now"))).drop("_up")
-    return p.filter(F.col("_now") == F.col(high)).select(low, high)
+    """The (low, high) pairs of ``pairs`` in which ``low`` descends from ``high``, by their intervals. A parent that has no row is above all under it."""
+    index = materialise(intervals(edges), "intervals").filter("root is not null")
+    at = lambda c: index.select(F.col("node_id").alias(c), F.col("root").alias(f"_{c}_root"), F.col("enter").alias(f"_{c}"), F.col("leave").alias(f"_{c}_end"))
+    p = pairs.select(low, high).distinct().join(at(low), low).join(at(high), high, "left")
+    inside = (F.col(f"_{low}_root") == F.col(f"_{high}_root")) & (F.col(f"_{low}") > F.col(f"_{high}")) & (F.col(f"_{low}") <= F.col(f"_{high}_end"))
+    return p.filter(inside | (F.col(f"_{high}_root").isNull() & (F.col(f"_{low}_root") == F.col(high)))).select(low, high)
+
+
+def paths_up(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node_id, ancestor, distance) of the asked ``nodes`` (node_id) alone: rows are their depths, not all of a forest's.
+
+    With the ancestors at 1, 2, 4, ... steps each round adds, to all that is found, what lies that many steps above it, the largest step first. Nodes on or below a cycle have no path.
+    """
+    state, tables = jumps(edges)
+    found = nodes.select("node_id").distinct().join(state.filter("root is not null").select("node_id"), "node_id").select("node_id", F.col("node_id").alias("ancestor"), F.lit(0).cast("long").alias("distance"))
+    for k in range(len(tables) - 1, -1, -1):
+        up = tables[k].select(F.col("node_id").alias("ancestor"), F.col("up").alias("_up"))
+        found = materialise(found.union(found.join(up, "ancestor").select("node_id", F.col("_up").alias("ancestor"), F.col("distance") + (1 << k))), "paths-up")
+    return found.filter("distance > 0")
 
 
 def components(links: DataFrame) -> DataFrame:

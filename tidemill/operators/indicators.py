@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import small
 from ..session import materialise
-from .scan import BLOCK, BLOCK_ROWS, NUMBER, Series
+from .scan import BLOCK, BLOCK_ROWS, NUMBER, Series, rolling, running
 
 ORDER = "idx"
 
@@ -221,14 +221,20 @@ def atr(bars: DataFrame, w: int) -> DataFrame:
 
 
 def bollinger(bars: DataFrame, w: int = 20, k: float = 2.0) -> DataFrame:
-    m, s = F.avg("close").over(last_rows(w)), F.stddev_pop("close").over(last_rows(w))
-    out = bars.withColumns({"middle": full(m, w), "upper": full(m + k * s, w), "lower": full(m - k * s, w)})
-    return out.withColumn("position", (F.col("close") - F.col("lower")) / F.nullif(F.col("upper") - F.col("lower"), F.lit(0.0)))
+    def build(bars: DataFrame) -> DataFrame:
+        m, s = F.avg("close").over(last_rows(w)), F.stddev_pop("close").over(last_rows(w))
+        out = bars.withColumns({"middle": full(m, w), "upper": full(m + k * s, w), "lower": full(m - k * s, w)})
+        return out.withColumn("position", (F.col("close") - F.col("lower")) / F.nullif(F.col("upper") - F.col("lower"), F.lit(0.0)))
+
+    return rolling(bars, "series_id", ORDER, w - 1, build)
 
 
 def donchian(bars: DataFrame, w: int = 20) -> DataFrame:
-    out = bars.withColumns({"upper": full(F.max("high").over(last_rows(w)), w), "lower": full(F.min("low").over(last_rows(w)), w)})
-    return out.withColumn("middle", (F.col("upper") + F.col("lower")) / 2)
+    def build(bars: DataFrame) -> DataFrame:
+        out = bars.withColumns({"upper": full(F.max("high").over(last_rows(w)), w), "lower": full(F.min("low").over(last_rows(w)), w)})
+        return out.withColumn("middle", (F.col("upper") + F.col("lower")) / 2)
+
+    return rolling(bars, "series_id", ORDER, w - 1, build)
 
 
 def keltner(bars: DataFrame, w: int = 20, k: float = 2.0) -> DataFrame:
@@ -237,7 +243,7 @@ def keltner(bars: DataFrame, w: int = 20, k: float = 2.0) -> DataFrame:
 
 
 def chandelier(bars: DataFrame, w: int = 22, k: float = 3.0) -> DataFrame:
-    out = donchian(atr(bars, w), w)
+    out = atr(donchian(bars, w), w)
     return out.withColumns({"long_stop": F.col("upper") - k * F.col("atr"), "short_stop": F.col("lower") + k * F.col("atr")})
 
 
@@ -265,60 +271,90 @@ def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> Da
 
 def stochastic(bars: DataFrame, k: int = 14, d: int = 3) -> DataFrame:
     """%K of 50 where the range is flat; %D averages %K rounded to four digits."""
-    hh, ll = F.max("high").over(last_rows(k)), F.min("low").over(last_rows(k))
-    x = F.when(hh == ll, 50.0).otherwise(F.round(100 * (F.col("close") - ll) / (hh - ll), 4))
-    out = bars.withColumn("k", full(x, k))
-    return out.withColumn("d", full(F.avg("k").over(last_rows(d)), k + d - 1)).withColumn("signal", _signal(F.col("k"), 80, 20))
+
+    def build(bars: DataFrame) -> DataFrame:
+        hh, ll = F.max("high").over(last_rows(k)), F.min("low").over(last_rows(k))
+        x = F.when(hh == ll, 50.0).otherwise(F.round(100 * (F.col("close") - ll) / (hh - ll), 4))
+        out = bars.withColumn("k", full(x, k))
+        return out.withColumn("d", full(F.avg("k").over(last_rows(d)), k + d - 1)).withColumn("signal", _signal(F.col("k"), 80, 20))
+
+    return rolling(bars, "series_id", ORDER, k + d - 2, build)
 
 
 def cci(bars: DataFrame, w: int = 20) -> DataFrame:
-    out = bars.withColumn("tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
-    out = out.withColumns({"_m": F.avg("tp").over(last_rows(w)), "_x": F.collect_list("tp").over(last_rows(w))})
-    mad = F.aggregate("_x", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_m"))) / w
-    out = out.withColumn("_d", mad).withColumn("cci", full(F.when(F.col("_d") < 1e-12, 0.0).otherwise((F.col("tp") - F.col("_m")) / (0.015 * F.col("_d"))), w))
-    x = F.col("cci")
-    band = F.when(x > 200, "strong_overbought").when(x > 100, "overbought").when(x < -100, "oversold").when(x < -200, "strong_oversold").otherwise("neutral")
-    return out.drop("_m", "_x", "_d").withColumn("signal", band)
+    def build(bars: DataFrame) -> DataFrame:
+        out = bars.withColumn("tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
+        out = out.withColumns({"_m": F.avg("tp").over(last_rows(w)), "_x": F.collect_list("tp").over(last_rows(w))})
+        mad = F.aggregate("_x", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_m"))) / w
+        out = out.withColumn("_d", mad).withColumn("cci", full(F.when(F.col("_d") < 1e-12, 0.0).otherwise((F.col("tp") - F.col("_m")) / (0.015 * F.col("_d"))), w))
+        x = F.col("cci")
+        band = F.when(x > 200, "strong_overbought").when(x > 100, "overbought").when(x < -100, "oversold").when(x < -200, "strong_oversold").otherwise("neutral")
+        return out.drop("_m", "_x", "_d").withColumn("signal", band)
+
+    return rolling(bars, "series_id", ORDER, w - 1, build)
 
 
 def williams_r(bars: DataFrame, w: int = 14) -> DataFrame:
-    hh, ll = F.max("high").over(last_rows(w)), F.min("low").over(last_rows(w))
-    out = bars.withColumn("williams_r", full(F.when(hh == ll, -50.0).otherwise(-100 * (hh - F.col("close")) / (hh - ll)), w))
-    return out.withColumn("signal", _signal(F.col("williams_r"), -20, -80))
+    def build(bars: DataFrame) -> DataFrame:
+        hh, ll = F.max("high").over(last_rows(w)), F.min("low").over(last_rows(w))
+        out = bars.withColumn("williams_r", full(F.when(hh == ll, -50.0).otherwise(-100 * (hh - F.col("close")) / (hh - ll)), w))
+        return out.withColumn("signal", _signal(F.col("williams_r"), -20, -80))
+
+    return rolling(bars, "series_id", ORDER, w - 1, build)
 
 
 def rolling_sharpe(rows: DataFrame, value: str, w: int, periods: int = 252) -> DataFrame:
-    s = F.stddev_samp(value).over(last_rows(w))
-    return rows.withColumn("sharpe", full(F.avg(value).over(last_rows(w)) / F.when(s > 0, s) * float(periods) ** 0.5, w))
+    def build(rows: DataFrame) -> DataFrame:
+        s = F.stddev_samp(value).over(last_rows(w))
+        return rows.withColumn("sharpe", full(F.avg(value).over(last_rows(w)) / F.when(s > 0, s) * float(periods) ** 0.5, w))
+
+    return rolling(rows, "series_id", ORDER, w - 1, build)
 
 
 def rolling_volatility(rows: DataFrame, value: str, w: int, periods: int = 252) -> DataFrame:
-    return rows.withColumn("volatility", full(F.stddev_samp(value).over(last_rows(w)) * float(periods) ** 0.5, w))
+    def build(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("volatility", full(F.stddev_samp(value).over(last_rows(w)) * float(periods) ** 0.5, w))
+
+    return rolling(rows, "series_id", ORDER, w - 1, build)
 
 
 def rolling_correlation(pairs: DataFrame, w: int) -> DataFrame:
-    return pairs.withColumn("correlation", full(F.corr("a", "b").over(last_rows(w)), w))
+    def build(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("correlation", full(F.corr("a", "b").over(last_rows(w)), w))
+
+    return rolling(pairs, "series_id", ORDER, w - 1, build)
 
 
 def rolling_beta_alpha(pairs: DataFrame, w: int) -> DataFrame:
     """Slope and intercept of a on b."""
-    return pairs.withColumns({"beta": full(F.regr_slope("a", "b").over(last_rows(w)), w), "alpha": full(F.regr_intercept("a", "b").over(last_rows(w)), w)})
+
+    def build(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumns({"beta": full(F.regr_slope("a", "b").over(last_rows(w)), w), "alpha": full(F.regr_intercept("a", "b").over(last_rows(w)), w)})
+
+    return rolling(pairs, "series_id", ORDER, w - 1, build)
 
 
 def rolling_drawdown(rows: DataFrame, value: str, w: int) -> DataFrame:
     """Worst fall from a peak, in percent, with the peak sought in each window anew."""
-    xs = F.collect_list(value).over(last_rows(w))
-    zero = F.struct(F.lit(float("-inf")).alias("p"), F.lit(0.0).alias("d"))
 
-    def step(a: Column, x: Column) -> Column:
-        p = F.greatest(a["p"], x)
-        return F.struct(p.alias("p"), F.greatest(a["d"], F.when(p > 0, (p - x) / p * 100).otherwise(0.0)).alias("d"))
+    def build(rows: DataFrame) -> DataFrame:
+        xs = F.collect_list(value).over(last_rows(w))
+        zero = F.struct(F.lit(float("-inf")).alias("p"), F.lit(0.0).alias("d"))
 
-    return rows.withColumn("_x", xs).withColumn("drawdown_pct", full(F.aggregate("_x", zero, step)["d"], w)).drop("_x")
+        def step(a: Column, x: Column) -> Column:
+            p = F.greatest(a["p"], x)
+            return F.struct(p.alias("p"), F.greatest(a["d"], F.when(p > 0, (p - x) / p * 100).otherwise(0.0)).alias("d"))
+
+        return rows.withColumn("_x", xs).withColumn("drawdown_pct", full(F.aggregate("_x", zero, step)["d"], w)).drop("_x")
+
+    return rolling(rows, "series_id", ORDER, w - 1, build)
 
 
 def rolling_win_rate(rows: DataFrame, value: str, w: int, order: str = ORDER) -> DataFrame:
-    return rows.withColumn("win_rate", full(F.avg(F.when(F.col(value) > 0, 1.0).otherwise(0.0)).over(last_rows(w, order)), w, order))
+    def build(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("win_rate", full(F.avg(F.when(F.col(value) > 0, 1.0).otherwise(0.0)).over(last_rows(w, order)), w, order))
+
+    return rolling(rows, "series_id", order, w - 1, build)
 
 
 def tertile_regimes(rows: DataFrame, measure: str, names: tuple[str, str, str]) -> DataFrame:
@@ -334,11 +370,13 @@ def tertile_regimes(rows: DataFrame, measure: str, names: tuple[str, str, str])
 
 
 def volatility_regimes(rows: DataFrame, value: str, w: int = 20) -> DataFrame:
-    return tertile_regimes(rows.withColumn("measure", full(F.stddev_samp(value).over(last_rows(w)), w)), "measure", ("low", "normal", "high"))
+    measured = rolling(rows, "series_id", ORDER, w - 1, lambda r: r.withColumn("measure", full(F.stddev_samp(value).over(last_rows(w)), w)))
+    return tertile_regimes(measured, "measure", ("low", "normal", "high"))
 
 
 def trend_regimes(rows: DataFrame, value: str, w: int = 50) -> DataFrame:
-    return tertile_regimes(rows.withColumn("measure", full(F.regr_slope(value, F.col(ORDER).cast("double")).over(last_rows(w)), w)), "measure", ("bear", "neutral", "bull"))
+    measured = rolling(rows, "series_id", ORDER, w - 1, lambda r: r.withColumn("measure", full(F.regr_slope(value, F.col(ORDER).cast("double")).over(last_rows(w)), w)))
+    return tertile_regimes(measured, "measure", ("bear", "neutral", "bull"))
 
 
 def volatilities(bars: DataFrame, periods: int = 252) -> DataFrame:
@@ -348,7 +386,7 @@ def volatilities(bars: DataFrame, periods: int = 252) -> DataFrame:
     """
     o, h, l, c = (F.col(x) for x in ("open", "high", "low", "close"))
     ok = (o > 0) & (h > 0) & (l > 0) & (c > 0)
-    lc = F.lag("close").over(_by())
+    bars, lc = running(bars, ["series_id"], ORDER, _lc=("lag", F.col("close"))), F.col("_lc")
     safe = lambda x: F.coalesce(F.when(ok, x), F.lit(0.0))
     rows = bars.withColumns({
         "_r": F.when(lc.isNotNull(), F.coalesce(F.when((c > 0) & (lc > 0), F.ln(c / lc)), F.lit(0.0))), "_pk": safe(F.ln(h / l) ** 2), "_gk": safe(0.5 * F.ln(h / l) ** 2 - (2 * F.ln(F.lit(2.0)) - 1) * F.ln(c / o) ** 2),

@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, hhi, normal_quantile, ratio, with_total
+from ..functions.common import bands, hhi, normal_quantile, ratio, small, with_total
+from ..session import materialise
 from .scan import Series, running
 
 UNDERWATER = [("<", 0.2, "rarely_underwater"), ("<", 0.5, "moderately_underwater"), ("<", 0.8, "often_underwater")]
@@ -48,11 +49,16 @@ def growth(rows: DataFrame, periods: int = 252) -> DataFrame:
 
 
 def worst_share(rows: DataFrame, value: str, confidence: float, key: str = "series_id") -> DataFrame:
-    """Mean of the worst max(1, round((1-c) n)) values, negated; the count rounds half to even."""
-    rn, n = F.row_number().over(Window.partitionBy(key).orderBy(value)), F.count(F.lit(1)).over(Window.partitionBy(key))
-    cut = F.greatest(F.bround((1 - confidence) * F.col("_n"), 0), F.lit(1.0))
-    tail = rows.select(key, value, rn.alias("_i"), n.alias("_n")).filter(F.col("_i") <= cut)
-    return tail.groupBy(key).agg((-F.avg(value)).alias("cvar"), (-F.max(value)).alias("var"), F.count(F.lit(1)).alias("tail_size"))
+    """Mean of the worst max(1, round((1-c) n)) values, negated; the count rounds half to even.
+
+    Equal values are one row with their number before they are ranked.
+    """
+    counts = materialise(rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+    cut = F.greatest(F.bround((1 - confidence) * F.sum("_c"), 0), F.lit(1.0)).cast("long")
+    ranked = running(counts, [key], value, _before=("sum_before", F.col("_c"))).join(small(counts.groupBy(key).agg(cut.alias("_cut"))), key)
+    taken = F.least(F.col("_c"), F.col("_cut") - F.coalesce("_before", F.lit(0)))
+    tail = ranked.withColumn("_t", taken).filter("_t > 0")
+    return tail.groupBy(key).agg((-F.sum(F.col(value) * F.col("_t")) / F.sum("_t")).alias("cvar"), (-F.max(value)).alias("var"), F.sum("_t").alias("tail_size"))
 
 
 def parametric_var(r: Column, confidence: float) -> Column:

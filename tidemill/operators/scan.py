@@ -131,3 +131,48 @@ def average_ranks(rows: DataFrame, keys: list[str], **names: str) -> DataFrame:
             same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
         rows = rows.join(upto, same).withColumn(name, F.col("_upto") - (F.col("_c") - 1) / 2).drop("_v", "_c", "_upto", *(f"_k{i}" for i in range(len(keys))))
     return rows
+
+
+#: Rows of a key up to which one aggregate may hold its values; relative rank error of the sketch that brackets the quantiles of longer ones.
+SELECT_ROWS, SKETCH = 1_000_000, 100_000
+
+
+def quantiles(rows: DataFrame, keys: list[str], value: str, at: dict[str, float], keep: str | None = None) -> DataFrame:
+    """keys and for each name the exact quantile of ``value`` (double, nulls left out), interpolated between the two nearest ranks; with ``keep`` also the number of values.
+
+    An exact percentile holds every different value of a key in one state. Keys of more than SELECT_ROWS values are therefore searched: a sketch of
+    bounded size brackets each wanted rank, one pass counts the values below the bracket and those in it by value, which is a share
+    of about 4 / SKETCH of the rows, and the rank is found among these. The sketch's error is bounded, so the bracket always holds the rank; a common value is one row.
+    """
+    rows = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    kept = [F.col("_n").alias(keep)] if keep else []
+    if not sizes.filter(F.col("_n") > SELECT_ROWS).head(1):
+        q = F.percentile("_v", F.array(*(F.lit(float(p)) for p in at.values())))
+        out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), q.alias("_q"))
+        return out.select(*keys, *(F.get("_q", k).alias(name) for k, name in enumerate(at)), *kept)
+    slack = 2 / SKETCH
+    ends = sorted({min(1.0, max(0.0, p + d)) for p in at.values() for d in (-slack, slack)})
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", F.array(*map(F.lit, ends)), F.lit(SKETCH)).alias("_e"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), F.count(F.lit(1)).alias("_n"))
+
+    def edge(p: float, low: bool) -> Column:
+        """The sketch's value; of a key of few values, where a rank is more than the slack, all values are in the bracket."""
+        held = min(1.0, max(0.0, p))
+        end = F.col("_least") if low else F.col("_most")
+        return end if held in (0, 1) else F.when(F.col("_n") <= 2 * SKETCH, end).otherwise(F.get("_e", ends.index(held)))
+
+    brackets = F.array(*(F.struct(F.lit(k).alias("k"), edge(p - slack, True).alias("a"), edge(p + slack, False).alias("b")) for k, p in enumerate(at.values())))
+    sketch = small(materialise(sketch.select(*keys, "_n", brackets.alias("_b")), "brackets"))
+    # a row that lies below a bracket counts for it without its value; one above it does not count
+    met = F.filter("_b", lambda b: F.col("_v") <= b["b"])
+    part = rows.join(sketch.select(*keys, "_b"), keys).select(*keys, "_v", F.explode(met).alias("_m"))
+    part = part.groupBy(*keys, F.col("_m.k").alias("_k"), F.when(F.col("_v") >= F.col("_m.a"), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running(materialise(part, "bracketed"), [*keys, "_k"], "_v", _before=("sum_before", F.col("_c")))  # null, what lies below, comes first
+    ranked = ranked.join(sketch.select(*keys, "_n"), keys).withColumn("_before", F.coalesce("_before", F.lit(0)))
+    want = F.element_at(F.array(*(F.lit(float(p)) for p in at.values())), F.col("_k") + 1) * (F.col("_n") - 1)
+    holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
+    low, high = F.max(F.when(holds(F.floor(want)), F.col("_v"))), F.max(F.when(holds(F.ceil(want)), F.col("_v")))
+    found = ranked.groupBy(*keys, "_k", "_n").agg(low.alias("_low"), high.alias("_high"))
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise((F.ceil(want) - want) * F.col("_low") + (want - F.floor(want)) * F.col("_high"))
+    found = found.withColumn("_q", between)
+    return found.groupBy(*keys, "_n").agg(*(F.max(F.when(F.col("_k") == k, F.col("_q"))).alias(name) for k, name in enumerate(at))).select(*keys, *at, *kept)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from statistics import NormalDist
 from zlib import crc32
@@ -11,44 +12,168 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, normal_cdf, normal_quantile, ratio
+from ..functions.common import bands, normal_cdf, normal_quantile, ratio, small
+from ..session import materialise
+from .scan import running
 
 EFFICIENCY = [(">=", 0.8, "excellent"), (">=", 0.6, "good"), (">=", 0.4, "marginal"), (">=", 0.0, "overfit")]
-#: Paths that one task draws.
-PATHS = 250
+#: Paths that one task draws of a series that it holds; longer series than SERIES_ROWS are never held.
+PATHS, SERIES_ROWS = 250, 2_000_000
+#: Of a long series: steps of a path that are drawn and folded at once, rows of a stored stretch, and paths that ask for a stretch together.
+CHUNK, STRETCH, LOT = 65_536, 65_536, 10
+#: Bins in which the median of a long path is sought first.
+BINS = 256
 
 
-def block_indices(rng: np.random.Generator, n: int, steps: int, block: float) -> np.ndarray:
-    """Positions of a stationary bootstrap: runs of geometric length with mean ``block`` that wrap around; 1 gives independent draws."""
-    fresh = rng.random(steps) < 1 / block
-    fresh[0] = True
-    starts = rng.integers(0, n, steps)
-    last = np.maximum.accumulate(np.where(fresh, np.arange(steps), 0))
-    return (starts[last] + np.arange(steps) - last) % n
+def drawn(key: list[int], n: int, steps: int, block: float) -> Iterator[np.ndarray]:
+    """Positions of a stationary bootstrap, chunk by chunk: runs of geometric length with mean ``block`` that wrap around; 1 gives independent draws.
+
+    Two streams of numbers hang on ``key`` alone, and a run goes on over the end of a chunk, so the size of a chunk changes nothing.
+    """
+    fresh, starts = np.random.default_rng([*key, 0]), np.random.default_rng([*key, 1])
+    at = None
+    for first in range(0, steps, CHUNK):
+        here = np.arange(min(CHUNK, steps - first))
+        new, where = fresh.random(len(here)) < 1 / block, (starts.random(len(here)) * n).astype(np.int64)
+        if at is None:
+            new[0] = True
+        last = np.maximum.accumulate(np.where(new, here, -1))
+        places = np.where(last >= 0, where[last] + here - last, (at or 0) + 1 + here) % n
+        at = int(places[-1])
+        yield places
+
+
+def positions(key: list[int], n: int, steps: int, block: float) -> np.ndarray:
+    return np.concatenate([*drawn(key, n, steps, block), np.empty(0, np.int64)])
+
+
+PATH_SCHEMA = "series_id string, path long, total double, mean double, sharpe double, median double, max_drawdown double"
 
 
 def bootstrap_paths(returns: DataFrame, n_paths: int, block: float = 1.0, steps: int | None = None, seed: int = 42, value: str = "r") -> DataFrame:
     """series_id, path, total, mean, sharpe, median, max_drawdown of resampled paths.
 
-    A series goes to as many tasks as it has lots of PATHS paths. A path's draws depend on (seed, series, path)
-    alone, so the result is the same for any number of partitions.
+    A path's draws depend on (seed, series, path) alone, so the result is the same for any number of partitions. A series of up to
+    SERIES_ROWS rows goes to as many tasks as it has lots of PATHS paths; of a longer one the paths look their values up (``_long_paths``).
     """
+    rows, long = _by_length(returns.select("series_id", "idx", F.col(value).cast("double").alias("x")))
     lots = -(-n_paths // PATHS)
-    rows = returns.select("series_id", "idx", F.col(value).cast("double").alias("x")).withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    rows = rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
 
     def draw(p: pd.DataFrame) -> pd.DataFrame:
         name, lot = p["series_id"].iloc[0], int(p["lot"].iloc[0])
         x = p.sort_values("idx", kind="stable")["x"].to_numpy()
         out = []
         for k in range(lot * PATHS, min(n_paths, (lot + 1) * PATHS)):
-            y = x[block_indices(np.random.default_rng([seed, crc32(name.encode()), k]), len(x), steps or len(x), block)]
+            y = x[positions([seed, crc32(name.encode()), k], len(x), steps or len(x), block)]
             eq = np.concatenate([[1.0], np.cumprod(1 + y)])
             peak = np.maximum.accumulate(eq)
             std = y.std(ddof=1) if len(y) > 1 else 0.0
             out.append((name, k, float(y.sum()), float(y.mean()), float(y.mean() / std) if std > 0 else 0.0, float(np.median(y)), float(((peak - eq) / peak).max() * 100)))
         return pd.DataFrame(out, columns=["series_id", "path", "total", "mean", "sharpe", "median", "max_drawdown"])
 
-    return rows.groupBy("series_id", "lot").applyInPandas(draw, "series_id string, path long, total double, mean double, sharpe double, median double, max_drawdown double")
+    short = rows.groupBy("series_id", "lot").applyInPandas(draw, PATH_SCHEMA)
+    return short if long is None else short.unionByName(_long_paths(long, n_paths, block, steps, seed))
+
+
+def _by_length(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of series of up to SERIES_ROWS rows, and those of longer ones, numbered, if there are any."""
+    long = small(materialise(rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SERIES_ROWS), "long-series"))
+    if not long.head(1):
+        return rows, None
+    numbered = running(rows.join(long, "series_id"), ["series_id"], "idx", STRETCH, place=("count", F.lit(1)))
+    return rows.join(long, "series_id", "left_anti"), materialise(numbered.withColumn("place", F.col("place") - 1), "numbered")
+
+
+def _looked_up(long: DataFrame, n_paths: int, block: float, steps: int | None, key, answer, schema: str) -> DataFrame:
+    """``answer`` for each stretch of a long series and lot of paths that ask for it.
+
+    The series lies in stretches of STRETCH values, a row each. Tasks draw the places of the paths chunk by chunk and send them, in one row a
+    stretch, to where the stretch is; a stretch is sent once to each LOT of paths. So no task holds a series, a path, or more than a lot's steps of a stretch.
+    """
+    at = F.floor(F.col("place") / STRETCH).cast("int")
+    kept = long.groupBy("series_id", at.alias("stretch")).agg(F.array_sort(F.collect_list(F.struct("place", "x"))).alias("v"))  # STRETCH values a row
+    lots = -(-n_paths // LOT)
+    kept = materialise(kept.select("series_id", "stretch", F.transform("v", lambda v: v["x"]).alias("x")), "stretches")
+    asks = long.groupBy("series_id").agg(F.max("n").alias("n")).withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(n_paths - 1)))).repartition("series_id", "path")
+
+    def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for name, n, path in zip(p["series_id"], p["n"], p["path"]):
+                for chunk, places in enumerate(drawn(key(name, int(path)), int(n), int(steps or n), block)):
+                    to = places // STRETCH
+                    order = np.argsort(to, kind="stable")
+                    cuts = np.flatnonzero(np.diff(to[order])) + 1
+                    steps_of, places_of = np.split(order, cuts), np.split(places[order] % STRETCH, cuts)
+                    yield pd.DataFrame({"series_id": name, "path": path, "chunk": chunk, "lot": int(path) // LOT, "stretch": [int(to[o[0]]) for o in steps_of], "step": steps_of, "at": places_of})
+
+    asked = materialise(asks.mapInPandas(ask, "series_id string, path long, chunk int, lot int, stretch int, step array<int>, at array<int>"), "asked")
+    by, sent = ["series_id", "stretch", "lot"], kept.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    return asked.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(lambda q, x: answer(q, np.asarray(x["x"].iloc[0]) if len(x) else np.empty(0)), schema)
+
+
+def _long_paths(long: DataFrame, n_paths: int, block: float, steps: int | None, seed: int) -> DataFrame:
+    """``bootstrap_paths`` of series that no task can hold: the values of each chunk of a path come together, are summarised, and folded again from what the chunks before carry."""
+    values = _looked_up(
+        long, n_paths, block, steps, lambda name, k: [seed, crc32(name.encode()), k], lambda q, x: q[["series_id", "path", "chunk", "step"]].assign(y=[x[np.asarray(a)] for a in q["at"]]),
+        "series_id string, path long, chunk int, step array<int>, y array<double>",
+    )
+
+    def whole(p: pd.DataFrame) -> pd.DataFrame:
+        step = np.concatenate(p["step"].to_list())
+        return p[["series_id", "path", "chunk"]].head(1).assign(y=[np.concatenate(p["y"].to_list())[np.argsort(step, kind="stable")]])
+
+    chunk = ["series_id", "path", "chunk"]
+    chunks = materialise(values.groupBy(*chunk).applyInPandas(whole, "series_id string, path long, chunk int, y array<double>"), "path-chunks")  # CHUNK values a row
+    edges = long.groupBy("series_id").agg(F.percentile_approx("x", F.array(*(F.lit(k / BINS) for k in range(1, BINS))), F.lit(100 * BINS)).alias("edges"))
+    edges = small(materialise(edges, "edges"))
+
+    def summary(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            out = []
+            for y, e in zip(p["y"], p["edges"]):
+                grown, bins = np.cumprod(1 + y), np.bincount(np.searchsorted(np.unique(e), y, "right"), minlength=BINS)
+                out.append((len(y), float(y.sum()), float(((y - y.mean()) ** 2).sum()), float(grown[-1]), float(grown.max()), float(grown.min()), bins.tolist()))
+            yield pd.concat([p[chunk].reset_index(drop=True), pd.DataFrame(out, columns=["n", "s", "m2", "growth", "high", "low", "bins"])], axis=1)
+
+    summed = chunks.join(edges, "series_id").mapInPandas(summary, "series_id string, path long, chunk int, n long, s double, m2 double, growth double, high double, low double, bins array<long>")
+    summed = materialise(summed, "chunk-summaries")
+    path = ["series_id", "path"]
+    moments = summed.groupBy(*path).agg(F.sum("n").alias("n"), F.sum("s").alias("total"))
+    spread = summed.join(moments.withColumnRenamed("n", "_n"), path).groupBy(*path).agg(F.sum(F.col("m2") + F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("total") / F.col("_n"), F.lit(2.0))).alias("m2"))
+
+    order = Window.partitionBy(*path).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row a chunk
+    start = summed.withColumn("start", F.coalesce(F.product("growth").over(order), F.lit(1.0)))
+    start = start.withColumn("peak", F.greatest(F.lit(1.0), F.max(F.greatest(F.col("start") * F.col("high"), F.col("start") * F.col("low"))).over(order)))
+    total = F.sum("c").over(Window.partitionBy(*path).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    counts = summed.select(*path, F.posexplode("bins").alias("bin", "c")).groupBy(*path, "bin").agg(F.sum("c").alias("c")).filter("c > 0").withColumn("below", F.coalesce(total, F.lit(0))).join(moments.select(*path, "n"), path)
+    holds = lambda rank: (F.col("below") <= rank) & (rank < F.col("below") + F.col("c"))
+    first, second = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    wanted = materialise(counts.filter(holds(first) | holds(second)).groupBy(*path).agg(F.min("bin").alias("bin"), F.max("bin").alias("to_bin"), F.min("below").alias("below"), F.first("n").alias("n")), "median-bins")
+    asked = chunks.join(start.select(*chunk, "start", "peak"), chunk).join(edges, "series_id").join(wanted, path)
+
+    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Of each chunk the deepest fall, and the values (with counts) in the bins that hold the median."""
+        for p in parts:
+            out = []
+            for y, e, start, peak, low, high in zip(p["y"], p["edges"], p["start"], p["peak"], p["bin"], p["to_bin"]):
+                eq = start * np.cumprod(1 + y)
+                top = np.maximum(np.maximum.accumulate(eq), peak)
+                bins = np.searchsorted(np.unique(e), y, "right")
+                v, c = np.unique(y[(bins >= low) & (bins <= high)], return_counts=True)
+                out.append((float(((top - eq) / top).max() * 100), [{"v": a, "c": b} for a, b in zip(v.tolist(), c.tolist())]))
+            yield pd.concat([p[path].reset_index(drop=True), pd.DataFrame(out, columns=["fall", "near"])], axis=1)
+
+    folded = materialise(asked.mapInPandas(fold, "series_id string, path long, fall double, near array<struct<v:double,c:long>>"), "chunk-folds")
+    falls = folded.groupBy(*path).agg(F.greatest(F.max("fall"), F.lit(0.0)).alias("max_drawdown"))
+    near = folded.select(*path, F.inline("near")).groupBy(*path, "v").agg(F.sum("c").alias("c")).join(wanted.select(*path, "below", "n"), path)
+    upto = F.sum("c").over(Window.partitionBy(*path).orderBy("v").rowsBetween(Window.unboundedPreceding, -1))
+    near = near.withColumn("below", F.col("below") + F.coalesce(upto, F.lit(0)))
+    medians = near.groupBy(*path).agg(((F.max(F.when(holds(first), F.col("v"))) + F.max(F.when(holds(second), F.col("v")))) / 2).alias("median"))
+    out = moments.join(spread, path).join(falls, path).join(medians, path)
+    std = F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
+    mean = F.col("total") / F.col("n")
+    return out.select(*path, "total", mean.alias("mean"), F.when(std > 0, mean / std).otherwise(0.0).alias("sharpe"), "median", "max_drawdown")
 
 
 def percentiles(paths: DataFrame, statistic: str, at: list[float]) -> DataFrame:
@@ -60,19 +185,26 @@ def percentiles(paths: DataFrame, statistic: str, at: list[float]) -> DataFrame:
 def bootstrap_means(excess: DataFrame, n_boot: int, block: float = 5.0, seed: int = 42) -> DataFrame:
     """series_id, boot, mean: each boot draws one set of places for all series, which keeps their dependence.
 
-    The draws of (seed, boot) are made beside each series, so series need not meet in a task.
+    The draws of (seed, boot) are made beside each series, so series need not meet in a task; of series over SERIES_ROWS only sums of looked up values travel.
     """
+    rows, long = _by_length(excess.select("series_id", "idx", "x"))
     lots = -(-n_boot // PATHS)
-    rows = excess.select("series_id", "idx", "x").withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
+    rows = rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
 
     def draw(p: pd.DataFrame) -> pd.DataFrame:
         lot = int(p["lot"].iloc[0])
         x = p.sort_values("idx", kind="stable")["x"].to_numpy()
         boots = range(lot * PATHS, min(n_boot, (lot + 1) * PATHS))
-        means = [float(x[block_indices(np.random.default_rng([seed, b]), len(x), len(x), block)].mean()) for b in boots]
+        means = [float(x[positions([seed, b], len(x), len(x), block)].mean()) for b in boots]
         return pd.DataFrame({"series_id": p["series_id"].iloc[0], "boot": list(boots), "mean": means})
 
-    return rows.groupBy("series_id", "lot").applyInPandas(draw, "series_id string, boot long, mean double")
+    short = rows.groupBy("series_id", "lot").applyInPandas(draw, "series_id string, boot long, mean double")
+    if long is None:
+        return short
+    sums = _looked_up(
+        long, n_boot, block, None, lambda _, k: [seed, k], lambda q, x: q[["series_id", "path"]].assign(s=[float(x[np.asarray(a)].sum()) for a in q["at"]], n=[len(a) for a in q["at"]]), "series_id string, path long, s double, n long"
+    )
+    return short.unionByName(sums.groupBy("series_id", F.col("path").alias("boot")).agg((F.sum("s") / F.sum("n")).alias("mean")))
 
 
 def aligned_excess(returns: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -81,7 +213,7 @@ def aligned_excess(returns: DataFrame, benchmark: DataFrame) -> DataFrame:
     n = x.select(F.count_distinct("series_id").alias("n"))
     full = x.groupBy("idx").agg(F.count(F.lit(1)).alias("c")).crossJoin(F.broadcast(n)).filter("c = n").select("idx")  # n is one row
     x = x.join(full, "idx")
-    return x.withColumn("idx", F.row_number().over(Window.partitionBy("series_id").orderBy("idx")) - 1)
+    return running(x, ["series_id"], "idx", _place=("count", F.lit(1))).withColumn("idx", F.col("_place") - 1).drop("_place")
 
 
 def reality_check(excess: DataFrame, n_boot: int, block: float = 5.0, seed: int = 42, studentised: bool = False) -> DataFrame:

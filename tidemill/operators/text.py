@@ -29,26 +29,38 @@ PERSONAL = [
     (r"(?i)\b[a-f0-9]{32,}\b", "[REDACTED_HEX_KEY]"),
     (r"\b\d{8,}\b", "[REDACTED_NUMBER]"),
 ]
+#: What a text must have for each pattern to match.
+PERSONAL_TESTS = ("@", r"\p{Nd}\.\p{Nd}", "[a-fA-F0-9]{32}", r"\p{Nd}{8}")
 SEVERITY = [("<", 50, "low_concern"), ("<", 80, "medium_concern"), ("<", 95, "high_concern")]
 #: One of these is in every match, in lower case: a cheap test that spares most texts the rules. Letters of which Unicode has other cases are left out.
 MARKERS = ("gnore", "regard", "truct", "delete", "drop", "-rf", "exec", "<", "act a", "lbrea")
+#: No regard to case, words and spaces of Unicode, and a line that ends at a line feed alone.
+FLAGS = "(?iUd)"
+HITS = "array<struct<rule:string,rule_no:int,severity:int,matches:bigint,first_match:string,position:bigint>>"
 #: Characters of a match that are kept.
 SHOWN = 120
 # The names of role tags.
 ROLE_TAG = r"(?i)<(/?(?:system|assistant|user|tool|instructions?))>"
 
 
-def sanitize(text: Column) -> Column:
-    """Breaks code fences with a zero-width space and escapes role tags."""
+def sanitize(text: Column, redact_pii: bool = False) -> Column:
+    """Breaks code fences with a zero-width space and escapes role tags; then, if asked, redacts personal data."""
     out = F.regexp_replace(text, "```", "``​`")
-    return F.regexp_replace(out, ROLE_TAG, "&lt;$1&gt;")
+    out = F.regexp_replace(out, ROLE_TAG, "&lt;$1&gt;")
+    return redact(out) if redact_pii else out
 
 
 def redact(text: Column) -> Column:
-    """Personal data replaced by marks; words and digits are those of Unicode."""
-    for pattern, mark in PERSONAL:
-        text = F.regexp_replace(text, f"(?U){pattern}", mark.replace("$", r"\$"))
-    return text
+    """Personal data replaced by marks; words and digits are those of Unicode.
+
+    Each pattern has a plain test without which it cannot match: most texts have no ``@`` and no long run of digits, and skip the search for
+    word borders. Marks have brackets around them, so a replacement never makes a later test true, and all tests read the text as it came.
+    """
+    out = text
+    for (pattern, mark), test in zip(PERSONAL, PERSONAL_TESTS):
+        found = F.contains(text, F.lit(test)) if len(test) == 1 else text.rlike(test)
+        out = F.when(found, F.regexp_replace(out, f"(?U){pattern}", mark.replace("$", r"\$"))).otherwise(out)
+    return out
 
 
 def over_strings(value: Column, kind: T.DataType, f) -> Column:
@@ -69,18 +81,18 @@ def injection_hits(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
 
     def hit(k: int, pattern: str, label: str, severity: int) -> Column:
-        p = F.lit(f"(?iU){pattern}")
+        p = F.lit(FLAGS + pattern)
         return F.struct(
             F.lit(label).alias("rule"), F.lit(k).alias("rule_no"), F.lit(severity).alias("severity"), F.regexp_count(t, p).cast("long").alias("matches"),
             F.left(F.regexp_substr(t, p), F.lit(SHOWN)).alias("first_match"), (F.regexp_instr(t, p) - 1).cast("long").alias("position"),
         )
 
-    found = F.array(*(F.when(t.rlike(f"(?iU){p}"), hit(k, p, label, severity)) for k, (p, label, severity) in enumerate(INJECTION)))
+    found = F.array(*(F.when(t.rlike(FLAGS + p), hit(k, p, label, severity)) for k, (p, label, severity) in enumerate(INJECTION)))
     low = F.lower(t)
     quick = F.contains(low, F.lit("dan")) & low.rlike(r"(?<![a-z])dan(?![a-z])")
     for marker in MARKERS:
         quick = F.contains(low, F.lit(marker)) | quick
-    return F.when(quick, F.array_compact(found)).otherwise(F.slice(found, 1, 0))
+    return F.when(quick, F.array_compact(found)).otherwise(F.array().cast(HITS))
 
 
 def injections(rows: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..operators import trades as T
 from ..session import scratch_path
 from ..sources import readers as IO
+from ..sources.views import ticks_of
 from ..streaming import live as L
+from .bars import _reset_sql
 from .catalog import _S
 from .registry import query
-from .text import _WIN
+from .text import _ALERTS, _WIN, arrivals
 
 
 def _trade_files(v, sep: str, decimal: str) -> str:
@@ -153,28 +155,77 @@ for _n in ("databank_save", "databank_load", "databank_clear"):
         return v.spark.read.parquet(path).select("project", "databank", "strategy_id")
 
 
-def _live(v):
-    """Starts a stream over the events, lets it take all that is there, stops it, and gives its table and its progress."""
-    spark, path = v.spark, scratch_path(v.spark, "live")
-    e = v.table("events")
-    src = spark.readStream.schema(e.schema).parquet(f"{v.sf_dir}/events.parquet*")
-    rows = src.select(F.col("event_type").alias("project"), F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 500).alias("fitness"), (F.col("value") / 500 * F.get_json_object("props", "$.k").cast("double") / 100).alias("fitness_oos"))
-    windows = L.monitor_windows(rows, "6 hours", "1 hour")
+def _events(v):
+    """The events as a stream."""
+    return v.spark.readStream.schema(v.table("events").schema).parquet(f"{v.sf_dir}/events.parquet*")
+
+
+def _run(stream, mode: str):
+    """Starts a stream, lets it take all that is there, stops it, and gives its table."""
+    spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "live")
+    write = "overwrite" if mode == "complete" else "append"
 
     def put(batch, _):
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode(write).parquet(path)
 
-    q = windows.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", scratch_path(spark, "live-state")).trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", scratch_path(spark, "live-state")).trigger(availableNow=True).start()
     q.awaitTermination()
     q.stop()
-    return spark.read.schema(windows.schema).parquet(path), q
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def _live(v):
+    return L.every_window(_run(L.monitor_windows(arrivals(_events(v)), "6 hours", "1 hour"), "complete").drop("ts"), "6 hours")
+
+
+def _stateful(v):
+    """Operators with own state need the state store that keeps it on disk."""
+    v.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+@query("stream_bars", """-- floats: open high low close volume
+SELECT series_id, t, open, high, low, "close", volume, n FROM bars""")
+def _(v):
+    """Streaming twin of the hourly bars."""
+    ticks = ticks_of(_events(v)).withColumn("ts", F.timestamp_seconds("epoch"))
+    return _run(L.stream_bars(ticks), "complete")
+
+
+@query("stream_vwap", "-- floats: vwap\nSELECT series_id, epoch - epoch % 3600 AS t, sum(price * volume) / nullif(sum(volume), 0) AS vwap FROM ticks GROUP BY ALL")
+def _(v):
+    """Streaming twin of the hourly volume-weighted price."""
+    return _run(L.stream_vwap(ticks_of(_events(v)).withColumn("ts", F.timestamp_seconds("epoch"))), "complete")
+
+
+@query("stream_freshness", "SELECT series_id, max(epoch) AS last, false AS fresh FROM ticks GROUP BY series_id")
+def _(v):
+    """Against the clock at which the query runs, for which no tick of the tables is fresh."""
+    ticks = ticks_of(_events(v)).withColumn("ts", F.timestamp_seconds("epoch"))
+    return _run(L.stream_freshness(ticks, 86400), "complete").select("series_id", F.unix_seconds("last").alias("last"), "fresh")
+
+
+@query("stream_reset_bars", f"-- floats: measure_sum\nSELECT series_id, bar, measure_sum, n_ticks FROM ({_reset_sql('volume', 500.0).partition(chr(10))[2]})")
+def _(v):
+    """Streaming twin of the bars of a running volume that restarts at zero."""
+    _stateful(v)
+    return _run(L.stream_reset_bars(ticks_of(_events(v)).select("series_id", "seq", F.col("volume").alias("measure")), 500.0), "append")
+
+
+@query("stream_alerts", f"-- floats: value\n{_ALERTS}")
+def _(v):
+    """Alerts of a stream of windows with arrivals; timers close those without, so a project that falls silent alerts too."""
+    _stateful(v)
+    windows = L.monitor_windows(arrivals(v.table("events")), "6 hours", None).filter("new > 0")
+    path = scratch_path(v.spark, "windows")
+    windows.write.parquet(path)
+    return _run(L.stream_alerts(v.spark.readStream.schema(windows.schema).parquet(path), 6 * 3600), "append")
 
 
 @query("monitor_start", f"-- floats: fitness fitness_oos\nSELECT * FROM {_WIN}")
 def _(v):
-    return _live(v)[0]
+    return _live(v)
 
 
 @query("monitor_stop", f"SELECT project, count(*) AS windows, CAST(sum(new) AS BIGINT) AS rows FROM {_WIN} GROUP BY project")
 def _(v):
-    return _live(v)[0].groupBy("project").agg(F.count(F.lit(1)).alias("windows"), F.sum("new").alias("rows"))
+    return _live(v).groupBy("project").agg(F.count(F.lit(1)).alias("windows"), F.sum("new").alias("rows"))

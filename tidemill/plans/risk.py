@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.common import bands, bands_sql, hhi, normal_quantile, ratio, with_total
+from ..operators import pairs as P
 from ..operators import risk as R
+from ..operators.scan import quantiles
 from .indicators import PAIRS, _pairs, _returns
 from .registry import query
 
@@ -59,7 +61,7 @@ def _(v):
 
 @query("tail_risk_historical_var", f"-- floats: var\nWITH q AS (SELECT series_id, -quantile_cont(r, 0.05) AS var FROM {_R} GROUP BY series_id) SELECT series_id, any_value(var) AS var, count(*) FILTER (var > 0 AND r <= -var) AS tail_size FROM {_R} JOIN q USING (series_id) GROUP BY series_id")
 def _(v):
-    q = _returns(v).groupBy("series_id").agg((-F.percentile("r", 0.05)).alias("var"))
+    q = quantiles(_returns(v), ["series_id"], "r", {"q": 0.05}).select("series_id", (-F.col("q")).alias("var"))
     return _returns(v).join(q, "series_id").groupBy("series_id").agg(F.max("var").alias("var"), F.count(F.when((F.col("var") > 0) & (F.col("r") <= -F.col("var")), 1)).alias("tail_size"))
 
 
@@ -71,7 +73,7 @@ def _(v):
 
 @query("tail_risk_tail_ratio", f"-- floats: tail_ratio\nSELECT *, {bands_sql('tail_ratio', [('>', 1.2, 'fat_upside'), ('<', 0.8, 'fat_downside')], 'symmetric')} AS verdict FROM (SELECT series_id, abs(quantile_cont(r, 0.95)) / nullif(abs(quantile_cont(r, 0.05)), 0) AS tail_ratio FROM {_R} GROUP BY series_id)")
 def _(v):
-    g = _returns(v).groupBy("series_id").agg(ratio(F.abs(F.percentile("r", 0.95)), F.abs(F.percentile("r", 0.05))).alias("tail_ratio"))
+    g = quantiles(_returns(v), ["series_id"], "r", {"high": 0.95, "low": 0.05}).select("series_id", ratio(F.abs("high"), F.abs("low")).alias("tail_ratio"))
     return g.withColumn("verdict", bands(F.col("tail_ratio"), [(">", 1.2, "fat_upside"), ("<", 0.8, "fat_downside")], "symmetric"))
 
 
@@ -321,8 +323,7 @@ _SIGNED = "(SELECT book_id, symbol, sum(CASE WHEN side = 'long' THEN notional EL
 
 def correlations(v):
     """Pearson correlation of the returns of every pair of series, aligned by idx."""
-    a, b = (_returns(v).select(F.col("series_id").alias(s), "idx", F.col("r").alias(x)) for s, x in (("sym_a", "ra"), ("sym_b", "rb")))
-    return a.join(b, "idx").filter("sym_a < sym_b").groupBy("sym_a", "sym_b").agg(F.corr("ra", "rb").alias("rho"))
+    return P.correlations(_returns(v), "r")
 
 
 _FORM = "SELECT a.book_id, a.symbol, sum(a.w * b.w * CASE WHEN a.symbol = b.symbol THEN 1.0 ELSE coalesce(c.rho, 0) END) AS term FROM {w} a JOIN {w} b USING (book_id) LEFT JOIN " + _CORR + " c ON least(a.symbol, b.symbol) = c.sym_a AND greatest(a.symbol, b.symbol) = c.sym_b GROUP BY ALL"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import bands, bands_sql, normal_cdf, ratio
 from ..operators import stats as S
+from ..operators.scan import quantiles
 from .indicators import PAIRS, _pairs, _returns
 from .registry import query
 
@@ -77,9 +78,9 @@ def _(v):
 
 @query("stats_summary", f"-- floats: mean std low p25 median p75 high skewness kurtosis\nSELECT t.symbol, count(*) AS n, avg(pnl) AS mean, stddev_samp(pnl) AS std, min(pnl) AS low, quantile_cont(pnl, 0.25) AS p25, median(pnl) AS median, quantile_cont(pnl, 0.75) AS p75, max(pnl) AS high, any_value({_M3.replace('n *', 'g.n *').replace('(n - ', '(g.n - ').replace('sqrt(n', 'sqrt(g.n')}) AS skewness, any_value({_M4.replace('(n ', '(g.n ')}) AS kurtosis FROM trades t JOIN {_MOM} g ON g.symbol = t.symbol GROUP BY t.symbol")
 def _(v):
-    p, q = F.col("pnl"), F.percentile("pnl", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = v.trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean"), F.stddev_samp(p).alias("std"), F.min(p).alias("low"), q.alias("q"), F.max(p).alias("high"), S.skewness(p).alias("skewness"), S.kurtosis(p).alias("kurtosis"))
-    return g.withColumns({"p25": F.col("q")[0], "median": F.col("q")[1], "p75": F.col("q")[2]}).drop("q")
+    p = F.col("pnl")
+    g = v.trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean"), F.stddev_samp(p).alias("std"), F.min(p).alias("low"), F.max(p).alias("high"), S.skewness(p).alias("skewness"), S.kurtosis(p).alias("kurtosis"))
+    return g.join(quantiles(v.trades, ["symbol"], "pnl", {"p25": 0.25, "median": 0.5, "p75": 0.75}), "symbol")
 
 
 _METRICS = ["net_profit", "drawdown_abs", "fitness_full", "fitness_oos"]
@@ -89,9 +90,8 @@ _METRICS = ["net_profit", "drawdown_abs", "fitness_full", "fitness_oos"]
 SELECT metric, count(*) AS n, avg(value) AS mean, median(value) AS median, stddev_pop(value) AS std, quantile_cont(value, 0.1) AS p10, quantile_cont(value, 0.9) AS p90 FROM (UNPIVOT (SELECT {', '.join(_METRICS)} FROM strategies) ON {', '.join(_METRICS)} INTO NAME metric VALUE value) GROUP BY metric""", digits=4)
 def _(v):
     u = v.strategies.unpivot("strategy_id", _METRICS, "metric", "value").filter("value is not null")
-    q = F.percentile("value", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    g = u.groupBy("metric").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), q.alias("q"))
-    return g.withColumns({"p10": F.col("q")[0], "median": F.col("q")[1], "p90": F.col("q")[2]}).drop("q")
+    g = u.groupBy("metric").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    return g.join(quantiles(u, ["metric"], "value", {"p10": 0.1, "median": 0.5, "p90": 0.9}), "metric")
 
 
 @query("databank_metric_correlation", "-- floats: correlation\nSELECT project, databank, CASE WHEN count(*) >= 3 THEN corr(fitness_oos, drawdown_pct) END AS correlation, count(*) AS n FROM strategies WHERE fitness_oos IS NOT NULL GROUP BY ALL")

@@ -13,20 +13,48 @@ from .catalog import _S, cat
 from .registry import query
 
 
-@query("sanitize_text_for_llm", r"""SELECT conv_id, turn, regexp_replace(replace(text, '```', '``' || chr(8203) || '`'), '<(/?(?:system|assistant|user|tool|instructions?))>', '&lt;\1&gt;', 'gi') AS safe FROM conversations""")
-def _(v):
-    return v.table("conversations").select("conv_id", "turn", X.sanitize(F.col("text")).alias("safe"))
+# The oracle's own list of personal data. Fixed values, as the specification has them.
+_PERSONAL = ((r"[\w.+-]+@[\w-]+\.[\w.-]+", "EMAIL"), (r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "IP"), (r"(?i)\b[a-f0-9]{32,}\b", "HEX_KEY"), (r"\b\d{8,}\b", "NUMBER"))
+
+
+def _redact_sql(text: str) -> str:
+    for p, mark in _PERSONAL:
+        text = f"regexp_replace({text}, '{p}', '[REDACTED_{mark}]', 'g')"
+    return text
+
 
+def _sanitize_sql(text: str) -> str:
+    return rf"regexp_replace(replace({text}, '```', '``' || chr(8203) || '`'), '<(/?(?:system|assistant|user|tool|instructions?))>', '&lt;\1&gt;', 'gi')"
 
-@query("sanitize_struct_for_llm", r"""SELECT conv_id, turn // 100 AS part, array_to_string(list(regexp_replace(replace(text, '```', '``' || chr(8203) || '`'), '<(/?(?:system|assistant|user|tool|instructions?))>', '&lt;\1&gt;', 'gi') ORDER BY turn, text), '|') AS safe FROM conversations GROUP BY ALL""")
+
+@query("sanitize_text_for_llm", f"""SELECT conv_id, turn, {_sanitize_sql('text')} AS safe, {_redact_sql(_sanitize_sql("text || ' ' || conv_id || '.5@x.org <tool>12345678'"))} AS safe_redacted FROM conversations""")
 def _(v):
-    """Every string of an array of structs, by a walk of the schema; an array holds a hundred turns of a conversation, however long that is."""
-    c = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 100).alias("part")).agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("turns"))
-    safe = X.over_strings(F.col("turns"), c.schema["turns"].dataType, X.sanitize)
-    return c.select("conv_id", "part", F.array_join(F.transform(safe, lambda t: t["text"]), "|").alias("safe"))
+    """Every turn as it is, and with an address, a role tag and a number behind it and personal data redacted."""
+    more = F.concat("text", F.lit(" "), F.col("conv_id").cast("string"), F.lit(".5@x.org <tool>12345678"))
+    return v.table("conversations").select("conv_id", "turn", X.sanitize(F.col("text")).alias("safe"), X.sanitize(more, redact_pii=True).alias("safe_redacted"))
+
+
+_STRUCT = ("text", "role || '</SYSTEM>'", "'```' || role", "'10.0.0.' || turn")
 
 
-# The oracle's own list of rules: patterns, labels and severities as the specification has them.
+@query("sanitize_struct_for_llm", "SELECT conv_id, turn // 100 AS part, " + ", ".join(f"array_to_string(list({_redact_sql(_sanitize_sql(x))} ORDER BY turn, text), '|') AS {n}" for x, n in zip(_STRUCT, ("safe", "closed", "fenced", "host"))) + ", array_to_string(list(turn ORDER BY turn, text), '|') AS turns FROM conversations GROUP BY ALL")
+def _(v):
+    """Every string of an array of structs with a map and an array in them, by a walk of the schema; numbers stay. An array holds a hundred turns of a conversation, however long that is."""
+    role = F.col("role")
+    payload = F.struct("turn", "text", F.create_map(F.lit("closed"), F.concat(role, F.lit("</SYSTEM>"))).alias("marks"), F.array(F.concat(F.lit("```"), role), F.concat(F.lit("10.0.0."), F.col("turn").cast("string"))).alias("more"))
+    # maps have no order, so the array is sorted by what comes before them
+    key = F.struct("turn", "text").alias("key")
+    c = v.table("conversations").groupBy("conv_id", F.floor(F.col("turn") / 100).alias("part")).agg(F.collect_list(F.struct(key, payload.alias("payload"))).alias("turns"))
+    c = c.withColumn("turns", F.transform(F.array_sort("turns", lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)), lambda x: x["payload"]))
+    c = c.withColumn("safe", X.over_strings(F.col("turns"), c.schema["turns"].dataType, lambda x: X.sanitize(x, redact_pii=True)))
+    joined = lambda f: F.array_join(F.transform("safe", f), "|")
+    return c.select(
+        "conv_id", "part", joined(lambda t: t["text"]).alias("safe"), joined(lambda t: t["marks"]["closed"]).alias("closed"), joined(lambda t: t["more"][0]).alias("fenced"), joined(lambda t: t["more"][1]).alias("host"),
+        joined(lambda t: t["turn"].cast("string")).alias("turns"),
+    )
+
+
+# The oracle's own list of rules. Patterns, labels and severities as the specification has them.
 _RULES = r"""(VALUES (0, '\bignore (?:all )?previous (?:instructions?|prompts?)\b', 'instruction_override', 90), (1, '\bdisregard (?:all )?previous\b', 'instruction_override', 80), (2, '\b(?:new|updated) instructions?\s*[:.]', 'instruction_takeover', 70),
 (3, '\bdelete (?:all )?(?:files|data|projects|history)\b', 'destructive_command', 95), (4, '\bdrop (?:all )?(?:tables?|databases?)\b', 'destructive_command', 95), (5, '\brm\s+-rf\b', 'destructive_command', 100), (6, '\bexec(?:ute)?\b.*\bsystem\b', 'command_execution', 80),
 (7, '<\s*(?:script|iframe|object)\b', 'html_injection', 60), (8, '</?(?:system|assistant|tool|instructions?)\b', 'fake_role_tag', 70), (9, '\bact as\b.*\b(?:admin|root|sudo)\b', 'privilege_escalation', 80), (10, '\bjailbreak\b|\bDAN\b', 'jailbreak_attempt', 75))"""
@@ -63,13 +91,7 @@ def _(v):
     return X.injection_verdicts(_said(v), ["conv_id", "turn"], "text")
 
 
-# The oracle's own list of personal data.
-_RED = "text"
-for _p, _mark in ((r"[\w.+-]+@[\w-]+\.[\w.-]+", "EMAIL"), (r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "IP"), (r"(?i)\b[a-f0-9]{32,}\b", "HEX_KEY"), (r"\b\d{8,}\b", "NUMBER")):
-    _RED = f"regexp_replace({_RED}, '{_p}', '[REDACTED_{_mark}]', 'g')"
-
-
-@query("redact_pii", f"SELECT doc_id, md5({_RED}) AS redacted_md5 FROM documents")
+@query("redact_pii", f"SELECT doc_id, md5({_redact_sql('text')}) AS redacted_md5 FROM documents")
 def _(v):
     return v.table("documents").select("doc_id", F.md5(X.redact(F.col("text"))).alias("redacted_md5"))
 
@@ -88,6 +110,20 @@ def _(v):
     return G.ancestors(v.lineage)
 
 
+@query("lineage_paths", f"SELECT node_id, ancestor, CAST(distance AS BIGINT) AS distance FROM {_UP} WHERE node_id NOT IN (SELECT parent_id FROM lineage WHERE parent_id IS NOT NULL)")
+def _(v):
+    """The ancestors of all nodes without children."""
+    leaves = v.lineage.join(v.lineage.select(F.col("parent_id").alias("node_id")), "node_id", "left_anti")
+    return G.paths_up(v.lineage, leaves)
+
+
+@query("lineage_descends", f"SELECT p.low, p.high FROM (SELECT node_id AS low, unnest([node_id // 4, node_id // 5, node_id * 2, node_id]) AS high FROM lineage) p JOIN (SELECT DISTINCT node_id, ancestor FROM {_UP}) u ON u.node_id = p.low AND u.ancestor = p.high GROUP BY ALL")
+def _(v):
+    """Of four proposed ancestors of every node those that are."""
+    k = F.col("node_id")
+    return G.descends(v.lineage.select(k.alias("low"), F.explode(F.array(F.floor(k / 4), F.floor(k / 5), k * 2, k)).alias("high")), v.lineage, "low", "high")
+
+
 @query("lineage_descendants", f"SELECT ancestor AS node_id, count(*) AS descendants, max(distance) AS height FROM {_UP} GROUP BY ancestor")
 def _(v):
     return G.tree(v.lineage).filter("descendants > 0").select("node_id", "descendants", "height")
@@ -109,18 +145,34 @@ def _(v):
     return v.lineage.join(p, "parent_id", "left").select("node_id", "label", "parent_label")
 
 
-@query("lineage_register", f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + 1000001 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
+_NEW = 1_000_000
+
+
+@query("lineage_register", f"""SELECT node_id + {_NEW} AS seq, CASE WHEN node_id % 4 = 3 THEN node_id ELSE node_id + {_NEW} END AS node_id, parent_id, CASE WHEN node_id % 4 = 3 THEN 'exists' WHEN node_id % 4 = 2 OR node_id = 1 THEN 'missing_parent' END AS error
+FROM (SELECT node_id, CASE node_id % 4 WHEN 0 THEN node_id WHEN 1 THEN node_id - 1 + {_NEW} WHEN 2 THEN node_id + 3 + {_NEW} END AS parent_id FROM lineage)""")
+def _(v):
+    """Four kinds of new nodes in turn: below an old node, below one registered just before, below one registered later, and one that is there already."""
+    k = F.col("node_id")
+    parent = F.when(k % 4 == 0, k).when(k % 4 == 1, k - 1 + _NEW).when(k % 4 == 2, k + 3 + _NEW)
+    return G.lineage_results(v.lineage, v.lineage.select((k + _NEW).alias("seq"), F.lit("register").alias("op"), F.when(k % 4 == 3, k).otherwise(k + _NEW).alias("node_id"), parent.alias("parent_id"))).drop("op")
+
+
+@query("lineage_link_errors", f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + 1000001 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
 def _(v):
     """A proposed parent for every node: itself, its own child, or one that is not there."""
     k = F.col("node_id")
     return G.link_errors(v.lineage, v.lineage.select(k, F.when(k % 3 == 0, k).when(k % 3 == 1, k * 2).otherwise(k + 1000001).alias("parent_id")))
 
 
-@query("lineage_link", f"SELECT l.node_id, CASE WHEN l.node_id % 7 = 0 THEN NULL WHEN p.node_id IS NOT NULL THEN p.parent_id ELSE l.parent_id END AS parent_id, label FROM lineage l LEFT JOIN (SELECT * FROM (SELECT node_id, CASE WHEN node_id % 2 = 0 THEN node_id + 1 ELSE node_id * 4 END AS parent_id FROM lineage WHERE node_id % 7 <> 0) x WHERE parent_id IN (SELECT node_id FROM lineage) AND NOT EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = x.parent_id AND u.ancestor = x.node_id)) p ON p.node_id = l.node_id")
+@query("lineage_link", """SELECT node_id, CASE WHEN node_id % 7 = 0 THEN NULL WHEN node_id % 2 = 0 AND node_id < last THEN node_id + 1 WHEN node_id % 2 = 1 AND (node_id - 1) % 7 = 0 AND node_id > 1 THEN node_id - 1 ELSE parent_id END AS parent_id, label
+FROM lineage, (SELECT max(node_id) AS last FROM lineage)""")
 def _(v):
-    """Even nodes move under the next node, odd ones try to move below themselves, every seventh is detached."""
+    """In order of their ids even nodes move under the next node and odd ones under the one before; every seventh is detached.
+
+    The second link of a pair would close a cycle with the first and is refused, except where the first node was detached: hence the oracle's short form.
+    """
     k = F.col("node_id")
-    return G.relink(v.lineage, v.lineage.select(k, F.when(k % 7 == 0, None).when(k % 2 == 0, k + 1).otherwise(k * 4).cast("long").alias("parent_id")))
+    return G.relink(v.lineage, v.lineage.select(k, F.when(k % 7 == 0, None).when(k % 2 == 0, k + 1).otherwise(k - 1).cast("long").alias("parent_id")))
 
 
 @query("lineage_remove", "SELECT node_id, CASE WHEN parent_id % 5 <> 0 THEN parent_id END AS parent_id, label FROM lineage WHERE node_id % 5 <> 0")
@@ -264,13 +316,23 @@ def _(v):
     return G.manifest_diff(m.filter(n % 3 != 0), m.filter(n % 4 != 0).withColumn("sha", F.when(n % 5 == 0, F.upper("sha")).otherwise(F.col("sha"))))
 
 
+def project_of(kind, ts):
+    """The kind of an event; errors are another project from the middle of the month on, so one project falls silent and one starts late."""
+    return F.when((kind == "error") & (ts >= F.lit("2024-01-15").cast("timestamp")), "late-error").otherwise(kind).alias("project")
+
+
+def arrivals(e):
+    """Events as arriving results: fitness is a share of the value, out of sample by the tick's k."""
+    ts = F.col("ts").cast("timestamp")
+    return e.select(project_of(F.col("event_type"), ts), ts.alias("ts"), (F.col("value") / 500).alias("fitness"), (F.col("value") / 500 * F.get_json_object("props", "$.k").cast("double") / 100).alias("fitness_oos"))
+
+
 def _arrivals(v):
-    """Trades as arriving results: fitness is a share of the value, out of sample by the tick's k."""
-    e = v.table("events")
-    return e.select(F.col("event_type").alias("project"), F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 500).alias("fitness"), (F.col("value") / 500 * F.get_json_object("props", "$.k").cast("double") / 100).alias("fitness_oos"))
+    return arrivals(v.table("events"))
 
 
-_WIN = """(SELECT event_type AS project, CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) AS t, count(*) AS new, quantile_disc(value / 500, 0.5) AS fitness, quantile_disc(value / 500 * CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / 100, 0.5) AS fitness_oos FROM events GROUP BY ALL)"""
+_CAME = """(SELECT CASE WHEN event_type = 'error' AND ts >= TIMESTAMP '2024-01-15' THEN 'late-error' ELSE event_type END AS project, CAST(epoch(time_bucket(INTERVAL 6 HOUR, ts)) AS BIGINT) AS t, count(*) AS new, quantile_disc(value / 500, 0.5) AS fitness, quantile_disc(value / 500 * CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / 100, 0.5) AS fitness_oos FROM events GROUP BY ALL)"""
+_WIN = f"""(SELECT project, t, coalesce(new, 0) AS new, fitness, fitness_oos FROM (SELECT project, unnest(generate_series(min(t), (SELECT max(t) FROM {_CAME}), 21600)) AS t FROM {_CAME} GROUP BY project) LEFT JOIN {_CAME} USING (project, t))"""
 
 _ALERTS = f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY t) AS i FROM {_WIN}), a AS (SELECT project, t, i, sum(new) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS s, median(fitness) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS f, median(CASE WHEN fitness > 0 THEN fitness_oos / fitness END) OVER (PARTITION BY project ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS r FROM w)
 SELECT project, min(t) AS t, CAST(arg_min(s, t) AS DOUBLE) AS value, 'STALLED_GROWTH' AS code FROM a WHERE i >= 5 AND s <= 0 GROUP BY project UNION ALL SELECT project, min(t), arg_min(f, t), 'LOW_MEDIAN_FITNESS' FROM a WHERE i >= 3 AND f < 0.2 GROUP BY project UNION ALL SELECT project, min(t), arg_min(r, t), 'OOS_DEGRADATION' FROM a WHERE i >= 3 AND r < 0.5 GROUP BY project"""
@@ -289,10 +351,10 @@ def _(v):
     return L.monitor_sessions(w, L.monitor_alerts(w))
 
 
-@query("monitor_status", f"-- floats: fitness fitness_oos\nSELECT project, t, new, total, fitness, fitness_oos, coalesce(codes, '') AS codes FROM (SELECT *, CAST(sum(new) OVER (PARTITION BY project ORDER BY t) AS BIGINT) AS total, row_number() OVER (PARTITION BY project ORDER BY t DESC) AS i FROM {_WIN} WHERE project IN ('click', 'purchase')) LEFT JOIN (SELECT project, array_to_string(list_sort(list(code)), ',') AS codes FROM ({_ALERTS}) GROUP BY project) USING (project) WHERE i <= 5")
+@query("monitor_status", f"-- floats: fitness fitness_oos\nSELECT project, t, new, total, fitness, fitness_oos, coalesce(codes, '') AS codes FROM (SELECT *, CAST(sum(new) OVER (PARTITION BY project ORDER BY t) AS BIGINT) AS total, row_number() OVER (PARTITION BY project ORDER BY t DESC) AS i FROM {_WIN} WHERE project IN ('click', 'error')) LEFT JOIN (SELECT project, array_to_string(list_sort(list(code)), ',') AS codes FROM ({_ALERTS}) GROUP BY project) USING (project) WHERE i <= 5")
 def _(v):
     """Of two projects the last five snapshots, with the rows seen by then and the codes that have been raised."""
-    w = L.monitor_windows(_arrivals(v).filter("project in ('click', 'purchase')"), "6 hours", None)
+    w = L.monitor_windows(_arrivals(v), "6 hours", None).filter("project in ('click', 'error')")
     return L.monitor_state(w, L.monitor_alerts(w), 5)
 
 

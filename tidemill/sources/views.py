@@ -12,6 +12,15 @@ HOUR = 3600
 SPLIT = "1998-07-01"
 
 
+def ticks_of(events: DataFrame) -> DataFrame:
+    """Ticks of an event table or stream."""
+    return events.select(
+        F.col("event_type").alias("series_id"), F.col("event_id").alias("seq"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"),
+        F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        F.when(F.col("user_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
+    )
+
+
 class Views:
     """Lazy frames; every view has its namesake in ``SQL``."""
 
@@ -24,11 +33,7 @@ class Views:
 
     @cached_property
     def ticks(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_type").alias("series_id"), F.col("event_id").alias("seq"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"),
-            F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("double").alias("volume"),
-            F.when(F.col("user_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
-        )
+        return ticks_of(self.table("events"))
 
     @cached_property
     def bars(self) -> DataFrame:

@@ -132,20 +132,29 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
         if not len(begin):
             return
         key = code[begin] * len(names) + ids[begin + length - 1]
+        onward = length in steps and length < longest
         early, late = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1, np.maximum(last[begin], last[begin + 1]).astype(np.int64) + 1
+        if not onward:  # what is not counted now leads no further
+            due = np.flatnonzero((early <= step) & (late > step - shards))
+            begin, key, early, late = begin[due], key[due], early[due], late[due]
+            if not len(begin):
+                return
+        _, at, *number, n = np.unique(key, return_index=True, return_inverse=onward, return_counts=True)
+        place, early, late = begin[at], early[at], late[at]  # from here on a row a phrase, not a place
+        whole = joined(hashes[place], hashes[place + 1])
         due = np.flatnonzero((early <= step) & (late > step - shards))
         if len(due):
-            _, at, n = np.unique(key[due], return_index=True, return_counts=True)
-            place = begin[due[at]]
-            phrases = list(map(b" ".join, zip(*([names[i] for i in ids[place + k].tolist()] for k in range(length)))))
-            yield phrases, joined(hashes[place], hashes[place + 1]), hashes[place], hashes[place + 1], n, early[due[at]]
-        if length not in steps or length == longest:
+            here = place[due]
+            phrases = list(map(b" ".join, zip(*([names[i] for i in ids[here + k].tolist()] for k in range(length)))))
+            yield phrases, whole[due], hashes[here], hashes[here + 1], n[due], early[due]
+        if not onward:
             return
-        whole = joined(hashes[begin], hashes[begin + 1])
         found_first, found_last = steps[length].of(whole)
-        on = np.flatnonzero(found_first != NEVER)
-        first[:], place = NEVER, begin[on]
-        first[place], last[place], hashes[place], code[place] = found_first[on], found_last[on], whole[on], np.unique(key[on], return_inverse=True)[1]
+        number = number[0]
+        on = np.flatnonzero(found_first[number] != NEVER)
+        number, place = number[on], begin[on]
+        first[:] = NEVER
+        first[place], last[place], hashes[place], code[place] = found_first[number], found_last[number], whole[number], number
 
 
 def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataFrame:

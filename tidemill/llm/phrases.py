@@ -108,6 +108,18 @@ class SharedSteps:
         return self.first[at], self.last[at]
 
 
+def distinct(key: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """A place of each different key, the number of every place's key among them (if asked), and how often each occurs; a plain sort, since any place will do."""
+    order = np.argsort(key)
+    held = key[order]
+    new = np.r_[True, held[1:] != held[:-1]]
+    first, number = np.flatnonzero(new), None
+    if numbered:
+        number = np.empty(len(key), np.int64)
+        number[order] = np.cumsum(new) - 1
+    return order[first], number, np.diff(np.r_[first, len(key)])
+
+
 Counted = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -139,7 +151,7 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
             begin, key, early, late = begin[due], key[due], early[due], late[due]
             if not len(begin):
                 return
-        _, at, *number, n = np.unique(key, return_index=True, return_inverse=onward, return_counts=True)
+        at, number, n = distinct(key, onward)
         place, early, late = begin[at], early[at], late[at]  # from here on a row a phrase, not a place
         whole = joined(hashes[place], hashes[place + 1])
         due = np.flatnonzero((early <= step) & (late > step - shards))
@@ -150,7 +162,6 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
         if not onward:
             return
         found_first, found_last = steps[length].of(whole)
-        number = number[0]
         on = np.flatnonzero(found_first[number] != NEVER)
         number, place = number[on], begin[on]
         first[:] = NEVER

@@ -229,7 +229,10 @@ def _liquidation():
 
 @query("perp_liquidation_price", f"-- floats: liquidation distance_pct\nSELECT seq, {_LIQ} AS liquidation, abs(price - {_LIQ}) / price * 100 AS distance_pct FROM ticks")
 def _(v):
-    return v.ticks.select("seq", _liquidation().alias("liquidation"), (F.abs(F.col("price") - _liquidation()) / F.col("price") * 100).alias("distance_pct"))
+    """The distance of an entry at a price of zero is no number."""
+    price = F.col("price")
+    distance = F.when(price == 0, float("nan")).otherwise(F.abs(price - _liquidation()) / F.nullif(price, F.lit(0.0)) * 100)
+    return v.ticks.select("seq", _liquidation().alias("liquidation"), distance.alias("distance_pct"))
 
 
 @query("perp_liquidation_distance_pct", "-- floats: distance_pct\nSELECT seq, side, 2 + seq % 124 AS leverage, 100 * abs(1.0 / (2 + seq % 124) - (0.1 + 0.1 * (seq % 7)) / 100) AS distance_pct FROM ticks WHERE price > 0")

@@ -28,3 +28,11 @@ def events(*rows):
 def test_liquidation_of_a_zero_price(spark, tmp_path):
     mine, theirs = both(spark, "perp_liquidation_price", tmp_path, events=events((1, 0.0, 1), (2, 50.0, 1)))
     assert mine == theirs and len(mine) == 2
+
+
+def test_costs_that_eat_all(spark, tmp_path):
+    """Tenths that add up to nothing, in any order."""
+    pnl = [0.1] * 10 + [-0.3, -0.7] + [0.7, 0.2, -0.9]
+    mine, theirs = both(spark, "cost_sensitivity_grid", tmp_path, events=events(*((1, 50 + p, 1) for p in pnl), *((2, 50 + p, 1) for p in sorted(pnl)), *((3, 50 + p, 1) for p in sorted(pnl, reverse=True))))
+    assert mine == theirs and len(mine) == 27
+    assert not [r for r in QUERIES["cost_sensitivity_grid"](spark, str(tmp_path)).filter("commission + slippage = 0").collect() if r.survives or r.net]

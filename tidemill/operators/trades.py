@@ -33,10 +33,10 @@ def with_costs(trades: DataFrame, commission: float, slippage: float, point: flo
 
 
 def cost_grid(trades: DataFrame, commissions: list[float], slippages: list[float], point: float = 1.0) -> DataFrame:
-    """Net profit for each pair of costs, from one sum and count a strategy."""
+    """Net profit for each pair of costs, from one sum and count a strategy, to a millionth: the order of a sum decides no sign."""
     grid = F.array(*(F.struct(F.lit(c).alias("commission"), F.lit(s).alias("slippage")) for c in commissions for s in slippages))
     out = trades.groupBy(KEY).agg(F.sum("pnl").alias("_s"), F.count(F.lit(1)).alias("_n")).select("*", F.inline(grid))
-    net = F.col("_s") - F.col("_n") * (F.col("commission") + F.col("slippage") * point)
+    net = F.round(F.col("_s") - F.col("_n") * (F.col("commission") + F.col("slippage") * point), 6)
     return out.select(KEY, "commission", "slippage", net.alias("net"), (net > 0).alias("survives"))
 
 

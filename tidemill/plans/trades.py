@@ -41,7 +41,7 @@ def _(v):
     return v.trades.groupBy("strategy_id").agg(F.greatest(F.avg("pnl"), F.lit(0.0)).alias("break_even"))
 
 
-@query("cost_sensitivity_grid", "-- floats: commission slippage net\nSELECT strategy_id, c AS commission, s AS slippage, sum(pnl) - count(*) * (c + s) AS net, sum(pnl) - count(*) * (c + s) > 0 AS survives FROM trades, (SELECT unnest([0.0::DOUBLE, 1.0, 2.0]) AS c), (SELECT unnest([0.0::DOUBLE, 0.5, 5.0]) AS s) GROUP BY strategy_id, c, s", digits=4)
+@query("cost_sensitivity_grid", "-- floats: commission slippage net\nSELECT strategy_id, c AS commission, s AS slippage, round(sum(pnl) - count(*) * (c + s), 6) + 0.0 AS net, round(sum(pnl) - count(*) * (c + s), 6) > 0 AS survives FROM trades, (SELECT unnest([0.0::DOUBLE, 1.0, 2.0]) AS c), (SELECT unnest([0.0::DOUBLE, 0.5, 5.0]) AS s) GROUP BY strategy_id, c, s", digits=4)
 def _(v):
     return T.cost_grid(v.trades, [0.0, 1.0, 2.0], [0.0, 0.5, 5.0])
 

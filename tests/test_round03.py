@@ -36,3 +36,21 @@ def test_costs_that_eat_all(spark, tmp_path):
     mine, theirs = both(spark, "cost_sensitivity_grid", tmp_path, events=events(*((1, 50 + p, 1) for p in pnl), *((2, 50 + p, 1) for p in sorted(pnl)), *((3, 50 + p, 1) for p in sorted(pnl, reverse=True))))
     assert mine == theirs and len(mine) == 27
     assert not [r for r in QUERIES["cost_sensitivity_grid"](spark, str(tmp_path)).filter("commission + slippage = 0").collect() if r.survives or r.net]
+
+
+def items(*rows):
+    """Lineitem, supplier and nation of (supplier, discount, day); prices are equal, ten lines an order."""
+    each = ", ".join(f"({i}, {k}, 100.0::DOUBLE, {d}::DOUBLE, TIMESTAMP '{day}')" for i, (k, d, day) in enumerate(rows))
+    items = f"SELECT (i // 10)::BIGINT AS l_orderkey, (i % 10)::INTEGER AS l_linenumber, k::BIGINT AS l_suppkey, p AS l_extendedprice, d AS l_discount, t AS l_shipdate FROM (VALUES {each}) v(i, k, p, d, t)"
+    keys = ", ".join(f"({k})" for k in sorted({r[0] for r in rows}))
+    return {"lineitem": items, "supplier": f"SELECT k::BIGINT AS s_suppkey, 1 AS s_nationkey FROM (VALUES {keys}) v(k)", "nation": "SELECT 1 AS n_nationkey, 'N' AS n_name"}
+
+
+LATE = "1998-08-01"
+
+
+def test_fitness_on_the_edge_of_a_bucket(spark, tmp_path):
+    """Means of exactly 0.05, from discounts in different orders."""
+    means = [[0.01, 0.09, 0.02, 0.08, 0.03, 0.07] * 10, [0.01] * 30 + [0.09] * 30, [0.1, 0.0] * 30, [0.07, 0.03, 0.06, 0.04] * 15, [0.09, 0.08, 0.07, 0.03, 0.02, 0.01] * 10]
+    mine, theirs = both(spark, "databank_partition", tmp_path, **items(*((k + 1, d, LATE) for k, ds in enumerate(means) for d in ds)))
+    assert mine == theirs == [((2, "above"), (1, 5.0))]

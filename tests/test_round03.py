@@ -54,3 +54,13 @@ def test_fitness_on_the_edge_of_a_bucket(spark, tmp_path):
     means = [[0.01, 0.09, 0.02, 0.08, 0.03, 0.07] * 10, [0.01] * 30 + [0.09] * 30, [0.1, 0.0] * 30, [0.07, 0.03, 0.06, 0.04] * 15, [0.09, 0.08, 0.07, 0.03, 0.02, 0.01] * 10]
     mine, theirs = both(spark, "databank_partition", tmp_path, **items(*((k + 1, d, LATE) for k, ds in enumerate(means) for d in ds)))
     assert mine == theirs == [((2, "above"), (1, 5.0))]
+
+
+def test_no_profit_and_funding_that_ends_in_a_half(spark, tmp_path):
+    """Gains that cancel leave no profit, whatever their order; funding is exact to the half of a millionth."""
+    pnl = [0.1] * 10 + [-0.3, -0.7]
+    rows = [*((1, 50 + p, 8) for p in pnl), *((2, 50 + p, 8) for p in reversed(pnl)), *((3, 50 + p, 8) for p in (0.08, 0.16, 0.4)), *((4, 50 + p, k) for p, k in ((0.24, 1), (7.12, 3), (0.56, 5)))]
+    mine, theirs = both(spark, "perp_funding_adjusted_pnl", tmp_path, events=events(*rows))
+    assert mine == theirs
+    flat = QUERIES["perp_funding_adjusted_pnl"](spark, str(tmp_path)).filter("strategy_id <= 2").collect()
+    assert [(r.gross, r.impact_pct) for r in flat] == [(0.0, None)] * 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, bands_sql, hhi, normal_quantile, ratio, with_total
+from ..functions.common import bands, bands_sql, halves_up, hhi, normal_quantile, ratio, with_total
 from ..operators import pairs as P
 from ..operators import risk as R
 from ..operators.scan import quantiles
@@ -212,12 +212,13 @@ def _(v):
     return R.longest_runs(_pairs(v), F.when(F.col("a") > F.col("b"), "above").when(F.col("a") < F.col("b"), "below"), "series_id", "idx")
 
 
-@query("perp_funding_adjusted_pnl", """-- floats: gross funding net impact_pct
-SELECT *, impact_pct > 10 AS warning FROM (SELECT strategy_id, sum(pnl) AS gross, sum(f) AS funding, sum(pnl - f) AS net, abs(sum(f)) / nullif(abs(sum(pnl)), 0) * 100 AS impact_pct FROM (SELECT *, CASE WHEN side = 'long' THEN 1 ELSE -1 END * 0.0001 * hold_hours / 8 * notional AS f FROM trades) GROUP BY strategy_id)""")
+@query("perp_funding_adjusted_pnl", f"""-- floats: gross funding net impact_pct
+SELECT strategy_id, gross, {halves_up('funding')} AS funding, {halves_up('net')} AS net, {halves_up('impact_pct')} AS impact_pct, round(impact_pct, 9) > 10 AS warning FROM (SELECT strategy_id, gross, funding, gross - funding AS net, abs(funding) / nullif(abs(gross), 0) * 100 AS impact_pct FROM (SELECT strategy_id, round(sum(pnl), 6) AS gross, round(sum(f), 10) AS funding FROM (SELECT *, CASE WHEN side = 'long' THEN 1 ELSE -1 END * 0.0001 * hold_hours / 8 * notional AS f FROM trades) GROUP BY strategy_id))""")
 def _(v):
+    """Sums are settled before they are set against each other (profit to a millionth, funding to 10 digits), so that the order of a sum leaves no profit where there is none."""
     f = F.when(F.col("side") == "long", 1).otherwise(-1) * 0.0001 * F.col("hold_hours") / 8 * F.col("notional")
-    g = v.trades.withColumn("f", f).groupBy("strategy_id").agg(F.sum("pnl").alias("gross"), F.sum("f").alias("funding"), F.sum(F.col("pnl") - F.col("f")).alias("net"))
-    return g.withColumn("impact_pct", ratio(F.abs("funding"), F.abs("gross")) * 100).withColumn("warning", F.col("impact_pct") > 10)
+    g = v.trades.withColumn("f", f).groupBy("strategy_id").agg(F.round(F.sum("pnl"), 6).alias("gross"), F.round(F.sum("f"), 10).alias("funding")).withColumn("net", F.round(F.col("gross") - F.col("funding"), 10))
+    return g.withColumn("impact_pct", F.round(ratio(F.abs("funding"), F.abs("gross")) * 100, 10)).withColumn("warning", F.round("impact_pct", 9) > 10)
 
 
 _LIQ = "price * (1 + CASE WHEN side = 'buy' THEN -1 ELSE 1 END * (1.0 / 5 - 0.005))"

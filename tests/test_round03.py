@@ -64,3 +64,13 @@ def test_no_profit_and_funding_that_ends_in_a_half(spark, tmp_path):
     assert mine == theirs
     flat = QUERIES["perp_funding_adjusted_pnl"](spark, str(tmp_path)).filter("strategy_id <= 2").collect()
     assert [(r.gross, r.impact_pct) for r in flat] == [(0.0, None)] * 2
+
+
+def test_reports_that_differ_by_a_tenth(spark, tmp_path):
+    """Totals that cancel or are a tenth apart, and means that end in half a millionth; sides turn by event."""
+    rows = [(1, 50.1, 1), (1, 51.0, 1), (1, 50.2, 1), (1, 49.0, 1), (1, 49.7, 1), (1, 50.0, 1), *((2, 51.1, 1), (2, 51.0, 1)), *((k + 3, 50 + (0.01 * (37 * k + i) if i % 32 else 0.03), 1) for k in range(20) for i in range(64))]
+    mine, theirs = both(spark, "report_compare_with_catalogue", tmp_path, events=events(*rows))
+    assert mine == theirs
+    net = {r.strategy_id: r for r in QUERIES["report_compare_with_catalogue"](spark, str(tmp_path)).filter("metric = 'net'").collect()}
+    assert (net[1].b, net[1].diff, net[1].verdict) == (0.0, None, "ok") or (net[1].a, net[1].verdict) == (0.0, "warn")
+    assert (net[2].diff, net[2].verdict) == (0.1, "ok")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, bands_sql
+from ..functions.common import bands, bands_sql, halves_up
 from ..operators import bars as B
 from ..operators import risk as R
 from ..operators import trades as T
@@ -225,12 +225,15 @@ def _(v):
     return T.ks_distance(t, "pnl", "live", "symbol").withColumn("drift", F.col("ks") > F.col("critical"))
 
 
-@query("report_compare_with_catalogue", """-- floats: a b diff
-SELECT strategy_id, metric, a, b, abs(a - b) / nullif(abs(b), 0) AS diff, CASE WHEN a IS NULL OR b IS NULL THEN 'missing' WHEN abs(a - b) / nullif(abs(b), 0) > 0.1 THEN 'warn' ELSE 'ok' END AS verdict FROM (UNPIVOT (SELECT strategy_id, sum(pnl) AS net, avg(pnl) AS mean, max(pnl) AS best FROM trades WHERE side = 'long' GROUP BY strategy_id) ON net, mean, best INTO NAME metric VALUE a) FULL JOIN (UNPIVOT (SELECT strategy_id, sum(pnl) AS net, avg(pnl) AS mean, min(pnl) AS worst FROM trades WHERE side = 'short' GROUP BY strategy_id) ON net, mean, worst INTO NAME metric VALUE b) USING (strategy_id, metric)""")
+@query("report_compare_with_catalogue", f"""-- floats: a b diff
+SELECT strategy_id, metric, {halves_up('a')} AS a, {halves_up('b')} AS b, {halves_up('abs(a - b) / nullif(abs(b), 0)')} AS diff, CASE WHEN a IS NULL OR b IS NULL THEN 'missing' WHEN round(abs(a - b) / nullif(abs(b), 0), 9) > 0.1 THEN 'warn' ELSE 'ok' END AS verdict FROM (UNPIVOT (SELECT strategy_id, round(sum(pnl), 6) AS net, round(sum(pnl), 6) / count(pnl) AS mean, max(pnl) AS best FROM trades WHERE side = 'long' GROUP BY strategy_id) ON net, mean, best INTO NAME metric VALUE a) FULL JOIN (UNPIVOT (SELECT strategy_id, round(sum(pnl), 6) AS net, round(sum(pnl), 6) / count(pnl) AS mean, min(pnl) AS worst FROM trades WHERE side = 'short' GROUP BY strategy_id) ON net, mean, worst INTO NAME metric VALUE b) USING (strategy_id, metric)""")
 def _(v):
-    """Two reports of one strategy, metric by metric."""
+    """Two reports of one strategy, metric by metric. Sums to a millionth and the difference to 9 digits, so that the order of a sum decides no verdict."""
     p = F.col("pnl")
-    a = v.trades.filter("side = 'long'").groupBy("strategy_id").agg(F.sum(p).alias("net"), F.avg(p).alias("mean"), F.max(p).alias("best")).unpivot("strategy_id", ["net", "mean", "best"], "metric", "a")
-    b = v.trades.filter("side = 'short'").groupBy("strategy_id").agg(F.sum(p).alias("net"), F.avg(p).alias("mean"), F.min(p).alias("worst")).unpivot("strategy_id", ["net", "mean", "worst"], "metric", "b")
+    net = F.round(F.sum(p), 6)
+    means = net.alias("net"), (net / F.nullif(F.count(p), F.lit(0))).alias("mean")
+    a = v.trades.filter("side = 'long'").groupBy("strategy_id").agg(*means, F.max(p).alias("best")).unpivot("strategy_id", ["net", "mean", "best"], "metric", "a")
+    b = v.trades.filter("side = 'short'").groupBy("strategy_id").agg(*means, F.min(p).alias("worst")).unpivot("strategy_id", ["net", "mean", "worst"], "metric", "b")
     diff = F.abs(F.col("a") - F.col("b")) / F.nullif(F.abs("b"), F.lit(0.0))
-    return a.join(b, ["strategy_id", "metric"], "full_outer").withColumn("diff", diff).withColumn("verdict", F.when(F.col("a").isNull() | F.col("b").isNull(), "missing").when(F.col("diff") > 0.1, "warn").otherwise("ok"))
+    out = a.join(b, ["strategy_id", "metric"], "full_outer").withColumn("diff", diff).withColumn("verdict", F.when(F.col("a").isNull() | F.col("b").isNull(), "missing").when(F.round("diff", 9) > 0.1, "warn").otherwise("ok"))
+    return out.withColumns({c: F.round(c, 10) for c in ("a", "b", "diff")})

@@ -74,3 +74,14 @@ def test_reports_that_differ_by_a_tenth(spark, tmp_path):
     net = {r.strategy_id: r for r in QUERIES["report_compare_with_catalogue"](spark, str(tmp_path)).filter("metric = 'net'").collect()}
     assert (net[1].b, net[1].diff, net[1].verdict) == (0.0, None, "ok") or (net[1].a, net[1].verdict) == (0.0, "warn")
     assert (net[2].diff, net[2].verdict) == (0.1, "ok")
+
+
+@pytest.mark.parametrize("name", ["schedule_for_strategy", "schedule_for_workspace"])
+def test_schedule_of_equal_fitness(spark, tmp_path, name):
+    """In and out of sample alike, or nine tenths: from discounts in different orders."""
+    early = [0.01, 0.09, 0.02, 0.08, 0.03, 0.07] * 100
+    lates = [sorted(early), early[::-1], [0.05] * 600, [0.1, 0.0] * 300, [0.09 * x for x in (0.5,)] * 600, [0.04, 0.05] * 300]
+    rows = [(k + 1, d, day) for k, late in enumerate(lates) for ds, day in ((early, "1990-01-01"), (late, LATE)) for d in ds]
+    mine, theirs = both(spark, name, tmp_path, **items(*rows))
+    assert mine == theirs
+    assert not [r for r in QUERIES["schedule_for_strategy"](spark, str(tmp_path)).collect() if r.verdict != ("no_action" if r.strategy_id <= 4 else "retest")]

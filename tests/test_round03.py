@@ -85,3 +85,32 @@ def test_schedule_of_equal_fitness(spark, tmp_path, name):
     mine, theirs = both(spark, name, tmp_path, **items(*rows))
     assert mine == theirs
     assert not [r for r in QUERIES["schedule_for_strategy"](spark, str(tmp_path)).collect() if r.verdict != ("no_action" if r.strategy_id <= 4 else "retest")]
+
+
+@pytest.mark.parametrize("name", ["vol_parkinson", "vol_garman_klass", "vol_rogers_satchell", "vol_yang_zhang", "vol_estimator_comparison"])
+def test_volatility_beside_a_zero_price(spark, tmp_path, name):
+    """An hour with a low of zero, one that closes there, and a series of one bar."""
+    values = [(50, 55, 49, 52), (52, 0, 51, 53), (53, 56, 50, 54), (54, 55, 51, 0), (57, 58, 53, 56), (56, 60, 55, 59), (59, 62, 57, 58)]
+    ticks = [(h * 4 + i, h, x, "a") for h, hour in enumerate(values) for i, x in enumerate(hour)] + [(99, 1, 10, "b")]
+    each = ", ".join(f"({i}, {h}, {x}, '{s}')" for i, h, x, s in ticks)
+    made = f"SELECT i::BIGINT AS event_id, TIMESTAMP '2024-01-01' + h * INTERVAL 1 HOUR AS ts, 1::BIGINT AS user_id, s AS event_type, x::DOUBLE AS value, '{{\"k\": 1}}' AS props FROM (VALUES {each}) v(i, h, x, s)"
+    mine, theirs = both(spark, name, tmp_path, events=made)
+    assert mine == theirs and "inf" not in str(mine) and "nan" not in str(mine)
+
+
+def test_yang_zhang_leaves_out_what_has_no_price(spark):
+    """Against a plain loop, over the bars whose prices and the close before are all positive."""
+    from math import log, sqrt
+    from statistics import variance
+
+    from tidemill.operators.indicators import volatilities
+
+    bars = [(50.0, 55.0, 49.0, 52.0), (52.0, 53.0, 0.0, 53.0), (53.0, 56.0, 50.0, 54.0), (54.0, 55.0, 0.0, 0.0), (57.0, 58.0, 53.0, 56.0), (56.0, 60.0, 55.0, 59.0), (59.0, 62.0, 57.0, 58.0)]
+    on, oc, rs = [], [], []
+    for before, (o, h, l, c) in zip(bars, bars[1:]):
+        if min(o, h, l, c, before[3]) > 0:
+            on, oc, rs = [*on, log(o / before[3])], [*oc, log(c / o)], [*rs, log(h / o) * log(h / c) + log(l / o) * log(l / c)]
+    k = 0.34 / (1.34 + (len(on) + 1) / (len(on) - 1))
+    want = sqrt((variance(on) + k * variance(oc) + (1 - k) * sum(rs) / len(rs)) * 252)
+    got = volatilities(spark.createDataFrame([("s", i, *b) for i, b in enumerate(bars)], "series_id string, idx long, open double, high double, low double, close double")).head()
+    assert abs(got.yang_zhang - want) < 1e-9

@@ -382,7 +382,7 @@ def trend_regimes(rows: DataFrame, value: str, w: int = 50) -> DataFrame:
 def volatilities(bars: DataFrame, periods: int = 252) -> DataFrame:
     """Close-to-close, Parkinson, Garman-Klass, Rogers-Satchell and Yang-Zhang, annualised, in one pass a series.
 
-    Bars with a price at or below zero add nothing to the sums but count as bars.
+    Bars with a price at or below zero add nothing to the sums but count as bars. Yang-Zhang leaves them and the bars after such a close out, and is null under two bars.
     """
     o, h, l, c = (F.col(x) for x in ("open", "high", "low", "close"))
     ok = (o > 0) & (h > 0) & (l > 0) & (c > 0)
@@ -390,7 +390,7 @@ def volatilities(bars: DataFrame, periods: int = 252) -> DataFrame:
     safe = lambda x: F.coalesce(F.when(ok, x), F.lit(0.0))
     rows = bars.withColumns({
         "_r": F.when(lc.isNotNull(), F.coalesce(F.when((c > 0) & (lc > 0), F.ln(c / lc)), F.lit(0.0))), "_pk": safe(F.ln(h / l) ** 2), "_gk": safe(0.5 * F.ln(h / l) ** 2 - (2 * F.ln(F.lit(2.0)) - 1) * F.ln(c / o) ** 2),
-        "_rs": safe(F.ln(h / o) * F.ln(h / c) + F.ln(l / o) * F.ln(l / c)), "_on": F.when(lc.isNotNull() & ok & (lc > 0), F.ln(o / lc)), "_oc": F.when(lc.isNotNull() & ok, F.ln(c / o)), "_rs2": F.when(lc.isNotNull(), safe(F.ln(h / o) * F.ln(h / c) + F.ln(l / o) * F.ln(l / c))),
+        "_rs": safe(F.ln(h / o) * F.ln(h / c) + F.ln(l / o) * F.ln(l / c)), "_on": F.when(ok & (lc > 0), F.ln(o / lc)), "_oc": F.when(ok & (lc > 0), F.ln(c / o)), "_rs2": F.when(ok & (lc > 0), F.ln(h / o) * F.ln(h / c) + F.ln(l / o) * F.ln(l / c)),
     })
     year, m = float(periods), F.count("_oc")
     k = 0.34 / (1.34 + (m + 1) / F.nullif(m - 1, F.lit(0)))
@@ -398,5 +398,5 @@ def volatilities(bars: DataFrame, periods: int = 252) -> DataFrame:
     root = lambda x: F.sqrt(F.greatest(x, F.lit(0.0)) * year)
     return rows.groupBy("series_id").agg(
         (F.stddev_samp("_r") * year**0.5).alias("close_to_close"), root(F.avg("_pk") / (4 * F.ln(F.lit(2.0)))).alias("parkinson"), root(F.avg("_gk")).alias("garman_klass"),
-        root(F.avg("_rs")).alias("rogers_satchell"), root(yz).alias("yang_zhang"),
+        root(F.avg("_rs")).alias("rogers_satchell"), F.when(m >= 2, root(yz)).alias("yang_zhang"),
     )

@@ -180,11 +180,16 @@ def _(v):
     return out.withColumn("verdict", verdict)
 
 
+# Bars with a price at or below zero add nothing but count as bars; Yang-Zhang leaves them out, and those after such a close.
+_PAID, _RS = "least(o, h, l, c) > 0", "ln(h / o) * ln(h / c) + ln(l / o) * ln(l / c)"
+_both = lambda x: f"CASE WHEN {_PAID} AND pc > 0 THEN {x} END"
+_K = f"(0.34 / (1.34 + (count({_both('1')}) + 1.0) / (count({_both('1')}) - 1.0)))"
 _VOL = {
-    "close_to_close": "stddev_samp(ln(c / pc)) * sqrt(252.0)", "parkinson": "sqrt(avg(ln(h / l) ** 2) / (4 * ln(2)) * 252)", "garman_klass": "sqrt(greatest(avg(0.5 * ln(h / l) ** 2 - (2 * ln(2) - 1) * ln(c / o) ** 2), 0) * 252)",
-    "rogers_satchell": "sqrt(greatest(avg(ln(h / o) * ln(h / c) + ln(l / o) * ln(l / c)), 0) * 252)",
-    "yang_zhang": "sqrt((var_samp(CASE WHEN pc IS NOT NULL THEN ln(o / pc) END) + k * var_samp(CASE WHEN pc IS NOT NULL THEN ln(c / o) END) + (1 - k) * avg(CASE WHEN pc IS NOT NULL THEN ln(h / o) * ln(h / c) + ln(l / o) * ln(l / c) END)) * 252)".replace("k", "(0.34 / (1.34 + count(pc) + 0.0) * 0 + 0.34 / (1.34 + (count(pc) + 1.0) / (count(pc) - 1.0)))"),
+    "close_to_close": "stddev_samp(ln(c / pc)) * sqrt(252.0)", "parkinson": f"sqrt(avg(CASE WHEN {_PAID} THEN ln(h / l) ** 2 ELSE 0 END) / (4 * ln(2)) * 252)", "garman_klass": f"sqrt(greatest(avg(CASE WHEN {_PAID} THEN 0.5 * ln(h / l) ** 2 - (2 * ln(2) - 1) * ln(c / o) ** 2 ELSE 0 END), 0) * 252)",
+    "rogers_satchell": f"sqrt(greatest(avg(CASE WHEN {_PAID} THEN {_RS} ELSE 0 END), 0) * 252)",
+    "yang_zhang": f"CASE WHEN count({_both('1')}) >= 2 THEN sqrt(greatest(var_samp({_both('ln(o / pc)')}) + {_K} * var_samp({_both('ln(c / o)')}) + (1 - {_K}) * avg({_both(_RS)}), 0) * 252) END",
 }
+_CLOSES = "stddev_samp(CASE WHEN c > 0 AND pc > 0 THEN ln(c / pc) WHEN pc IS NOT NULL THEN 0 END) * sqrt(252.0)"
 _SRC = """(SELECT series_id, open AS o, high AS h, low AS l, "close" AS c, lag("close") OVER (PARTITION BY series_id ORDER BY idx) AS pc FROM bars)"""
 
 for _k, _e in _VOL.items():
@@ -194,6 +199,6 @@ for _k, _e in _VOL.items():
         return I.volatilities(v.bars).select("series_id", k)
 
 
-@query("vol_estimator_comparison", "-- floats: volatility\nUNPIVOT (SELECT series_id, " + ", ".join(f"{e} AS {k}" for k, e in _VOL.items()) + f" FROM {_SRC} GROUP BY series_id) ON {', '.join(_VOL)} INTO NAME estimator VALUE volatility")
+@query("vol_estimator_comparison", "-- floats: volatility\nSELECT * FROM (SELECT series_id, " + ", ".join(f"{e} AS {k}" for k, e in (_VOL | {"close_to_close": _CLOSES}).items()) + f" FROM {_SRC} GROUP BY series_id) UNPIVOT INCLUDE NULLS (volatility FOR estimator IN ({', '.join(_VOL)}))")
 def _(v):
     return I.volatilities(v.bars).unpivot("series_id", list(_VOL), "estimator", "volatility")

@@ -114,3 +114,11 @@ def test_yang_zhang_leaves_out_what_has_no_price(spark):
     want = sqrt((variance(on) + k * variance(oc) + (1 - k) * sum(rs) / len(rs)) * 252)
     got = volatilities(spark.createDataFrame([("s", i, *b) for i, b in enumerate(bars)], "series_id string, idx long, open double, high double, low double, close double")).head()
     assert abs(got.yang_zhang - want) < 1e-9
+
+
+def test_a_share_of_exactly_nine_tenths_is_no_flag(spark, tmp_path):
+    early = [[0.01, 0.09, 0.02, 0.08, 0.03, 0.07], [0.1, 0.0], [0.09, 0.01] * 3, [0.05], [0.1] * 7]
+    late = [[0.04, 0.05], [0.01, 0.08, 0.06, 0.03], [0.09, 0.0, 0.03, 0.06], [0.02, 0.07], [0.09, 0.1, 0.08]]
+    rows = [(k + 1, d, f"1997-{m}-01") for k in range(5) for ds, m in ((early[k], "01"), (late[k], "11")) for d in ds] + [(6, 0.05, "1997-01-01"), (6, 0.04, "1997-11-01")]
+    mine, theirs = both(spark, "walkforward_overfit_flags", tmp_path, **items(*rows))
+    assert mine == theirs and [r[0] for r in mine] == [(1, 6.0)]

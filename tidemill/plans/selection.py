@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, bands_sql, ratio
+from ..functions.common import bands, bands_sql, halves_up, ratio
 from ..operators import risk as R
 from ..operators import selection as S
 from ..operators import stats as ST
@@ -183,9 +183,10 @@ def _(v):
     return S.consistency(S.fold_summary(v.folds, "strategy_id")).select("strategy_id", "score", "verdict")
 
 
-@query("walkforward_overfit_flags", "-- floats: kept\nSELECT strategy_id, fold_id, oos_metric / is_metric AS kept FROM folds WHERE is_metric > 0 AND oos_metric / is_metric < 0.9")
+@query("walkforward_overfit_flags", f"-- floats: kept\nSELECT strategy_id, fold_id, {halves_up('oos_metric / is_metric')} AS kept FROM folds WHERE is_metric > 0 AND round(oos_metric / is_metric, 9) < 0.9")
 def _(v):
-    return v.folds.filter("is_metric > 0").withColumn("kept", F.col("oos_metric") / F.col("is_metric")).filter("kept < 0.9").select("strategy_id", "fold_id", "kept")
+    """The share kept to 9 digits, so that the order in which a mean is summed raises no flag."""
+    return v.folds.filter("is_metric > 0").withColumn("kept", F.col("oos_metric") / F.col("is_metric")).filter(F.round("kept", 9) < 0.9).select("strategy_id", "fold_id", F.round("kept", 10).alias("kept"))
 
 
 _NB = """(SELECT param, l.x AS left_value, r.x AS right_value, (r.y - l.y) / nullif(r.x - l.x, 0) AS slope, CASE WHEN 25 <= a.x THEN a.y WHEN 25 >= z.x THEN z.y ELSE coalesce(same, l.y + (25 - l.x) * (r.y - l.y) / nullif(r.x - l.x, 0)) END AS baseline FROM (SELECT *, CASE WHEN l0 IS NOT NULL AND r0 IS NOT NULL THEN l0 ELSE a END AS l, CASE WHEN l0 IS NOT NULL AND r0 IS NOT NULL THEN r0 ELSE z END AS r FROM (

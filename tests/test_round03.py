@@ -122,3 +122,11 @@ def test_a_share_of_exactly_nine_tenths_is_no_flag(spark, tmp_path):
     rows = [(k + 1, d, f"1997-{m}-01") for k in range(5) for ds, m in ((early[k], "01"), (late[k], "11")) for d in ds] + [(6, 0.05, "1997-01-01"), (6, 0.04, "1997-11-01")]
     mine, theirs = both(spark, "walkforward_overfit_flags", tmp_path, **items(*rows))
     assert mine == theirs and [r[0] for r in mine] == [(1, 6.0)]
+
+
+@pytest.mark.parametrize("name", ["lineage_register", "lineage_link_errors"])
+def test_new_nodes_beside_a_large_forest(spark, tmp_path, name):
+    """Ids past a million are there already; new ones must not meet them."""
+    keys = [*range(1, 10), *range(1_000_000, 1_000_012)]
+    mine, theirs = both(spark, name, tmp_path, part=f"SELECT k::BIGINT AS p_partkey, 'b' AS p_brand FROM (VALUES {', '.join(f'({k})' for k in keys)}) v(k)")
+    assert mine == theirs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.common import bands, ratio
+from ..functions.common import bands, ratio, with_total
 from ..operators import graph as G
 from ..operators import text as X
 from ..session import materialise
@@ -145,7 +145,12 @@ def _(v):
     return v.lineage.join(p, "parent_id", "left").select("node_id", "label", "parent_label")
 
 
-_NEW = 1_000_000
+# What is added to ids to make ones that are not there, whatever the size of the forest.
+_NEW = "(SELECT greatest(1000000, max(node_id) + 1) FROM lineage)"
+
+
+def _new():
+    return F.greatest(F.lit(1_000_000), F.col("top") + 1)
 
 
 @query("lineage_register", f"""SELECT node_id + {_NEW} AS seq, CASE WHEN node_id % 4 = 3 THEN node_id ELSE node_id + {_NEW} END AS node_id, parent_id, CASE WHEN node_id % 4 = 3 THEN 'exists' WHEN node_id % 4 = 2 OR node_id = 1 THEN 'missing_parent' END AS error
@@ -153,15 +158,16 @@ FROM (SELECT node_id, CASE node_id % 4 WHEN 0 THEN node_id WHEN 1 THEN node_id -
 def _(v):
     """Four kinds of new nodes in turn: below an old node, below one registered just before, below one registered later, and one that is there already."""
     k = F.col("node_id")
-    parent = F.when(k % 4 == 0, k).when(k % 4 == 1, k - 1 + _NEW).when(k % 4 == 2, k + 3 + _NEW)
-    return G.lineage_results(v.lineage, v.lineage.select((k + _NEW).alias("seq"), F.lit("register").alias("op"), F.when(k % 4 == 3, k).otherwise(k + _NEW).alias("node_id"), parent.alias("parent_id"))).drop("op")
+    parent = F.when(k % 4 == 0, k).when(k % 4 == 1, k - 1 + _new()).when(k % 4 == 2, k + 3 + _new())
+    nodes = with_total(v.lineage, top=F.max("node_id"))
+    return G.lineage_results(v.lineage, nodes.select((k + _new()).alias("seq"), F.lit("register").alias("op"), F.when(k % 4 == 3, k).otherwise(k + _new()).alias("node_id"), parent.alias("parent_id"))).drop("op")
 
 
-@query("lineage_link_errors", f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + 1000001 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
+@query("lineage_link_errors", f"SELECT node_id, parent_id, CASE WHEN node_id = parent_id THEN 'self' WHEN parent_id NOT IN (SELECT node_id FROM lineage) THEN 'missing_parent' ELSE 'cycle' END AS error FROM (SELECT node_id, CASE node_id % 3 WHEN 0 THEN node_id WHEN 1 THEN node_id * 2 ELSE node_id + {_NEW} + 1 END AS parent_id FROM lineage) p WHERE node_id = parent_id OR parent_id NOT IN (SELECT node_id FROM lineage) OR EXISTS (SELECT 1 FROM {_UP} u WHERE u.node_id = p.parent_id AND u.ancestor = p.node_id)")
 def _(v):
     """A proposed parent for every node: itself, its own child, or one that is not there."""
     k = F.col("node_id")
-    return G.link_errors(v.lineage, v.lineage.select(k, F.when(k % 3 == 0, k).when(k % 3 == 1, k * 2).otherwise(k + 1000001).alias("parent_id")))
+    return G.link_errors(v.lineage, with_total(v.lineage, top=F.max("node_id")).select(k, F.when(k % 3 == 0, k).when(k % 3 == 1, k * 2).otherwise(k + _new() + 1).alias("parent_id")))
 
 
 @query("lineage_link", """SELECT node_id, CASE WHEN node_id % 7 = 0 THEN NULL WHEN node_id % 2 = 0 AND node_id < last THEN node_id + 1 WHEN node_id % 2 = 1 AND (node_id - 1) % 7 = 0 AND node_id > 1 THEN node_id - 1 ELSE parent_id END AS parent_id, label

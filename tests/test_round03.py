@@ -130,3 +130,21 @@ def test_new_nodes_beside_a_large_forest(spark, tmp_path, name):
     keys = [*range(1, 10), *range(1_000_000, 1_000_012)]
     mine, theirs = both(spark, name, tmp_path, part=f"SELECT k::BIGINT AS p_partkey, 'b' AS p_brand FROM (VALUES {', '.join(f'({k})' for k in keys)}) v(k)")
     assert mine == theirs
+
+
+def test_rounds_of_kmeans_read_stored_points(spark, tmp_path):
+    """A counter in the points' plan tells how often a row is made."""
+    from pyspark.sql import functions as F
+
+    from tidemill.operators.selection import kmeans
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    points = spark.range(9).select("id", F.array((F.col("id") * F.col("id")).cast("double")).alias("z")).mapInPandas(counted, "id long, z array<double>")
+    assert len({r.cluster for r in kmeans(points, 3, 50, "id").collect()}) == 3
+    assert made.value == 9

@@ -369,7 +369,8 @@ def distance(a: Column, b: Column) -> Column:
 
 
 def kmeans(points: DataFrame, k: int, rounds: int, key: str) -> DataFrame:
-    """Lloyd's rounds from the k rows with the smallest keys; k centres travel with the plan. Adds cluster."""
+    """Lloyd's rounds from the k rows with the smallest keys; k centres travel with the plan. Adds cluster. The points are stored, as each round reads them."""
+    points = materialise(points, "points")
     centres = [r["z"] for r in points.orderBy(key).limit(k).collect()]  # k rows
     dims = len(centres[0]) if centres else 0
     assigned = points.withColumn("cluster", F.lit(0))

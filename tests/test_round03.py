@@ -148,3 +148,29 @@ def test_rounds_of_kmeans_read_stored_points(spark, tmp_path):
     points = spark.range(9).select("id", F.array((F.col("id") * F.col("id")).cast("double")).alias("z")).mapInPandas(counted, "id long, z array<double>")
     assert len({r.cluster for r in kmeans(points, 3, 50, "id").collect()}) == 3
     assert made.value == 9
+
+
+def test_ancestors_of_trees_cycles_and_many_parents(spark):
+    """Against plain walks: a chain, a bush, a cycle with a tail, and then a node of two parents."""
+    from tidemill.operators.graph import ancestors
+
+    one = [(k, k - 1) for k in range(1, 20)] + [(100 + k, 100 + k // 2) for k in range(1, 30)] + [(200, 202), (201, 200), (202, 201), (203, 200), (300, None)]
+    for edges in (one, [*one, (19, 105)]):
+        want = {}
+        for node in {n for n, _ in edges}:
+            level, far = {node}, 0
+            while level := {p for n, p in edges if n in level and p is not None and p != node and (node, p) not in want}:
+                far += 1
+                want |= {(node, p): far for p in level}
+        got = ancestors(spark.createDataFrame(edges, "node_id long, parent_id long"))
+        assert dict(got.dtypes)["distance"] == "int"
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(want) and {(n, a): d for n, a, d in rows} == want
+
+
+def test_forests_are_not_broadcast(spark):
+    from tidemill.operators import graph as G
+
+    edges = spark.createDataFrame([(k, k // 2) for k in range(2, 60)], "node_id long, parent_id long")
+    for df in (G.intervals(edges), G.descends(edges, edges, "node_id", "parent_id")):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()

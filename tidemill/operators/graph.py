@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,11 +14,30 @@ from .scan import running
 MOST_TAGS = 50
 
 
+def _beside(a: DataFrame, b: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two tables of a row a node, by sorted parts: their files are small beside their rows, so a planner would send them through the driver."""
+    return a.join(b.hint("merge"), on, how)
+
+
 def ancestors(edges: DataFrame) -> DataFrame:
-    """(node_id, ancestor, distance) of every node, by pointer doubling: each round joins paths of length up to 2^k to themselves.
+    """(node_id, ancestor, distance) of every node, at any depth; on a cycle each node comes once, at its least distance.
 
-    Stops when no path is new, at any depth; on a cycle each node comes once, at its least distance.
+    Paths of a forest are gathered by ``paths_up``, whose rounds write only what is new. Nodes on or below a cycle, or all nodes if one has several
+    parents, have paths that may meet, so these are found by ``_least_paths``.
     """
+    edges = edges.select("node_id", "parent_id")
+    if edges.groupBy("node_id").agg(F.count_distinct("parent_id").alias("n")).filter("n > 1").head(1):
+        return _least_paths(edges)
+    state, tables = jumps(edges)
+    found = _paths_up(state, tables, state.filter("root is not null").select("node_id")).withColumn("distance", F.col("distance").cast("int"))
+    loose = state.filter("root is null").select("node_id")
+    if not loose.head(1):
+        return found
+    return found.union(_least_paths(_beside(edges, loose, "node_id", "left_semi")))
+
+
+def _least_paths(edges: DataFrame) -> DataFrame:
+    """(node_id, ancestor, distance) of any graph, by pointer doubling: each round joins paths of length up to 2^k to themselves. Stops when no path is new."""
     paths = materialise(edges.filter("parent_id is not null").select("node_id", F.col("parent_id").alias("ancestor"), F.lit(1).alias("distance")), "paths")
     while True:
         on = paths.select(F.col("node_id").alias("ancestor"), F.col("ancestor").alias("far"), F.col("distance").alias("more"))
@@ -35,7 +56,8 @@ def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     depth. Of several edges of a node that with the smallest parent counts. A parent that has no row is a root. Nodes on a cycle, or below one, have no root, depth, descendants or height: all null.
     """
     known = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id"))
-    roots = known.select(F.col("parent_id").alias("node_id")).filter("node_id is not null").distinct().join(known, "node_id", "left_anti")
+    roots = known.select(F.col("parent_id").alias("node_id")).filter("node_id is not null").distinct()
+    roots = _beside(roots, known, "node_id", "left_anti")
     every = known.unionByName(roots.withColumn("parent_id", F.lit(None).cast(known.schema["parent_id"].dataType)))
     zero = F.lit(0).cast("long")
     state = materialise(every.select("node_id", F.col("parent_id").alias("up"), F.col("node_id").alias("root"), zero.alias("depth"), zero.alias("descendants"), zero.alias("height")), "jumps")
@@ -44,7 +66,7 @@ def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         tables.append(state.filter("up is not null").select("node_id", "up"))
         above = state.select(F.col("node_id").alias("up"), F.col("up").alias("far"), F.col("root").alias("top"), F.col("depth").alias("more"))
         below = state.filter("up is not null").groupBy(F.col("up").alias("node_id")).agg(F.sum(F.col("descendants") + 1).alias("under"), (F.max("height") + step).alias("down"))
-        new = state.join(above, "up", "left").join(below, "node_id", "left")
+        new = _beside(_beside(state, above, "up", "left"), below, "node_id", "left")
         on = F.col("up").isNotNull()
         state = materialise(
             new.select(
@@ -55,7 +77,7 @@ def jumps(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         step *= 2
     done = F.col("up").isNull()
     out = state.select("node_id", *(F.when(done, F.col(c)).alias(c) for c in ("root", "depth", "descendants", "height")))
-    return out.join(known.select("node_id").distinct(), "node_id", "left_semi"), tables
+    return _beside(out, known.select("node_id").distinct(), "node_id", "left_semi"), tables
 
 
 def tree(edges: DataFrame) -> DataFrame:
@@ -71,16 +93,16 @@ def intervals(edges: DataFrame) -> DataFrame:
     """
     known = edges.groupBy("node_id").agg(F.min("parent_id").alias("parent_id"))
     sizes = materialise(jumps(edges)[0].select("node_id", "root", "descendants"), "tree")
-    step = known.join(sizes, "node_id").filter("parent_id is not null").withColumn("_h", F.xxhash64("node_id"))
+    step = _beside(known, sizes, "node_id").filter("parent_id is not null").withColumn("_h", F.xxhash64("node_id"))
     step = running(step, ["parent_id"], "_h", _before=("sum_before", F.col("descendants") + 1)).select("node_id", F.col("parent_id").alias("up"), (1 + F.coalesce("_before", F.lit(0))).alias("enter"))
     # a parent without a row of its own is a root: nothing lies before its first child but itself
-    state = materialise(sizes.select("node_id").join(step, "node_id", "left").select("node_id", "up", F.coalesce("enter", F.lit(0)).cast("long").alias("enter")), "enter")
+    state = materialise(_beside(sizes.select("node_id"), step, "node_id", "left").select("node_id", "up", F.coalesce("enter", F.lit(0)).cast("long").alias("enter")), "enter")
     reach, nodes = 1, state.count()
     while reach <= 2 * nodes and state.filter("up is not null").head(1):
         above = state.select(F.col("node_id").alias("up"), F.col("up").alias("_u"), F.col("enter").alias("_e"))
-        state = materialise(state.join(above, "up", "left").select("node_id", F.col("_u").alias("up"), (F.col("enter") + F.coalesce("_e", F.lit(0))).alias("enter")), "enter")
+        state = materialise(_beside(state, above, "up", "left").select("node_id", F.col("_u").alias("up"), (F.col("enter") + F.coalesce("_e", F.lit(0))).alias("enter")), "enter")
         reach *= 2
-    out = sizes.join(state, "node_id")
+    out = _beside(sizes, state, "node_id")
     whole = F.col("root").isNotNull()
     return out.select("node_id", "root", F.when(whole, F.col("enter")).alias("enter"), F.when(whole, F.col("enter") + F.col("descendants")).alias("leave"))
 
@@ -89,22 +111,30 @@ def descends(pairs: DataFrame, edges: DataFrame, low: str, high: str) -> DataFra
     """The (low, high) pairs of ``pairs`` in which ``low`` descends from ``high``, by their intervals. A parent that has no row is above all under it."""
     index = materialise(intervals(edges), "intervals").filter("root is not null")
     at = lambda c: index.select(F.col("node_id").alias(c), F.col("root").alias(f"_{c}_root"), F.col("enter").alias(f"_{c}"), F.col("leave").alias(f"_{c}_end"))
-    p = pairs.select(low, high).distinct().join(at(low), low).join(at(high), high, "left")
+    p = _beside(_beside(pairs.select(low, high).distinct(), at(low), low), at(high), high, "left")
     inside = (F.col(f"_{low}_root") == F.col(f"_{high}_root")) & (F.col(f"_{low}") > F.col(f"_{high}")) & (F.col(f"_{low}") <= F.col(f"_{high}_end"))
     return p.filter(inside | (F.col(f"_{high}_root").isNull() & (F.col(f"_{low}_root") == F.col(high)))).select(low, high)
 
 
 def paths_up(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node_id, ancestor, distance) of the asked ``nodes`` (node_id) alone: rows are their depths, not all of a forest's.
+    """(node_id, ancestor, distance) of the asked ``nodes`` (node_id) alone: rows are their depths, not all of a forest's. Nodes on or below a cycle have no path."""
+    return _paths_up(*jumps(edges), nodes)
+
 
-    With the ancestors at 1, 2, 4, ... steps each round adds, to all that is found, what lies that many steps above it, the largest step first. Nodes on or below a cycle have no path.
+def _paths_up(state: DataFrame, tables: list[DataFrame], nodes: DataFrame) -> DataFrame:
+    """With the ancestors at 1, 2, 4, ... steps each round adds, to all that is found, what lies that many steps above it, the smallest step first.
+
+    Only what has an ancestor that far up is sent, and at each step that is at least as many different nodes as steps, so no node
+    near a root is a key of all below it. A round writes its new rows alone.
     """
-    state, tables = jumps(edges)
-    found = nodes.select("node_id").distinct().join(state.filter("root is not null").select("node_id"), "node_id").select("node_id", F.col("node_id").alias("ancestor"), F.lit(0).cast("long").alias("distance"))
-    for k in range(len(tables) - 1, -1, -1):
-        up = tables[k].select(F.col("node_id").alias("ancestor"), F.col("up").alias("_up"))
-        found = materialise(found.union(found.join(up, "ancestor").select("node_id", F.col("_up").alias("ancestor"), F.col("distance") + (1 << k))), "paths-up")
-    return found.filter("distance > 0")
+    known = state.filter("root is not null").select("node_id", "depth")
+    start = _beside(nodes.select("node_id").distinct(), known, "node_id")
+    parts = [materialise(start.select("node_id", F.col("node_id").alias("ancestor"), F.lit(0).cast("long").alias("distance"), F.col("depth").alias("above")), "paths-up")]
+    for k, table in enumerate(tables):
+        up = table.select(F.col("node_id").alias("ancestor"), F.col("up").alias("_up"))
+        able = reduce(DataFrame.union, parts).filter(F.col("above") >= (1 << k))
+        parts.append(materialise(_beside(able, up, "ancestor").select("node_id", F.col("_up").alias("ancestor"), F.col("distance") + (1 << k), F.col("above") - (1 << k)).toDF(*able.columns), "paths-up"))
+    return reduce(DataFrame.union, parts).filter("distance > 0").drop("above")
 
 
 def components(links: DataFrame) -> DataFrame:

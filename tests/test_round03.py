@@ -174,3 +174,30 @@ def test_forests_are_not_broadcast(spark):
     edges = spark.createDataFrame([(k, k // 2) for k in range(2, 60)], "node_id long, parent_id long")
     for df in (G.intervals(edges), G.descends(edges, edges, "node_id", "parent_id")):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_owners_by_lots_against_a_plain_loop(spark, monkeypatch):
+    """Random curves of several lengths, equal signatures, several tag sets; lots so small that rounds go on."""
+    import numpy as np
+
+    from tidemill.operators import graph as G
+
+    rng, rows = np.random.default_rng(5), []
+    for k in range(60):
+        n = int(rng.choice([2, 5, 16, 16, 16]))
+        rows.append((k, [["a", "b", "c", "d"], ["a", "b", "c", "d", "e"], ["x", "y"]][k % 3], f"s{k if k % 10 else 0}", [float(x) for x in np.cumsum(rng.normal(size=n)).round(4)]))
+
+    def like(p, q):
+        if p[2] == q[2]:
+            return 1.0
+        n = min(len(p[3]), len(q[3]))
+        c = np.corrcoef(p[3][:n], q[3][:n])[0, 1] if n >= 3 else 0.0
+        return round(0.6 * len({*p[1]} & {*q[1]}) / len({*p[1]} | {*q[1]}) + 0.4 * max(c, 0.0), 4)
+
+    want = {}
+    for r in rows:
+        want[r[0]] = next((o[0] for o in rows[: r[0]] if want[o[0]] == o[0] and like(o, r) >= 0.85), r[0])
+    monkeypatch.setattr(G, "LOT", 20)
+    got = G.greedy_duplicates(spark.createDataFrame(rows, "strategy_id long, tags array<string>, signature string, curve array<double>"))
+    assert {r.strategy_id: r.owner for r in got.collect()} == want
+    assert 1 < len(set(want.values())) < 60

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -358,37 +359,67 @@ def similarity(tags_a: Column, tags_b: Column, correlation: Column) -> Column:
 SIMILARITY = [(">=", 0.95, "near_identical"), (">=", 0.85, "very_similar"), (">=", 0.70, "similar")]
 
 
+#: Classes that settle their owners at once, and rows that are held against them.
+LOT = 1000
+
+
+def _similar(rows: pd.DataFrame, heads: pd.DataFrame, threshold: float) -> np.ndarray:
+    """Whether each of ``rows`` (signature, tags, curve) is similar to each of ``heads``, as a matrix."""
+
+    def coded(tags: pd.Series) -> tuple[np.ndarray, list[frozenset]]:
+        number: dict[frozenset, int] = {}
+        return np.array([number.setdefault(frozenset(t), len(number)) for t in tags], int), list(number)
+
+    (at, sets), (head_at, head_sets) = coded(rows["tags"]), coded(heads["tags"])
+    alike = np.array([[len(x & y) / max(len(x | y), 1) for y in head_sets] for x in sets])[at][:, head_at]
+    cor = np.zeros(alike.shape)
+    sizes, head_sizes = (np.array([len(x) for x in f["curve"]], int) for f in (rows, heads))
+    for a in np.unique(sizes):
+        for b in np.unique(head_sizes):
+            n, mine, theirs = min(a, b), np.flatnonzero(sizes == a), np.flatnonzero(head_sizes == b)
+            if n < 3:
+                continue
+            x, y = (np.array([np.asarray(f["curve"].iloc[i], float)[:n] for i in where]) for f, where in ((rows, mine), (heads, theirs)))
+            x, y = x - x.mean(axis=1, keepdims=True), y - y.mean(axis=1, keepdims=True)
+            size = np.sqrt(np.outer((x * x).sum(axis=1), (y * y).sum(axis=1)))
+            cor[np.ix_(mine, theirs)] = np.divide(x @ y.T, size, out=np.zeros(size.shape), where=size > 0)
+    near = np.floor((0.6 * alike + 0.4 * np.maximum(np.nan_to_num(cor), 0)) * 10_000 + 0.5) / 10_000 >= threshold - 1e-9
+    return near | (rows["signature"].to_numpy()[:, None] == heads["signature"].to_numpy()[None, :])
+
+
 def greedy_duplicates(fp: DataFrame, threshold: float = 0.85, key: str = "strategy_id") -> DataFrame:
     """(key, owner): groups in order of the key; a row belongs to the least owner that is similar enough, and owns itself if there is none.
 
     Similarity is 1 on an equal signature, else 0.6 tag Jaccard + 0.4 curve correlation (0 at least), to 4 digits.
-    Equal fingerprints are one class. Classes meet by pairs of tag sets (few, as tags are coarse) whose Jaccard can
-    reach the threshold, and by signature; within such a pair of tag sets all classes are compared.
+    Equal fingerprints are one class. In each round the first LOT open classes in order settle which of them are owners, and every
+    open class takes the least of these that it is similar to, as a product of matrices; the rest stays open. So work is classes by owners, not pairs,
+    and only a lot is ever held beside a batch of rows.
     """
     same = ["signature", "tags", "curve"]
     c = materialise(fp.groupBy(*same).agg(F.min(key).alias("id")), "classes")
-    a, b = (c.select(*(F.col(n).alias(f"{n}_{x}") for n in (*same, "id"))) for x in "ab")
-    sets = c.select("tags").distinct()
-    ta, tb = F.col("tags_a"), F.col("tags_b")
-    able = sets.select(F.col("tags").alias("tags_a")).crossJoin(sets.select(F.col("tags").alias("tags_b"))).filter(similarity(ta, tb, F.lit(1.0)) >= threshold)
-    near = a.join(able, "tags_a").join(b, "tags_b").filter("id_a < id_b")
-    near = near.filter(similarity(ta, tb, curve_correlation(F.col("curve_a"), F.col("curve_b"))) >= threshold)
-    equal = a.join(b, F.col("signature_a") == F.col("signature_b")).filter("id_a < id_b")
-    pairs = materialise(near.select("id_a", "id_b").union(equal.select("id_a", "id_b")).distinct(), "pairs")
-    # An owner has no owner before it; each round settles the least open row of every component at least.
-    owners, todo = [], pairs
-    open_rows = c.select("id")
-    while open_rows.head() is not None:
-        first = materialise(open_rows.join(todo.select(F.col("id_b").alias("id")), "id", "left_anti"), "owners")
-        taken = materialise(todo.join(first.select(F.col("id").alias("id_a")), "id_a", "left_semi").select(F.col("id_b").alias("id")).distinct(), "taken")
-        owners.append(first)
-        gone = first.union(taken)
-        open_rows = materialise(open_rows.join(gone, "id", "left_anti"), "open")
-        todo = materialise(todo.join(gone.select(F.col("id").alias("id_a")), "id_a", "left_anti").join(gone.select(F.col("id").alias("id_b")), "id_b", "left_anti"), "pairs")
-    heads = owners[0] if owners else c.select("id")
-    for more in owners[1:]:
-        heads = heads.union(more)
-    least = pairs.join(heads.select(F.col("id").alias("id_a")), "id_a", "left_semi").groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("owner"))
+    kind = dict(c.dtypes)["id"]
+    open_rows, settled = c.select("id", *same), []
+    while lot := open_rows.orderBy("id").limit(LOT).collect():  # at most LOT rows
+        lot = pd.DataFrame([r.asDict() for r in lot])
+        is_head = np.zeros(len(lot), bool)
+        near = _similar(lot, lot, threshold)
+        for n in range(len(lot)):
+            is_head[n] = not (near[n, :n] & is_head[:n]).any()
+        heads = lot[is_head].reset_index(drop=True)
+
+        def owned(batches, heads=heads):
+            for rows in batches:
+                owner = np.full(len(rows), None, object)
+                for at in range(0, len(rows), LOT):
+                    near = _similar(rows.iloc[at : at + LOT], heads, threshold)
+                    hit = near.any(axis=1)
+                    owner[at : at + LOT][hit] = heads["id"].to_numpy()[near.argmax(axis=1)[hit]]
+                yield rows.assign(owner=owner)
+
+        done = materialise(open_rows.mapInPandas(owned, f"{open_rows.schema.simpleString()[7:-1]}, owner {kind}"), "owned")
+        settled.append(done.filter("owner is not null").select("id", "owner"))
+        open_rows = done.filter("owner is null").drop("owner")
+    least = reduce(DataFrame.union, settled) if settled else c.select("id", F.col("id").alias("owner"))
     named = c.join(least, "id", "left").select(*same, F.coalesce("owner", "id").alias("owner"))
     return fp.join(named, same).select(key, "owner")
 

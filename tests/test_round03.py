@@ -201,3 +201,26 @@ def test_owners_by_lots_against_a_plain_loop(spark, monkeypatch):
     got = G.greedy_duplicates(spark.createDataFrame(rows, "strategy_id long, tags array<string>, signature string, curve array<double>"))
     assert {r.strategy_id: r.owner for r in got.collect()} == want
     assert 1 < len(set(want.values())) < 60
+
+
+def test_blocks_of_reset_bars_are_small(spark, monkeypatch):
+    """A series longer than a block of reset bars is cut without being asked, whatever the size of other blocks; the bars are those of a plain loop."""
+    from pyspark.sql import functions as F
+
+    from tidemill.operators import bars as B
+    from tidemill.operators import scan
+
+    assert B.RESET_ROWS < scan.BLOCK_ROWS
+    monkeypatch.setattr(B, "RESET_ROWS", 50)
+    held = []
+    whole = B._reset_blocks
+    monkeypatch.setattr(B, "_reset_blocks", lambda series, *a: held.append(series) or whole(series, *a))
+    ticks = spark.range(400).select(F.lit("s").alias("series_id"), F.col("id").alias("seq"), F.col("id").alias("epoch"), F.lit(1.0).alias("price"), (F.col("id") * 7 % 10).cast("double").alias("volume"))
+    got = {(r.bar, r.n_ticks) for r in B.reset_bars(ticks, F.col("volume"), 30.0).collect()}
+    want, total, n, bar = set(), 0, 0, 0
+    for k in range(400):
+        total, n = total + k * 7 % 10, n + 1
+        if total >= 30:
+            want.add((bar, n))
+            total, n, bar = 0, 0, bar + 1
+    assert got == want and held and held[0].cut

@@ -262,3 +262,43 @@ def test_phrases_edges(spark, monkeypatch):
     docs = [(1, "en", "lorem ipsum dolor " * 400), (2, "en", "x" * 1000 + " lorem ipsum. Dolor\tsit amet " * 30), (3, "de", "eins zwei " * 50)]
     got = phrases.collocations(spark.createDataFrame(docs, schema), slots=16)
     assert rows_of(got, *PHRASE_COLUMNS) == plain_phrases([d[1:] for d in docs])
+
+
+def test_phrases_split_texts_once(spark, monkeypatch):
+    """Every scan reads numbered words, not texts; rows with numbers of two and of four bytes, and short rows, give the plain result."""
+    monkeypatch.setattr(phrases, "ROW_WORDS", 40)
+    monkeypatch.setattr(phrases, "NARROW", 8)
+    seen, scan = [], phrases.scan
+    monkeypatch.setattr(phrases, "scan", lambda shard, *a: seen.append(shard.columns) or scan(shard, *a))
+    rng = random.Random(3)
+    docs = [(k, rng.choice(["en", "a.b. c", None]), " ".join(rng.choices(["x", "y.", "É", "z"] if k % 2 else [f"w{i}" for i in range(12)], k=30))) for k in range(120)]
+    docs += [(200, "long", "p q r " * 50), (201, "void", ". ."), (202, "void", None)]
+    got = phrases.collocations(spark.createDataFrame(docs, "doc_id long, lang string, text string"))
+    assert rows_of(got, *PHRASE_COLUMNS) == plain_phrases([d[1:] for d in docs])
+    assert len(seen) > 2 and all("text" not in columns and "ids" in columns for columns in seen)
+
+
+def test_numbered_words_are_those_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "ROW_WORDS", 6)
+    monkeypatch.setattr(phrases, "NARROW", 5)
+    docs = [("en", "One two. two\tONE", 0), ("en", "", 0), ("de", "a b c d e f g a", 1), ("en", "three  two!", 1), ("en", " .. ", 0), ("en", "six six six six six six six", 0), ("en", "end", 0)]
+    rows = spark.createDataFrame(docs, "lang string, text string, shard int").coalesce(1).withColumn("text", F.col("text").cast("binary"))
+    got = defaultdict(list)
+    for r in phrases.numbered(rows).collect():
+        words = bytes(r.words).split(b" ") if r.words else []
+        ids = np.frombuffer(bytes(r.ids), "<u2" if len(words) < 5 else "<u4")
+        assert len(set(words)) == len(words)
+        got[r.lang, r.shard].append([words[i - 1].decode() if i else "." for i in ids.tolist()])
+    assert sum(got["en", 0], []) == ["one", "two", ".", "two", "one", ".", ".", ".", ".", ".", *["six"] * 7, ".", "end", "."]
+    assert got["en", 1] == [["three", "two", ".", "."]] and got["de", 1] == [[*"abcdefga", "."]]
+
+
+def test_word_hashes_are_those_of_spark(spark):
+    words = phrases.Words("fr")
+    known = ["a", "été", "straße", "x" * 40]
+    assert [words[w.encode()] for w in known] == [0, 1, 2, 3]
+    h = words.hashes()
+    table = [*(("fr", w, 1) for w in known), ("fr", "a été", 2), ("fr", "a été straße", 3)]
+    got = [r.h for r in spark.createDataFrame(table, "lang string, phrase string, length int").coalesce(1).select(phrases.hash_of(3).alias("h")).collect()]
+    pair = phrases.joined(h[:2], h[1:3])
+    assert np.array(got, np.int64).view(np.uint64).tolist() == [*h.tolist(), int(pair[0]), int(phrases.joined(pair[:1], pair[1:])[0])]

@@ -26,9 +26,9 @@ def materialise(df: DataFrame, name: str, partitionBy: str | None = None, **opti
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replaced(df: DataFrame, path: str) -> DataFrame:
+def replaced(df: DataFrame, path: str, **options: str) -> DataFrame:
     """``materialise`` to a path of the scratch folder whose earlier table is no longer read, and goes: for loops whose tables would pile up."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

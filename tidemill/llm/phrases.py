@@ -6,8 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import documents, join_checked, materialise, released_shuffles, replaced, scratch, small_batches
@@ -20,8 +21,8 @@ SHARDS = 2
 EXACT_ROWS, SLOTS = 1 << 22, 1 << 22
 #: Words that a task counts at once, and different words that it knows before it starts anew.
 CHUNK_WORDS, KNOWN_WORDS = 3_000_000, 1_000_000
-#: Bytes of a text that are split into words at once.
-PART = 1 << 20
+#: Bytes of a text that are split into words at once, and words from which on a row of numbered words is closed; one of more different words (a very long text) has wider numbers.
+PART, ROW_WORDS, NARROW = 1 << 20, 1 << 17, 1 << 16
 #: Broadcast bound for tables of phrases.
 PHRASE_ROWS = 500_000
 NEVER = 255
@@ -47,8 +48,8 @@ class Words(dict):
         return n
 
     def hashes(self) -> np.ndarray:
-        """A hash of (language, word) for each number; phrases combine them, so that every task gives a phrase the same."""
-        seed = xxhash.xxh64_intdigest(self.lang.encode())
+        """A hash of (language, word) for each number, as ``xxhash64(lang, word)`` gives it in Spark; phrases combine them, so that every task gives a phrase the same."""
+        seed = xxhash.xxh64_intdigest(self.lang.encode(), 42)
         return np.array([xxhash.xxh64_intdigest(w, seed) for w in list(self)[2:]], np.uint64)
 
 
@@ -120,21 +121,22 @@ def distinct(key: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray |
     return order[first], number, np.diff(np.r_[first, len(key)])
 
 
-Counted = tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Counted = tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps | SharedSteps], shards: int, longest: int) -> Iterator[Counted]:
-    """(phrases, their hashes, those of their two parts, occurrences, first steps) of all phrases in ``ids`` that may be active at ``step``; the empty phrase stands for all words."""
-    names, h = list(words)[2:], words.hashes()
+    """(numbers of the first, second, ... words of phrases, their occurrences, first steps, hashes of their two parts) of all phrases in ``ids`` that may be active at ``step``; the empty phrase stands for all words."""
+    size = len(words) - 2
     live = np.flatnonzero(ids >= 0)
     if step < shards:
-        n = np.bincount(ids[live], minlength=len(names))
+        n = np.bincount(ids[live], minlength=size)
         at = np.flatnonzero(n)
         zero = np.zeros(len(at) + 1, np.uint64)
-        yield [b""], zero[:1], zero[:1], zero[:1], np.array([len(live)]), zero[:1]
-        yield [names[i] for i in at.tolist()], h[at], zero[1:], zero[1:], n[at], zero[1:]
+        yield [], np.array([len(live)]), zero[:1], zero[:1], zero[:1]
+        yield [at], n[at], zero[1:], zero[1:], zero[1:]
     if 1 not in steps or not len(live):
         return
+    h = words.hashes()
     # of the phrase of the length before that begins at each place: its hash, a number, and the first and last step at which it may have become frequent
     first, last, hashes, code = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint8), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.int64)
     word_first, word_last = steps[1].of(h)
@@ -143,7 +145,7 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
         begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER))
         if not len(begin):
             return
-        key = code[begin] * len(names) + ids[begin + length - 1]
+        key = code[begin] * size + ids[begin + length - 1]
         onward = length in steps and length < longest
         early, late = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1, np.maximum(last[begin], last[begin + 1]).astype(np.int64) + 1
         if not onward:  # what is not counted now leads no further
@@ -153,14 +155,13 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
                 return
         at, number, n = distinct(key, onward)
         place, early, late = begin[at], early[at], late[at]  # from here on a row a phrase, not a place
-        whole = joined(hashes[place], hashes[place + 1])
         due = np.flatnonzero((early <= step) & (late > step - shards))
         if len(due):
             here = place[due]
-            phrases = list(map(b" ".join, zip(*([names[i] for i in ids[here + k].tolist()] for k in range(length)))))
-            yield phrases, whole[due], hashes[here], hashes[here + 1], n[due], early[due]
+            yield [ids[here + k] for k in range(length)], n[due], early[due], hashes[here], hashes[here + 1]
         if not onward:
             return
+        whole = joined(hashes[place], hashes[place + 1])
         found_first, found_last = steps[length].of(whole)
         on = np.flatnonzero(found_first[number] != NEVER)
         number, place = number[on], begin[on]
@@ -168,47 +169,103 @@ def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps
         first[place], last[place], hashes[place], code[place] = found_first[number], found_last[number], whole[number], number
 
 
-def scan(shard: DataFrame, step: int, steps, shards: int, longest: int) -> DataFrame:
-    """lang, phrase, h, head, tail, f, start: occurrences in one shard (lang, text as bytes), summed by chunks of a task.
+def numbered(docs: DataFrame) -> DataFrame:
+    """shard, lang, words, ids: the words of all texts of ``docs`` (lang, text as bytes, shard), so that texts are split once and not in every scan.
 
-    h is the phrase's hash, head and tail (null if ``steps`` are exact) are those of its two parts, start (null if they are not) is the step at which its count begins.
+    A row holds whole texts of one language and shard: its different words, joined by a space, and as unsigned numbers of two bytes (four, if it has
+    NARROW words) the place of each word among them from 1; 0 is a full stop.
     """
-    names = ["lang", "phrase", "h", "head", "tail", "f", "start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Words] = {}
-        held: dict[str, list[np.ndarray]] = {}
-        size, table = 0, steps.value
-        exact = all(t.exact for t in table.values())
+        held: dict[tuple[int, str], tuple[Words, list[np.ndarray]]] = {}
+        sizes: dict[tuple[int, str], int] = {}
 
-        def counted() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                for phrases, *numbers in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
-                    for k in range(0, len(phrases), 50_000):
-                        here = phrases[k : k + 50_000]
-                        h, head, tail, n, start = (pa.array(x[k : k + 50_000].view(np.int64)) for x in numbers)
-                        if exact:
-                            head = tail = pa.nulls(len(here), pa.int64())
-                        elif b" " in here[0]:
-                            start = pa.nulls(len(here), pa.int64())
-                        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(here)), pa.array(here, pa.binary()), h, head, tail, n, start], names=names)
+        def row(key: tuple[int, str]) -> pa.RecordBatch:
+            (words, parts), (shard, lang) = held.pop(key), key
+            sizes.pop(key, None)
+            names = list(words)[2:]
+            ids = np.maximum(np.concatenate(parts) + 1, 0).astype("<u2" if len(names) < NARROW else "<u4")
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([b" ".join(names)], pa.binary()), pa.array([ids.tobytes()], pa.binary())], names=["shard", "lang", "words", "ids"])
 
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-                known, raw, start = words.setdefault(lang, Words(lang)), text.as_py(), 0
+            for lang, text, shard in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                key, raw, start = (shard, lang), text.as_py(), 0
+                known, parts = held.setdefault(key, (Words(lang), []))
                 for end in range(PART, len(raw) + PART, PART):  # a very long text goes in parts, cut before a space
                     cut = len(raw) if end >= len(raw) else max(raw.rfind(b" ", start, end), start)
                     tokens = words_of(raw[start:cut])
                     ids = np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens))
-                    held.setdefault(lang, []).append(ids[ids != -1])
-                    size, start = size + len(ids), cut
-                held.setdefault(lang, []).append(np.array([-2], np.int32))
-            if size > CHUNK_WORDS or sum(map(len, words.values())) > KNOWN_WORDS:
-                yield from counted()
-                words, held, size = {}, {}, 0
+                    parts.append(ids[ids != -1])
+                    sizes[key], start = sizes.get(key, 0) + len(ids), cut
+                parts.append(np.array([-2], np.int32))
+                if sizes.get(key, 0) >= ROW_WORDS:
+                    yield row(key)
+            if sum(sizes.values()) > CHUNK_WORDS or sum(len(known) for known, _ in held.values()) > KNOWN_WORDS:  # of very many languages
+                for key in list(held):
+                    yield row(key)
+        for key in list(held):
+            yield row(key)
+
+    return docs.select("lang", "text", "shard").mapInArrow(run, "shard int, lang string, words binary, ids binary")
+
+
+def scan(shard: DataFrame, step: int, steps, exact: bool, shards: int, longest: int) -> DataFrame:
+    """key, f, mark, and head and tail if ``steps`` are not ``exact``: occurrences in one shard of ``numbered``, summed by chunks of a task.
+
+    key is the phrase, a full stop (which no phrase holds) and the language. mark is the step at which the phrase's count begins; where ``steps`` are not exact,
+    that is open (null) for phrases of two words or more, and head and tail are the hashes of its two parts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, Words] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        size, different, table = 0, 0, steps.value
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                names, after = pa.array(list(words[lang])[2:], pa.binary()), pa.scalar(b"." + lang.encode(), pa.binary())
+                final = pc.binary_join_element_wise(names, after, b"")
+                for places, n, start, head, tail in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
+                    for k in range(0, len(n), 50_000):
+                        here = [pa.array(x[k : k + 50_000]) for x in places]
+                        texts = [names.take(x) for x in here[:-1]] + [final.take(x) for x in here[-1:]]
+                        phrases = pc.binary_join_element_wise(*texts, b" ") if texts else pa.array([after.as_py()], pa.binary())
+                        columns = [phrases, pa.array(n[k : k + 50_000]), pa.array(start[k : k + 50_000].astype(np.int32))]
+                        if not exact:
+                            columns[2] = columns[2] if len(texts) < 2 else pa.nulls(len(phrases), pa.int32())
+                            columns += [pa.array(x[k : k + 50_000].view(np.int64)) for x in (head, tail)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "mark", "head", "tail"][: len(columns)])
+
+        for b in batches:
+            for lang, own, ids in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                known = words.setdefault(lang, Words(lang))
+                own, before = own.as_py().split(b" ") if len(own.as_buffer()) else [], len(known)
+                place = np.array([-2, *map(known.__getitem__, own)], np.int32)
+                ids = place[np.frombuffer(ids.as_buffer(), "<u2" if len(own) < NARROW else "<u4")]
+                held.setdefault(lang, []).append(ids)
+                size, different = size + len(ids), different + len(known) - before
+                if size > CHUNK_WORDS or different > KNOWN_WORDS:
+                    yield from counted()
+                    words, held, size, different = {}, {}, 0, 0
         yield from counted()
 
-    return shard.mapInArrow(run, "lang string, phrase binary, h long, head long, tail long, f long, start long").withColumn("phrase", F.col("phrase").cast("string"))
+    return shard.select("lang", "words", "ids").mapInArrow(run, "key binary, f long, mark int" + ("" if exact else ", head long, tail long"))
+
+
+def spelled(key: str = "key") -> tuple[Column, Column]:
+    """The phrase and the language of a key of ``scan``, by bytes."""
+    phrase = F.substring_index(F.col(key).cast("string"), ".", 1)
+    return phrase, F.substring(F.col(key), F.octet_length(phrase) + 2, F.octet_length(key)).cast("string")
+
+
+def hash_of(longest: int) -> Column:
+    """The hash that scans give the phrase (lang, phrase, length) of up to ``longest`` words."""
+    words = F.split("phrase", " ", -1)
+    row = [F.xxhash64("lang", F.get(words, F.lit(i))) for i in range(longest)]
+    found = F.lit(None).cast("long")
+    for length in range(1, longest + 1):
+        found = F.when(F.col("length") == length, row[0]).otherwise(found)
+        row = [F.xxhash64(a, b) for a, b in zip(row, row[1:])]
+    return found
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
@@ -225,29 +282,32 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     small_batches(spark)
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(lang.alias("lang"), text.cast("binary").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string"), text), F.lit(shards)).cast("int").alias("shard"))
-    rows = materialise(rows, "phrase-shards", compression="zstd", partitionBy="shard")
+    rows = materialise(numbered(rows), "phrase-shards", compression="zstd", partitionBy="shard")
     here = scratch(spark, "phrases")  # two tables of states take turns, so that the disk holds no more
     none, octets = F.lit(None).cast("long"), F.octet_length("phrase")
     length = F.when(octets == 0, 0).otherwise(octets - F.octet_length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1).cast("int")
-    active = spark.createDataFrame([], "lang string, phrase string, length int, h long, f long, start int, reach int")
+    phrase, lang = spelled()
+    active = spark.createDataFrame([], "key binary, length int, f long, start int, reach int")
     done, step = active, 0
     reached: dict[int, tuple[int, int]] = {}  # by length: the last step at which a phrase became frequent, and how many are
     with released_shuffles(spark):
         while step < shards or step <= max((last for n, (last, _) in reached.items() if 0 < n < longest), default=-1) + shards:
             frequent = active.filter("reach is not null").union(done).filter(F.col("length").between(1, longest - 1))
+            frequent = frequent.select(lang.alias("lang"), phrase.alias("phrase"), "length", "reach").withColumn("h", hash_of(longest - 1))
             steps, exact = _steps(spark, frequent, sum(n for k, (_, n) in reached.items() if 0 < k < longest), slots)
-            found = scan(rows.filter(F.col("shard") == step % shards).select("lang", "text"), step, steps, shards, longest)
+            found = scan(rows.filter(F.col("shard") == step % shards), step, steps, exact, shards, longest)
             mark = F.col("start") + 1000 * (F.coalesce("reach", F.lit(-1)) + 1)  # of an active phrase, in one number
-            held = active.select("lang", "phrase", "h", none.alias("head"), none.alias("tail"), "f", mark.alias("mark")).union(found.select("lang", "phrase", "h", "head", "tail", "f", F.col("start").cast("int")))
-            held = held.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.max("head").alias("head"), F.max("tail").alias("tail"), F.sum("f").alias("f"), F.max("mark").alias("mark"))
-            held = held.withColumn("length", length)
+            parts = () if exact else ("head", "tail")
+            held = active.select("key", "f", mark.alias("mark"), *(none.alias(c) for c in parts)).union(found)
+            held = held.repartition("key").groupBy("key").agg(F.sum("f").alias("f"), F.max("mark").alias("mark"), *(F.max(c).alias(c) for c in parts))
+            held = held.withColumns({"phrase": phrase, "lang": lang}).withColumn("length", length)
             seeks = F.col("mark").isNull() & (F.col("length") > 1)
-            for at, r in (("head", "r1"), ("tail", "r2")) if not exact else ():
+            for at, r in zip(parts, ("r1", "r2")):
                 part = frequent.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), (F.col("length") + 1).alias("_length"), F.col("h").alias("_h"), F.col("reach").alias(r))
                 # the hash brings a phrase and its part together, the words decide; what seeks no part has a key that spreads and meets none
                 same = F.startswith("phrase", F.concat("_phrase", F.lit(" "))) if at == "head" else F.endswith("phrase", F.concat(F.lit(" "), F.col("_phrase")))
-                key = F.when(seeks, F.col(at)).otherwise(F.xxhash64("phrase"))
-                held = held.withColumn("_key", key).join(part, (F.col("_key") == F.col("_h")) & seeks & (F.col("length") == F.col("_length")) & (F.col("lang") == F.col("_lang")) & same, "left").drop("_key", "_lang", "_phrase", "_length", "_h")
+                by = F.when(seeks, F.col(at)).otherwise(F.xxhash64("phrase"))
+                held = held.withColumn("_by", by).join(part, (F.col("_by") == F.col("_h")) & seeks & (F.col("length") == F.col("_length")) & (F.col("lang") == F.col("_lang")) & same, "left").drop("_by", "_lang", "_phrase", "_length", "_h")
             start = F.col("mark") % 1000
             if not exact:
                 begun = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.greatest("r1", "r2") + 1)
@@ -255,16 +315,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
             before = F.when(F.col("mark") >= 1000, F.floor(F.col("mark") / 1000) - 1)
             reach = F.coalesce(before, F.when(F.col("f") >= least, F.lit(step))).cast("int")
             now = held.withColumns({"start": start.cast("int"), "reach": reach}).filter("start is not null")
-            h = F.when(F.col("reach").isNotNull(), F.col("h"))
             complete = F.col("start") <= step + 1 - shards
-            now = now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)).select("lang", "phrase", "length", h.alias("h"), "f", "start", "reach")
-            state = replaced(now, f"{here}/state-{step % 2}")
+            now = now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)).select("key", "length", "f", "start", "reach")
+            state = replaced(now, f"{here}/state-{step % 2}", compression="zstd")
             active = state.filter(~complete)
-            done = done.union(materialise(state.filter(complete), "phrases-done"))
+            done = done.union(materialise(state.filter(complete), "phrases-done", compression="zstd"))
             grown = active.filter("reach is not null").union(done).groupBy("length").agg(F.max("reach").alias("last"), F.count("reach").alias("n"))
             reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect() if r["last"] is not None}  # ``longest`` rows
             step += 1
-    return done.filter(F.col("length") > 0).select("lang", "length", "phrase", "f"), done.filter("length = 0").select("lang", F.col("f").alias("n"))
+    return done.filter(F.col("length") > 0).select(lang.alias("lang"), "length", phrase.alias("phrase"), "f"), done.filter("length = 0").select(lang.alias("lang"), F.col("f").alias("n"))
 
 
 def _steps(spark: SparkSession, frequent: DataFrame, n: int, slots: int):

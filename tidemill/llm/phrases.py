@@ -17,15 +17,20 @@ from ._common import documents, join_checked, materialise, released_shuffles, re
 LEAST, LONGEST, ABSORB, TOP = 10, 3, 50, 2000
 #: Shards of a cycle; the scan stops after each to activate phrases.
 SHARDS = 2
-#: Frequent words and phrases whose hashes and steps go to the scanning tasks (nine bytes each); beyond, a table of so many slots (a power of two) goes.
-EXACT_ROWS, SLOTS = 1 << 22, 1 << 22
+#: Frequent words and phrases whose hashes and steps go to the scanning tasks (nine bytes each); of more, Bloom filters go, with BITS bits and PROBES probes a phrase, of SLOTS bytes in all at most.
+EXACT_ROWS, SLOTS, BITS, PROBES = 1 << 22, 1 << 26, 12, 4
 #: Words that a task counts at once, and different words that it knows before it starts anew.
 CHUNK_WORDS, KNOWN_WORDS = 3_000_000, 1_000_000
 #: Bytes of a text that are split into words at once, and words from which on a row of numbered words is closed; one of more different words (a very long text) has wider numbers.
 PART, ROW_WORDS, NARROW = 1 << 20, 1 << 17, 1 << 16
+#: Bytes of text for which there is one more bucket of phrases, and of keys that are packed or sent at once.
+BUCKET_BYTES, PACK_BYTES = 1 << 24, 1 << 25
 #: Broadcast bound for tables of phrases.
 PHRASE_ROWS = 500_000
+#: No step.
 NEVER = 255
+#: Kinds of rows that a step leaves: packed phrases that are still counted, complete ones, hashes of those that became frequent.
+ACTIVE, DONE, FREQUENT = 0, 1, 2
 
 #: A-Z to a-z, tab to space, and everything that ends a piece to a full stop, which no word can hold.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 46 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
@@ -72,41 +77,94 @@ def joined(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
         return _hash_long(tail, _hash_long(head, np.uint64(42)))
 
 
-class Steps:
-    """For frequent phrases of one length, by their hashes: the step at which each became frequent, as first and last."""
+def hash_words(row: list[np.ndarray]) -> np.ndarray:
+    """Hash of the phrases whose words have the hashes ``row``, as ``hash_of`` gives it in Spark."""
+    while len(row) > 1:
+        row = [joined(a, b) for a, b in zip(row, row[1:])]
+    return row[0]
+
 
-    exact = True
+class Steps:
+    """For frequent phrases of one length, by their hashes: the step at which each became frequent; of two with one hash the first."""
 
     def __init__(self, hashes: np.ndarray, reach: np.ndarray):
-        order = np.argsort(hashes)
+        order = np.lexsort((reach, hashes))
         self.hashes, self.reach = hashes[order], reach[order].astype(np.uint8)
 
-    def clash(self) -> bool:
-        """Whether two phrases have one hash."""
-        return bool((self.hashes[1:] == self.hashes[:-1]).any())
-
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        found = np.where(self.hashes[at] == hashes, self.reach[at], NEVER).astype(np.uint8)
-        return found, found
+        return np.where(self.hashes[at] == hashes, self.reach[at], NEVER).astype(np.uint8)
 
 
-class SharedSteps:
-    """By slots of the hashes: the first and last step at which a phrase of the slot became frequent.
+def probes(hashes: np.ndarray, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+    """Places of each hash in a filter of ``bits`` bits."""
+    high, bits = hashes >> np.uint64(32), np.asarray(bits, np.uint64)
+    with np.errstate(over="ignore"):
+        by = ((hashes * _P1) >> np.uint64(32)) | np.uint64(1)
+    return ((high + np.uint64(k) * by) % bits for k in range(PROBES))
+
+
+def bloom(hashes: np.ndarray, bits: int) -> bytes:
+    held = np.zeros(bits, np.uint8)
+    for at in probes(hashes, bits):
+        held[at] = 1
+    return np.packbits(held, bitorder="little").tobytes()
 
-    Slots are shared, so a look-up can only widen what may be counted; the join after the scan is exact.
-    """
 
-    exact = False
+class FilteredSteps:
+    """``Steps`` by Bloom filters: one a step, in parts by the bucket of the hash.
 
-    def __init__(self, slots: np.ndarray, first: np.ndarray, last: np.ndarray, size: int):
-        self.mask = np.uint64(size - 1)
-        self.first, self.last = np.full(size, NEVER, np.uint8), np.zeros(size, np.uint8)
-        self.first[slots], self.last[slots] = first, last
+    The first filter that holds a hash gives its step. A phrase that is not frequent may be found too, and one that is may be found for an earlier step
+    than its own; filters of past steps do not change, so what is found once stays.
+    """
 
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = (hashes & self.mask).astype(np.int64)
-        return self.first[at], self.last[at]
+    def __init__(self, buckets: int, rows: list[tuple[int, int, bytes]]):
+        """rows: step, bucket and filter."""
+        self.buckets, self.filters = np.uint64(buckets), []
+        for reach in sorted({r for r, _, _ in rows}):
+            offset, bits, own, end = np.zeros(buckets, np.uint64), np.zeros(buckets, np.uint64), [], 0
+            for _, bucket, data in (x for x in rows if x[0] == reach):
+                offset[bucket], bits[bucket] = end, 8 * len(data)
+                own.append(data)
+                end += 8 * len(data)
+            self.filters.append((reach, offset, bits, np.frombuffer(b"".join(own), np.uint8)))
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        found, open_, bucket = np.full(len(hashes), NEVER, np.uint8), np.arange(len(hashes)), (hashes % self.buckets).astype(np.int64)
+        for reach, offset, bits, held in self.filters:
+            at = open_[bits[bucket[open_]] > 0]
+            h, b = hashes[at], bucket[at]
+            hit = np.arange(len(at))
+            places = probes(h, bits[b])
+            for place in places:
+                place = (place + offset[b])[hit]
+                hit = hit[(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+            found[at[hit]] = reach
+            open_ = open_[found[open_] == NEVER]
+        return found
+
+
+def packed(keys: pa.Array, f: np.ndarray, mark: np.ndarray) -> bytes:
+    """Rows of phrases in few bytes: by columns, by zstd. Sorted keys take least."""
+    raw = keys.buffers()
+    offsets = np.frombuffer(raw[1], np.int32)[keys.offset : keys.offset + len(keys) + 1]
+    parts = [f.astype("<i8").tobytes(), mark.astype("<i4").tobytes(), np.diff(offsets).astype("<i4").tobytes(), memoryview(raw[2])[offsets[0] : offsets[-1]] if raw[2] is not None else b""]
+    head = np.array([len(keys), sum(map(len, parts))], "<i8").tobytes()
+    return head + pa.Codec("zstd", 3).compress(b"".join(parts), asbytes=True)
+
+
+def unpacked(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    n, size = np.frombuffer(data, "<i8", 2).tolist()
+    raw = pa.Codec("zstd").decompress(memoryview(data)[16:], size)
+    f, mark, lengths = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<i4", n, 8 * n), np.frombuffer(raw, "<i4", n, 12 * n)
+    offsets = np.zeros(n + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), raw.slice(16 * n)]), f, mark
+
+
+def mark_of(length: int, start: np.ndarray, reach: int = NEVER) -> np.ndarray:
+    """Length, first step and the step at which a phrase became frequent (or NEVER) in one number; the least of a phrase's marks is its mark."""
+    return (length << 16) + (start.astype(np.int64) << 8) + reach
 
 
 def distinct(key: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
@@ -121,76 +179,79 @@ def distinct(key: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray |
     return order[first], number, np.diff(np.r_[first, len(key)])
 
 
-Counted = tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Counted = tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]
+
 
+def count_chunk(ids: np.ndarray, h: np.ndarray, step: int, steps: dict[int, Steps | FilteredSteps], shards: int, longest: int) -> Iterator[Counted]:
+    """(numbers of the first, second, ... words of phrases, their occurrences, first steps, hashes) of all phrases in ``ids`` that are active at ``step``, in the order of their words' numbers; the empty phrase stands for all words.
 
-def count_chunk(ids: np.ndarray, words: Words, step: int, steps: dict[int, Steps | SharedSteps], shards: int, longest: int) -> Iterator[Counted]:
-    """(numbers of the first, second, ... words of phrases, their occurrences, first steps, hashes of their two parts) of all phrases in ``ids`` that may be active at ``step``; the empty phrase stands for all words."""
-    size = len(words) - 2
+    h holds the hashes of the words by number.
+    """
+    size = len(h)
     live = np.flatnonzero(ids >= 0)
     if step < shards:
         n = np.bincount(ids[live], minlength=size)
         at = np.flatnonzero(n)
-        zero = np.zeros(len(at) + 1, np.uint64)
-        yield [], np.array([len(live)]), zero[:1], zero[:1], zero[:1]
-        yield [at], n[at], zero[1:], zero[1:], zero[1:]
+        zero = np.zeros(len(at) + 1, np.uint8)
+        yield [], np.array([len(live)]), zero[:1], np.zeros(1, np.uint64)
+        yield [at], n[at], zero[1:], h[at]
     if 1 not in steps or not len(live):
         return
-    h = words.hashes()
-    # of the phrase of the length before that begins at each place: its hash, a number, and the first and last step at which it may have become frequent
-    first, last, hashes, code = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint8), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.int64)
-    word_first, word_last = steps[1].of(h)
-    first[live], last[live], hashes[live], code[live] = word_first[ids[live]], word_last[ids[live]], h[ids[live]], ids[live]
+    # of the phrase of the length before that begins at each place: its hash, a number, and the step at which it became frequent
+    first, hashes, code = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.int64)
+    first[live], hashes[live], code[live] = steps[1].of(h)[ids[live]], h[ids[live]], ids[live]
     for length in range(2, longest + 1):
         begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER))
         if not len(begin):
             return
         key = code[begin] * size + ids[begin + length - 1]
         onward = length in steps and length < longest
-        early, late = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1, np.maximum(last[begin], last[begin + 1]).astype(np.int64) + 1
+        start = np.maximum(first[begin], first[begin + 1]).astype(np.int64) + 1
         if not onward:  # what is not counted now leads no further
-            due = np.flatnonzero((early <= step) & (late > step - shards))
-            begin, key, early, late = begin[due], key[due], early[due], late[due]
+            due = np.flatnonzero((start <= step) & (start > step - shards))
+            begin, key, start = begin[due], key[due], start[due]
             if not len(begin):
                 return
         at, number, n = distinct(key, onward)
-        place, early, late = begin[at], early[at], late[at]  # from here on a row a phrase, not a place
-        due = np.flatnonzero((early <= step) & (late > step - shards))
+        place, start = begin[at], start[at]  # from here on a row a phrase, not a place
+        whole = joined(hashes[place], hashes[place + 1])
+        due = np.flatnonzero((start <= step) & (start > step - shards))
         if len(due):
             here = place[due]
-            yield [ids[here + k] for k in range(length)], n[due], early[due], hashes[here], hashes[here + 1]
+            yield [ids[here + k] for k in range(length)], n[due], start[due].astype(np.uint8), whole[due]
         if not onward:
             return
-        whole = joined(hashes[place], hashes[place + 1])
-        found_first, found_last = steps[length].of(whole)
-        on = np.flatnonzero(found_first[number] != NEVER)
+        found = steps[length].of(whole)
+        on = np.flatnonzero(found[number] != NEVER)
         number, place = number[on], begin[on]
         first[:] = NEVER
-        first[place], last[place], hashes[place], code[place] = found_first[number], found_last[number], whole[number], number
+        first[place], hashes[place], code[place] = found[number], whole[number], number
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """shard, lang, words, ids: the words of all texts of ``docs`` (lang, text as bytes, shard), so that texts are split once and not in every scan.
+    """shard, lang, size, words, ids: the words of all texts of ``docs`` (lang, text as bytes, shard), so that texts are split once and not in every scan.
 
     A row holds whole texts of one language and shard: its different words, joined by a space, and as unsigned numbers of two bytes (four, if it has
-    NARROW words) the place of each word among them from 1; 0 is a full stop.
+    NARROW words) the place of each word among them from 1; 0 is a full stop. size is the bytes of its texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, str], tuple[Words, list[np.ndarray]]] = {}
         sizes: dict[tuple[int, str], int] = {}
+        octets: dict[tuple[int, str], int] = {}
 
         def row(key: tuple[int, str]) -> pa.RecordBatch:
             (words, parts), (shard, lang) = held.pop(key), key
             sizes.pop(key, None)
             names = list(words)[2:]
             ids = np.maximum(np.concatenate(parts) + 1, 0).astype("<u2" if len(names) < NARROW else "<u4")
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([b" ".join(names)], pa.binary()), pa.array([ids.tobytes()], pa.binary())], names=["shard", "lang", "words", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([octets.pop(key)], pa.int64()), pa.array([b" ".join(names)], pa.binary()), pa.array([ids.tobytes()], pa.binary())], names=["shard", "lang", "size", "words", "ids"])
 
         for b in batches:
             for lang, text, shard in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 key, raw, start = (shard, lang), text.as_py(), 0
                 known, parts = held.setdefault(key, (Words(lang), []))
+                octets[key] = octets.get(key, 0) + len(raw)
                 for end in range(PART, len(raw) + PART, PART):  # a very long text goes in parts, cut before a space
                     cut = len(raw) if end >= len(raw) else max(raw.rfind(b" ", start, end), start)
                     tokens = words_of(raw[start:cut])
@@ -206,34 +267,54 @@ def numbered(docs: DataFrame) -> DataFrame:
         for key in list(held):
             yield row(key)
 
-    return docs.select("lang", "text", "shard").mapInArrow(run, "shard int, lang string, words binary, ids binary")
+    return docs.select("lang", "text", "shard").mapInArrow(run, "shard int, lang string, size long, words binary, ids binary")
 
 
-def scan(shard: DataFrame, step: int, steps, exact: bool, shards: int, longest: int) -> DataFrame:
-    """key, f, mark, and head and tail if ``steps`` are not ``exact``: occurrences in one shard of ``numbered``, summed by chunks of a task.
+def scan(shard: DataFrame, step: int, steps, shards: int, longest: int, buckets: int) -> DataFrame:
+    """bucket, data: phrases by a bucket of their hash, ``packed``: occurrences in one shard of ``numbered``, summed by chunks of a task.
 
-    key is the phrase, a full stop (which no phrase holds) and the language. mark is the step at which the phrase's count begins; where ``steps`` are not exact,
-    that is open (null) for phrases of two words or more, and head and tail are the hashes of its two parts.
+    The key is the phrase, a full stop (which no phrase holds) and the language. Keys are in order, so that they take few bytes.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Words] = {}
         held: dict[str, list[np.ndarray]] = {}
         size, different, table = 0, 0, steps.value
 
-        def counted() -> Iterator[pa.RecordBatch]:
+        def keyed() -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
             for lang, parts in held.items():
                 names, after = pa.array(list(words[lang])[2:], pa.binary()), pa.scalar(b"." + lang.encode(), pa.binary())
+                order = pc.array_sort_indices(names).to_numpy()
+                rank = np.empty(len(order) + 2, np.int32)
+                rank[order], rank[-2:] = np.arange(len(order)), (-2, -1)
+                names, octets = names.take(pa.array(order)), pc.binary_length(names).to_numpy()[order].astype(np.int64) + 1
                 final = pc.binary_join_element_wise(names, after, b"")
-                for places, n, start, head, tail in count_chunk(np.concatenate(parts), words[lang], step, table, shards, longest):
-                    for k in range(0, len(n), 50_000):
-                        here = [pa.array(x[k : k + 50_000]) for x in places]
+                for places, n, start, hashes in count_chunk(rank[np.concatenate(parts)], words[lang].hashes()[order], step, table, shards, longest):
+                    ends = np.cumsum(sum((octets[x] for x in places), np.full(len(n), len(lang.encode()), np.int64)))
+                    cuts = [0, *(np.flatnonzero(np.diff(ends // PACK_BYTES)) + 1).tolist(), len(n)]
+                    for i, j in zip(cuts, cuts[1:]):
+                        here = [pa.array(x[i:j]) for x in places]
                         texts = [names.take(x) for x in here[:-1]] + [final.take(x) for x in here[-1:]]
                         phrases = pc.binary_join_element_wise(*texts, b" ") if texts else pa.array([after.as_py()], pa.binary())
-                        columns = [phrases, pa.array(n[k : k + 50_000]), pa.array(start[k : k + 50_000].astype(np.int32))]
-                        if not exact:
-                            columns[2] = columns[2] if len(texts) < 2 else pa.nulls(len(phrases), pa.int32())
-                            columns += [pa.array(x[k : k + 50_000].view(np.int64)) for x in (head, tail)]
-                        yield pa.RecordBatch.from_arrays(columns, names=["key", "f", "mark", "head", "tail"][: len(columns)])
+                        yield phrases, n[i:j].astype(np.int64), mark_of(len(texts), start[i:j]), (hashes[i:j] % np.uint64(buckets)).astype(np.int32)
+
+        def sent(rows: list) -> Iterator[pa.RecordBatch]:
+            keys, f, mark, bucket = pa.concat_arrays([x[0] for x in rows]), *(np.concatenate([x[k] for x in rows]) for k in (1, 2, 3))
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+            keys, f, mark, bucket = keys.take(pa.array(order)), f[order], mark[order], bucket[order]
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            yield from in_rows(["bucket", "data"], ((int(bucket[i]), packed(keys[i:j], f[i:j], mark[i:j])) for i, j in zip(cuts, cuts[1:])))
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            ready, octets = [], 0
+            for row in keyed():
+                if len(row[0]):
+                    ready.append(row)
+                    octets += row[0].nbytes
+                if octets > 2 * PACK_BYTES:
+                    yield from sent(ready)
+                    ready, octets = [], 0
+            if ready:
+                yield from sent(ready)
 
         for b in batches:
             for lang, own, ids in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
@@ -248,7 +329,77 @@ def scan(shard: DataFrame, step: int, steps, exact: bool, shards: int, longest:
                     words, held, size, different = {}, {}, 0, 0
         yield from counted()
 
-    return shard.select("lang", "words", "ids").mapInArrow(run, "key binary, f long, mark int" + ("" if exact else ", head long, tail long"))
+    return shard.select("lang", "words", "ids").mapInArrow(run, "bucket int, data binary")
+
+
+def in_rows(names: list[str], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows (numbers, and last bytes), closed from PACK_BYTES on."""
+    held, octets = [], 0
+    kinds = [pa.int32()] * (len(names) - 1) + [pa.binary()]
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+    for row in rows:
+        held.append(row)
+        octets += len(row[-1])
+        if octets > PACK_BYTES:
+            yield batch()
+            held, octets = [], 0
+    if held:
+        yield batch()
+
+
+def merged(rows: DataFrame, step: int, least: int, longest: int, shards: int) -> DataFrame:
+    """What a step leaves of the ``packed`` phrases of ``rows`` (bucket, data), the rows of a bucket in one partition: kind, bucket, length, f, key, data.
+
+    ACTIVE: the phrases that are counted on, packed. DONE: a row a complete phrase (key, length, f) that has ``least``, and all words (length 0).
+    FREQUENT: for each length under ``longest`` the hashes of the phrases that reached ``least`` at this step (data) and how many (f).
+    """
+    names = ["kind", "bucket", "length", "f", "key", "data"]
+
+    def rows_of(kind: int, bucket: int, length, f, key, data) -> pa.RecordBatch:
+        n = len(f)
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        columns = ([kind] * n, [bucket] * n, length, f, [None] * n if key is None else key, [None] * n if data is None else data)
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    def hashes(keys: pa.Array, length: int) -> np.ndarray:
+        by: dict[bytes, tuple[Words, list[int]]] = {}
+        for key in keys.to_pylist():
+            phrase, _, lang = key.partition(b".")
+            if lang not in by:
+                by[lang] = Words(lang.decode()), []
+            known, ids = by[lang]
+            ids += map(known.__getitem__, phrase.split(b" "))
+        return np.sort(np.concatenate([hash_words(list(known.hashes()[np.array(ids).reshape(-1, length).T])) for known, ids in by.values()]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for b in batches:
+            for bucket, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held.setdefault(bucket, []).append(data)
+        for bucket in list(held):
+            parts = [unpacked(data) for data in held.pop(bucket)]
+            table = pa.table({"key": pa.chunked_array([x[0] for x in parts]), "f": np.concatenate([x[1] for x in parts]), "mark": np.concatenate([x[2] for x in parts])})
+            parts = None
+            table = table.group_by("key", use_threads=False).aggregate([("f", "sum"), ("mark", "min")])
+            keys, f, mark = table.column("key").combine_chunks(), table.column("f_sum").to_numpy(), table.column("mark_min").to_numpy().astype(np.int64)
+            keys = keys if isinstance(keys, pa.Array) else pa.concat_arrays(keys.chunks)
+            length, start, reach = mark >> 16, (mark >> 8) & 255, mark & 255
+            new = (reach == NEVER) & (f >= least)
+            for size in range(1, longest):
+                at = np.flatnonzero(new & (length == size))
+                if len(at):
+                    yield rows_of(FREQUENT, bucket, [size], [len(at)], None, [hashes(keys.take(pa.array(at)), size).tobytes()])
+            mark = np.where(new, mark - NEVER + step, mark)
+            complete = start <= step + 1 - shards
+            at = np.flatnonzero(complete & ((reach != NEVER) | new | (length == 0)))
+            for k in range(0, len(at), 50_000):
+                here = at[k : k + 50_000]
+                yield rows_of(DONE, bucket, length[here].astype(np.int32), f[here], keys.take(pa.array(here)), None)
+            at = np.flatnonzero(~complete)
+            if len(at):
+                yield rows_of(ACTIVE, bucket, [0], [len(at)], None, [packed(keys.take(pa.array(at)), f[at], mark[at])])
+
+    return rows.mapInArrow(run, "kind int, bucket int, length int, f long, key binary, data binary")
 
 
 def spelled(key: str = "key") -> tuple[Column, Column]:
@@ -274,70 +425,58 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     Documents are dealt into ``shards``, which are scanned in turn, step 0, 1, 2 and so on, around and around. Words are counted from step 0
     on. A phrase is active from the step after the one at which the later of its parts (without the last, without the first word) reached ``least``, and
     is counted for one full cycle, so over every shard once; with fewer than ``least`` it is then forgotten. Scans end when nothing is active: after
-    three cycles at the latest for three words. Scanning tasks know the hashes and steps of up to EXACT_ROWS frequent phrases, if no two share a hash, and so what is
-    active. Of more they have a table of slots of fixed size, which leaves out most; of what comes back new phrases are then joined with their parts' own steps, so sharing a slot costs rows, never counts. All is summed in the task before the one shuffle of a step, which merges
-    it with the active phrases; complete ones are set aside.
+    three cycles at the latest for three words. Scanning tasks know the hashes and steps of up to EXACT_ROWS frequent phrases, and so what is
+    active. Of more they have Bloom filters, ``slots`` bytes at most, which may find a phrase for frequent that is not, or find it a step too early. All tasks then agree on it,
+    at every later step too, so what contains it still is counted over one full cycle; without ``least`` it is forgotten. That costs rows, never counts.
+
+    All is summed in a chunk of the task before the one shuffle of a step, in which phrases go packed by buckets of their hashes, and meet the active ones; complete ones are set aside.
     """
     spark = docs.sparkSession
     small_batches(spark)
     lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("und")), F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(lang.alias("lang"), text.cast("binary").alias("text"), F.pmod(F.xxhash64(F.col("doc_id").cast("string"), text), F.lit(shards)).cast("int").alias("shard"))
     rows = materialise(numbered(rows), "phrase-shards", compression="zstd", partitionBy="shard")
+    buckets = 1 + (rows.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES
     here = scratch(spark, "phrases")  # two tables of states take turns, so that the disk holds no more
-    none, octets = F.lit(None).cast("long"), F.octet_length("phrase")
-    length = F.when(octets == 0, 0).otherwise(octets - F.octet_length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1).cast("int")
-    phrase, lang = spelled()
-    active = spark.createDataFrame([], "key binary, length int, f long, start int, reach int")
-    done, step = active, 0
-    reached: dict[int, tuple[int, int]] = {}  # by length: the last step at which a phrase became frequent, and how many are
+    active = spark.createDataFrame([], "bucket int, data binary")
+    done = spark.createDataFrame([], "key binary, length int, f long")
+    frequent, step = spark.createDataFrame([], "bucket int, length int, reach int, data binary"), 0
+    last, n = -1, 0  # the last step at which a phrase of under ``longest`` words became frequent, and how many are
     with released_shuffles(spark):
-        while step < shards or step <= max((last for n, (last, _) in reached.items() if 0 < n < longest), default=-1) + shards:
-            frequent = active.filter("reach is not null").union(done).filter(F.col("length").between(1, longest - 1))
-            frequent = frequent.select(lang.alias("lang"), phrase.alias("phrase"), "length", "reach").withColumn("h", hash_of(longest - 1))
-            steps, exact = _steps(spark, frequent, sum(n for k, (_, n) in reached.items() if 0 < k < longest), slots)
-            found = scan(rows.filter(F.col("shard") == step % shards), step, steps, exact, shards, longest)
-            mark = F.col("start") + 1000 * (F.coalesce("reach", F.lit(-1)) + 1)  # of an active phrase, in one number
-            parts = () if exact else ("head", "tail")
-            held = active.select("key", "f", mark.alias("mark"), *(none.alias(c) for c in parts)).union(found)
-            held = held.repartition("key").groupBy("key").agg(F.sum("f").alias("f"), F.max("mark").alias("mark"), *(F.max(c).alias(c) for c in parts))
-            held = held.withColumns({"phrase": phrase, "lang": lang}).withColumn("length", length)
-            seeks = F.col("mark").isNull() & (F.col("length") > 1)
-            for at, r in zip(parts, ("r1", "r2")):
-                part = frequent.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), (F.col("length") + 1).alias("_length"), F.col("h").alias("_h"), F.col("reach").alias(r))
-                # the hash brings a phrase and its part together, the words decide; what seeks no part has a key that spreads and meets none
-                same = F.startswith("phrase", F.concat("_phrase", F.lit(" "))) if at == "head" else F.endswith("phrase", F.concat(F.lit(" "), F.col("_phrase")))
-                by = F.when(seeks, F.col(at)).otherwise(F.xxhash64("phrase"))
-                held = held.withColumn("_by", by).join(part, (F.col("_by") == F.col("_h")) & seeks & (F.col("length") == F.col("_length")) & (F.col("lang") == F.col("_lang")) & same, "left").drop("_by", "_lang", "_phrase", "_length", "_h")
-            start = F.col("mark") % 1000
-            if not exact:
-                begun = F.when(F.col("r1").isNotNull() & F.col("r2").isNotNull(), F.greatest("r1", "r2") + 1)
-                start = F.coalesce(start, F.when((begun <= step) & (begun > step - shards), begun))
-            before = F.when(F.col("mark") >= 1000, F.floor(F.col("mark") / 1000) - 1)
-            reach = F.coalesce(before, F.when(F.col("f") >= least, F.lit(step))).cast("int")
-            now = held.withColumns({"start": start.cast("int"), "reach": reach}).filter("start is not null")
-            complete = F.col("start") <= step + 1 - shards
-            now = now.filter(F.col("reach").isNotNull() | ~complete | (F.col("length") == 0)).select("key", "length", "f", "start", "reach")
+        while step < shards or step <= last + shards:
+            found = scan(rows.filter(F.col("shard") == step % shards), step, _steps(spark, frequent, n, buckets, slots), shards, longest, buckets)
+            now = merged(active.union(found).repartitionById(buckets, F.col("bucket")), step, least, longest, shards)
             state = replaced(now, f"{here}/state-{step % 2}", compression="zstd")
-            active = state.filter(~complete)
-            done = done.union(materialise(state.filter(complete), "phrases-done", compression="zstd"))
-            grown = active.filter("reach is not null").union(done).groupBy("length").agg(F.max("reach").alias("last"), F.count("reach").alias("n"))
-            reached = {r["length"]: (r["last"], r["n"]) for r in grown.collect() if r["last"] is not None}  # ``longest`` rows
+            active = state.filter(F.col("kind") == ACTIVE).select("bucket", "data")
+            kept = materialise(state.filter(F.col("kind") != ACTIVE), "phrases-done", compression="zstd")
+            done = done.union(kept.filter(F.col("kind") == DONE).select("key", "length", "f"))
+            new = kept.filter(F.col("kind") == FREQUENT)
+            if grown := new.agg(F.sum("f")).first()[0]:
+                last, n = step, n + grown
+                frequent = frequent.union(new.select("bucket", "length", F.lit(step).alias("reach"), "data"))
             step += 1
+    phrase, lang = spelled()
     return done.filter(F.col("length") > 0).select(lang.alias("lang"), "length", phrase.alias("phrase"), "f"), done.filter("length = 0").select(lang.alias("lang"), F.col("f").alias("n"))
 
 
-def _steps(spark: SparkSession, frequent: DataFrame, n: int, slots: int):
-    """Broadcast of ``Steps`` by length, from at most EXACT_ROWS rows, or else of ``SharedSteps``, from at most ``slots`` rows a length; and whether it is exact."""
-    if n <= EXACT_ROWS:
-        used = frequent.select("length", "h", F.col("reach").cast("short").alias("reach")).toArrow()
-        of, h, reach = (used.column(c).to_numpy() for c in ("length", "h", "reach"))
-        tables = {k: Steps(h[of == k].view(np.uint64), reach[of == k]) for k in np.unique(of).tolist()}
-        if not any(t.clash() for t in tables.values()):
-            return spark.sparkContext.broadcast(tables), True
-    slot = F.col("h").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")
-    used = frequent.groupBy("length", slot).agg(F.min("reach").cast("short").alias("a"), F.max("reach").cast("short").alias("b")).toArrow()
-    of, columns = used.column("length").to_numpy(), [used.column(c).to_numpy() for c in ("slot", "a", "b")]
-    return spark.sparkContext.broadcast({k: SharedSteps(*(c[of == k] for c in columns), slots) for k in np.unique(of).tolist()}), False
+def _steps(spark: SparkSession, frequent: DataFrame, n: int, buckets: int, slots: int):
+    """Broadcast of ``Steps`` by length, of the n hashes in ``frequent``, up to EXACT_ROWS; or else of ``FilteredSteps``, whose filters the tasks make, of ``slots`` bytes in all."""
+    exact, each = n <= EXACT_ROWS, min(BITS, 8 * slots / max(n, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bucket, length, reach, data = (c.to_pylist() for c in b.columns)
+            own = (np.frombuffer(d, np.uint64) for d in data)
+            yield from in_rows(["bucket", "length", "reach", "data"], ((*x, bloom(h, max(64, int(len(h) * each) // 8 * 8))) for *x, h in zip(bucket, length, reach, own)))
+
+    rows = (frequent if exact else frequent.mapInArrow(run, frequent.schema)).toArrow().to_pylist()
+    by: dict[int, list[dict]] = {}
+    for r in rows:
+        by.setdefault(r["length"], []).append(r)
+    if exact:
+        hashes = {k: [np.frombuffer(r["data"], np.uint64) for r in found] for k, found in by.items()}
+        return spark.sparkContext.broadcast({k: Steps(np.concatenate(hashes[k]), np.concatenate([np.full(len(h), r["reach"]) for h, r in zip(hashes[k], found)])) for k, found in by.items()})
+    return spark.sparkContext.broadcast({k: FilteredSteps(buckets, [(r["reach"], r["bucket"], r["data"]) for r in found]) for k, found in by.items()})
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:

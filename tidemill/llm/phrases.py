@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,7 +116,7 @@ class FilteredSteps:
     """``Steps`` by Bloom filters: one a step, in parts by the bucket of the hash.
 
     The first filter that holds a hash gives its step. A phrase that is not frequent may be found too, and one that is may be found for an earlier step
-    than its own; filters of past steps do not change, so what is found once stays.
+    than its own; what is found once stays, as long as the filters of past steps do not change.
     """
 
     def __init__(self, buckets: int, rows: list[tuple[int, int, bytes]]):
@@ -144,6 +145,27 @@ class FilteredSteps:
         return found
 
 
+class Known:
+    """What scanning tasks know of frequent phrases, by length: exact steps of those of some steps, filters of the others'.
+
+    It only grows, by what became frequent at the last step: a hash that was found keeps its step ever after, whether the find was true or not. So a
+    phrase of two parts that were found has one first step in all tasks of all scans.
+    """
+
+    def __init__(self, exact: dict[int, list[tuple[int, np.ndarray]]], filters: dict[int, list[tuple[int, int, bytes]]], buckets: int):
+        """exact: by length, steps and hashes; filters: by length, rows of ``FilteredSteps``."""
+        self.exact = {k: Steps(np.concatenate([h for _, h in own]), np.concatenate([np.full(len(h), step, np.uint8) for step, h in own])) for k, own in exact.items()}
+        self.filters = {k: FilteredSteps(buckets, own) for k, own in filters.items()}
+
+    def __contains__(self, length: int) -> bool:
+        return length in self.exact or length in self.filters
+
+    def of(self, length: int, hashes: np.ndarray) -> np.ndarray:
+        """The step of each hash, or NEVER."""
+        found = [table[length].of(hashes) for table in (self.exact, self.filters) if length in table]
+        return found[0] if len(found) < 2 else np.minimum(*found)
+
+
 def packed(keys: pa.Array, f: np.ndarray, mark: np.ndarray) -> bytes:
     """Rows of phrases in few bytes: by columns, by zstd. Sorted keys take least."""
     raw = keys.buffers()
@@ -182,7 +204,7 @@ def distinct(key: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray |
 Counted = tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]
 
 
-def count_chunk(ids: np.ndarray, h: np.ndarray, step: int, steps: dict[int, Steps | FilteredSteps], shards: int, longest: int) -> Iterator[Counted]:
+def count_chunk(ids: np.ndarray, h: np.ndarray, step: int, steps: Known, shards: int, longest: int) -> Iterator[Counted]:
     """(numbers of the first, second, ... words of phrases, their occurrences, first steps, hashes) of all phrases in ``ids`` that are active at ``step``, in the order of their words' numbers; the empty phrase stands for all words.
 
     h holds the hashes of the words by number.
@@ -199,7 +221,7 @@ def count_chunk(ids: np.ndarray, h: np.ndarray, step: int, steps: dict[int, Step
         return
     # of the phrase of the length before that begins at each place: its hash, a number, and the step at which it became frequent
     first, hashes, code = np.full(len(ids), NEVER, np.uint8), np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.int64)
-    first[live], hashes[live], code[live] = steps[1].of(h)[ids[live]], h[ids[live]], ids[live]
+    first[live], hashes[live], code[live] = steps.of(1, h)[ids[live]], h[ids[live]], ids[live]
     for length in range(2, longest + 1):
         begin = np.flatnonzero((first[:-1] != NEVER) & (first[1:] != NEVER))
         if not len(begin):
@@ -221,7 +243,7 @@ def count_chunk(ids: np.ndarray, h: np.ndarray, step: int, steps: dict[int, Step
             yield [ids[here + k] for k in range(length)], n[due], start[due].astype(np.uint8), whole[due]
         if not onward:
             return
-        found = steps[length].of(whole)
+        found = steps.of(length, whole)
         on = np.flatnonzero(found[number] != NEVER)
         number, place = number[on], begin[on]
         first[:] = NEVER
@@ -299,6 +321,7 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int, buckets:
 
         def sent(rows: list) -> Iterator[pa.RecordBatch]:
             keys, f, mark, bucket = pa.concat_arrays([x[0] for x in rows]), *(np.concatenate([x[k] for x in rows]) for k in (1, 2, 3))
+            rows.clear()
             order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
             keys, f, mark, bucket = keys.take(pa.array(order)), f[order], mark[order], bucket[order]
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
@@ -333,14 +356,14 @@ def scan(shard: DataFrame, step: int, steps, shards: int, longest: int, buckets:
 
 
 def in_rows(names: list[str], rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Batches of rows (numbers, and last bytes), closed from PACK_BYTES on."""
+    """Batches of rows (numbers, and last bytes), closed from a quarter of PACK_BYTES on."""
     held, octets = [], 0
     kinds = [pa.int32()] * (len(names) - 1) + [pa.binary()]
     batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
     for row in rows:
         held.append(row)
         octets += len(row[-1])
-        if octets > PACK_BYTES:
+        if octets > PACK_BYTES // 4:
             yield batch()
             held, octets = [], 0
     if held:
@@ -426,8 +449,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     on. A phrase is active from the step after the one at which the later of its parts (without the last, without the first word) reached ``least``, and
     is counted for one full cycle, so over every shard once; with fewer than ``least`` it is then forgotten. Scans end when nothing is active: after
     three cycles at the latest for three words. Scanning tasks know the hashes and steps of up to EXACT_ROWS frequent phrases, and so what is
-    active. Of more they have Bloom filters, ``slots`` bytes at most, which may find a phrase for frequent that is not, or find it a step too early. All tasks then agree on it,
-    at every later step too, so what contains it still is counted over one full cycle; without ``least`` it is forgotten. That costs rows, never counts.
+    active. Of what became frequent at a step that no longer fits they have Bloom filters, ``slots`` bytes at most, which may find a phrase for frequent that is not, or find it for a step too early.
+    A table or filter of a step is made once and never changes, so all tasks of all later scans find the same, and what contains such a phrase still is counted over one full cycle; without
+    ``least`` it is forgotten. That costs rows, never counts.
 
     All is summed in a chunk of the task before the one shuffle of a step, in which phrases go packed by buckets of their hashes, and meet the active ones; complete ones are set aside.
     """
@@ -440,43 +464,42 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     here = scratch(spark, "phrases")  # two tables of states take turns, so that the disk holds no more
     active = spark.createDataFrame([], "bucket int, data binary")
     done = spark.createDataFrame([], "key binary, length int, f long")
-    frequent, step = spark.createDataFrame([], "bucket int, length int, reach int, data binary"), 0
-    last, n = -1, 0  # the last step at which a phrase of under ``longest`` words became frequent, and how many are
+    exact, filters = defaultdict(list), defaultdict(list)  # of ``Known``
+    step, last, rows_left, bytes_left = 0, -1, EXACT_ROWS, slots  # last: the last step at which a phrase of under ``longest`` words became frequent
     with released_shuffles(spark):
         while step < shards or step <= last + shards:
-            found = scan(rows.filter(F.col("shard") == step % shards), step, _steps(spark, frequent, n, buckets, slots), shards, longest, buckets)
+            found = scan(rows.filter(F.col("shard") == step % shards), step, spark.sparkContext.broadcast(Known(exact, filters, buckets)), shards, longest, buckets)
             now = merged(active.union(found).repartitionById(buckets, F.col("bucket")), step, least, longest, shards)
             state = replaced(now, f"{here}/state-{step % 2}", compression="zstd")
             active = state.filter(F.col("kind") == ACTIVE).select("bucket", "data")
             kept = materialise(state.filter(F.col("kind") != ACTIVE), "phrases-done", compression="zstd")
             done = done.union(kept.filter(F.col("kind") == DONE).select("key", "length", "f"))
             new = kept.filter(F.col("kind") == FREQUENT)
-            if grown := new.agg(F.sum("f")).first()[0]:
-                last, n = step, n + grown
-                frequent = frequent.union(new.select("bucket", "length", F.lit(step).alias("reach"), "data"))
+            if n := new.agg(F.sum("f")).first()[0]:
+                last, fits = step, n <= rows_left
+                # a step that does not fit has half of the bytes that are left at most, so that later ones have some
+                for r in (new.select("bucket", "length", "data") if fits else _filters(new, min(BITS, 4 * bytes_left / n))).toArrow().to_pylist():
+                    if fits:
+                        exact[r["length"]].append((step, np.frombuffer(r["data"], np.uint64)))
+                    else:
+                        filters[r["length"]].append((step, r["bucket"], r["data"]))
+                        bytes_left = max(0, bytes_left - len(r["data"]))
+                rows_left -= n if fits else 0
             step += 1
     phrase, lang = spelled()
     return done.filter(F.col("length") > 0).select(lang.alias("lang"), "length", phrase.alias("phrase"), "f"), done.filter("length = 0").select(lang.alias("lang"), F.col("f").alias("n"))
 
 
-def _steps(spark: SparkSession, frequent: DataFrame, n: int, buckets: int, slots: int):
-    """Broadcast of ``Steps`` by length, of the n hashes in ``frequent``, up to EXACT_ROWS; or else of ``FilteredSteps``, whose filters the tasks make, of ``slots`` bytes in all."""
-    exact, each = n <= EXACT_ROWS, min(BITS, 8 * slots / max(n, 1))
+def _filters(new: DataFrame, bits: float) -> DataFrame:
+    """bucket, length, data: a filter of about ``bits`` bits a phrase for each row of hashes of ``merged``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bucket, length, reach, data = (c.to_pylist() for c in b.columns)
+            bucket, length, data = (c.to_pylist() for c in b.columns)
             own = (np.frombuffer(d, np.uint64) for d in data)
-            yield from in_rows(["bucket", "length", "reach", "data"], ((*x, bloom(h, max(64, int(len(h) * each) // 8 * 8))) for *x, h in zip(bucket, length, reach, own)))
-
-    rows = (frequent if exact else frequent.mapInArrow(run, frequent.schema)).toArrow().to_pylist()
-    by: dict[int, list[dict]] = {}
-    for r in rows:
-        by.setdefault(r["length"], []).append(r)
-    if exact:
-        hashes = {k: [np.frombuffer(r["data"], np.uint64) for r in found] for k, found in by.items()}
-        return spark.sparkContext.broadcast({k: Steps(np.concatenate(hashes[k]), np.concatenate([np.full(len(h), r["reach"]) for h, r in zip(hashes[k], found)])) for k, found in by.items()})
-    return spark.sparkContext.broadcast({k: FilteredSteps(buckets, [(r["reach"], r["bucket"], r["data"]) for r in found]) for k, found in by.items()})
+            yield from in_rows(["bucket", "length", "data"], ((i, k, bloom(h, max(64, int(len(h) * bits) // 8 * 8))) for i, k, h in zip(bucket, length, own)))
+
+    return new.select("bucket", "length", "data").mapInArrow(run, "bucket int, length int, data binary")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
